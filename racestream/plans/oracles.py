@@ -58,12 +58,12 @@ telemetry AS (
          event_type AS driver_status,
          CAST(k % 21 AS SMALLINT) AS car_position,
          CAST(hour(ts) + 1 AS SMALLINT) AS current_lap_num,
-         CAST(printf('%.1f', value * 10) AS FLOAT) AS lap_distance,
+         CAST(CAST(CAST(value * 10 AS DECIMAL(18,1)) AS VARCHAR) AS FLOAT) AS lap_distance,
          CAST(3 * k AS INTEGER) AS speed,
          CAST(k AS FLOAT) AS fuel_in_tank,
          CAST(k % 10 AS FLOAT) AS fuel_remaining_laps,
-         CAST(printf('%.4f', value / 100) AS FLOAT) AS g_force_lateral,
-         CAST(printf('%.4f', -(value / 100)) AS FLOAT) AS g_force_longitudinal
+         CAST(CAST(CAST(value / 100 AS DECIMAL(18,4)) AS VARCHAR) AS FLOAT) AS g_force_lateral,
+         CAST(CAST(CAST(-(value / 100) AS DECIMAL(18,4)) AS VARCHAR) AS FLOAT) AS g_force_longitudinal
   FROM tel_src
   WHERE k <> 0
 )
@@ -79,12 +79,12 @@ messages AS (
            || ',"driver_status":"' || event_type || '"'
            || ',"car_position":' || CAST(k % 21 AS VARCHAR)
            || ',"current_lap_num":' || CAST(hour(ts) + 1 AS VARCHAR)
-           || ',"lap_distance":' || printf('%.1f', value * 10)
+           || ',"lap_distance":' || CAST(CAST(value * 10 AS DECIMAL(18,1)) AS VARCHAR)
            || ',"speed":' || CAST(3 * k AS VARCHAR)
            || ',"fuel_in_tank":' || CAST(k AS VARCHAR)
            || ',"fuel_remaining_laps":' || CAST(k % 10 AS VARCHAR)
-           || ',"g_force_lateral":' || printf('%.4f', value / 100)
-           || ',"g_force_longitudinal":' || printf('%.4f', -(value / 100))
+           || ',"g_force_lateral":' || CAST(CAST(value / 100 AS DECIMAL(18,4)) AS VARCHAR)
+           || ',"g_force_longitudinal":' || CAST(CAST(-(value / 100) AS DECIMAL(18,4)) AS VARCHAR)
            || '}'
          WHEN event_id % 5 = 0 THEN NULL
          WHEN event_id % 5 = 1 THEN ''

@@ -61,16 +61,21 @@ def kafka_layout_from_events(events: DataFrame, topic: str = TOPIC) -> DataFrame
 
     The JSON body carries one car's state: session = the event's date, driver =
     ``DRIVER_nn`` with nn = user id mod 20, position = k mod 21 (k from
-    ``props``), lap = 1 + hour, lap distance = 10 x value, speed = 3k, fuel = k,
-    fuel laps = k mod 10, lateral g = value / 100, longitudinal g = its negative.
-    Events with k = 0 become undecodable messages of five kinds (null, empty,
-    junk, ``{}``, no driver id), which the decoder must drop.
-    Kafka ``timestamp`` = event time, ``offset`` = event id.
+    ``props``), lap = 1 + hour, lap distance = 10 x value (one decimal), speed =
+    3k, fuel = k, fuel laps = k mod 10, lateral g = value / 100 (four decimals),
+    longitudinal g = its negative. Events with k = 0 become undecodable
+    messages of five kinds (null, empty, junk, ``{}``, no driver id), which the
+    decoder must drop. Kafka ``timestamp`` = event time, ``offset`` = event id.
     """
-    k = _k()
+    src = events.select("event_id", "ts", "user_id", "event_type", "value", _k().alias("k"))
+    k = F.col("k")
     user = F.col("user_id")
     val = F.col("value")
-    num = lambda fmt, c: F.format_string(fmt, c)
+
+    def dec(c, scale):
+        # fixed-point text of a double (no exponent, no negative zero)
+        return c.cast(f"decimal(18,{scale})").cast("string")
+
     fields = [
         ("session_id", _quoted(F.col("ts").cast("date").cast("string"))),
         ("driver_id", _quoted(F.concat(F.lit("DRIVER_"), F.lpad((user % 20).cast("string"), 2, "0")))),
@@ -78,12 +83,12 @@ def kafka_layout_from_events(events: DataFrame, topic: str = TOPIC) -> DataFrame
         ("driver_status", _quoted(F.col("event_type"))),
         ("car_position", (k % 21).cast("string")),
         ("current_lap_num", (F.hour("ts") + 1).cast("string")),
-        ("lap_distance", num("%.1f", val * 10)),
+        ("lap_distance", dec(val * 10, 1)),
         ("speed", (k * 3).cast("string")),
         ("fuel_in_tank", k.cast("string")),
         ("fuel_remaining_laps", (k % 10).cast("string")),
-        ("g_force_lateral", num("%.4f", val / 100)),
-        ("g_force_longitudinal", num("%.4f", -(val / 100))),
+        ("g_force_lateral", dec(val / 100, 4)),
+        ("g_force_longitudinal", dec(-(val / 100), 4)),
     ]
     parts = [F.lit("{")]
     for i, (name, text) in enumerate(fields):
@@ -98,7 +103,7 @@ def kafka_layout_from_events(events: DataFrame, topic: str = TOPIC) -> DataFrame
            .when(kind == 3, F.lit("{}"))
            .otherwise(no_driver))
     body = F.when(k == 0, bad).otherwise(good)
-    return events.select(
+    return src.select(
         F.lit(None).cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
