@@ -261,16 +261,38 @@ def run_sorted_batches(batches: Iterable[pa.RecordBatch], names: list) -> Iterat
 
 
 def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partitions: int | None = None,
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                     max_broadcast_rows: int = 1_000_000, strategy: str = "hash",
+                     skew_factor: float = 4.0, min_split_rows: int = 5_000_000) -> DataFrame:
     """Neighbour rows for every tracked target of every session (batch).
 
-    One shuffle, on ``(session_id, target_id)``; a sort within partitions puts
-    each key's events in order. ``num_partitions`` defaults to
-    ``spark.sql.shuffle.partitions``.
+    ``strategy``:
+
+    * ``"hash"``: one shuffle on ``(session_id, target_id)`` and a sort within
+      partitions; each key runs in one task. Best when keys are many and small.
+    * ``"split"``: every key is cut into balanced slices that run in parallel
+      (``neighbours_split``); exact, for keys too large for one task.
+    * ``"auto"``: counts rows per key first (one aggregate, combined map-side)
+      and splits when the largest key exceeds ``skew_factor`` times the mean
+      rows per partition and ``min_split_rows``.
+
+    ``num_partitions`` defaults to ``spark.sql.shuffle.partitions``.
     """
     spark = telemetry.sparkSession
-    with_targets = _input_projection(attach_targets(telemetry, targets, max_broadcast_rows))
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if strategy not in ("hash", "split", "auto"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "auto":
+        stats = (attach_targets(telemetry, targets, max_broadcast_rows)
+                 .groupBy("session_id", "target_id").count()
+                 .agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first())
+        largest, total = stats["largest"] or 0, stats["total"] or 0
+        strategy = "split" if largest > max(min_split_rows, skew_factor * total / n) else "hash"
+    if strategy == "split":
+        from racestream.operators.neighbours_split import track_neighbours_split
+
+        return track_neighbours_split(telemetry, targets, num_slices=n, max_broadcast_rows=max_broadcast_rows)
+
+    with_targets = _input_projection(attach_targets(telemetry, targets, max_broadcast_rows))
     ordered = (with_targets
                .repartition(n, "session_id", "target_id")
                .sortWithinPartitions("session_id", "target_id", "event_time", "seq"))

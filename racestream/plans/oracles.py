@@ -341,3 +341,4 @@ SELECT session_id, target_id, seq, event_time, prev_follower_id AS previous_foll
 FROM neighbours WHERE prev_follower_id IS NOT NULL""",
 }
 ORACLES["neighbours_stream"] = ORACLES["neighbours"]
+ORACLES["neighbours_split"] = ORACLES["neighbours"]

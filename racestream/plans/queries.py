@@ -137,6 +137,15 @@ def q_neighbours(spark, sf_dir):
     return neighbours(spark, sf_dir)
 
 
+def q_neighbours_split(spark, sf_dir):
+    """The same rows through the skew-safe plan: every session is cut into
+    slices (range partitioning on session, target, time) that run in parallel
+    from exactly resolved entry states."""
+    n = max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return track_neighbours(telemetry(spark, sf_dir), [DRIVER_TABLES_TARGET], num_partitions=n,
+                            strategy="split")
+
+
 def q_gaps(spark, sf_dir):
     return gaps(spark, sf_dir)
 
@@ -193,6 +202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "telemetry_status": q_telemetry_status,
     "raw_dump": q_raw_dump,
     "neighbours": q_neighbours,
+    "neighbours_split": q_neighbours_split,
     "gaps": q_gaps,
     "gap_report": q_gap_report,
     "gap_csv": q_gap_csv,
