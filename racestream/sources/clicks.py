@@ -9,9 +9,24 @@ from racestream.schemas import CLICK_SCHEMA
 EVENTS_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``events`` table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """The driver's ``events`` table.
+
+    With ``spread``, an input that scans into fewer splits than the cluster has
+    cores (one small file, one row group) is spread round-robin over all cores
+    before the CPU-heavy work; a large input already has enough splits and is
+    left untouched (no extra shuffle).
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread_small_input(df) if spread else df
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cores when its scan has fewer splits than cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def clicks_from_events(events: DataFrame) -> DataFrame:
