@@ -261,7 +261,7 @@ def run_sorted_batches(batches: Iterable[pa.RecordBatch], names: list) -> Iterat
 
 
 def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partitions: int | None = None,
-                     max_broadcast_rows: int = 1_000_000, strategy: str = "hash",
+                     max_broadcast_rows: int = 1_000_000, strategy: str = "auto",
                      skew_factor: float = 4.0, min_split_rows: int = 5_000_000) -> DataFrame:
     """Neighbour rows for every tracked target of every session (batch).
 

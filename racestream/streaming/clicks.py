@@ -23,9 +23,24 @@ def with_event_time(clicks: DataFrame, opts: ClickOptions, ts: str = "ts") -> Da
     return clicks.withWatermark(ts, opts.watermark_delay)
 
 
-def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bool = True) -> DataFrame:
-    """Counts per account and window; a window is emitted once, when it closes."""
-    counts = C.click_counts(C.authenticated(C.parse_clicks(with_event_time(clicks, opts))), opts)
+QUALITY_METRICS = "click_quality"
+
+
+def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bool = True,
+                           observe: bool = True) -> DataFrame:
+    """Counts per account and window; a window is emitted once, when it closes.
+
+    With ``observe``, every micro-batch reports how many clicks it skipped as
+    unparsable or anonymous under ``observedMetrics['click_quality']`` in the
+    query progress (no extra pass over the data).
+    """
+    parsed = C.parse_clicks(with_event_time(clicks, opts))
+    if observe:
+        parsed = parsed.observe(
+            QUALITY_METRICS,
+            F.count_if(C.is_unparsable()).alias("n_unparsable"),
+            F.count_if(F.coalesce(C.is_anonymous(), F.lit(False))).alias("n_anonymous"))
+    counts = C.click_counts(C.authenticated(parsed), opts)
     if ntz_output:
         counts = counts.select(
             "account_id",

@@ -41,6 +41,22 @@ def test_click_job_stream(spark, tmpdir_path):
     q.awaitTermination()
     assert read_bucket(out, "Tenclickusers") == ["99"]
     assert read_bucket(out, "Nineclickusers") == ["88"]  # 66 has exactly 9: neither; 1 still open
+    seen = [p["observedMetrics"].get("click_quality") for p in q.recentProgress if p.get("observedMetrics")]
+    assert seen and sum(m["n_anonymous"] for m in seen) == 0 and sum(m["n_unparsable"] for m in seen) == 0
+
+
+def test_click_stream_counts_skipped(spark, tmpdir_path):
+    from racestream.streaming.clicks import windowed_counts_stream
+    rows = [click(-1, 0, 1), ("junk", T0, 2), click(5, 10, 3)]
+    src = f"{tmpdir_path}/clicks"
+    spark.createDataFrame(rows, CLICK_SCHEMA).write.parquet(src)
+    stream = spark.readStream.schema(CLICK_SCHEMA).parquet(src)
+    q = (windowed_counts_stream(stream, TEST).writeStream.format("parquet").option("path", f"{tmpdir_path}/o")
+         .option("checkpointLocation", f"{tmpdir_path}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["click_quality"] for p in q.recentProgress
+            if p.get("observedMetrics", {}).get("click_quality")]
+    assert sum(m["n_anonymous"] for m in seen) == 1 and sum(m["n_unparsable"] for m in seen) == 1
 
 
 def test_entry_smoke(spark):
