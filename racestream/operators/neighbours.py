@@ -33,6 +33,7 @@ from __future__ import annotations
 from typing import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -71,7 +72,8 @@ class NeighbourState:
     """Mutable state of one key. Cars are lists:
     ``[driver_id, car_position, lap, lap_position, speed_kph, has_details]``."""
 
-    __slots__ = ("me", "me_details", "follower", "leader", "tracking", "last_follower_id")
+    __slots__ = ("me", "me_details", "follower", "leader", "tracking", "last_follower_id",
+                 "me_key", "f_key", "l_key")
 
     def __init__(self, me=None, me_details=None, follower=None, leader=None,
                  tracking=False, last_follower_id=None):
@@ -81,6 +83,10 @@ class NeighbourState:
         self.leader = leader if leader is not None else [NO_LEADER, 0, None, None, None, False]
         self.tracking = tracking
         self.last_follower_id = last_follower_id
+        # ids in lower case, for the case-insensitive comparisons
+        self.me_key = _fold(self.me[0])
+        self.f_key = _fold(self.follower[0])
+        self.l_key = _fold(self.leader[0])
 
     # -- stream state <-> object -------------------------------------------------
     def to_tuple(self) -> tuple:
@@ -104,41 +110,52 @@ class NeighbourState:
                 self.tracking, self.last_follower_id)
 
 
+_NO_DETAILS = (None, None, None)
+_NO_FOLLOWER_KEY = NO_FOLLOWER.lower()
+_NO_LEADER_KEY = NO_LEADER.lower()
+
+
 def step(st: NeighbourState, target_key: str, driver_id: str, pos: int, lap, dist, speed,
-         details=(None, None, None)) -> bool:
+         details=(None, None, None), key: str | None = None) -> bool:
     """Apply one event to ``st``; True when the event emits a row.
 
-    ``target_key`` is the tracked id in lower case; ``pos`` is never null.
+    ``target_key`` is the tracked id in lower case, ``key`` the event's driver
+    id in lower case (computed when not given); ``pos`` is never null.
+    The take rules are the two-step rules of the module doc folded into one
+    branch each: taking a car with no follower (leader) at hand also satisfies
+    the "at or ahead (behind)" rule, so it starts tracking when ``p > 0``.
     """
-    is_target = _fold(driver_id) == target_key
+    if key is None:
+        key = _fold(driver_id)
+    is_target = key == target_key
     if is_target:
         st.me = [driver_id, pos, lap, dist, speed, True]
         st.me_details = list(details)
+        st.me_key = key
     m = st.me[1]
     other = not is_target and m != 0
 
     f = st.follower
     if f[1] <= m:
         f[0] = NO_FOLLOWER
-    if other and f[0] == NO_FOLLOWER and m < pos:
-        f = st.follower = [driver_id, pos, lap, dist, speed, True]
-    if other and pos > 0 and pos > m and pos <= f[1]:
-        f = st.follower = [driver_id, pos, lap, dist, speed, True]
-        st.tracking = True
+        st.f_key = _NO_FOLLOWER_KEY
+    if other and pos > m and (f[0] == NO_FOLLOWER or (pos > 0 and pos <= f[1])):
+        st.follower = [driver_id, pos, lap, dist, speed, True]
+        st.f_key = key
+        if pos > 0:
+            st.tracking = True
 
     ld = st.leader
     if ld[1] >= m:
         ld[0] = NO_LEADER
-    if other and ld[0] == NO_LEADER and m > pos:
-        ld = st.leader = [driver_id, pos, lap, dist, speed, True]
-    if other and pos > 0 and pos < m and pos >= ld[1]:
-        ld = st.leader = [driver_id, pos, lap, dist, speed, True]
-        st.tracking = True
+        st.l_key = _NO_LEADER_KEY
+    if other and pos < m and (ld[0] == NO_LEADER or (pos > 0 and pos >= ld[1])):
+        st.leader = [driver_id, pos, lap, dist, speed, True]
+        st.l_key = key
+        if pos > 0:
+            st.tracking = True
 
-    if not st.tracking:
-        return False
-    key = _fold(driver_id)
-    return key == _fold(st.me[0]) or key == _fold(f[0]) or key == _fold(ld[0])
+    return st.tracking and (key == st.me_key or key == st.f_key or key == st.l_key)
 
 
 # ---------------------------------------------------------------------------
@@ -226,6 +243,55 @@ def _emit_batch(batch: pa.RecordBatch, idx: list, rows: list, names: list) -> pa
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def pylist(a) -> list:
+    """Arrow array -> Python list; through numpy when there is no null (much
+    faster than ``to_pylist``, which builds one scalar object per value)."""
+    if a.null_count == 0:
+        return a.to_numpy(zero_copy_only=False).tolist()
+    return a.to_pylist()
+
+
+_NULL_KEY = "\x00"
+
+
+def key_runs(batch: pa.RecordBatch) -> list:
+    """(lo, hi, (session_id, target_id)) of each run of equal keys in a sorted batch."""
+    n = batch.num_rows
+    sess = pc.fill_null(batch.column("session_id"), _NULL_KEY)
+    tgt = pc.fill_null(batch.column("target_id"), _NULL_KEY)
+    if n > 1:
+        change = pc.or_(pc.not_equal(sess.slice(1), sess.slice(0, n - 1)),
+                        pc.not_equal(tgt.slice(1), tgt.slice(0, n - 1)))
+        starts = [0] + [i + 1 for i in pc.indices_nonzero(change).to_pylist()]
+    else:
+        starts = [0]
+    s_raw, t_raw = batch.column("session_id"), batch.column("target_id")
+    bounds = starts + [n]
+    return [(bounds[r], bounds[r + 1], (s_raw[bounds[r]].as_py(), t_raw[bounds[r]].as_py()))
+            for r in range(len(starts))]
+
+
+class BatchColumns:
+    """The columns ``step`` reads, as Python lists, read once per batch."""
+
+    __slots__ = ("drv", "key", "pos", "lap", "dist", "spd", "rno", "glat", "glon")
+
+    def __init__(self, b: pa.RecordBatch):
+        self.drv = pylist(b.column("driver_id"))
+        self.key = pylist(pc.utf8_lower(b.column("driver_id")))
+        self.pos = pylist(b.column("car_position"))
+        self.lap = pylist(b.column("current_lap_num"))
+        self.dist = pylist(b.column("lap_distance"))
+        self.spd = pylist(b.column("speed"))
+        self.rno = pylist(b.column("race_number"))
+        self.glat = pylist(b.column("g_force_lateral"))
+        self.glon = pylist(b.column("g_force_longitudinal"))
+
+    def step(self, st: NeighbourState, target_key: str, i: int) -> bool:
+        return step(st, target_key, self.drv[i], self.pos[i], self.lap[i], self.dist[i], self.spd[i],
+                    (self.rno[i], self.glat[i], self.glon[i]), self.key[i])
+
+
 def run_sorted_batches(batches: Iterable[pa.RecordBatch], names: list) -> Iterator[pa.RecordBatch]:
     """Run ``step`` over record batches sorted by key, then event time and seq."""
     current = object()
@@ -234,28 +300,21 @@ def run_sorted_batches(batches: Iterable[pa.RecordBatch], names: list) -> Iterat
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sess = batch.column("session_id").to_pylist()
-        tgt = batch.column("target_id").to_pylist()
-        drv = batch.column("driver_id").to_pylist()
-        pos = batch.column("car_position").to_pylist()
-        lap = batch.column("current_lap_num").to_pylist()
-        dist = batch.column("lap_distance").to_pylist()
-        spd = batch.column("speed").to_pylist()
-        rno = batch.column("race_number").to_pylist()
-        glat = batch.column("g_force_lateral").to_pylist()
-        glon = batch.column("g_force_longitudinal").to_pylist()
+        c = BatchColumns(batch)
+        drv, keys, pos, lap, dist, spd = c.drv, c.key, c.pos, c.lap, c.dist, c.spd
         idx, rows = [], []
-        for i in range(batch.num_rows):
-            key = (sess[i], tgt[i])
+        for lo, hi, key in key_runs(batch):
             if key != current:
                 current = key
                 st = NeighbourState()
-                target_key = _fold(tgt[i])
-            if step(st, target_key, drv[i], pos[i], lap[i], dist[i], spd[i],
-                    (rno[i], glat[i], glon[i])):
-                rows.append(st.output())
-                st.last_follower_id = st.follower[0]
-                idx.append(i)
+                target_key = _fold(key[1])
+            for i in range(lo, hi):
+                k = keys[i]
+                details = (c.rno[i], c.glat[i], c.glon[i]) if k == target_key else _NO_DETAILS
+                if step(st, target_key, drv[i], pos[i], lap[i], dist[i], spd[i], details, k):
+                    rows.append(st.output())
+                    st.last_follower_id = st.follower[0]
+                    idx.append(i)
         if idx:
             yield _emit_batch(batch, idx, rows, names)
 

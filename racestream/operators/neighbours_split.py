@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 
 from racestream.operators.neighbours import (
     NO_FOLLOWER, NO_LEADER, NeighbourState, _emit_batch, _fold, _input_projection,
-    attach_targets, step,
+    attach_targets, key_runs as _runs, pylist, step,
 )
 from racestream.schemas import neighbour_schema
 from racestream.session import checkpoint_root
@@ -56,26 +56,6 @@ NOF = "N"  # entry class of "no follower" / "no leader" (the stale position is i
 
 # -- helpers -----------------------------------------------------------------------
 
-_NULL_KEY = "\x00"
-
-
-def _runs(batch: pa.RecordBatch) -> list:
-    """(lo, hi, key) of each run of equal keys in a sorted batch (vectorised)."""
-    n = batch.num_rows
-    sess = pc.fill_null(batch.column("session_id"), _NULL_KEY)
-    tgt = pc.fill_null(batch.column("target_id"), _NULL_KEY)
-    if n > 1:
-        change = pc.or_(pc.not_equal(sess.slice(1), sess.slice(0, n - 1)),
-                        pc.not_equal(tgt.slice(1), tgt.slice(0, n - 1)))
-        starts = [0] + [i + 1 for i in pc.indices_nonzero(change).to_pylist()]
-    else:
-        starts = [0]
-    s_raw, t_raw = batch.column("session_id"), batch.column("target_id")
-    bounds = starts + [n]
-    return [(bounds[r], bounds[r + 1], (s_raw[bounds[r]].as_py(), t_raw[bounds[r]].as_py()))
-            for r in range(len(starts))]
-
-
 def _car(drv, pos, lap, dist, speed):
     return [drv, pos, lap, dist, speed, True]
 
@@ -84,14 +64,19 @@ class _Cols:
     """Columns of one batch as Python lists (read once)."""
 
     def __init__(self, b: pa.RecordBatch):
-        self.drv = b.column("driver_id").to_pylist()
-        self.pos = b.column("car_position").to_pylist()
-        self.lap = b.column("current_lap_num").to_pylist()
-        self.dist = b.column("lap_distance").to_pylist()
-        self.spd = b.column("speed").to_pylist()
-        self.rno = b.column("race_number").to_pylist()
-        self.glat = b.column("g_force_lateral").to_pylist()
-        self.glon = b.column("g_force_longitudinal").to_pylist()
+        self.drv = pylist(b.column("driver_id"))
+        self.key = pylist(pc.utf8_lower(b.column("driver_id")))
+        self.pos = pylist(b.column("car_position"))
+        self.lap = pylist(b.column("current_lap_num"))
+        self.dist = pylist(b.column("lap_distance"))
+        self.spd = pylist(b.column("speed"))
+        self.rno = pylist(b.column("race_number"))
+        self.glat = pylist(b.column("g_force_lateral"))
+        self.glon = pylist(b.column("g_force_longitudinal"))
+
+    def step(self, st, target_key, i) -> bool:
+        return step(st, target_key, self.drv[i], self.pos[i], self.lap[i], self.dist[i], self.spd[i],
+                    (self.rno[i], self.glat[i], self.glon[i]), self.key[i])
 
     def me(self, i):
         return [self.drv[i], self.pos[i], self.lap[i], self.dist[i], self.spd[i], True,
@@ -249,10 +234,9 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
             for i in range(lo, hi):
                 if mode == "table":
                     rows.append((cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i],
-                                 _fold(cols.drv[i]) == target_key, (cols.rno[i], cols.glat[i], cols.glon[i])))
+                                 cols.key[i] == target_key, (cols.rno[i], cols.glat[i], cols.glon[i])))
                 else:
-                    step(st, target_key, cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i],
-                         (cols.rno[i], cols.glat[i], cols.glon[i]))
+                    cols.step(st, target_key, i)
     if slice_id is None:
         return
     if mode == "table":
@@ -381,8 +365,7 @@ def _pass_c(batches, states_bc, names):
                     pending = False
                 first = False
             for i in range(lo, hi):
-                if step(st, target_key, cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i],
-                        (cols.rno[i], cols.glat[i], cols.glon[i])):
+                if cols.step(st, target_key, i):
                     rows.append(st.output())
                     unknown.append(pending)
                     pending = False
