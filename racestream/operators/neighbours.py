@@ -368,16 +368,15 @@ def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partition
 # Streaming: one group per key, state in Spark's state store
 
 
-def _py(v):
-    # pandas gives NaN for a null in a numeric column; None in the state
-    if v is None:
-        return None
-    try:
-        if v != v:  # NaN
-            return None
-    except TypeError:
-        pass
-    return v.item() if hasattr(v, "item") else v
+def _values(series, integer: bool = False) -> list:
+    """pandas column -> Python list with None for nulls (pandas gives NaN for a
+    null in a numeric column); integers stay integers."""
+    values = series.tolist()
+    if not series.isna().any():
+        return values
+    if integer:
+        return [None if v is None or v != v else int(v) for v in values]
+    return [None if v is None or (isinstance(v, float) and v != v) else v for v in values]
 
 
 def stream_handler(key, pdf_iter, state):
@@ -389,24 +388,41 @@ def stream_handler(key, pdf_iter, state):
     frames = [p for p in pdf_iter if len(p)]
     if not frames:
         return
-    pdf = pd.concat(frames, ignore_index=True).sort_values(["event_time", "seq"], kind="stable")
+    pdf = (pd.concat(frames, ignore_index=True)
+           .sort_values(["event_time", "seq"], kind="stable").reset_index(drop=True))
     target_key = _fold(target_id)
-    out_rows = []
-    for r in pdf.itertuples(index=False):
-        pos = _py(r.car_position)
-        if step(st, target_key, r.driver_id, 0 if pos is None else int(pos), _py(r.current_lap_num),
-                _py(r.lap_distance), _py(r.speed),
-                (_py(r.race_number), _py(r.g_force_lateral), _py(r.g_force_longitudinal))):
-            out_rows.append((
-                session_id, target_id, int(r.seq), r.event_time, r.driver_id, r.driver_status,
-                0 if pos is None else int(pos), _py(r.current_lap_num), _py(r.speed),
-                _py(r.fuel_in_tank), *st.output()))
+    drv = _values(pdf["driver_id"])
+    keys = [_fold(d) for d in drv]
+    pos = [0 if p is None else p for p in _values(pdf["car_position"], integer=True)]
+    lap = _values(pdf["current_lap_num"], integer=True)
+    dist = _values(pdf["lap_distance"])
+    spd = _values(pdf["speed"], integer=True)
+    rno = _values(pdf["race_number"], integer=True)
+    glat = _values(pdf["g_force_lateral"])
+    glon = _values(pdf["g_force_longitudinal"])
+    idx, rows = [], []
+    for i in range(len(pdf)):
+        k = keys[i]
+        details = (rno[i], glat[i], glon[i]) if k == target_key else _NO_DETAILS
+        if step(st, target_key, drv[i], pos[i], lap[i], dist[i], spd[i], details, k):
+            rows.append(st.output())
             st.last_follower_id = st.follower[0]
+            idx.append(i)
     state.update(st.to_tuple())
-    if out_rows:
-        cols = (["session_id", "target_id", "seq", "event_time"]
-                + [n for n, _ in EVENT_OUT_FIELDS] + STATE_OUT_COLUMNS)
-        yield pd.DataFrame(out_rows, columns=cols).astype(object)
+    if not idx:
+        return
+    ev = pdf.iloc[idx].reset_index(drop=True)
+    out = pd.DataFrame({
+        "session_id": session_id, "target_id": target_id,
+        "seq": ev["seq"].astype("int64"), "event_time": ev["event_time"],
+        "event_driver_id": ev["driver_id"], "driver_status": ev["driver_status"],
+        "event_car_position": [pos[i] for i in idx],
+        "event_lap": pd.Series([lap[i] for i in idx], dtype=object),
+        "event_speed": pd.Series([spd[i] for i in idx], dtype=object),
+        "fuel_in_tank": ev["fuel_in_tank"],
+    })
+    state_cols = pd.DataFrame(rows, columns=STATE_OUT_COLUMNS).astype(object)
+    yield pd.concat([out, state_cols], axis=1)
 
 
 def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET) -> DataFrame:
