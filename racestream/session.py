@@ -9,9 +9,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "racestream", extra: dict | None = None) -> SparkSession:
-    """A session for local runs and tests (a cluster passes its own)."""
+                  app_name: str = "racestream", extra: dict | None = None,
+                  rocksdb_state: bool = False) -> SparkSession:
+    """A session for local runs and tests (a cluster passes its own).
+
+    ``rocksdb_state`` keeps streaming state (open click windows, neighbour
+    state per race and target) in RocksDB instead of the JVM heap, for state
+    larger than executor memory. It applies to queries started afresh.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -26,6 +35,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
     }
+    if rocksdb_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

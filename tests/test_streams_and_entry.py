@@ -103,3 +103,17 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(res.columns)
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(res.columns, orows)
+
+
+def test_rocksdb_state_store(spark):
+    from racestream.plans import queries as Q
+    from racestream.session import ROCKSDB_PROVIDER
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        got = sorted(tuple(r) for r in Q.q_neighbours_stream(spark, SMALL).select("session_id", "seq").collect())
+    finally:
+        spark.conf.set(key, old)
+    want = sorted(tuple(r) for r in Q.q_neighbours(spark, SMALL).select("session_id", "seq").collect())
+    assert got == want and got
