@@ -113,7 +113,9 @@ def test_rocksdb_state_store(spark):
     spark.conf.set(key, ROCKSDB_PROVIDER)
     try:
         got = sorted(tuple(r) for r in Q.q_neighbours_stream(spark, SMALL).select("session_id", "seq").collect())
+        clicks = sorted(tuple(r) for r in Q.q_click_counts_stream(spark, SMALL).collect())
     finally:
         spark.conf.set(key, old)
     want = sorted(tuple(r) for r in Q.q_neighbours(spark, SMALL).select("session_id", "seq").collect())
     assert got == want and got
+    assert clicks == sorted(tuple(r) for r in Q.q_click_counts_stream(spark, SMALL).collect()) and clicks
