@@ -51,6 +51,10 @@ from racestream.session import checkpoint_root
 
 KEY = ["session_id", "target_id"]
 ORDER = ["event_time", "seq"]
+# what passes A and B read (the rows are in order already; time, seq and the
+# text-only event columns are not needed there)
+SUMMARY_COLUMNS = ["slice", "session_id", "target_id", "driver_id", "car_position", "current_lap_num",
+                   "lap_distance", "speed", "race_number", "g_force_lateral", "g_force_longitudinal"]
 NOF = "N"  # entry class of "no follower" / "no leader" (the stale position is irrelevant)
 
 
@@ -78,15 +82,16 @@ class _Cols:
         return step(st, target_key, self.drv[i], self.pos[i], self.lap[i], self.dist[i], self.spd[i],
                     (self.rno[i], self.glat[i], self.glon[i]), self.key[i])
 
-    def me(self, i):
-        return [self.drv[i], self.pos[i], self.lap[i], self.dist[i], self.spd[i], True,
-                self.rno[i], self.glat[i], self.glon[i]]
 
-    def car(self, i):
-        return _car(self.drv[i], self.pos[i], self.lap[i], self.dist[i], self.spd[i])
+# -- pass A: slice boundaries ------------------------------------------------------------
 
+def _me_at(b: pa.RecordBatch, i: int) -> list:
+    """The tracked car's state from row ``i`` (one row read, no column conversion)."""
+    def g(c):
+        return b.column(c)[i].as_py()
+    return [g("driver_id"), g("car_position"), g("current_lap_num"), g("lap_distance"), g("speed"), True,
+            g("race_number"), g("g_force_lateral"), g("g_force_longitudinal")]
 
-# -- pass A: slice boundaries ------------------------------------------------------------
 
 SUMMARY_A = ("slice int, first_session string, first_target string, last_session string, "
              "last_target string, first_me string, last_me string, positions string")
@@ -105,7 +110,6 @@ def _pass_a(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_t = pc.equal(pc.utf8_lower(b.column("driver_id")), pc.utf8_lower(b.column("target_id")))
         t_idx = pc.indices_nonzero(pc.fill_null(is_t, False)).to_pylist()
         positions.update(pc.unique(b.column("car_position")).to_pylist())
-        cols = None
         ti = 0
         for lo, hi, k in _runs(b):
             if k != cur_key:
@@ -120,8 +124,7 @@ def _pass_a(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     last_t = t_idx[ti]
                 ti += 1
             if last_t is not None:
-                cols = cols or _Cols(b)
-                cur_me = json.dumps(cols.me(last_t))
+                cur_me = json.dumps(_me_at(b, last_t))
     if slice_id is None:
         return
     if first_run_open:
@@ -393,7 +396,7 @@ def track_neighbours_split(telemetry: DataFrame, targets, num_slices: int | None
     ordered = ordered.checkpoint(eager=True)
 
     # pass A -> entry me per continuing slice (one summary row per slice)
-    summ_a = [r.asDict() for r in ordered.mapInArrow(_pass_a, SUMMARY_A).collect()]
+    summ_a = [r.asDict() for r in ordered.select(*SUMMARY_COLUMNS).mapInArrow(_pass_a, SUMMARY_A).collect()]
     summ_a.sort(key=lambda r: r["slice"])
     positions = sorted({p for r in summ_a for p in json.loads(r["positions"])})
     me_entry, plan = _resolve_me(summ_a)
@@ -405,7 +408,7 @@ def track_neighbours_split(telemetry: DataFrame, targets, num_slices: int | None
 
     if me_entry:
         me_bc, plan_bc, pos_bc = sc.broadcast(me_entry), sc.broadcast(plan), sc.broadcast(positions)
-        summ_b = {(r.slice, r.kind): json.loads(r.payload) for r in ordered.mapInArrow(
+        summ_b = {(r.slice, r.kind): json.loads(r.payload) for r in ordered.select(*SUMMARY_COLUMNS).mapInArrow(
             lambda it: _pass_b(it, me_bc, plan_bc, pos_bc), SUMMARY_B).collect()}
         states = _resolve_states(summ_a, me_entry, summ_b)
     else:

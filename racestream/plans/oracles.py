@@ -342,3 +342,10 @@ FROM neighbours WHERE prev_follower_id IS NOT NULL""",
 }
 ORACLES["neighbours_stream"] = ORACLES["neighbours"]
 ORACLES["neighbours_split"] = ORACLES["neighbours"]
+# the whole table as one race: the same state machine over one key
+_ONE_RACE = """
+telemetry1 AS (SELECT * REPLACE ('all' AS session_id) FROM telemetry)
+"""
+ORACLES["neighbours_global_key"] = (
+    _with(TELEMETRY, _ONE_RACE, NEIGHBOURS.replace("FROM telemetry t", "FROM telemetry1 t"))
+    + f"SELECT {NEIGHBOUR_COLS} FROM neighbours")

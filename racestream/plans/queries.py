@@ -146,6 +146,20 @@ def q_neighbours_split(spark, sf_dir):
                             strategy="split")
 
 
+# Fixed value: the session id given to every event when the whole stream is
+# one state machine, as the original jobs key everything by one constant.
+GLOBAL_SESSION = "all"
+
+
+def q_neighbours_global_key(spark, sf_dir):
+    """All telemetry as one race (one key for the whole table, the original
+    jobs' keying): the hottest key possible, run by the split plan so that it
+    still spreads over every core."""
+    one_race = telemetry(spark, sf_dir).withColumn("session_id", F.lit(GLOBAL_SESSION))
+    n = max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return track_neighbours(one_race, [DRIVER_TABLES_TARGET], num_partitions=n, strategy="split")
+
+
 def q_gaps(spark, sf_dir):
     return gaps(spark, sf_dir)
 
@@ -203,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_dump": q_raw_dump,
     "neighbours": q_neighbours,
     "neighbours_split": q_neighbours_split,
+    "neighbours_global_key": q_neighbours_global_key,
     "gaps": q_gaps,
     "gap_report": q_gap_report,
     "gap_csv": q_gap_csv,
