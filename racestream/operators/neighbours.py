@@ -429,12 +429,13 @@ def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET) -> Dat
     """Neighbour rows of a streaming telemetry frame (append mode, no timeout).
 
     Within a micro-batch a key's rows are ordered by ``(event_time, seq)``;
-    across micro-batches they are taken in arrival order.
+    across micro-batches they are taken in arrival order. ``targets`` is a list
+    of ids or a static ``(session_id, target_id)`` table.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    if not isinstance(targets, (str, list, tuple)):
-        raise TypeError("streams take target ids; join a static targets table before the call")
+    # ids need no join; a static targets table gives a stream-static join,
+    # broadcast when its checked size allows
     projected = _input_projection(attach_targets(telemetry, targets))
     out_schema = neighbour_schema(projected.schema["event_time"].dataType)
     return (projected.groupBy("session_id", "target_id")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from racestream.operators import clicks as C
-from racestream.operators.gaps import csv_lines, gap_csv, gap_report, with_gaps
+from racestream.operators.gaps import CSV_COLUMNS, gap_csv, gap_report, with_gaps
 from racestream.operators.neighbours import track_neighbours, track_neighbours_stream
 from racestream.operators.patterns import follower_changes
 from racestream.operators.telemetry import decode_telemetry, dump_bytes, status_lines
@@ -113,10 +113,16 @@ def monitor_gap_stream(messages: DataFrame, opts: TelemetryOptions, checkpoint:
 def monitor_gap_csv_stream(messages: DataFrame, opts: TelemetryOptions, path: str, checkpoint: str,
                            available_now: bool = False,
                            processing_time: str = "15 seconds") -> StreamingQuery:
-    """The gap CSV as a stream of CSV files (text lines, no header per batch)."""
+    """The gap CSV as a stream of CSV files, each with the header line once."""
+    from racestream.sinks.writers import csv_header_names
+
     n = track_neighbours_stream(decode_telemetry(messages), list(opts.target_ids))
-    lines = csv_lines(gap_csv(with_gaps(n))).select(F.col("line").alias("value"))
-    return _start(lines, "text", path, checkpoint, available_now, processing_time)
+    rows = gap_csv(with_gaps(n))
+    out = rows.select(*[F.col(c).alias(h) for c, h in zip(CSV_COLUMNS, csv_header_names())])
+    w = (out.writeStream.format("csv").option("header", True).outputMode("append")
+         .option("path", path).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
 
 
 def measure_gap_stream(messages: DataFrame, opts: TelemetryOptions, checkpoint: str,

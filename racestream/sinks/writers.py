@@ -24,13 +24,17 @@ def write_lines(df: DataFrame, path: str, column: str = "line", mode: str = "ove
     w.text(path)
 
 
+def csv_header_names() -> list:
+    """The gap CSV's column titles, from the job's header line."""
+    return [h.strip() for h in CSV_HEADER.split(",")]
+
+
 def write_csv(csv_rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The gap CSV: the 11 fields with the job's header, once per file.
 
     Fails when the path exists, as the job's default write mode does.
     """
-    header = [h.strip() for h in CSV_HEADER.split(",")]
-    out = csv_rows.select(*[F.col(c).alias(h) for c, h in zip(CSV_COLUMNS, header)])
+    out = csv_rows.select(*[F.col(c).alias(h) for c, h in zip(CSV_COLUMNS, csv_header_names())])
     out.write.mode(mode).option("header", True).csv(path)
 
 

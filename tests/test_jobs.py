@@ -3,6 +3,8 @@
 import glob
 import os
 
+from pyspark.sql import functions as F
+
 from racestream.options import TEST, TelemetryOptions
 from racestream.plans import jobs
 from racestream.plans.queries import DRIVER_TABLES_TARGET, messages
@@ -60,3 +62,35 @@ def test_measure_gap_stream_to_files(spark, tmpdir_path):
     q.awaitTermination()
     got = spark.read.parquet(f"{tmpdir_path}/out").count()
     assert got == jobs.measure_gap_job(messages(spark, SMALL), OPTS).count()
+
+
+def test_gap_csv_stream_and_targets_table(spark, tmpdir_path):
+    src = f"{tmpdir_path}/src"
+    messages(spark, SMALL).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).parquet(src)
+    q = jobs.monitor_gap_csv_stream(stream, OPTS, f"{tmpdir_path}/csv", f"{tmpdir_path}/ckpt",
+                                    available_now=True)
+    q.awaitTermination()
+    files = glob.glob(f"{tmpdir_path}/csv/part-*.csv")
+    assert files and all(open(f).readline().startswith("Race,MyDriver") for f in files)
+    got = spark.read.option("header", True).csv(f"{tmpdir_path}/csv").count()
+    from racestream.operators.gaps import gap_csv, with_gaps
+    from racestream.operators.neighbours import track_neighbours, track_neighbours_stream
+    from racestream.operators.telemetry import decode_telemetry
+    want = gap_csv(with_gaps(track_neighbours(decode_telemetry(messages(spark, SMALL)),
+                                              [DRIVER_TABLES_TARGET]))).count()
+    assert got == want
+    # a static targets table joined to the stream
+    sessions = decode_telemetry(messages(spark, SMALL)).select("session_id").distinct().limit(3)
+    targets = sessions.withColumn("target_id", F.lit(DRIVER_TABLES_TARGET))
+    stream2 = spark.readStream.schema(schema).parquet(src)
+    q2 = (track_neighbours_stream(decode_telemetry(stream2), targets).writeStream.format("parquet")
+          .option("path", f"{tmpdir_path}/n").option("checkpointLocation", f"{tmpdir_path}/c2")
+          .trigger(availableNow=True).start())
+    q2.awaitTermination()
+    n = spark.read.parquet(f"{tmpdir_path}/n")
+    keep = [r.session_id for r in targets.collect()]
+    batch = track_neighbours(decode_telemetry(messages(spark, SMALL)), [DRIVER_TABLES_TARGET]).filter(
+        F.col("session_id").isin(keep))
+    assert n.count() == batch.count() > 0
