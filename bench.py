@@ -23,7 +23,8 @@ sys.path.insert(0, HERE)
 
 HEADLINE = [
     "click_counts_sliding", "click_first_event", "click_routes", "click_counts_stream",
-    "telemetry_decode", "neighbours", "neighbours_split", "gaps", "gap_csv", "follower_changes",
+    "telemetry_decode", "neighbours", "neighbours_split", "neighbours_global_key", "gaps", "gap_csv",
+    "follower_changes",
     "neighbours_stream",
 ]
 
