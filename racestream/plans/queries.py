@@ -137,13 +137,17 @@ def q_neighbours(spark, sf_dir):
     return neighbours(spark, sf_dir)
 
 
+def _slices(spark: SparkSession) -> int:
+    # two slices per core: every core busy, slices as large as possible
+    return max(8, 2 * spark.sparkContext.defaultParallelism)
+
+
 def q_neighbours_split(spark, sf_dir):
     """The same rows through the skew-safe plan: every session is cut into
     slices (range partitioning on session, target, time) that run in parallel
     from exactly resolved entry states."""
-    n = max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return track_neighbours(telemetry(spark, sf_dir), [DRIVER_TABLES_TARGET], num_partitions=n,
-                            strategy="split")
+    return track_neighbours(telemetry(spark, sf_dir), [DRIVER_TABLES_TARGET],
+                            num_partitions=_slices(spark), strategy="split")
 
 
 # Fixed value: the session id given to every event when the whole stream is
@@ -156,8 +160,8 @@ def q_neighbours_global_key(spark, sf_dir):
     jobs' keying): the hottest key possible, run by the split plan so that it
     still spreads over every core."""
     one_race = telemetry(spark, sf_dir).withColumn("session_id", F.lit(GLOBAL_SESSION))
-    n = max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return track_neighbours(one_race, [DRIVER_TABLES_TARGET], num_partitions=n, strategy="split")
+    return track_neighbours(one_race, [DRIVER_TABLES_TARGET], num_partitions=_slices(spark),
+                            strategy="split")
 
 
 def q_gaps(spark, sf_dir):
