@@ -334,7 +334,9 @@ def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partition
       and splits when the largest key exceeds ``skew_factor`` times the mean
       rows per partition and ``min_split_rows``.
 
-    ``num_partitions`` defaults to ``spark.sql.shuffle.partitions``.
+    ``num_partitions``: partitions of the hash plan (default: chosen by AQE from
+    the data size) or slices of the split plan (default:
+    ``spark.sql.shuffle.partitions``); also the divisor of the ``auto`` rule.
     """
     spark = telemetry.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -352,9 +354,11 @@ def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partition
         return track_neighbours_split(telemetry, targets, num_slices=n, max_broadcast_rows=max_broadcast_rows)
 
     with_targets = _input_projection(attach_targets(telemetry, targets, max_broadcast_rows))
-    ordered = (with_targets
-               .repartition(n, "session_id", "target_id")
-               .sortWithinPartitions("session_id", "target_id", "event_time", "seq"))
+    # without an explicit count AQE sizes the partitions from the data (it merges
+    # whole partitions, so every key stays in one)
+    by_key = (with_targets.repartition(num_partitions, "session_id", "target_id") if num_partitions
+              else with_targets.repartition("session_id", "target_id"))
+    ordered = by_key.sortWithinPartitions("session_id", "target_id", "event_time", "seq")
     out_schema = neighbour_schema(with_targets.schema["event_time"].dataType)
     names = out_schema.fieldNames()
 

@@ -60,6 +60,10 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_gaps(neighbours(spark, sf_dir))
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 # -- clicks ----------------------------------------------------------------------
 
 def q_click_parse(spark, sf_dir):
@@ -110,7 +114,7 @@ def q_click_counts_stream(spark, sf_dir):
     src = spark.readStream.schema(events.schema).parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
     out = windowed_counts_stream(clicks_from_events(src), OPTS)
     base = scratch_path(spark, "click_counts_stream")
-    q = start_to_files(out, f"{base}/out", f"{base}/checkpoint")
+    q = start_to_files(out, f"{base}/out", f"{base}/checkpoint", state_partitions=_cores(spark))
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
@@ -198,7 +202,8 @@ def q_neighbours_stream(spark, sf_dir):
         if part is not None:
             layout.filter(part).write.mode("append").parquet(src)
         stream = read_kafka_files(spark, src, stream=True, schema=schema)
-        q = start_to_files(neighbours_stream(stream, [DRIVER_TABLES_TARGET]), out, ckpt)
+        q = start_to_files(neighbours_stream(stream, [DRIVER_TABLES_TARGET]), out, ckpt,
+                           state_partitions=_cores(spark))
         q.awaitTermination()
     return spark.read.parquet(out)
 

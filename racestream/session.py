@@ -111,3 +111,31 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
     _SHIPPED.add(key)
+
+
+class scoped_conf:
+    """Set SQL settings for the duration of a ``with`` block, then restore them.
+
+    Streaming queries snapshot the session settings when they start (the
+    number of state partitions, for one, is then fixed in the checkpoint), so
+    wrapping ``start()`` is enough.
+    """
+
+    def __init__(self, spark: SparkSession, settings: dict):
+        self.spark = spark
+        self.settings = {k: str(v) for k, v in settings.items() if v is not None}
+        self.old: dict = {}
+
+    def __enter__(self):
+        for k, v in self.settings.items():
+            self.old[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False

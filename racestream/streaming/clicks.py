@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from racestream.functions.time import instant_to_ntz, ntz_to_instant
 from racestream.operators import clicks as C
 from racestream.options import ClickOptions
+from racestream.session import scoped_conf
 from racestream.sinks.writers import batch_folder_writer, console_writer, fan_out
 
 
@@ -50,7 +51,8 @@ def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bo
 
 
 def start_click_job(clicks: DataFrame, opts: ClickOptions, output_base: str, checkpoint: str,
-                    available_now: bool = False, console: bool | None = None) -> StreamingQuery:
+                    available_now: bool = False, console: bool | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
     """Run the click job: every closed window goes to the high-count and the
     low-count text sinks (``Tenclickusers`` and ``Nineclickusers`` folders) and,
     when enabled, to the console. One state store serves all sinks."""
@@ -70,4 +72,5 @@ def start_click_job(clicks: DataFrame, opts: ClickOptions, output_base: str, che
          .option("checkpointLocation", checkpoint)
          .foreachBatch(fan_out(branches, writers)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=opts.trigger_interval)
-    return w.start()
+    with scoped_conf(clicks.sparkSession, {"spark.sql.shuffle.partitions": state_partitions}):
+        return w.start()
