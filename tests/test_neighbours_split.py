@@ -46,3 +46,14 @@ def test_auto_picks_split_for_a_hot_key(spark):
     want = _rows(track_neighbours(df, TARGET))
     got = _rows(track_neighbours(df, TARGET, num_partitions=8, strategy="auto", min_split_rows=100))
     assert got == want
+
+
+def test_split_with_negative_positions_and_case(spark):
+    rng = random.Random(11)
+    names = [TARGET, TARGET.lower(), "D1", "d1", "D2", "D3"]
+    ev = [(i + 1, rng.choice(names), rng.randint(-3, 7), float(rng.randint(0, 900)), rng.randint(0, 300))
+          for i in range(700)]
+    df = tel(spark, tel_rows(ev, "one"))
+    want = _rows(track_neighbours(df, TARGET, strategy="hash"))
+    got = _rows(track_neighbours(df, TARGET, num_partitions=23, strategy="split"))
+    assert got == want and len(want) > 50
