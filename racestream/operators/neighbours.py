@@ -383,10 +383,17 @@ def _values(series, integer: bool = False) -> list:
     return [None if v is None or (isinstance(v, float) and v != v) else v for v in values]
 
 
-def stream_handler(key, pdf_iter, state):
-    """``applyInPandasWithState`` function: rows of one key in a micro-batch."""
+def stream_handler(key, pdf_iter, state, idle_ms: int | None = None):
+    """``applyInPandasWithState`` function: rows of one key in a micro-batch.
+
+    With ``idle_ms`` the key's state is dropped once the watermark passes its
+    latest event time by that much (event-time timeout).
+    """
     import pandas as pd
 
+    if state.hasTimedOut:
+        state.remove()
+        return
     session_id, target_id = key
     st = NeighbourState.from_tuple(state.get) if state.exists else NeighbourState()
     frames = [p for p in pdf_iter if len(p)]
@@ -413,6 +420,9 @@ def stream_handler(key, pdf_iter, state):
             st.last_follower_id = st.follower[0]
             idx.append(i)
     state.update(st.to_tuple())
+    if idle_ms is not None:
+        latest_ms = int(pdf["_event_ms"].max())
+        state.setTimeoutTimestamp(max(latest_ms + idle_ms, state.getCurrentWatermarkMs() + 1))
     if not idx:
         return
     ev = pdf.iloc[idx].reset_index(drop=True)
@@ -429,19 +439,47 @@ def stream_handler(key, pdf_iter, state):
     yield pd.concat([out, state_cols], axis=1)
 
 
-def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET) -> DataFrame:
-    """Neighbour rows of a streaming telemetry frame (append mode, no timeout).
+def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET,
+                            idle_timeout: str | None = None) -> DataFrame:
+    """Neighbour rows of a streaming telemetry frame (append mode).
 
     Within a micro-batch a key's rows are ordered by ``(event_time, seq)``;
     across micro-batches they are taken in arrival order. ``targets`` is a list
     of ids or a static ``(session_id, target_id)`` table.
+
+    By default a key's state is kept for ever (as the original does), so state
+    grows with the number of races seen. ``idle_timeout`` (e.g. ``"2 hours"``)
+    bounds it: the event time gets a watermark with that delay and a key whose
+    latest event is older than the watermark by ``idle_timeout`` is dropped
+    (a later event of it starts afresh).
     """
+    import functools
+
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    from racestream.functions.time import ntz_to_instant
+
     # ids need no join; a static targets table gives a stream-static join,
     # broadcast when its checked size allows
     projected = _input_projection(attach_targets(telemetry, targets))
     out_schema = neighbour_schema(projected.schema["event_time"].dataType)
-    return (projected.groupBy("session_id", "target_id")
-            .applyInPandasWithState(stream_handler, out_schema, NEIGHBOUR_STATE_SCHEMA,
-                                    "append", GroupStateTimeout.NoTimeout))
+    if idle_timeout is None:
+        return (projected.groupBy("session_id", "target_id")
+                .applyInPandasWithState(stream_handler, out_schema, NEIGHBOUR_STATE_SCHEMA,
+                                        "append", GroupStateTimeout.NoTimeout))
+    et = projected.schema["event_time"].dataType
+    instant = ntz_to_instant(F.col("event_time")) if isinstance(et, T.TimestampNTZType) else F.col("event_time")
+    with_wm = (projected.withColumn("_event_instant", instant)
+               .withColumn("_event_ms", F.unix_millis(F.col("_event_instant")))
+               .withWatermark("_event_instant", idle_timeout))
+    idle_ms = _interval_ms(telemetry.sparkSession, idle_timeout)
+    handler = functools.partial(stream_handler, idle_ms=idle_ms)
+    return (with_wm.groupBy("session_id", "target_id")
+            .applyInPandasWithState(handler, out_schema, NEIGHBOUR_STATE_SCHEMA,
+                                    "append", GroupStateTimeout.EventTimeTimeout))
+
+
+def _interval_ms(spark, text: str) -> int:
+    """Milliseconds of an interval text such as ``"2 hours"`` (parsed by Spark)."""
+    row = spark.sql(f"SELECT CAST(unix_micros(TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL {text}) / 1000 AS BIGINT) AS ms").first()
+    return int(row["ms"])

@@ -296,3 +296,21 @@ def test_csv_sink(spark, tmpdir_path):
     assert len(text) == 1 + 9
     with pytest.raises(Exception):
         write_csv(rows, path)  # the default mode fails when the file exists
+
+
+def test_stream_idle_timeout_drops_finished_races(spark, tmpdir_path):
+    rows = tel_rows(GOLDEN, "early", t0=T0) + tel_rows(GOLDEN, "late", t0=T0 + dt.timedelta(hours=5))
+    df = tel(spark, rows)
+    src, out, ckpt = (f"{tmpdir_path}/{x}" for x in ("src", "out", "ckpt"))
+    progress = []
+    for session in ("early", "late"):
+        df.filter(F.col("session_id") == session).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(TEL_SCHEMA).parquet(src)
+        q = (track_neighbours_stream(stream, TARGET, idle_timeout="1 hour").writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        progress += [p for p in q.recentProgress if p.get("stateOperators")]
+    got = spark.read.parquet(out)
+    assert got.count() == 2 * len(GOLDEN_OUT)  # the same rows as without a timeout
+    # once the late race moved the watermark on, the early race's state is gone
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] == 1
