@@ -22,10 +22,12 @@ def parse_clicks(clicks: DataFrame) -> DataFrame:
     a later filter on ``account_id`` (which Catalyst pushes down) copies
     ``from_json``. Measured about 25% faster than the plain projection.
     """
-    row = F.struct(F.col("seq"), F.col("ts"), F.col("value").alias("raw"),
-                   json_number(F.col("value")).alias("_d"))
-    return clicks.select(F.inline(F.array(row))).select(
-        "seq", "ts", "raw", int32_or_null(F.col("_d")).alias("account_id"))
+    parsed = clicks.select("seq", "ts", "value",
+                           F.inline(F.array(F.struct(json_number(F.col("value")).alias("_d")))))
+    # only the parsed number goes through the generator: the other columns stay
+    # outside it, where column pruning still drops the ones a query does not use
+    return parsed.select("seq", "ts", F.col("value").alias("raw"),
+                         int32_or_null(F.col("_d")).alias("account_id"))
 
 
 def is_unparsable() -> Column:

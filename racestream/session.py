@@ -34,6 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
+        "spark.checkpoint.compress": "true",
     }
     if rocksdb_state:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
