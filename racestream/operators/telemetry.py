@@ -17,8 +17,8 @@ def _decoded(messages: DataFrame) -> DataFrame:
     message twice.
     """
     body = F.from_json(F.col("value").cast("string"), TELEMETRY_PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
-    row = F.struct(body.alias("p"), F.col("timestamp").alias("event_time"), F.col("offset").alias("seq"))
-    return messages.select(F.inline(F.array(row)))
+    return messages.select(F.col("timestamp").alias("event_time"), F.col("offset").alias("seq"),
+                           F.inline(F.array(F.struct(body.alias("p")))))
 
 
 def decode_telemetry(messages: DataFrame) -> DataFrame:
