@@ -21,13 +21,19 @@ def _decoded(messages: DataFrame) -> DataFrame:
                            F.inline(F.array(F.struct(body.alias("p")))))
 
 
-def decode_telemetry(messages: DataFrame) -> DataFrame:
+def decode_telemetry(messages: DataFrame, observe: str | None = None) -> DataFrame:
     """Kafka-layout messages -> typed telemetry rows; undecodable ones dropped.
 
     A message that is null, not JSON, or has no driver id yields no row and no
-    failure. Event time is the message timestamp; ``seq`` its offset.
+    failure. Event time is the message timestamp; ``seq`` its offset. With
+    ``observe``, the counts of messages read and dropped are reported under
+    that name (``Observation`` in batch, ``observedMetrics`` of each
+    micro-batch in streams), at no extra pass.
     """
     d = _decoded(messages)
+    if observe:
+        d = d.observe(observe, F.count(F.lit(1)).alias("n_messages"),
+                      F.count_if(F.col("p.driver_id").isNull()).alias("n_dropped"))
     cols = [F.col(f"p.{c}").alias(c) if c not in ("event_time", "seq") else F.col(c)
             for c in TELEMETRY_COLUMNS]
     return d.select(*cols).filter(F.col("driver_id").isNotNull())

@@ -94,3 +94,18 @@ def test_gap_csv_stream_and_targets_table(spark, tmpdir_path):
     batch = track_neighbours(decode_telemetry(messages(spark, SMALL)), [DRIVER_TABLES_TARGET]).filter(
         F.col("session_id").isin(keep))
     assert n.count() == batch.count() > 0
+
+
+def test_telemetry_stream_reports_dropped_messages(spark, tmpdir_path):
+    from racestream.streaming.telemetry import QUALITY_METRICS, neighbours_stream, start_to_files
+    src = f"{tmpdir_path}/src"
+    msgs = messages(spark, SMALL)
+    msgs.write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    q = start_to_files(neighbours_stream(stream, [DRIVER_TABLES_TARGET]), f"{tmpdir_path}/o", f"{tmpdir_path}/c")
+    q.awaitTermination()
+    seen = [p["observedMetrics"][QUALITY_METRICS] for p in q.recentProgress
+            if p.get("observedMetrics", {}).get(QUALITY_METRICS)]
+    dropped = msgs.filter("value IS NULL OR value NOT LIKE '%driver_id%'").count()
+    assert sum(m["n_messages"] for m in seen) == msgs.count()
+    assert sum(m["n_dropped"] for m in seen) == dropped > 0
