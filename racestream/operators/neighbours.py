@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from racestream.schemas import (
-    CAR_FIELDS, EVENT_OUT_FIELDS, ME_DETAIL_FIELDS, NEIGHBOUR_STATE_SCHEMA, neighbour_schema,
+    CAR_FIELDS, ME_DETAIL_FIELDS, NEIGHBOUR_STATE_SCHEMA, neighbour_schema,
 )
 
 # The placeholder ids of the reference state machine and its
@@ -48,13 +48,6 @@ NO_LEADER = "NOLEADER"
 NO_DRIVER = "NULL"
 DEFAULT_TARGET = "ANTONIO_GIOVINAZZI"
 
-# Input columns the state machine reads (projected before the shuffle, since
-# Catalyst cannot see which columns Python uses).
-INPUT_COLUMNS = [
-    "session_id", "target_id", "event_time", "seq", "driver_id", "driver_status",
-    "car_position", "current_lap_num", "lap_distance", "speed", "fuel_in_tank",
-    "race_number", "g_force_lateral", "g_force_longitudinal",
-]
 STATE_OUT_COLUMNS = (
     [f"me_{n}" for n, _ in CAR_FIELDS]
     + [f"me_{n}" for n, _ in ME_DETAIL_FIELDS]
@@ -182,6 +175,8 @@ def attach_targets(telemetry: DataFrame, targets, max_broadcast_rows: int = 1_00
 
 
 def _input_projection(df: DataFrame) -> DataFrame:
+    """The columns the state machine reads, typed, projected before the shuffle
+    (Catalyst cannot see which columns Python uses)."""
     c = F.col
     return df.select(
         c("session_id"), c("target_id"), c("event_time"), c("seq"), c("driver_id"),
