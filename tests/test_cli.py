@@ -1,0 +1,39 @@
+"""The command line runs the jobs end to end."""
+
+import glob
+
+from racestream.plans.cli import run
+from racestream.plans.queries import DRIVER_TABLES_TARGET, messages
+from racestream.schemas import CLICK_SCHEMA
+from tests.test_clicks import click
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_cli_clicks_batch_and_stream(spark, tmpdir_path):
+    rows = [click(99, 10 * i, i) for i in range(10)] + [click(88, 100, 20)]
+    src = f"{tmpdir_path}/clicks"
+    spark.createDataFrame(rows, CLICK_SCHEMA).write.parquet(src)
+    props = f"{tmpdir_path}/test.properties"
+    with open(props, "w") as fh:
+        fh.write("WindowSizeMins:10\nWindowSlideSecs:600\nConsoleOutput:False\n"
+                 "TenOrMoreThreshold:10\nNineOrLessThreshold:9\n")
+    run(["clicks", "--input", src, "--output", f"{tmpdir_path}/out", "--properties", props], spark)
+    ten = [x.strip() for f in glob.glob(f"{tmpdir_path}/out/Tenclickusers/part-*") for x in open(f)]
+    assert ten == ["99"]
+    run(["clicks", "--input", src, "--output", f"{tmpdir_path}/sout", "--properties", props, "--stream",
+         "--checkpoint", f"{tmpdir_path}/ck", "--available-now"], spark)
+    assert glob.glob(f"{tmpdir_path}/sout/Nineclickusers/batch_id=*")
+
+
+def test_cli_telemetry_jobs(spark, tmpdir_path):
+    src = f"{tmpdir_path}/msgs"
+    messages(spark, SMALL).write.parquet(src)
+    for job in ("monitor-gap", "find-follower", "measure-gap", "status"):
+        run([job, "--input", src, "--output", f"{tmpdir_path}/{job}", "--target", DRIVER_TABLES_TARGET], spark)
+        assert spark.read.parquet(f"{tmpdir_path}/{job}").count() > 0
+    run(["gap-csv", "--input", src, "--output", f"{tmpdir_path}/csv", "--target", DRIVER_TABLES_TARGET], spark)
+    assert glob.glob(f"{tmpdir_path}/csv/*.csv")
+    run(["measure-gap", "--input", src, "--output", f"{tmpdir_path}/mg", "--target", DRIVER_TABLES_TARGET,
+         "--stream", "--checkpoint", f"{tmpdir_path}/mgck", "--available-now"], spark)
+    assert spark.read.parquet(f"{tmpdir_path}/mg").count() == spark.read.parquet(f"{tmpdir_path}/measure-gap").count()
