@@ -441,7 +441,10 @@ def track_neighbours_split(telemetry: DataFrame, targets, num_slices: int | None
         if prev is not None:
             fix[sid] = prev
     if fix:
-        lookup = F.create_map(*[x for sid, v in fix.items() for x in (F.lit(sid), F.lit(v))])
-        run = run.withColumn("prev_follower_id", F.when(F.col("prev_unknown"), F.element_at(lookup, F.col("slice")))
-                             .otherwise(F.col("prev_follower_id")))
-    return run.drop("slice", "prev_unknown")
+        # at most one row per slice: a broadcast join, no shuffle of the output
+        fixes = spark.createDataFrame(list(fix.items()), "slice int, fixed_prev string")
+        run = (run.join(F.broadcast(fixes), "slice", "left")
+               .withColumn("prev_follower_id",
+                           F.when(F.col("prev_unknown"), F.col("fixed_prev")).otherwise(F.col("prev_follower_id")))
+               .drop("fixed_prev"))
+    return run.select(*names)
