@@ -17,9 +17,10 @@ balanced slices and still gives exactly the sequential result:
 4. Pass B: only for runs that cross a slice boundary. With ``me`` known, the
    follower's next state depends on its entry state only through its position
    (or "no follower"), and likewise the leader's, so the run is simulated once
-   for all entry positions at the same time; entries that reach the same state
-   merge, so the cost is about one run. The result is a small table per run:
-   entry class -> exit state (or "entry kept", with a reset flag).
+   for all entry positions at the same time, event by event as the batches
+   stream through (memory: the live states, not the run); entries that reach
+   the same state merge, so the cost is about one run. The result is a small
+   table per run: entry class -> exit state (or "entry kept", with a reset flag).
 5. The slice entry states are resolved in slice order from these summaries
    (at most one per slice, so the work and the data moved grow with the
    number of slices, not with the rows).
@@ -60,10 +61,6 @@ NOF = "N"  # entry class of "no follower" / "no leader" (the stale position is i
 
 # -- helpers -----------------------------------------------------------------------
 
-def _car(drv, pos, lap, dist, speed):
-    return [drv, pos, lap, dist, speed, True]
-
-
 class _Cols:
     """Columns of one batch as Python lists (read once)."""
 
@@ -143,54 +140,61 @@ def _pass_a(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # -- pass B: transfer tables --------------------------------------------------------------
 
-def _simulate(run_rows, me0: list, positions: list, target_key: str):
+class _TableSim:
     """Follower and leader tables of one run, for every entry class at once.
 
-    ``run_rows`` yields (driver_id, pos, lap, dist, speed, is_target, details).
-    Returns (me_last, f_table, l_table); a table maps an entry class (a
+    Fed one event at a time (memory: the live states, not the run). ``result``
+    returns (me_last, f_table, l_table); a table maps an entry class (a
     position, or ``NOF``) to [cleared, car, tracked]: ``car`` is None when the
     entry car is kept, else the car taken from an event; ``cleared`` when its id
     ends as no-follower / no-leader; ``tracked`` when a take started tracking.
     """
-    classes = [NOF] + list(positions)
-    # live state: (nof, pos, src_index) -> [classes...]; src_index -1 = entry car
-    f_live = {(c == NOF, None if c == NOF else c, -1, False): [c] for c in classes}
-    l_live = dict(f_live)
-    cars: list = []
-    m = me0[1]
-    me_last = None
-    for drv, pos, lap, dist, speed, is_t, details in run_rows:
+
+    def __init__(self, me0: list, positions: list):
+        classes = [NOF] + list(positions)
+        # live state: (cleared, position, car or None) -> entry classes that reach it
+        self.f_live = {(c == NOF, None if c == NOF else c, None, False): [c] for c in classes}
+        self.l_live = dict(self.f_live)
+        self.m = me0[1]
+        self.me_last = None
+
+    def feed(self, drv, pos, lap, dist, speed, is_t, details):
         if is_t:
-            me_last = [drv, pos, lap, dist, speed, True, *details]
-            m = pos
+            self.me_last = [drv, pos, lap, dist, speed, True, *details]
+            self.m = pos
+        m = self.m
         other = not is_t and m != 0
-        cars.append(_car(drv, pos, lap, dist, speed))
-        j = len(cars) - 1
-        nf = {}
-        for (nof, p0, src, tr), cl in f_live.items():
-            if not nof and p0 <= m:
-                nof = True
-            if other and pos > m and (nof or (pos > 0 and pos <= p0)):
-                nof, p0, src, tr = False, pos, j, tr or pos > 0
-            nf.setdefault((nof, p0, src, tr), []).extend(cl)
-        f_live = nf
-        nl = {}
-        for (nol, p0, src, tr), cl in l_live.items():
-            if not nol and p0 >= m:
-                nol = True
-            if other and pos < m and (nol or (pos > 0 and pos >= p0)):
-                nol, p0, src, tr = False, pos, j, tr or pos > 0
-            nl.setdefault((nol, p0, src, tr), []).extend(cl)
-        l_live = nl
-
-    def table(live):
-        out = {}
-        for (flag, _p0, src, tr), cl in live.items():
-            for c in cl:
-                out[str(c)] = [flag, None if src < 0 else cars[src], tr]
-        return out
-
-    return me_last, table(f_live), table(l_live)
+        # the car this event would become (a tuple: states are dictionary keys)
+        car = (drv, pos, lap, dist, speed, True)
+        if other and pos > m:
+            self.f_live = _advance(self.f_live, lambda p0: p0 <= m,
+                                   lambda clear, p0: clear or (pos > 0 and pos <= p0), car, pos)
+        else:
+            self.f_live = _advance(self.f_live, lambda p0: p0 <= m, None, car, pos)
+        if other and pos < m:
+            self.l_live = _advance(self.l_live, lambda p0: p0 >= m,
+                                   lambda clear, p0: clear or (pos > 0 and pos >= p0), car, pos)
+        else:
+            self.l_live = _advance(self.l_live, lambda p0: p0 >= m, None, car, pos)
+
+    def result(self):
+        def table(live):
+            return {str(c): [flag, None if src is None else list(src), tr]
+                    for (flag, _p0, src, tr), cl in live.items() for c in cl}
+        return self.me_last, table(self.f_live), table(self.l_live)
+
+
+def _advance(live: dict, reset, takes, car, pos) -> dict:
+    """One event applied to every live state: the reset rule, then (when the
+    event can be taken at all) the take rule; states that become equal merge."""
+    out: dict = {}
+    for (clear, p0, src, tr), cl in live.items():
+        if not clear and reset(p0):
+            clear = True
+        if takes is not None and takes(clear, p0):
+            clear, p0, src, tr = False, pos, car, tr or pos > 0
+        out.setdefault((clear, p0, src, tr), []).extend(cl)
+    return out
 
 
 SUMMARY_B = "slice int, kind string, payload string"
@@ -204,8 +208,7 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
     slice_id = None
     first_key = cur_key = None
     mode = None  # "table" | "plain" | "skip"
-    rows: list = []
-    st = None
+    sim = st = None
     target_key = None
     for b in batches:
         if b.num_rows == 0:
@@ -217,7 +220,7 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
         for lo, hi, k in _runs(b):
             if k != cur_key:
                 if cur_key is not None and mode == "table":
-                    yield from _emit_table(slice_id, me_entry[slice_id], rows, positions, target_key)
+                    yield _row_b(slice_id, "table", json.dumps(sim.result()))
                 cur_key = k
                 target_key = _fold(k[1])
                 is_first = first_key is None
@@ -226,7 +229,7 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
                 continuing = is_first and slice_id in me_entry
                 needs_exit = (list(k) == info.get("last_key")) and info.get("next_continues", False)
                 if continuing:
-                    mode, rows = "table", []
+                    mode, sim = "table", _TableSim(me_entry[slice_id], positions)
                 elif needs_exit:
                     mode, st = "plain", NeighbourState()
                 else:
@@ -236,24 +239,19 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
             cols = cols or _Cols(b)
             for i in range(lo, hi):
                 if mode == "table":
-                    rows.append((cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i],
-                                 cols.key[i] == target_key, (cols.rno[i], cols.glat[i], cols.glon[i])))
+                    sim.feed(cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i],
+                             cols.key[i] == target_key, (cols.rno[i], cols.glat[i], cols.glon[i]))
                 else:
                     cols.step(st, target_key, i)
     if slice_id is None:
         return
     if mode == "table":
-        yield from _emit_table(slice_id, me_entry[slice_id], rows, positions, target_key)
+        yield _row_b(slice_id, "table", json.dumps(sim.result()))
     elif mode == "plain":
         payload = json.dumps([st.me, st.me_details, st.follower, st.leader, st.tracking])
         yield _row_b(slice_id, "exit", payload)
 
 
-def _emit_table(slice_id, me0, rows, positions, target_key):
-    me_last, f_table, l_table = _simulate(rows, me0, positions, target_key)
-    yield _row_b(slice_id, "table", json.dumps([me_last, f_table, l_table]))
-
-
 def _row_b(slice_id, kind, payload):
     return pa.RecordBatch.from_pydict(
         {"slice": [slice_id], "kind": [kind], "payload": [payload]},
