@@ -48,3 +48,15 @@ def test_neighbours_one_keyed_shuffle_and_no_window_for_changes(spark):
     keyed = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
     assert len(keyed) == 1 and "session_id" in keyed[0] and "target_id" in keyed[0]
     assert "Window" not in text and "MapInArrow" in text
+
+
+def test_targets_table_broadcast_only_under_its_limit(spark):
+    from racestream.operators.neighbours import attach_targets
+    tel = Q.telemetry(spark, SMALL)
+    targets = spark.createDataFrame([("2024-01-01", "DRIVER_07")], "session_id string, target_id string")
+    assert "BroadcastHashJoin" in plan(attach_targets(tel, targets))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(attach_targets(tel, targets, max_broadcast_rows=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
