@@ -54,6 +54,7 @@ def gap_report(gaps: DataFrame) -> DataFrame:
     the fuel text glues speed and fuel in the tank.
     """
     c = F.col
+    # The wording of the gap report, in the order printed.
     text = java_concat(
         "behind : ", c("leader_driver_id"), " by ", c("meters_to_leader"), "m or by ",
         c("secs_to_leader"), "s\n",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# The text of the follower-change message.
 PATTERN_PREFIX = "Pattern Detected:"
 PASSED_BY = "was passed by "
 

@@ -57,6 +57,7 @@ def status_lines(telemetry: DataFrame) -> DataFrame:
     fuel in the tank.
     """
     c = F.col
+    # The labels of the status line, in the order printed.
     line = java_concat(
         "  driverstatus:", c("driver_status"),
         " car-position:", c("car_position"),
