@@ -93,8 +93,10 @@ class ClickOptions:
 
 
 # The settings files of the reference job (production, test).
+# Their CheckpointDir line (a machine-local folder) is left out: checkpoints go
+# to the folder the cluster names in spark.checkpoint.dir or to an explicit
+# job argument.
 PRODUCTION_PROPERTIES = """\
-CheckpointDir:file:///tmp/flink/checkpoints
 WindowSizeMins:10
 WindowSlideSecs:60
 CheckpointTimeout:150000
@@ -104,7 +106,6 @@ TenOrMoreThreshold:10
 NineOrLessThreshold:9
 """
 TEST_PROPERTIES = """\
-CheckpointDir:file:///tmp/flink/checkpoints
 WindowSizeMins:10
 WindowSlideSecs:600
 CheckpointTimeout:150000
@@ -126,8 +127,8 @@ def _from_text(text: str, **overrides) -> ClickOptions:
     return ClickOptions(**values)
 
 
-PRODUCTION = _from_text(PRODUCTION_PROPERTIES, checkpoint_dir=None)
-TEST = _from_text(TEST_PROPERTIES, checkpoint_dir=None)
+PRODUCTION = _from_text(PRODUCTION_PROPERTIES)
+TEST = _from_text(TEST_PROPERTIES)
 # The driver tables are too sparse for 10-minute windows (at most 3 clicks per
 # account), so the registered queries count over 7 days sliding by 1 day with
 # the production thresholds.
