@@ -287,6 +287,12 @@ SELECT 'nine_or_less' AS sink, window_start, window_end, CAST(account_id AS VARC
     "click_counts_stream": _with(CLICKS, SLIDING) + """
 SELECT account_id, window_start, window_end, n FROM sliding
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
+    "click_routes_stream": _with(CLICKS, SLIDING) + """
+SELECT 'ten_or_more' AS sink, CAST(account_id AS VARCHAR) AS line FROM sliding
+WHERE n >= 10 AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
+UNION ALL
+SELECT 'nine_or_less' AS sink, CAST(account_id AS VARCHAR) AS line FROM sliding
+WHERE n < 9 AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
     "telemetry_decode": _with(TELEMETRY) + """
 SELECT session_id, event_time, seq, driver_id, race_number, driver_status, car_position,
        current_lap_num, lap_distance, speed, fuel_in_tank, fuel_remaining_laps,

@@ -119,6 +119,24 @@ def q_click_counts_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+def q_click_routes_stream(spark, sf_dir):
+    """The click job as it runs: a stream, one state store, every closed window
+    sent by ``foreachBatch`` to the high-count and low-count text folders; the
+    result is what the two sinks hold, one account id per line."""
+    from racestream.streaming.clicks import start_click_job
+
+    events = read_events(spark, sf_dir)
+    src = spark.readStream.schema(events.schema).parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
+    base = scratch_path(spark, "click_routes_stream")
+    q = start_click_job(clicks_from_events(src), OPTS, f"{base}/out", f"{base}/checkpoint",
+                        available_now=True, console=False, state_partitions=_cores(spark))
+    q.awaitTermination()
+    sinks = [("ten_or_more", "Tenclickusers"), ("nine_or_less", "Nineclickusers")]
+    parts = [spark.read.text(f"{base}/out/{folder}").select(F.lit(name).alias("sink"), F.col("value").alias("line"))
+             for name, folder in sinks]
+    return parts[0].unionByName(parts[1])
+
+
 # -- telemetry -------------------------------------------------------------------
 
 def q_telemetry_decode(spark, sf_dir):
@@ -220,6 +238,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "console_counts": q_console_counts,
     "click_routes": q_click_routes,
     "click_counts_stream": q_click_counts_stream,
+    "click_routes_stream": q_click_routes_stream,
     "telemetry_decode": q_telemetry_decode,
     "telemetry_quality": q_telemetry_quality,
     "telemetry_status": q_telemetry_status,
