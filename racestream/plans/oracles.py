@@ -348,6 +348,7 @@ FROM neighbours WHERE prev_follower_id IS NOT NULL""",
 }
 ORACLES["neighbours_stream"] = ORACLES["neighbours"]
 ORACLES["neighbours_split"] = ORACLES["neighbours"]
+ORACLES["follower_changes_stream"] = ORACLES["follower_changes"]
 # the whole table as one race: the same state machine over one key
 _ONE_RACE = """
 telemetry1 AS (SELECT * REPLACE ('all' AS session_id) FROM telemetry)

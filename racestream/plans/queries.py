@@ -226,6 +226,25 @@ def q_neighbours_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_follower_changes_stream(spark, sf_dir):
+    """The follower-change job as a stream (the previous row's follower is kept
+    in the neighbour state), written to files and read back."""
+    from racestream.options import TelemetryOptions
+    from racestream.plans.jobs import measure_gap_stream
+    from racestream.session import scoped_conf
+
+    base = scratch_path(spark, "follower_changes_stream")
+    src = f"{base}/source"
+    messages(spark, sf_dir).write.parquet(src)
+    stream = read_kafka_files(spark, src, stream=True)
+    opts = TelemetryOptions(target_ids=(DRIVER_TABLES_TARGET,))
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": _cores(spark)}):
+        q = measure_gap_stream(stream, opts, f"{base}/checkpoint", path=f"{base}/out", fmt="parquet",
+                               available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_parse": q_click_parse,
     "click_authenticated": q_click_authenticated,
@@ -252,4 +271,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "follower_changes": q_follower_changes,
     "adjacent_pairs": q_adjacent_pairs,
     "neighbours_stream": q_neighbours_stream,
+    "follower_changes_stream": q_follower_changes_stream,
 }
