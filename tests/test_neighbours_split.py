@@ -9,7 +9,7 @@ from tests.test_telemetry import GOLDEN, TARGET, random_events, tel, tel_rows
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_split_golden(spark):
@@ -57,3 +57,12 @@ def test_split_with_negative_positions_and_case(spark):
     want = _rows(track_neighbours(df, TARGET, strategy="hash"))
     got = _rows(track_neighbours(df, TARGET, num_partitions=23, strategy="split"))
     assert got == want and len(want) > 50
+
+
+def test_null_session_is_one_key_in_both_plans(spark):
+    rng = random.Random(4)
+    rows = tel_rows(random_events(rng, 300), None) + tel_rows(random_events(rng, 200), "s1")
+    df = tel(spark, rows)
+    want = _rows(track_neighbours(df, TARGET, strategy="hash"))
+    got = _rows(track_neighbours(df, TARGET, num_partitions=9, strategy="split"))
+    assert got == want and any(r[0] is None for r in want)
