@@ -23,3 +23,4 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="racestream-test-")
+

@@ -92,3 +92,32 @@ def test_step_matches_rule_table(ev):
 @given(events)
 def test_shortened_form_matches_rule_table(ev):
     assert shortened(ev, TARGET) == two_step(ev, TARGET)
+
+
+# -- the split plan against the rule table, through Spark -------------------------------
+
+def _spark_rows(spark, sessions):
+    import datetime as dt
+
+    from tests.test_telemetry import TEL_SCHEMA
+    t0 = dt.datetime(2024, 5, 1)
+    rows = []
+    for s, ev in sessions.items():
+        for i, (drv, p) in enumerate(ev):
+            rows.append((s, t0 + dt.timedelta(seconds=i), i, drv, 1, "x", p, 1, 0.0, 100, 1.0, 1.0, 0.0, 0.0))
+    return spark.createDataFrame(rows, TEL_SCHEMA)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.dictionaries(st.sampled_from(["r1", "r2", "r3"]), events, min_size=1, max_size=3),
+       st.integers(min_value=2, max_value=12))
+def test_split_plan_matches_rule_table(spark, sessions, slices):
+    from racestream.operators.neighbours import track_neighbours
+    df = _spark_rows(spark, sessions)
+    got = {}
+    for r in track_neighbours(df, TARGET, num_partitions=slices, strategy="split").collect():
+        got.setdefault(r.session_id, []).append(
+            (r.seq, r.me_driver_id, r.me_car_position, r.follower_driver_id, r.follower_car_position,
+             r.leader_driver_id, r.leader_car_position))
+    for s, ev in sessions.items():
+        assert sorted(got.get(s, [])) == two_step(ev, TARGET), s
