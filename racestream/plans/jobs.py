@@ -16,28 +16,31 @@ from racestream.operators.neighbours import track_neighbours, track_neighbours_s
 from racestream.operators.patterns import follower_changes
 from racestream.operators.telemetry import decode_telemetry, dump_bytes, status_lines
 from racestream.options import ClickOptions, TelemetryOptions
-from racestream.sinks.writers import write_csv, write_lines, write_text_dump
+from racestream.sinks.writers import write_csv, write_text_dump
 from racestream.streaming.clicks import start_click_job
 
 # -- clicks ----------------------------------------------------------------------
 
 
+# The bucket folder of each sink, as the job names them.
+SINK_FOLDERS = {C.SINK_TEN_OR_MORE: "Tenclickusers", C.SINK_NINE_OR_LESS: "Nineclickusers"}
+
+
 def click_job_batch(clicks: DataFrame, opts: ClickOptions, output_base: str) -> None:
     """Click counts of a finite input: every window closes at the end of input.
 
-    Writes ``<base>/Tenclickusers`` and ``<base>/Nineclickusers`` (one id per
-    line per window) and shows the console branch when enabled. The counts
-    are computed once and persisted for the branches.
+    One pass, no cache: each window is tagged with the sinks it goes to and the
+    lines are written partitioned by sink, into ``<base>/bucket=Tenclickusers``
+    and ``<base>/bucket=Nineclickusers`` (one account id per line per window).
+    The console branch, when enabled, shows a sample of the counts.
     """
-    counts = C.click_counts(C.authenticated(C.parse_clicks(clicks)), opts).persist()
-    try:
-        branches = C.routes(counts, opts)
-        write_lines(branches[C.SINK_TEN_OR_MORE], f"{output_base.rstrip('/')}/Tenclickusers")
-        write_lines(branches[C.SINK_NINE_OR_LESS], f"{output_base.rstrip('/')}/Nineclickusers")
-        if C.SINK_CONSOLE in branches:
-            branches[C.SINK_CONSOLE].show(20, truncate=False)
-    finally:
-        counts.unpersist()
+    counts = C.click_counts(C.authenticated(C.parse_clicks(clicks)), opts)
+    folder = F.element_at(F.create_map(*[F.lit(x) for kv in SINK_FOLDERS.items() for x in kv]), F.col("sink"))
+    (C.routed_lines(counts, opts)
+     .select(folder.alias("bucket"), "line")
+     .write.mode("overwrite").partitionBy("bucket").text(output_base))
+    if opts.console_output:
+        C.console_counts(counts, opts).show(20, truncate=False)
 
 
 def click_job_stream(clicks: DataFrame, opts: ClickOptions, output_base: str,

@@ -19,7 +19,7 @@ def test_cli_clicks_batch_and_stream(spark, tmpdir_path):
         fh.write("WindowSizeMins:10\nWindowSlideSecs:600\nConsoleOutput:False\n"
                  "TenOrMoreThreshold:10\nNineOrLessThreshold:9\n")
     run(["clicks", "--input", src, "--output", f"{tmpdir_path}/out", "--properties", props], spark)
-    ten = [x.strip() for f in glob.glob(f"{tmpdir_path}/out/Tenclickusers/part-*") for x in open(f)]
+    ten = [x.strip() for f in glob.glob(f"{tmpdir_path}/out/bucket=Tenclickusers/part-*") for x in open(f)]
     assert ten == ["99"]
     run(["clicks", "--input", src, "--output", f"{tmpdir_path}/sout", "--properties", props, "--stream",
          "--checkpoint", f"{tmpdir_path}/ck", "--available-now"], spark)

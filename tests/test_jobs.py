@@ -27,14 +27,14 @@ def test_click_job_batch(spark, tmpdir_path):
     rows = [click(99, 10 * i, i) for i in range(10)] + [click(88, 100, 20)]
     jobs.click_job_batch(spark.createDataFrame(rows, CLICK_SCHEMA), TEST.replace(console_output=False),
                          tmpdir_path)
-    assert _lines(f"{tmpdir_path}/Tenclickusers") == ["99"]
-    assert _lines(f"{tmpdir_path}/Nineclickusers") == ["88"]
+    assert _lines(f"{tmpdir_path}/bucket=Tenclickusers") == ["99"]
+    assert _lines(f"{tmpdir_path}/bucket=Nineclickusers") == ["88"]
 
 
 def test_click_job_on_driver_tables(spark, tmpdir_path):
     from racestream.options import DRIVER_TABLES
     jobs.click_job_batch(clicks_from_events(read_events(spark, SMALL)), DRIVER_TABLES, tmpdir_path)
-    assert len(_lines(f"{tmpdir_path}/Nineclickusers")) > 0
+    assert len(_lines(f"{tmpdir_path}/bucket=Nineclickusers")) > 0
 
 
 def test_telemetry_jobs(spark, tmpdir_path):
