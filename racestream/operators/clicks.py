@@ -13,6 +13,9 @@ SINK_TEN_OR_MORE = "ten_or_more"
 SINK_NINE_OR_LESS = "nine_or_less"
 SINK_CONSOLE = "console"
 
+# The bucket folder of each file sink, as the job names them.
+SINK_FOLDERS = {SINK_TEN_OR_MORE: "Tenclickusers", SINK_NINE_OR_LESS: "Nineclickusers"}
+
 
 def parse_clicks(clicks: DataFrame) -> DataFrame:
     """(value, ts, seq) -> (seq, ts, raw, account_id); account_id null if unparsable.

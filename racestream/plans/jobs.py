@@ -22,10 +22,6 @@ from racestream.streaming.clicks import start_click_job
 # -- clicks ----------------------------------------------------------------------
 
 
-# The bucket folder of each sink, as the job names them.
-SINK_FOLDERS = {C.SINK_TEN_OR_MORE: "Tenclickusers", C.SINK_NINE_OR_LESS: "Nineclickusers"}
-
-
 def click_job_batch(clicks: DataFrame, opts: ClickOptions, output_base: str) -> None:
     """Click counts of a finite input: every window closes at the end of input.
 
@@ -35,7 +31,7 @@ def click_job_batch(clicks: DataFrame, opts: ClickOptions, output_base: str) ->
     The console branch, when enabled, shows a sample of the counts.
     """
     counts = C.click_counts(C.authenticated(C.parse_clicks(clicks)), opts)
-    folder = F.element_at(F.create_map(*[F.lit(x) for kv in SINK_FOLDERS.items() for x in kv]), F.col("sink"))
+    folder = F.element_at(F.create_map(*[F.lit(x) for kv in C.SINK_FOLDERS.items() for x in kv]), F.col("sink"))
     (C.routed_lines(counts, opts)
      .select(folder.alias("bucket"), "line")
      .write.mode("overwrite").partitionBy("bucket").text(output_base))

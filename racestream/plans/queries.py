@@ -131,9 +131,8 @@ def q_click_routes_stream(spark, sf_dir):
     q = start_click_job(clicks_from_events(src), OPTS, f"{base}/out", f"{base}/checkpoint",
                         available_now=True, console=False, state_partitions=_cores(spark))
     q.awaitTermination()
-    sinks = [("ten_or_more", "Tenclickusers"), ("nine_or_less", "Nineclickusers")]
     parts = [spark.read.text(f"{base}/out/{folder}").select(F.lit(name).alias("sink"), F.col("value").alias("line"))
-             for name, folder in sinks]
+             for name, folder in C.SINK_FOLDERS.items()]
     return parts[0].unionByName(parts[1])
 
 

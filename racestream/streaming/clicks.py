@@ -62,8 +62,8 @@ def start_click_job(clicks: DataFrame, opts: ClickOptions, output_base: str, che
         "nine": lambda b: C.as_lines(C.nine_or_less(b, opts)),
     }
     writers = {
-        "ten": batch_folder_writer(output_base, "Tenclickusers"),
-        "nine": batch_folder_writer(output_base, "Nineclickusers"),
+        "ten": batch_folder_writer(output_base, C.SINK_FOLDERS[C.SINK_TEN_OR_MORE]),
+        "nine": batch_folder_writer(output_base, C.SINK_FOLDERS[C.SINK_NINE_OR_LESS]),
     }
     if opts.console_output if console is None else console:
         branches["console"] = lambda b: C.console_counts(b, opts)
