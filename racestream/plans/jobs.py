@@ -40,8 +40,15 @@ def click_job_batch(clicks: DataFrame, opts: ClickOptions, output_base: str) ->
 
 
 def click_job_stream(clicks: DataFrame, opts: ClickOptions, output_base: str,
-                     checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """The click job on an unbounded input (see ``streaming.clicks``)."""
+                     checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """The click job on an unbounded input (see ``streaming.clicks``).
+
+    Checkpoint folder: the argument, else ``CheckpointDir`` of the settings,
+    else a new folder below the cluster's ``spark.checkpoint.dir``.
+    """
+    from racestream.session import scratch_path
+
+    checkpoint = checkpoint or opts.checkpoint_dir or scratch_path(clicks.sparkSession, "click_job")
     return start_click_job(clicks, opts, output_base, checkpoint, available_now=available_now)
 
 

@@ -109,3 +109,14 @@ def test_telemetry_stream_reports_dropped_messages(spark, tmpdir_path):
     dropped = msgs.filter("value IS NULL OR value NOT LIKE '%driver_id%'").count()
     assert sum(m["n_messages"] for m in seen) == msgs.count()
     assert sum(m["n_dropped"] for m in seen) == dropped > 0
+
+
+def test_click_job_stream_checkpoint_from_settings(spark, tmpdir_path):
+    rows = [click(99, 10 * i, i) for i in range(10)] + [click(1, 3_600_000, 50)]
+    src = f"{tmpdir_path}/clicks"
+    spark.createDataFrame(rows, CLICK_SCHEMA).write.parquet(src)
+    opts = TEST.replace(console_output=False, checkpoint_dir=f"{tmpdir_path}/from_settings")
+    stream = spark.readStream.schema(CLICK_SCHEMA).parquet(src)
+    jobs.click_job_stream(stream, opts, f"{tmpdir_path}/out", available_now=True).awaitTermination()
+    assert os.path.isdir(f"{tmpdir_path}/from_settings/offsets")
+    assert any(_lines(p) == ["99"] for p in glob.glob(f"{tmpdir_path}/out/Tenclickusers/batch_id=*"))
