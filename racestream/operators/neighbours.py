@@ -61,6 +61,13 @@ def _fold(s):
     return s.lower() if s is not None else None
 
 
+def fold_like_arrow(s):
+    """Lower case exactly as ``pyarrow.compute.utf8_lower`` does (the batch
+    plans lower-case driver ids that way), so target and driver ids compare
+    alike even for characters whose case mapping differs between libraries."""
+    return None if s is None else pc.utf8_lower(pa.array([s], type=pa.string()))[0].as_py()
+
+
 class NeighbourState:
     """Mutable state of one key. Cars are lists:
     ``[driver_id, car_position, lap, lap_position, speed_kph, has_details]``."""
@@ -302,7 +309,7 @@ def run_sorted_batches(batches: Iterable[pa.RecordBatch], names: list) -> Iterat
             if key != current:
                 current = key
                 st = NeighbourState()
-                target_key = _fold(key[1])
+                target_key = fold_like_arrow(key[1])
             for i in range(lo, hi):
                 k = keys[i]
                 details = (c.rno[i], c.glat[i], c.glon[i]) if k == target_key else _NO_DETAILS

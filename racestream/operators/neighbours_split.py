@@ -44,8 +44,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from racestream.operators.neighbours import (
-    NO_FOLLOWER, NO_LEADER, NeighbourState, _emit_batch, _fold, _input_projection,
-    attach_targets, key_runs as _runs, pylist, step,
+    NO_FOLLOWER, NO_LEADER, NeighbourState, _emit_batch, _input_projection,
+    attach_targets, fold_like_arrow, key_runs as _runs, pylist, step,
 )
 from racestream.schemas import neighbour_schema
 from racestream.session import checkpoint_root
@@ -222,7 +222,7 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
                 if cur_key is not None and mode == "table":
                     yield _row_b(slice_id, "table", json.dumps(sim.result()))
                 cur_key = k
-                target_key = _fold(k[1])
+                target_key = fold_like_arrow(k[1])
                 is_first = first_key is None
                 if is_first:
                     first_key = k
@@ -356,10 +356,11 @@ def _pass_c(batches, states_bc, names):
         for lo, hi, k in _runs(b):
             if k != current:
                 current = k
-                target_key = _fold(k[1])
+                target_key = fold_like_arrow(k[1])
                 if first and slice_id in states:
                     me, det, fol, lea, tr = states[slice_id]
                     st = NeighbourState(list(me), list(det), list(fol), list(lea), tr, None)
+                    st.me_key, st.f_key, st.l_key = (fold_like_arrow(c[0]) for c in (st.me, st.follower, st.leader))
                     pending = True
                 else:
                     st = NeighbourState()
