@@ -173,7 +173,8 @@ def attach_targets(telemetry: DataFrame, targets, max_broadcast_rows: int = 1_00
     if isinstance(targets, str):
         targets = [targets]
     if isinstance(targets, (list, tuple)):
-        ids = F.array(*[F.lit(t) for t in targets])
+        # a repeated id would feed every event twice into the same key
+        ids = F.array(*[F.lit(t) for t in dict.fromkeys(targets)])
         return telemetry.withColumn("target_id", F.explode(ids))
     small = targets.select("session_id", "target_id").distinct()
     if small.count() <= max_broadcast_rows:

@@ -314,3 +314,8 @@ def test_stream_idle_timeout_drops_finished_races(spark, tmpdir_path):
     assert got.count() == 2 * len(GOLDEN_OUT)  # the same rows as without a timeout
     # once the late race moved the watermark on, the early race's state is gone
     assert progress[-1]["stateOperators"][0]["numRowsTotal"] == 1
+
+
+def test_repeated_target_id_counts_once(spark):
+    df = tel(spark, tel_rows(GOLDEN))
+    assert sorted(by_seq(track_neighbours(df, [TARGET, TARGET]))) == sorted(GOLDEN_OUT)
