@@ -61,7 +61,9 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+    from racestream.session import cores
+
+    return cores(spark)
 
 
 # -- clicks ----------------------------------------------------------------------
@@ -160,7 +162,7 @@ def q_neighbours(spark, sf_dir):
 
 def _slices(spark: SparkSession) -> int:
     # two slices per core: every core busy, slices as large as possible
-    return max(8, 2 * spark.sparkContext.defaultParallelism)
+    return max(8, 2 * _cores(spark))
 
 
 def q_neighbours_split(spark, sf_dir):

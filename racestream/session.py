@@ -97,7 +97,10 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the package is installed server-side
+        return
     key = sc.applicationId
     if key in _SHIPPED:
         return
@@ -140,3 +143,12 @@ class scoped_conf:
             else:
                 self.spark.conf.set(k, v)
         return False
+
+
+def cores(spark: SparkSession) -> int:
+    """Cores of the cluster (default parallelism); the shuffle setting when the
+    session has no SparkContext (Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))

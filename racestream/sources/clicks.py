@@ -23,10 +23,14 @@ def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFr
 
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the cores when its scan has fewer splits than cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    from racestream.session import cores as cluster_cores
+
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the plan as it is
+        return df
+    n = cluster_cores(df.sparkSession)
+    return df.repartition(n) if splits < n else df
 
 
 def clicks_from_events(events: DataFrame) -> DataFrame:
