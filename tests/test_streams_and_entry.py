@@ -119,3 +119,14 @@ def test_rocksdb_state_store(spark):
     want = sorted(tuple(r) for r in Q.q_neighbours(spark, SMALL).select("session_id", "seq").collect())
     assert got == want and got
     assert clicks == sorted(tuple(r) for r in Q.q_click_counts_stream(spark, SMALL).collect()) and clicks
+
+
+def test_entry_module_loads_by_path(spark):
+    import importlib.util
+    import os
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    spec = importlib.util.spec_from_file_location("entry_by_path", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    assert set(mod.queries()) == set(mod.oracle_sql()) and len(mod.queries()) == 26
+    assert mod.entry(spark).count() > 0
