@@ -319,3 +319,11 @@ def test_stream_idle_timeout_drops_finished_races(spark, tmpdir_path):
 def test_repeated_target_id_counts_once(spark):
     df = tel(spark, tel_rows(GOLDEN))
     assert sorted(by_seq(track_neighbours(df, [TARGET, TARGET]))) == sorted(GOLDEN_OUT)
+
+
+def test_csv_line_text(spark):
+    from racestream.operators.gaps import csv_lines
+    rows = gap_csv(with_gaps(track_neighbours(tel(spark, tel_rows(GOLDEN)), TARGET)))
+    line = {r.seq: r.line for r in csv_lines(rows).collect()}[4]
+    # race, me, follower, leader, speed, lateral g, longitudinal g, m to leader, m from follower, position, lap
+    assert line == "7,ANTONIO_GIOVINAZZI,KIMI,LANDO,250,0.5,-0.25,80.0,49.5,5,1"
