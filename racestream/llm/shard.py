@@ -23,13 +23,14 @@ are empty. Input columns are carried in the struct ``row``, so no name clashes.
 
 from __future__ import annotations
 
+import json
 import math
 import random
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import literal_rows, materialise, next_power_of_two
+from .common import materialise, next_power_of_two
 
 #: source blocks of the communication matrix
 N_BLOCKS = 128
@@ -128,7 +129,8 @@ def shard_rows(df: DataFrame, n_shards: int = 40, seed: int = 11, n_blocks: int
 
     if not total:
         return keyed.select("row", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    cuts = literal_rows(spark, ["_block", "_ends"], [(b, F.array(*[F.lit(x).cast("long") for x in e])) for b, e in ends.items()])
+    text = json.dumps([{"_block": b, "_ends": e} for b, e in ends.items()])
+    cuts = spark.range(1).select(F.inline(F.from_json(F.lit(text), "array<struct<_block:int,_ends:array<long>>>")))
     block_cells = next_power_of_two(total / (n_blocks * CELL_ROWS))
     shard_cells = next_power_of_two(total / (n_shards * CELL_ROWS))
     placed = (_rank(keyed, "_block", "_key1", block_cells)
