@@ -40,3 +40,48 @@ def fold(doc_id: Column | str, modulus: int) -> Column:
 
 def next_power_of_two(n: float) -> int:
     return 1 << max(0, int(-(-n // 1) - 1)).bit_length() if n > 1 else 1
+
+
+SLICE_ROWS = 512
+
+
+def map_text(df: DataFrame, text: str, keep: list[str], make, fields: str) -> DataFrame:
+    """Run Python over the text of every row, in Arrow slices of bounded length.
+
+    ``make()`` is called once per task and returns a function from a list of
+    texts (UTF-8 bytes, or None for null) to the list of columns named in the
+    DDL ``fields``. The result has the struct ``row`` of the kept input columns
+    and those fields, so input names never clash with them.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    carried = text in keep
+    source = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
+                       *([] if carried else [F.col(f"`{text}`").cast("binary").alias("_text")]))
+    added = StructType.fromDDL(fields)
+    schema = StructType([source.schema["row"], *added.fields])
+    types = [_arrow_type(f.dataType) for f in added.fields]
+    names = schema.names
+
+    def run(batches):
+        fn = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                row = part.column(0)
+                texts = row.field(text) if carried else part.column(1)
+                # a slice of a struct array keeps the whole children
+                if carried and len(texts) != len(row):
+                    texts = texts.slice(row.offset, len(row))
+                cols = fn(texts.cast(pa.binary()).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [row, *(c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, types))], names)
+
+    return source.mapInArrow(run, schema)
+
+
+def _arrow_type(kind):
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(kind)

@@ -1,9 +1,11 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import shard, url_filter
+from . import decontaminate, packing, shard, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.q_op1_url_filter,
+    "op4_packing": packing.q_op4_packing,
+    "op7_decontaminate": decontaminate.q_op7_decontaminate,
     "op10_sharding": shard.q_op10_sharding,
 }
 
