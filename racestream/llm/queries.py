@@ -1,14 +1,19 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, packing, shard, url_filter
+from . import decontaminate, jaccard_join, packing, shard, token_counts, topk, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.q_op1_url_filter,
     "op4_packing": packing.q_op4_packing,
+    "op5_jaccard_join": jaccard_join.q_op5_jaccard_join,
+    "op6_token_counts": token_counts.q_op6_token_counts,
     "op7_decontaminate": decontaminate.q_op7_decontaminate,
+    "op9_topk": topk.q_op9_topk,
     "op10_sharding": shard.q_op10_sharding,
 }
 
 ORACLES = {
     "op1_url_filter": url_filter.OP1_SQL,
+    "op5_jaccard_join": jaccard_join.OP5_SQL,
+    "op9_topk": topk.OP9_SQL,
 }
