@@ -1,13 +1,16 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, jaccard_join, packing, shard, token_counts, topk, url_filter
+from . import decontaminate, jaccard_join, packing, pii, shard, suffix_tree_lm, token_counts, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.q_op1_url_filter,
+    "op2_lm_scoring": suffix_tree_lm.q_op2_lm_scoring,
+    "op3_toxicity": toxicity.q_op3_toxicity,
     "op4_packing": packing.q_op4_packing,
     "op5_jaccard_join": jaccard_join.q_op5_jaccard_join,
     "op6_token_counts": token_counts.q_op6_token_counts,
     "op7_decontaminate": decontaminate.q_op7_decontaminate,
+    "op8_pii": pii.q_op8_pii,
     "op9_topk": topk.q_op9_topk,
     "op10_sharding": shard.q_op10_sharding,
 }
