@@ -42,7 +42,7 @@ def next_power_of_two(n: float) -> int:
     return 1 << max(0, int(-(-n // 1) - 1)).bit_length() if n > 1 else 1
 
 
-SLICE_ROWS = 512
+SLICE_ROWS = 256
 
 
 def map_text(df: DataFrame, text: str, keep: list[str], make, fields: str) -> DataFrame:

@@ -1,0 +1,71 @@
+import random
+from collections import Counter
+
+import pytest
+
+from racestream.llm import shard as sh
+
+from .fixtures import messy, messy_rows, with_clashes
+
+
+def test_matrix_has_exact_margins():
+    counts, sizes = [5, 0, 17, 300, 1], sh.shard_sizes(323, 7)
+    matrix = sh.communication_matrix(counts, sizes, 3)
+    assert [sum(r) for r in matrix] == counts
+    assert [sum(c) for c in zip(*matrix)] == sizes and max(sizes) - min(sizes) <= 1
+
+
+@pytest.mark.parametrize("good,bad,draws", [(5, 7, 6), (1, 9, 3), (4, 4, 8), (30, 10, 20)])
+def test_hypergeometric_frequencies(good, bad, draws):
+    from math import comb
+
+    rng = random.Random(1)
+    n = 20_000
+    seen = Counter(sh.hypergeometric(rng, good, bad, draws) for _ in range(n))
+    for k in range(draws + 1):
+        p = comb(good, k) * comb(bad, draws - k) / comb(good + bad, draws) if draws - k <= bad else 0
+        assert abs(seen[k] / n - p) < 0.015
+
+
+def test_hypergeometric_of_a_large_population():
+    got = [sh.hypergeometric(random.Random(i), 10**11, 39 * 10**11, 10**8) for i in range(20)]
+    assert all(abs(g - 2_500_000) < 6 * 1600 for g in got)
+
+
+def check(rows, n, shards):
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert sorted(s for v in by.values() for s in v) == sorted(
+        s for size in sh.shard_sizes(n, shards) for s in range(size))
+    for s, slots in by.items():
+        assert sorted(slots) == list(range(len(slots)))
+    assert set(by) <= set(range(shards))
+
+
+def test_messy_rows_and_clashing_names(spark):
+    docs = with_clashes(messy(spark))
+    rows = sh.shard_rows(docs, 5).collect()
+    check(rows, 13, 5)
+    assert sorted([str(r.row.text) for r in rows]) == sorted(str(r[1]) for r in messy_rows())
+    check(sh.shard_rows(docs, 40).collect(), 13, 40)
+    assert sh.shard_rows(docs.limit(0), 5).collect() == []
+
+
+def test_cells_give_the_same_laws(spark, monkeypatch):
+    monkeypatch.setattr(sh, "CELL_ROWS", 10)
+    df = spark.range(5003)
+    first = sh.shard_rows(df, 7, n_blocks=9).collect()
+    check(first, 5003, 7)
+    assert sorted(r.row.id for r in first) == list(range(5003))
+    again = {r.row.id: (r.shard, r.slot) for r in sh.shard_rows(df, 7, n_blocks=9).collect()}
+    assert again == {r.row.id: (r.shard, r.slot) for r in first}
+
+
+def test_rows_spread_uniformly(spark):
+    rows = sh.shard_rows(spark.range(4000), 4).collect()
+    # neighbours in the input land in each shard, and at early and late slots, alike
+    first = [r for r in rows if r.row.id < 1000]
+    counts = Counter(r.shard for r in first)
+    assert all(abs(counts[s] - 250) < 70 for s in range(4))
+    assert abs(sum(r.slot < 500 for r in first) - 500) < 90

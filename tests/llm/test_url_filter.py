@@ -1,0 +1,54 @@
+import re
+
+from racestream.llm import url_filter as u
+
+URLS = ["http://Example.org/es/1", "https://a.example.ORG/en/12?x=1", "ftp://x.com/fr/", "//none", None, "", "http://",
+        "http://com/de/x#t", "http://m.spam.net/a/b.html", "https://www.spam.net/a/b/?q", "http://spam.net/a/b#z",
+        "http://notexample.org", "http://org", "x://org/", "http://example.org/en/1", "http://example.orgx/es/"]
+LISTED = ["http://www.spam.net/a/b", None, "no url"]
+
+
+def brute(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = [(len(h + p), h + p, v) for h, p, v in u.RULES
+            if rest and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    rule = max(fits) if fits else (0, None, None)
+    canon = re.sub(r"^(www|m)\.", "", host) + re.sub(r"(\.html)?/*$", "", path)
+    listed = bool(rest) and canon == "spam.net/a/b"
+    return host, path, rule[1], rule[2] or ("block" if listed else "allow")
+
+
+def run(spark, urls, listed=LISTED, rules=u.RULES):
+    pages = spark.createDataFrame([(i, x, "h") for i, x in enumerate(urls)], "page_id long, url string, verdict string")
+    rules = spark.createDataFrame(rules, "host string, path string, verdict string")
+    rows = u.filter_pages(pages, rules, spark.createDataFrame([(x,) for x in listed], "url string")).collect()
+    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows}
+
+
+def test_against_brute_force(spark):
+    got = run(spark, URLS)
+    assert got == {i: brute(x) for i, x in enumerate(URLS)}
+    assert got[8][3] == got[9][3] == got[10][3] == "block"
+
+
+def test_repeated_rows_and_null_ids(spark):
+    pages = spark.createDataFrame([(None, URLS[0]), (1, URLS[0]), (1, URLS[0]), (None, None)], "page_id long, url string")
+    rules = spark.createDataFrame(u.RULES, "host string, path string, verdict string")
+    out = u.filter_pages(pages, rules, pages.select("url").limit(0)).collect()
+    assert sorted(r.verdict for r in out) == ["allow", "block", "block", "block"]
+
+
+def test_empty_tables(spark):
+    assert run(spark, []) == {}
+    assert {v[3] for v in run(spark, URLS, [], []).values()} == {"allow"}
+
+
+def test_filter_has_no_false_negatives_and_few_false_positives(spark):
+    keys = spark.range(3000).selectExpr("concat('k', id) AS key")
+    others = spark.range(3000, 9000).selectExpr("concat('k', id) AS key")
+    bloom = u.build_filter(keys).cache()
+    assert u.might_contain(keys, bloom).count() == 3000
+    assert u.might_contain(others, bloom).count() < 60
