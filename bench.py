@@ -26,6 +26,9 @@ HEADLINE = [
     "telemetry_decode", "neighbours", "neighbours_split", "neighbours_global_key", "gaps", "gap_csv",
     "follower_changes",
     "neighbours_stream",
+    "click_parse", "click_authenticated", "click_skipped", "click_counts_tumbling", "ten_or_more", "nine_or_less",
+    "console_counts", "click_routes_stream", "telemetry_quality", "telemetry_status", "raw_dump", "gap_report",
+    "adjacent_pairs", "follower_changes_stream", "neighbours_targets_table", "find_follower", "find_follower_stream",
 ]
 
 
@@ -47,10 +50,12 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    results = {}
+    results, spread = {}, {}
     for name in names:
         once(name)  # warm-up
-        results[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
+        times = [once(name) for _ in range(runs)]
+        results[name] = round(statistics.median(times), 3)
+        spread[name] = [round(min(times), 3), round(max(times), 3)]
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
@@ -59,6 +64,8 @@ def main() -> None:
         "queries": results,
         "sf": sf,
         "cpus": cpus,
+        "cores_of_the_machine": os.cpu_count(),
+        "min_max": spread,
         "runs": runs,
     }))
     spark.stop()

@@ -2,27 +2,21 @@
 
 from pyspark.sql import Column, functions as F
 
+# JSON as the standard has it: no single quotes, no NaN or Infinity
+STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
 INT_MIN, INT_MAX = -2147483648, 2147483647
 
 
 def json_number(value: Column, key: str = "user.accountId") -> Column:
     """The number under one literal (dotted) top-level key, as a double, or null.
 
-    A JSON string, boolean, null, nested object or malformed text gives null.
+    ``key`` is one key of the top-level object, not a path. A JSON string,
+    boolean, null, nested object or malformed text gives null.
     """
-    return F.from_json(value, f"`{key}` DOUBLE", {"mode": "PERMISSIVE"}).getField(key)
+    return F.from_json(value, f"`{key}` DOUBLE", STRICT).getField(key)
 
 
 def int32_or_null(d: Column) -> Column:
     """Truncate toward zero when inside the int32 range, else null."""
     return F.when(d.between(INT_MIN, INT_MAX), d.cast("int")).otherwise(F.lit(None).cast("int"))
-
-
-def account_id_from_json(value: Column, key: str = "user.accountId") -> Column:
-    """The account id of a click, or null.
-
-    ``key`` is one literal (dotted) key of the top-level object, not a path.
-    Only a JSON number inside the int32 range counts; a fraction is truncated
-    toward zero; a numeric string, a boolean, null or malformed text give null.
-    """
-    return int32_or_null(json_number(value, key))

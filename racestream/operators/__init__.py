@@ -1,5 +1,5 @@
 """Operators: each is DataFrame -> DataFrame and has no action inside (the
-neighbour plans' size checks and slice summaries aside)."""
+neighbour plan's slice summaries aside)."""
 
 from racestream.operators.clicks import (
     as_lines, authenticated, click_counts, console_counts, first_events, nine_or_less,

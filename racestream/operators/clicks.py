@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from racestream.functions.json import int32_or_null, json_number
@@ -91,13 +93,23 @@ def click_counts(authed: DataFrame, opts: ClickOptions, ts: str = "ts") -> DataF
 
 
 def first_events(authed: DataFrame, opts: ClickOptions, ts: str = "ts") -> DataFrame:
-    """Counts with the raw text of each window's first click (by event time, then seq)."""
-    w = _window(opts, ts)
-    return (authed.groupBy(F.col("account_id"), w.alias("window"))
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.min_by(F.col("raw"), F.struct(F.col(ts), F.col("seq"))).alias("first_raw"))
+    """Counts with the raw text of each window's first click (by event time, then seq).
+
+    Aggregated in two steps: first per account and pane, a pane being the
+    greatest common divisor of size and slide, so that every window is a whole
+    number of panes; then each pane, with its one text, goes to its windows.
+    The clicks' texts are never copied into each window.
+    """
+    size, slide = opts.window_size_mins * 60, opts.window_slide_secs
+    pane = F.window(ts, f"{gcd(size, slide)} seconds")
+    first = F.struct(F.col(ts).alias("ts"), F.col("seq"), F.col("raw"))
+    panes = (authed.groupBy(F.col("account_id"), pane.alias("pane"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("first"))
+             .select("account_id", F.col("pane.start").alias("pane_start"), "n", "first"))
+    return (panes.groupBy(F.col("account_id"), _window(opts, "pane_start").alias("window"))
+            .agg(F.sum("n").alias("n"), F.min("first").alias("first"))
             .select("account_id", F.col("window.start").alias("window_start"),
-                    F.col("window.end").alias("window_end"), "n", "first_raw"))
+                    F.col("window.end").alias("window_end"), "n", F.col("first.raw").alias("first_raw")))
 
 
 def ten_or_more(counts: DataFrame, opts: ClickOptions) -> DataFrame:

@@ -41,6 +41,11 @@ def with_gaps(neighbours: DataFrame, require_details: bool = False) -> DataFrame
     return out
 
 
+def without_gaps(neighbours: DataFrame) -> DataFrame:
+    """Neighbour rows with the four gaps null (a report made before any gap step)."""
+    return neighbours.select("*", *[F.lit(None).cast("float").alias(c) for c in GAP_COLUMNS])
+
+
 def complete_rows():
     """All three cars known (each has been taken from an event at least once)."""
     c = F.col

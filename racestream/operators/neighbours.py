@@ -2,7 +2,7 @@
 
 State per ``(session_id, target_id)``: ``me`` (the tracked car), ``follower``,
 ``leader`` and a ``tracking`` latch. Events of a key are taken in
-``(event_time, seq)`` order. For an event with car position ``p``:
+``(event_time, partition, seq)`` order. For an event with car position ``p``:
 
 1. the target's own event replaces ``me``;
 2. a follower not behind ``me`` any more loses its id (``NOFOLLOWER``) but keeps
@@ -21,17 +21,18 @@ its entry until another car fits or ``me`` drops behind it. Car ids are
 compared ignoring case. ``prev_follower_id`` is the follower id of the key's
 previous output row, which the follower-change pattern reads.
 
-Execution: the only operator that leaves Catalyst. Batch input is
-hash-partitioned on the key and sorted within partitions, then streamed through
-``mapInArrow``: state is carried across Arrow batches and restarted when the key
-changes, so memory does not grow with a race. Streams use
-``applyInPandasWithState`` with the same ``step``.
+Events of one time are ordered by their place in the topic (partition, then
+``seq``), so the order is total.
+
+Execution: the only operator that leaves Catalyst. Batch input is range-split
+into slices, also within a key (``neighbours_split``). Streams use
+``applyInPandasWithState`` with the same ``step``; a key's rows of one
+micro-batch are sorted in one task, so the source's rate (``maxOffsetsPerTrigger``,
+``maxFilesPerTrigger``) bounds what a task holds.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Iterator
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
@@ -57,15 +58,14 @@ STATE_OUT_COLUMNS = (
 )
 
 
-def _fold(s):
-    return s.lower() if s is not None else None
+def fold_ids(ids: list) -> list:
+    """Ids in lower case, by the one library (Arrow) that batch and stream use:
+    case mappings differ between libraries for some letters."""
+    return pc.utf8_lower(pa.array(ids, type=pa.string())).to_pylist()
 
 
-def fold_like_arrow(s):
-    """Lower case exactly as ``pyarrow.compute.utf8_lower`` does (the batch
-    plans lower-case driver ids that way), so target and driver ids compare
-    alike even for characters whose case mapping differs between libraries."""
-    return None if s is None else pc.utf8_lower(pa.array([s], type=pa.string()))[0].as_py()
+def fold_id(s):
+    return fold_ids([s])[0]
 
 
 class NeighbourState:
@@ -84,9 +84,7 @@ class NeighbourState:
         self.tracking = tracking
         self.last_follower_id = last_follower_id
         # ids in lower case, for the case-insensitive comparisons
-        self.me_key = _fold(self.me[0])
-        self.f_key = _fold(self.follower[0])
-        self.l_key = _fold(self.leader[0])
+        self.me_key, self.f_key, self.l_key = fold_ids([self.me[0], self.follower[0], self.leader[0]])
 
     # -- stream state <-> object -------------------------------------------------
     def to_tuple(self) -> tuple:
@@ -126,7 +124,7 @@ def step(st: NeighbourState, target_key: str, driver_id: str, pos: int, lap, dis
     the "at or ahead (behind)" rule, so it starts tracking when ``p > 0``.
     """
     if key is None:
-        key = _fold(driver_id)
+        key = fold_id(driver_id)
     is_target = key == target_key
     if is_target:
         st.me = [driver_id, pos, lap, dist, speed, True]
@@ -162,13 +160,11 @@ def step(st: NeighbourState, target_key: str, driver_id: str, pos: int, lap, dis
 # Targets
 
 
-def attach_targets(telemetry: DataFrame, targets, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def attach_targets(telemetry: DataFrame, targets) -> DataFrame:
     """Pair every event with each tracked target of its session.
 
     ``targets`` is a list of ids (tracked in every session: no join at all) or a
-    ``(session_id, target_id)`` table. The table is broadcast only after its
-    row count is checked against ``max_broadcast_rows``; a larger one is joined
-    with a shuffle (AQE may still pick a broadcast, and splits skewed sessions).
+    ``(session_id, target_id)`` table, for whose join Spark picks the strategy.
     """
     if isinstance(targets, str):
         targets = [targets]
@@ -176,27 +172,30 @@ def attach_targets(telemetry: DataFrame, targets, max_broadcast_rows: int = 1_00
         # a repeated id would feed every event twice into the same key
         ids = F.array(*[F.lit(t) for t in dict.fromkeys(targets)])
         return telemetry.withColumn("target_id", F.explode(ids))
-    small = targets.select("session_id", "target_id").distinct()
-    if small.count() <= max_broadcast_rows:
-        small = F.broadcast(small)
-    return telemetry.join(small, "session_id")
+    return telemetry.join(targets.select("session_id", "target_id").distinct(), "session_id")
+
+
+ORDER = ["event_time", "partition", "seq"]
 
 
 def _input_projection(df: DataFrame) -> DataFrame:
     """The columns the state machine reads, typed, projected before the shuffle
-    (Catalyst cannot see which columns Python uses)."""
+    (Catalyst cannot see which columns Python uses). NaN counts as missing; a
+    source without partitions is one partition."""
     c = F.col
+    number = lambda name: F.when(~F.isnan(c(name).cast("float")), c(name).cast("float")).alias(name)
+    partition = c("partition").cast("int") if "partition" in df.columns else F.lit(0)
     return df.select(
-        c("session_id"), c("target_id"), c("event_time"), c("seq"), c("driver_id"),
+        c("session_id"), c("target_id"), c("event_time"), partition.alias("partition"), c("seq"), c("driver_id"),
         c("driver_status"),
         F.coalesce(c("car_position").cast("int"), F.lit(0)).alias("car_position"),
         c("current_lap_num").cast("int").alias("current_lap_num"),
-        c("lap_distance").cast("float").alias("lap_distance"),
+        number("lap_distance"),
         c("speed").cast("int").alias("speed"),
-        c("fuel_in_tank").cast("float").alias("fuel_in_tank"),
+        number("fuel_in_tank"),
         c("race_number").cast("int").alias("race_number"),
-        c("g_force_lateral").cast("float").alias("g_force_lateral"),
-        c("g_force_longitudinal").cast("float").alias("g_force_longitudinal"),
+        number("g_force_lateral"),
+        number("g_force_longitudinal"),
     )
 
 
@@ -209,12 +208,6 @@ _ARROW = {
 }
 
 
-def _arrow_type(dt: T.DataType, ts_type: pa.DataType) -> pa.DataType:
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return ts_type
-    return _ARROW[type(dt)]
-
-
 def _state_arrow_types():
     types = []
     for prefix, fields in (("me", CAR_FIELDS), ("me", ME_DETAIL_FIELDS),
@@ -237,7 +230,7 @@ _EVENT_SOURCES = [  # output column <- input column
 def _emit_batch(batch: pa.RecordBatch, idx: list, rows: list, names: list) -> pa.RecordBatch:
     take = pa.array(idx, type=pa.int64())
     arrays = [batch.column("session_id").take(take), batch.column("target_id").take(take),
-              batch.column("seq").take(take), batch.column("event_time").take(take)]
+              batch.column("partition").take(take), batch.column("seq").take(take), batch.column("event_time").take(take)]
     for _, src, typ in _EVENT_SOURCES:
         arrays.append(batch.column(src).take(take).cast(typ))
     cols = list(zip(*rows)) if rows else [[] for _ in _STATE_TYPES]
@@ -295,80 +288,17 @@ class BatchColumns:
                     (self.rno[i], self.glat[i], self.glon[i]), self.key[i])
 
 
-def run_sorted_batches(batches: Iterable[pa.RecordBatch], names: list) -> Iterator[pa.RecordBatch]:
-    """Run ``step`` over record batches sorted by key, then event time and seq."""
-    current = object()
-    st = None
-    target_key = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        c = BatchColumns(batch)
-        drv, keys, pos, lap, dist, spd = c.drv, c.key, c.pos, c.lap, c.dist, c.spd
-        idx, rows = [], []
-        for lo, hi, key in key_runs(batch):
-            if key != current:
-                current = key
-                st = NeighbourState()
-                target_key = fold_like_arrow(key[1])
-            for i in range(lo, hi):
-                k = keys[i]
-                details = (c.rno[i], c.glat[i], c.glon[i]) if k == target_key else _NO_DETAILS
-                if step(st, target_key, drv[i], pos[i], lap[i], dist[i], spd[i], details, k):
-                    rows.append(st.output())
-                    st.last_follower_id = st.follower[0]
-                    idx.append(i)
-        if idx:
-            yield _emit_batch(batch, idx, rows, names)
-
-
-def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partitions: int | None = None,
-                     max_broadcast_rows: int = 1_000_000, strategy: str = "auto",
-                     skew_factor: float = 4.0, min_split_rows: int = 5_000_000) -> DataFrame:
+def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partitions: int | None = None) -> DataFrame:
     """Neighbour rows for every tracked target of every session (batch).
 
-    ``strategy``:
-
-    * ``"hash"``: one shuffle on ``(session_id, target_id)`` and a sort within
-      partitions; each key runs in one task. Best when keys are many and small.
-    * ``"split"``: every key is cut into balanced slices that run in parallel
-      (``neighbours_split``); exact, for keys too large for one task.
-    * ``"auto"``: counts rows per key first (one aggregate, combined map-side)
-      and splits when the largest key exceeds ``skew_factor`` times the mean
-      rows per partition and ``min_split_rows``.
-
-    ``num_partitions``: partitions of the hash plan (default: chosen by AQE from
-    the data size) or slices of the split plan (default:
-    ``spark.sql.shuffle.partitions``); also the divisor of the ``auto`` rule.
+    Every key is cut into balanced slices that run in parallel from exactly
+    resolved entry states (``neighbours_split``), so one race may hold any share
+    of the rows. ``num_partitions``: the slices (default:
+    ``spark.sql.shuffle.partitions``).
     """
-    spark = telemetry.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if strategy not in ("hash", "split", "auto"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "auto":
-        stats = (attach_targets(telemetry, targets, max_broadcast_rows)
-                 .groupBy("session_id", "target_id").count()
-                 .agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first())
-        largest, total = stats["largest"] or 0, stats["total"] or 0
-        strategy = "split" if largest > max(min_split_rows, skew_factor * total / n) else "hash"
-    if strategy == "split":
-        from racestream.operators.neighbours_split import track_neighbours_split
-
-        return track_neighbours_split(telemetry, targets, num_slices=n, max_broadcast_rows=max_broadcast_rows)
-
-    with_targets = _input_projection(attach_targets(telemetry, targets, max_broadcast_rows))
-    # without an explicit count AQE sizes the partitions from the data (it merges
-    # whole partitions, so every key stays in one)
-    by_key = (with_targets.repartition(num_partitions, "session_id", "target_id") if num_partitions
-              else with_targets.repartition("session_id", "target_id"))
-    ordered = by_key.sortWithinPartitions("session_id", "target_id", "event_time", "seq")
-    out_schema = neighbour_schema(with_targets.schema["event_time"].dataType)
-    names = out_schema.fieldNames()
-
-    def run(batches):
-        yield from run_sorted_batches(batches, names)
-
-    return ordered.mapInArrow(run, out_schema)
+    from racestream.operators.neighbours_split import track_neighbours_split
+
+    return track_neighbours_split(telemetry, targets, num_slices=num_partitions)
 
 
 # ---------------------------------------------------------------------------
@@ -403,10 +333,10 @@ def stream_handler(key, pdf_iter, state, idle_ms: int | None = None):
     if not frames:
         return
     pdf = (pd.concat(frames, ignore_index=True)
-           .sort_values(["event_time", "seq"], kind="stable").reset_index(drop=True))
-    target_key = _fold(target_id)
+           .sort_values(ORDER, kind="stable").reset_index(drop=True))
+    target_key = fold_id(target_id)
     drv = _values(pdf["driver_id"])
-    keys = [_fold(d) for d in drv]
+    keys = fold_ids(drv)
     pos = [0 if p is None else p for p in _values(pdf["car_position"], integer=True)]
     lap = _values(pdf["current_lap_num"], integer=True)
     dist = _values(pdf["lap_distance"])
@@ -430,23 +360,28 @@ def stream_handler(key, pdf_iter, state, idle_ms: int | None = None):
         return
     ev = pdf.iloc[idx].reset_index(drop=True)
     out = pd.DataFrame({
-        "session_id": session_id, "target_id": target_id,
+        "session_id": session_id, "target_id": target_id, "partition": ev["partition"],
         "seq": ev["seq"].astype("int64"), "event_time": ev["event_time"],
         "event_driver_id": ev["driver_id"], "driver_status": ev["driver_status"],
         "event_car_position": [pos[i] for i in idx],
-        "event_lap": pd.Series([lap[i] for i in idx], dtype=object),
-        "event_speed": pd.Series([spd[i] for i in idx], dtype=object),
+        "event_lap": pd.array([lap[i] for i in idx], dtype="Int32"),
+        "event_speed": pd.array([spd[i] for i in idx], dtype="Int32"),
         "fuel_in_tank": ev["fuel_in_tank"],
     })
-    state_cols = pd.DataFrame(rows, columns=STATE_OUT_COLUMNS).astype(object)
-    yield pd.concat([out, state_cols], axis=1)
+    # nullable types by name: a column may be all null
+    cols = {name: pd.array(list(values), dtype=_PANDAS[typ])
+            for name, typ, values in zip(STATE_OUT_COLUMNS, _STATE_TYPES, zip(*rows))}
+    yield pd.concat([out, pd.DataFrame(cols)], axis=1)
+
+
+_PANDAS = {pa.string(): "string", pa.int32(): "Int32", pa.float32(): "Float32", pa.bool_(): "boolean"}
 
 
 def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET,
                             idle_timeout: str | None = None) -> DataFrame:
     """Neighbour rows of a streaming telemetry frame (append mode).
 
-    Within a micro-batch a key's rows are ordered by ``(event_time, seq)``;
+    Within a micro-batch a key's rows are ordered by ``(event_time, partition, seq)``;
     across micro-batches they are taken in arrival order. ``targets`` is a list
     of ids or a static ``(session_id, target_id)`` table.
 
@@ -462,8 +397,7 @@ def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET,
 
     from racestream.functions.time import ntz_to_instant
 
-    # ids need no join; a static targets table gives a stream-static join,
-    # broadcast when its checked size allows
+    # ids need no join; a static targets table gives a stream-static join
     projected = _input_projection(attach_targets(telemetry, targets))
     out_schema = neighbour_schema(projected.schema["event_time"].dataType)
     if idle_timeout is None:

@@ -1,11 +1,10 @@
-"""Neighbour tracking when one key is too large for one task (exact).
+"""Neighbour tracking in batch: every key is split across slices (exact).
 
-The hash plan in ``neighbours.track_neighbours`` puts every event of a
-``(session_id, target_id)`` key in one task. When one race holds a large share
-of all rows this becomes one long task. This plan splits every key across
-balanced slices and still gives exactly the sequential result:
+One race may hold any share of all rows, so a ``(session_id, target_id)`` key is
+never one task: it is cut into balanced slices, and the rows still are exactly
+those of the sequential state machine:
 
-1. ``repartitionByRange`` on (key, event_time, seq) cuts the global order into
+1. ``repartitionByRange`` on (key, event_time, partition, seq) cuts the global order into
    slices of similar size (Spark samples the bounds), so a hot key spans many
    slices; the sorted slices are checkpointed to the shared checkpoint folder,
    which cuts the lineage (a lost executor re-reads them, nothing is resampled).
@@ -24,10 +23,12 @@ balanced slices and still gives exactly the sequential result:
 5. The slice entry states are resolved in slice order from these summaries
    (at most one per slice, so the work and the data moved grow with the
    number of slices, not with the rows).
-6. Pass C: every slice runs the ordinary state machine from its entry state,
-   in parallel. The first output row of a continuing run does not know the
-   previous row's follower; a last pass fills it from the last output row of
-   the earlier slices (again one row per slice).
+6. A tail pass runs the last run of each slice that a next one continues, and
+   keeps the follower of its last output row (one row per slice); carried
+   forward once in slice order, it is the previous row's follower that the
+   next slice starts with.
+7. Pass C: every slice runs the ordinary state machine from its entry state,
+   in parallel, and emits the rows.
 
 Summaries (one or two rows per slice) are collected to the driver and sent
 back as broadcast variables; their size is bounded by the slice count.
@@ -41,17 +42,15 @@ from typing import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
 
 from racestream.operators.neighbours import (
-    NO_FOLLOWER, NO_LEADER, NeighbourState, _emit_batch, _input_projection,
-    attach_targets, fold_like_arrow, key_runs as _runs, pylist, step,
+    NO_FOLLOWER, NO_LEADER, ORDER, BatchColumns, NeighbourState, _emit_batch, _input_projection,
+    attach_targets, fold_id, key_runs as _runs,
 )
 from racestream.schemas import neighbour_schema
 from racestream.session import checkpoint_root
 
 KEY = ["session_id", "target_id"]
-ORDER = ["event_time", "seq"]
 # what passes A and B read (the rows are in order already; time, seq and the
 # text-only event columns are not needed there)
 SUMMARY_COLUMNS = ["slice", "session_id", "target_id", "driver_id", "car_position", "current_lap_num",
@@ -59,27 +58,6 @@ SUMMARY_COLUMNS = ["slice", "session_id", "target_id", "driver_id", "car_positio
 NOF = "N"  # entry class of "no follower" / "no leader" (the stale position is irrelevant)
 
 
-# -- helpers -----------------------------------------------------------------------
-
-class _Cols:
-    """Columns of one batch as Python lists (read once)."""
-
-    def __init__(self, b: pa.RecordBatch):
-        self.drv = pylist(b.column("driver_id"))
-        self.key = pylist(pc.utf8_lower(b.column("driver_id")))
-        self.pos = pylist(b.column("car_position"))
-        self.lap = pylist(b.column("current_lap_num"))
-        self.dist = pylist(b.column("lap_distance"))
-        self.spd = pylist(b.column("speed"))
-        self.rno = pylist(b.column("race_number"))
-        self.glat = pylist(b.column("g_force_lateral"))
-        self.glon = pylist(b.column("g_force_longitudinal"))
-
-    def step(self, st, target_key, i) -> bool:
-        return step(st, target_key, self.drv[i], self.pos[i], self.lap[i], self.dist[i], self.spd[i],
-                    (self.rno[i], self.glat[i], self.glon[i]), self.key[i])
-
-
 # -- pass A: slice boundaries ------------------------------------------------------------
 
 def _me_at(b: pa.RecordBatch, i: int) -> list:
@@ -222,7 +200,7 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
                 if cur_key is not None and mode == "table":
                     yield _row_b(slice_id, "table", json.dumps(sim.result()))
                 cur_key = k
-                target_key = fold_like_arrow(k[1])
+                target_key = fold_id(k[1])
                 is_first = first_key is None
                 if is_first:
                     first_key = k
@@ -236,7 +214,7 @@ def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
                     mode = "skip"
             if mode == "skip":
                 continue
-            cols = cols or _Cols(b)
+            cols = cols or BatchColumns(b)
             for i in range(lo, hi):
                 if mode == "table":
                     sim.feed(cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i],
@@ -337,113 +315,127 @@ def _resolve_states(summ_a: list, me_entry: dict, summ_b: dict) -> dict:
     return states
 
 
-# -- pass C: the run itself ---------------------------------------------------------------
+# -- the last passes: tails, and the run itself -------------------------------------------
+
+def _entered(entry) -> NeighbourState:
+    me, det, fol, lea, tr, prev = entry
+    return NeighbourState(list(me), list(det), list(fol), list(lea), tr, prev)
+
+
+TAIL = "slice int, follower string"
+
+
+def _pass_tail(batches, states_bc, plan_bc):
+    """The follower of the last output row of a slice's last run, where the next slice continues it."""
+    states, plan = states_bc.value, plan_bc.value
+    slice_id = current = st = tail = target_key = None
+    first, active = True, False
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        if slice_id is None:
+            slice_id = b.column("slice")[0].as_py()
+            if not plan[slice_id]["next_continues"]:
+                return
+        cols = None
+        for lo, hi, k in _runs(b):
+            if first or k != current:
+                active = list(k) == plan[slice_id]["last_key"]
+                if active:
+                    st = _entered((*states[slice_id], None)) if first and slice_id in states else NeighbourState()
+                    target_key = fold_id(k[1])
+                current, first = k, False
+            if active:
+                cols = cols or BatchColumns(b)
+                for i in range(lo, hi):
+                    if cols.step(st, target_key, i):
+                        tail = st.follower[0]
+    if slice_id is not None:
+        yield pa.RecordBatch.from_pydict({"slice": [slice_id], "follower": [tail]},
+                                         schema=pa.schema([("slice", pa.int32()), ("follower", pa.string())]))
+
+
+def _resolve_tails(summ: list, states: dict, plan: dict, tails: dict) -> dict:
+    """The previous row's follower at the start of every continuing slice, in one pass."""
+    out: dict = {}
+    carry = None
+    for s in summ:
+        sid = s["slice"]
+        single = [s["first_session"], s["first_target"]] == [s["last_session"], s["last_target"]]
+        entry = carry if sid in states else None
+        if sid in states:
+            out[sid] = entry
+        carry = None
+        if plan[sid]["next_continues"]:
+            carry = tails.get(sid)
+            if carry is None and single:
+                carry = entry
+    return out
+
 
 def _pass_c(batches, states_bc, names):
     states = states_bc.value
     current = object()
-    st = None
-    target_key = None
-    slice_id = None
+    st = target_key = slice_id = None
     first = True
     for b in batches:
         if b.num_rows == 0:
             continue
         if slice_id is None:
             slice_id = b.column("slice")[0].as_py()
-        cols = _Cols(b)
-        idx, rows, unknown = [], [], []
+        cols = BatchColumns(b)
+        idx, rows = [], []
         for lo, hi, k in _runs(b):
             if k != current:
                 current = k
-                target_key = fold_like_arrow(k[1])
-                if first and slice_id in states:
-                    me, det, fol, lea, tr = states[slice_id]
-                    st = NeighbourState(list(me), list(det), list(fol), list(lea), tr, None)
-                    st.me_key, st.f_key, st.l_key = (fold_like_arrow(c[0]) for c in (st.me, st.follower, st.leader))
-                    pending = True
-                else:
-                    st = NeighbourState()
-                    pending = False
+                target_key = fold_id(k[1])
+                st = _entered(states[slice_id]) if first and slice_id in states else NeighbourState()
                 first = False
             for i in range(lo, hi):
                 if cols.step(st, target_key, i):
                     rows.append(st.output())
-                    unknown.append(pending)
-                    pending = False
                     st.last_follower_id = st.follower[0]
                     idx.append(i)
         if idx:
-            out = _emit_batch(b, idx, rows, names)
-            yield (out.append_column("slice", pa.array([slice_id] * len(idx), type=pa.int32()))
-                      .append_column("prev_unknown", pa.array(unknown, type=pa.bool_())))
+            yield _emit_batch(b, idx, rows, names)
 
 
 # -- the plan ----------------------------------------------------------------------------------
 
-def track_neighbours_split(telemetry: DataFrame, targets, num_slices: int | None = None,
-                           max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Same rows as ``track_neighbours``, with every key split across slices."""
+def track_neighbours_split(telemetry: DataFrame, targets, num_slices: int | None = None) -> DataFrame:
+    """See ``neighbours.track_neighbours``.
+
+    The cut into slices and their summaries need Spark jobs before the plan of
+    the rows can be made: the sorted input is checkpointed once, then summarised.
+    """
     spark = telemetry.sparkSession
     sc = spark.sparkContext
     checkpoint_root(spark)
-    proj = _input_projection(attach_targets(telemetry, targets, max_broadcast_rows))
+    proj = _input_projection(attach_targets(telemetry, targets))
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (proj.repartitionByRange(n, *KEY, *ORDER)
                .sortWithinPartitions(*KEY, *ORDER)
                .withColumn("slice", F.spark_partition_id()))
     ordered = ordered.checkpoint(eager=True)
+    read = ordered.select(*SUMMARY_COLUMNS)
 
     # pass A -> entry me per continuing slice (one summary row per slice)
-    summ_a = [r.asDict() for r in ordered.select(*SUMMARY_COLUMNS).mapInArrow(_pass_a, SUMMARY_A).collect()]
+    summ_a = [r.asDict() for r in read.mapInArrow(_pass_a, SUMMARY_A).collect()]
     summ_a.sort(key=lambda r: r["slice"])
     positions = sorted({p for r in summ_a for p in json.loads(r["positions"])})
     me_entry, plan = _resolve_me(summ_a)
-
-    out_schema = neighbour_schema(proj.schema["event_time"].dataType)
-    names = out_schema.fieldNames()
-    c_schema = T.StructType(out_schema.fields + [T.StructField("slice", T.IntegerType()),
-                                                 T.StructField("prev_unknown", T.BooleanType())])
-
+    states: dict = {}
     if me_entry:
         me_bc, plan_bc, pos_bc = sc.broadcast(me_entry), sc.broadcast(plan), sc.broadcast(positions)
-        summ_b = {(r.slice, r.kind): json.loads(r.payload) for r in ordered.select(*SUMMARY_COLUMNS).mapInArrow(
+        summ_b = {(r.slice, r.kind): json.loads(r.payload) for r in read.mapInArrow(
             lambda it: _pass_b(it, me_bc, plan_bc, pos_bc), SUMMARY_B).collect()}
-        states = _resolve_states(summ_a, me_entry, summ_b)
-    else:
-        states = {}
+        entries = _resolve_states(summ_a, me_entry, summ_b)
+        entries_bc = sc.broadcast(entries)
+        tails = {r.slice: r.follower for r in read.mapInArrow(
+            lambda it: _pass_tail(it, entries_bc, plan_bc), TAIL).collect()}
+        before = _resolve_tails(summ_a, entries, plan, tails)
+        states = {sid: [*entry, before[sid]] for sid, entry in entries.items()}
     states_bc = sc.broadcast(states)
-    run = ordered.mapInArrow(lambda it: _pass_c(it, states_bc, names), c_schema)
-    if not states:
-        return run.drop("slice", "prev_unknown")
-
-    # previous output row's follower for the first output row of continuing runs
-    run = run.checkpoint(eager=True)
-    order = F.struct(*[F.col(c) for c in KEY + ORDER])
-    tails = {r.slice: (r.t.session_id, r.t.target_id, r.t.follower_driver_id) for r in run.groupBy("slice").agg(
-        F.max_by(F.struct(*KEY, "follower_driver_id"), order).alias("t")).collect()}
-    first_keys = {r["slice"]: (r["first_session"], r["first_target"]) for r in summ_a}
-    slices = [r["slice"] for r in summ_a]
-    fix = {}
-    for i, sid in enumerate(slices):
-        if sid not in states:
-            continue
-        key = first_keys[sid]
-        prev = None
-        for j in range(i - 1, -1, -1):
-            t = tails.get(slices[j])
-            if t is not None and (t[0], t[1]) == key:
-                prev = t[2]
-                break
-            if not (first_keys[slices[j]] == key and slices[j] in states):
-                break
-        if prev is not None:
-            fix[sid] = prev
-    if fix:
-        # at most one row per slice: a broadcast join, no shuffle of the output
-        fixes = spark.createDataFrame(list(fix.items()), "slice int, fixed_prev string")
-        run = (run.join(F.broadcast(fixes), "slice", "left")
-               .withColumn("prev_follower_id",
-                           F.when(F.col("prev_unknown"), F.col("fixed_prev")).otherwise(F.col("prev_follower_id")))
-               .drop("fixed_prev"))
-    return run.select(*names)
+    out_schema = neighbour_schema(proj.schema["event_time"].dataType)
+    names = out_schema.fieldNames()
+    return ordered.mapInArrow(lambda it: _pass_c(it, states_bc, names), out_schema)

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
+from racestream.functions.json import STRICT
 from racestream.functions.text import java_concat
 from racestream.schemas import TELEMETRY_COLUMNS, TELEMETRY_PAYLOAD_SCHEMA
 
+# the parser keeps the text of a record here that it could not read in whole
+BAD = "_unreadable"
+
 
 def _decoded(messages: DataFrame) -> DataFrame:
     """(p, event_time, seq) with ``p`` the parsed body, parsed once per message.
@@ -16,16 +21,26 @@ def _decoded(messages: DataFrame) -> DataFrame:
     the filter below it and inline ``from_json`` into it, parsing every
     message twice.
     """
-    body = F.from_json(F.col("value").cast("string"), TELEMETRY_PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
-    return messages.select(F.col("timestamp").alias("event_time"), F.col("offset").alias("seq"),
+    schema = T.StructType([*TELEMETRY_PAYLOAD_SCHEMA.fields, T.StructField(BAD, T.StringType())])
+    body = F.from_json(F.col("value").cast("string"), schema, {**STRICT, "columnNameOfCorruptRecord": BAD})
+    return messages.select(F.col("timestamp").alias("event_time"), F.col("partition"), F.col("offset").alias("seq"),
                            F.inline(F.array(F.struct(body.alias("p")))))
 
 
+def _decodable():
+    """The body parsed in whole (no field of a wrong type or out of range) and
+    names a driver and a position."""
+    return (F.col("p.driver_id").isNotNull() & F.col("p.car_position").isNotNull()
+            & F.col(f"p.{BAD}").isNull())
+
+
 def decode_telemetry(messages: DataFrame, observe: str | None = None) -> DataFrame:
     """Kafka-layout messages -> typed telemetry rows; undecodable ones dropped.
 
-    A message that is null, not JSON, or has no driver id yields no row and no
-    failure. Event time is the message timestamp; ``seq`` its offset. With
+    A message that is null, not JSON, has a field of a wrong type or out of its
+    range, or no driver id or position yields no row and no failure. Event time
+    is the message timestamp; ``partition`` and ``seq`` (its offset, counted per
+    partition) are its place in the topic. With
     ``observe``, the counts of messages read and dropped are reported under
     that name (``Observation`` in batch, ``observedMetrics`` of each
     micro-batch in streams), at no extra pass.
@@ -33,20 +48,19 @@ def decode_telemetry(messages: DataFrame, observe: str | None = None) -> DataFra
     d = _decoded(messages)
     if observe:
         d = d.observe(observe, F.count(F.lit(1)).alias("n_messages"),
-                      F.count_if(F.col("p.driver_id").isNull()).alias("n_dropped"))
-    cols = [F.col(f"p.{c}").alias(c) if c not in ("event_time", "seq") else F.col(c)
+                      F.count_if(~_decodable()).alias("n_dropped"))
+    cols = [F.col(f"p.{c}").alias(c) if c not in ("event_time", "partition", "seq") else F.col(c)
             for c in TELEMETRY_COLUMNS]
-    return d.select(*cols).filter(F.col("driver_id").isNotNull())
+    return d.filter(_decodable()).select(*cols)
 
 
 def telemetry_quality(messages: DataFrame) -> DataFrame:
     """One row: messages read, decoded, dropped."""
     d = _decoded(messages)
-    ok = F.col("p.driver_id").isNotNull()
     return d.agg(
         F.count(F.lit(1)).alias("n_messages"),
-        F.count_if(ok).cast("long").alias("n_decoded"),
-        F.count_if(~ok | F.col("p").isNull()).cast("long").alias("n_dropped"))
+        F.count_if(_decodable()).cast("long").alias("n_decoded"),
+        F.count_if(~_decodable()).cast("long").alias("n_dropped"))
 
 
 def status_lines(telemetry: DataFrame) -> DataFrame:

@@ -24,6 +24,20 @@ def _read_properties(path: str) -> dict[str, str]:
     return out
 
 
+def _settings(path: str | None, keys: dict) -> dict:
+    """The fields that a settings file sets, by a table key -> (field, parser)."""
+    values: dict = {}
+    if path and os.path.exists(path):
+        for key, text in _read_properties(path).items():
+            if key in keys:
+                name, parse = keys[key]
+                try:
+                    values[name] = parse(text)
+                except ValueError:
+                    continue
+    return values
+
+
 def _as_bool(text: str) -> bool:
     # Same rule as Java's Boolean.parseBoolean: only "true", any case.
     return text.strip().lower() == "true"
@@ -78,15 +92,8 @@ class ClickOptions:
 
     @classmethod
     def from_properties(cls, path: str | None, **overrides) -> "ClickOptions":
-        """Read a settings file; a missing file or key keeps the default."""
-        values: dict = {}
-        if path and os.path.exists(path):
-            for key, text in _read_properties(path).items():
-                if key in cls._KEYS:
-                    name, parse = cls._KEYS[key]
-                    values[name] = parse(text)
-        values.update(overrides)
-        return cls(**values)
+        """Read a settings file; a missing file or key, or a bad number, keeps the default."""
+        return cls(**{**_settings(path, cls._KEYS), **overrides})
 
     def replace(self, **changes) -> "ClickOptions":
         return dataclasses.replace(self, **changes)
@@ -140,9 +147,31 @@ class TelemetryOptions:
     """Settings of the telemetry jobs."""
 
     target_ids: tuple[str, ...] = ("ANTONIO_GIOVINAZZI",)
+    # Parquet table (session_id, target_id); if set it replaces target_ids
+    targets_path: str | None = None
     topic: str = "f1-telemetry-drivers"
     bootstrap_servers: str | None = None
     starting_offsets: str = "earliest"
+    # rows that a micro-batch may take from the topic: bounds what one key's task holds
+    max_offsets_per_trigger: int | None = 1_000_000
+    # drop a race's state when its events are older than the watermark by this
+    idle_timeout: str | None = None
+    checkpoint_dir: str | None = None
     kafka_options: dict = field(default_factory=dict)
-    # Rows of a targets table broadcast without a shuffle when at most this many.
-    broadcast_targets_max_rows: int = 1_000_000
+
+    # settings-file key -> (field, parser)
+    _KEYS = {
+        "KafkaPort": ("bootstrap_servers", lambda port: f"localhost:{int(port)}"),
+        "startFromLatest": ("starting_offsets", lambda text: "latest" if _as_bool(text) else "earliest"),
+        "DriverName": ("target_ids", lambda name: (name,)),
+        "CheckpointDir": ("checkpoint_dir", str),
+    }
+
+    @classmethod
+    def from_properties(cls, path: str | None, **overrides) -> "TelemetryOptions":
+        """Read a settings file; a missing file or key, or a bad number, keeps the default."""
+        return cls(**{**_settings(path, cls._KEYS), **overrides})
+
+    def targets(self, spark):
+        """The tracked ids, or the targets table."""
+        return spark.read.parquet(self.targets_path) if self.targets_path else list(self.target_ids)

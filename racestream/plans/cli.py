@@ -3,8 +3,8 @@
     python -m racestream.plans.cli clicks --input DIR --output DIR [--properties FILE]
            [--stream --checkpoint DIR [--available-now]]
     python -m racestream.plans.cli monitor-gap|find-follower|measure-gap|status
-           (--input DIR | --kafka HOST:PORT) --output DIR [--target ID ...]
-           [--stream --checkpoint DIR [--available-now]]
+           (--input DIR | --kafka HOST:PORT) --output DIR [--target ID ... | --targets DIR]
+           [--properties FILE] [--stream --checkpoint DIR [--available-now] [--idle-timeout TEXT]]
     python -m racestream.plans.cli gap-csv (--input DIR | --kafka HOST:PORT) --output DIR
     python -m racestream.plans.cli dump-bytes (--input DIR | --kafka HOST:PORT) --output DIR
 
@@ -54,6 +54,9 @@ def _parser() -> argparse.ArgumentParser:
         t.add_argument("--topic", default=TelemetryOptions().topic)
         t.add_argument("--output", required=True)
         t.add_argument("--target", action="append")
+        t.add_argument("--targets", help="Parquet table (session_id, target_id) instead of --target")
+        t.add_argument("--properties")
+        t.add_argument("--idle-timeout")
         t.add_argument("--stream", action="store_true")
         t.add_argument("--checkpoint")
         t.add_argument("--available-now", action="store_true")
@@ -83,8 +86,10 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
             jobs.click_job_batch(clicks, opts, args.output)
         return
 
-    topts = TelemetryOptions(target_ids=tuple(args.target or TelemetryOptions().target_ids),
-                             topic=args.topic, bootstrap_servers=args.kafka)
+    given = {"target_ids": tuple(args.target) if args.target else None, "targets_path": args.targets,
+             "bootstrap_servers": args.kafka, "idle_timeout": args.idle_timeout}
+    topts = TelemetryOptions.from_properties(args.properties, topic=args.topic,
+                                             **{k: v for k, v in given.items() if v is not None})
     msgs = _messages(spark, args, topts)
     if args.job == "dump-bytes":
         if args.stream:
@@ -102,14 +107,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> None:
     elif args.job == "status":
         out = jobs.status_job(msgs)
         if args.stream:
-            start_to_files(out, args.output, args.checkpoint,
-                           available_now=args.available_now).awaitTermination()
+            jobs.status_stream(msgs, args.checkpoint, path=args.output, fmt="parquet",
+                               available_now=args.available_now).awaitTermination()
         else:
             out.write.mode("overwrite").parquet(args.output)
     elif args.stream:
-        starts = {"monitor-gap": jobs.monitor_gap_stream, "measure-gap": jobs.measure_gap_stream}
-        if args.job not in starts:
-            raise SystemExit(f"{args.job} runs in batch only")
+        starts = {"monitor-gap": jobs.monitor_gap_stream, "measure-gap": jobs.measure_gap_stream,
+                  "find-follower": jobs.find_follower_stream}
         starts[args.job](msgs, topts, args.checkpoint, path=args.output, fmt="parquet",
                          available_now=args.available_now).awaitTermination()
     else:

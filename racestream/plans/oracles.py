@@ -6,14 +6,23 @@ event ``rn`` of a session joins event ``rn + 1``.
 
 from __future__ import annotations
 
+import re
+
 TARGET = "DRIVER_07"
 
 CLICKS = """
 clicks AS (
   SELECT event_id AS seq, ts,
-         '{"user.accountId":' || CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS VARCHAR)
-           || ',"page":"' || event_type || '"}' AS raw,
-         CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS INTEGER) AS account_id
+         CASE event_id % 50
+           WHEN 0 THEN '{''user.accountId'':5}'
+           WHEN 1 THEN '{"user.accountId":"77"}'
+           WHEN 2 THEN '{"user.accountId":3000000000}'
+           WHEN 3 THEN 'junk'
+           WHEN 4 THEN NULL
+           ELSE '{"user.accountId":' || CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS VARCHAR)
+                || ',"page":"' || event_type || '"}' END AS raw,
+         CASE WHEN event_id % 50 >= 5
+              THEN CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS INTEGER) END AS account_id
   FROM events
 ),
 authed AS (SELECT * FROM clicks WHERE account_id IS NOT NULL AND account_id <> -1)
@@ -51,8 +60,9 @@ tel_src AS (
 ),
 telemetry AS (
   SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
-         ts AS event_time,
-         event_id AS seq,
+         CAST(date_trunc('hour', ts) AS TIMESTAMP) AS event_time,
+         CAST(event_id % 3 AS INTEGER) AS partition,
+         event_id // 3 AS seq,
          'DRIVER_' || lpad(CAST(user_id % 20 AS VARCHAR), 2, '0') AS driver_id,
          CAST(user_id % 20 AS SMALLINT) AS race_number,
          event_type AS driver_status,
@@ -71,7 +81,7 @@ telemetry AS (
 
 MESSAGES = """
 messages AS (
-  SELECT event_id AS "offset",
+  SELECT event_id // 3 AS "offset",
          CASE WHEN k <> 0 THEN
            '{"session_id":"' || CAST(CAST(ts AS DATE) AS VARCHAR) || '"'
            || ',"driver_id":"DRIVER_' || lpad(CAST(user_id % 20 AS VARCHAR), 2, '0') || '"'
@@ -86,10 +96,14 @@ messages AS (
            || ',"g_force_lateral":' || CAST(CAST(value / 100 AS DECIMAL(18,4)) AS VARCHAR)
            || ',"g_force_longitudinal":' || CAST(CAST(-(value / 100) AS DECIMAL(18,4)) AS VARCHAR)
            || '}'
-         WHEN event_id % 5 = 0 THEN NULL
-         WHEN event_id % 5 = 1 THEN ''
-         WHEN event_id % 5 = 2 THEN 'bad'
-         WHEN event_id % 5 = 3 THEN '{}'
+         WHEN event_id % 9 = 0 THEN NULL
+         WHEN event_id % 9 = 1 THEN ''
+         WHEN event_id % 9 = 2 THEN 'bad'
+         WHEN event_id % 9 = 3 THEN '{}'
+         WHEN event_id % 9 BETWEEN 4 AND 6 THEN
+           '{"session_id":"' || CAST(CAST(ts AS DATE) AS VARCHAR) || '","driver_id":"DRIVER_07","car_position":'
+           || CASE event_id % 9 WHEN 4 THEN '"abc"' WHEN 5 THEN '70000' ELSE '2.5' END || '}'
+         WHEN event_id % 9 = 7 THEN '{''driver_id'':''DRIVER_07'',''car_position'':3}'
          ELSE '{"session_id":"' || CAST(CAST(ts AS DATE) AS VARCHAR) || '"}'
          END AS body
   FROM tel_src
@@ -100,12 +114,12 @@ messages AS (
 NEIGHBOURS = f"""
 ev AS (
   SELECT t.*, '{TARGET}' AS target_id,
-         row_number() OVER (PARTITION BY session_id ORDER BY event_time, seq) AS rn
+         row_number() OVER (PARTITION BY session_id ORDER BY event_time, partition, seq) AS rn
   FROM telemetry t
 ),
 st AS (
   SELECT DISTINCT session_id, '{TARGET}' AS target_id, CAST(0 AS BIGINT) AS rn,
-         CAST(NULL AS BIGINT) AS seq, CAST(NULL AS TIMESTAMP) AS event_time,
+         CAST(NULL AS INTEGER) AS partition, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS TIMESTAMP) AS event_time,
          CAST(NULL AS VARCHAR) AS e_id, CAST(NULL AS VARCHAR) AS e_status, CAST(NULL AS INTEGER) AS e_pos,
          CAST(NULL AS INTEGER) AS e_lap, CAST(NULL AS INTEGER) AS e_speed, CAST(NULL AS FLOAT) AS e_fuel,
          'NULL' AS me_id, 0 AS me_pos, CAST(NULL AS INTEGER) AS me_lap, CAST(0 AS FLOAT) AS me_lp,
@@ -118,7 +132,7 @@ st AS (
          false AS tracking, false AS emit, CAST(NULL AS VARCHAR) AS prev_f, CAST(NULL AS VARCHAR) AS last_f
   FROM ev
   UNION ALL
-  SELECT session_id, target_id, rn, seq, event_time, e_id, e_status, e_pos, e_lap, e_speed, e_fuel,
+  SELECT session_id, target_id, rn, partition, seq, event_time, e_id, e_status, e_pos, e_lap, e_speed, e_fuel,
          me_id, me_pos, me_lap, me_lp, me_speed, me_has, me_race, me_glat, me_glon,
          CASE WHEN ftake THEN e_id ELSE f_id1 END,
          CASE WHEN ftake THEN e_pos ELSE f_pos END,
@@ -149,7 +163,7 @@ st AS (
              NOT is_t AND me_pos <> 0 AND e_pos < me_pos
                AND (l_id1 = 'NOLEADER' OR (e_pos > 0 AND e_pos >= l_pos)) AS ltake
       FROM (
-        SELECT s.session_id, s.target_id, e.rn, e.seq, e.event_time,
+        SELECT s.session_id, s.target_id, e.rn, e.partition, e.seq, e.event_time,
                e.driver_id AS e_id, e.driver_status AS e_status, CAST(e.car_position AS INTEGER) AS e_pos,
                CAST(e.current_lap_num AS INTEGER) AS e_lap, e.speed AS e_speed, e.fuel_in_tank AS e_fuel,
                e.lap_distance AS e_lp,
@@ -176,7 +190,7 @@ st AS (
   ) x2
 ),
 neighbours AS (
-  SELECT session_id, target_id, seq, event_time,
+  SELECT session_id, target_id, partition, seq, event_time,
          e_id AS event_driver_id, e_status AS driver_status, e_pos AS event_car_position,
          e_lap AS event_lap, e_speed AS event_speed, e_fuel AS fuel_in_tank,
          me_id AS me_driver_id, me_pos AS me_car_position, me_lap, me_lp AS me_lap_position,
@@ -187,7 +201,7 @@ neighbours AS (
          l_id AS leader_driver_id, l_pos AS leader_car_position, l_lap AS leader_lap,
          l_lp AS leader_lap_position, l_speed AS leader_speed_kph, l_has AS leader_has_details,
          tracking,
-         lag(f_id) OVER (PARTITION BY session_id, target_id ORDER BY event_time, seq) AS prev_follower_id
+         lag(f_id) OVER (PARTITION BY session_id, target_id ORDER BY event_time, partition, seq) AS prev_follower_id
   FROM st WHERE emit
 )
 """
@@ -222,7 +236,7 @@ gaps AS (
 )
 """
 
-NEIGHBOUR_COLS = """session_id, target_id, seq, event_time, event_driver_id, driver_status,
+NEIGHBOUR_COLS = """session_id, target_id, partition, seq, event_time, event_driver_id, driver_status,
   event_car_position, event_lap, event_speed, fuel_in_tank, me_driver_id, me_car_position, me_lap,
   me_lap_position, me_speed_kph, me_has_details, me_race_number, me_g_force_lateral,
   me_g_force_longitudinal, follower_driver_id, follower_car_position, follower_lap,
@@ -279,22 +293,19 @@ FROM (
     "nine_or_less": _with(CLICKS, SLIDING)
     + "SELECT window_start, window_end, CAST(account_id AS VARCHAR) AS line FROM sliding WHERE n < 9",
     "console_counts": _with(CLICKS, SLIDING)
-    + "SELECT account_id, window_start, window_end, n FROM sliding WHERE n >= 1",
+    + "SELECT account_id, window_start, window_end, n FROM sliding WHERE n >= 5",
     "click_routes": _with(CLICKS, SLIDING) + """
 SELECT 'ten_or_more' AS sink, window_start, window_end, CAST(account_id AS VARCHAR) AS line FROM sliding WHERE n >= 10
 UNION ALL
 SELECT 'nine_or_less' AS sink, window_start, window_end, CAST(account_id AS VARCHAR) AS line FROM sliding WHERE n < 9""",
     "click_counts_stream": _with(CLICKS, SLIDING) + """
-SELECT account_id, window_start, window_end, n FROM sliding
-WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
+SELECT account_id, window_start, window_end, n FROM sliding""",
     "click_routes_stream": _with(CLICKS, SLIDING) + """
-SELECT 'ten_or_more' AS sink, CAST(account_id AS VARCHAR) AS line FROM sliding
-WHERE n >= 10 AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
+SELECT 'ten_or_more' AS sink, CAST(account_id AS VARCHAR) AS line FROM sliding WHERE n >= 10
 UNION ALL
-SELECT 'nine_or_less' AS sink, CAST(account_id AS VARCHAR) AS line FROM sliding
-WHERE n < 9 AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
+SELECT 'nine_or_less' AS sink, CAST(account_id AS VARCHAR) AS line FROM sliding WHERE n < 9""",
     "telemetry_decode": _with(TELEMETRY) + """
-SELECT session_id, event_time, seq, driver_id, race_number, driver_status, car_position,
+SELECT session_id, event_time, partition, seq, driver_id, race_number, driver_status, car_position,
        current_lap_num, lap_distance, speed, fuel_in_tank, fuel_remaining_laps,
        g_force_lateral, g_force_longitudinal
 FROM telemetry""",
@@ -349,6 +360,28 @@ FROM neighbours WHERE prev_follower_id IS NOT NULL""",
 ORACLES["neighbours_stream"] = ORACLES["neighbours"]
 ORACLES["neighbours_split"] = ORACLES["neighbours"]
 ORACLES["follower_changes_stream"] = ORACLES["follower_changes"]
+# the report of the same rows with every gap null
+_NULL_GAPS = """
+gaps AS (
+  SELECT *, CAST(NULL AS FLOAT) AS meters_from_follower, CAST(NULL AS FLOAT) AS secs_from_follower,
+         CAST(NULL AS FLOAT) AS meters_to_leader, CAST(NULL AS FLOAT) AS secs_to_leader
+  FROM neighbours
+)
+"""
+ORACLES["find_follower"] = ORACLES["gap_report"].replace(GAPS.strip(), _NULL_GAPS.strip())
+ORACLES["find_follower_stream"] = ORACLES["find_follower"]
+
+
+def _renamed(sql: str, n: int) -> str:
+    return re.sub(r"\b(ev|st|neighbours)\b", rf"\g<1>{n}", sql)
+
+
+# two targets in ids of another case, the second one on days with an even number
+_SECOND = _renamed(NEIGHBOURS, 2).replace(f"'{TARGET}'", "'driver_11'").replace(
+    "FROM telemetry t", "FROM telemetry t WHERE CAST(substr(session_id, 9, 2) AS INTEGER) % 2 = 0")
+ORACLES["neighbours_targets_table"] = (
+    _with(TELEMETRY, NEIGHBOURS.replace(f"'{TARGET}'", "'Driver_07'"), _SECOND)
+    + f"SELECT {NEIGHBOUR_COLS} FROM neighbours UNION ALL SELECT {NEIGHBOUR_COLS} FROM neighbours2")
 # the whole table as one race: the same state machine over one key
 _ONE_RACE = """
 telemetry1 AS (SELECT * REPLACE ('all' AS session_id) FROM telemetry)

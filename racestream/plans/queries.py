@@ -11,23 +11,27 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from racestream.operators import clicks as C
-from racestream.operators.gaps import gap_csv, gap_report, with_gaps
+from racestream.operators.gaps import gap_csv, gap_report, with_gaps, without_gaps
 from racestream.operators.neighbours import track_neighbours
 from racestream.operators.patterns import adjacent_pairs, every_pair, follower_changes
 from racestream.operators.telemetry import (
     decode_telemetry, dump_bytes, status_lines, telemetry_quality,
 )
-from racestream.options import DRIVER_TABLES, ClickOptions
-from racestream.session import scratch_path
+from racestream.options import DRIVER_TABLES, ClickOptions, TelemetryOptions
+from racestream.plans.jobs import find_follower_stream, measure_gap_stream
+from racestream.session import cores, scoped_conf, scratch_path
 from racestream.sources.clicks import clicks_from_events, read_events
-from racestream.sources.telemetry import kafka_layout_from_events, read_kafka_files
-from racestream.streaming.clicks import windowed_counts_stream
+from racestream.sources.telemetry import kafka_layout_from_events
+from racestream.streaming.clicks import (
+    start_click_job, windowed_counts_stream, with_end_marker, write_end_marker,
+)
 from racestream.streaming.telemetry import neighbours_stream, start_to_files
 
 # Fixed value: the tracked driver in the telemetry derived from ``events``.
 DRIVER_TABLES_TARGET = "DRIVER_07"
 
 OPTS: ClickOptions = DRIVER_TABLES
+CONSOLE: ClickOptions = OPTS.replace(console_output_count_threshold=ClickOptions().console_output_count_threshold)
 
 
 # -- shared inputs ----------------------------------------------------------------
@@ -60,12 +64,6 @@ def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_gaps(neighbours(spark, sf_dir))
 
 
-def _cores(spark: SparkSession) -> int:
-    from racestream.session import cores
-
-    return cores(spark)
-
-
 # -- clicks ----------------------------------------------------------------------
 
 def q_click_parse(spark, sf_dir):
@@ -101,23 +99,28 @@ def q_nine_or_less(spark, sf_dir):
 
 
 def q_console_counts(spark, sf_dir):
-    return C.console_counts(counts(spark, sf_dir), OPTS)
+    return C.console_counts(counts(spark, sf_dir), CONSOLE)
 
 
 def q_click_routes(spark, sf_dir):
     return C.routed_lines(counts(spark, sf_dir), OPTS)
 
 
+def _closed(spark, sf_dir, start) -> None:
+    """Run a click stream over ``events`` to its end, in two starts on one checkpoint:
+    the second finds the end marker, which closes the windows still open."""
+    marker = scratch_path(spark, "end_marker")
+    clicks = clicks_from_events(read_events(spark, sf_dir, stream=True))
+    for end in (False, True):
+        write_end_marker(spark, clicks, marker, end=end)
+        start(with_end_marker(clicks, marker)).awaitTermination()
+
+
 def q_click_counts_stream(spark, sf_dir):
-    """The sliding counts as a stream over the events file (append mode): only
-    windows closed by the final watermark (max event time - 1 minute) come out."""
-    events = read_events(spark, sf_dir)
-    # a file stream reads a folder or a glob; this glob matches exactly one file
-    src = spark.readStream.schema(events.schema).parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
-    out = windowed_counts_stream(clicks_from_events(src), OPTS)
+    """The sliding counts as a stream over ``events`` (append mode), every window closed."""
     base = scratch_path(spark, "click_counts_stream")
-    q = start_to_files(out, f"{base}/out", f"{base}/checkpoint", state_partitions=_cores(spark))
-    q.awaitTermination()
+    _closed(spark, sf_dir, lambda clicks: start_to_files(
+        windowed_counts_stream(clicks, OPTS), f"{base}/out", f"{base}/checkpoint", state_partitions=cores(spark)))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -125,15 +128,11 @@ def q_click_routes_stream(spark, sf_dir):
     """The click job as it runs: a stream, one state store, every closed window
     sent by ``foreachBatch`` to the high-count and low-count text folders; the
     result is what the two sinks hold, one account id per line."""
-    from racestream.streaming.clicks import start_click_job
-
-    events = read_events(spark, sf_dir)
-    src = spark.readStream.schema(events.schema).parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
     base = scratch_path(spark, "click_routes_stream")
-    q = start_click_job(clicks_from_events(src), OPTS, f"{base}/out", f"{base}/checkpoint",
-                        available_now=True, console=False, state_partitions=_cores(spark))
-    q.awaitTermination()
-    parts = [spark.read.text(f"{base}/out/{folder}").select(F.lit(name).alias("sink"), F.col("value").alias("line"))
+    _closed(spark, sf_dir, lambda clicks: start_click_job(
+        clicks, OPTS, f"{base}/out", f"{base}/checkpoint", available_now=True, console=False,
+        state_partitions=cores(spark)))
+    parts = [spark.read.text(f"{base}/out/bucket={folder}").select(F.lit(name).alias("sink"), F.col("value").alias("line"))
              for name, folder in C.SINK_FOLDERS.items()]
     return parts[0].unionByName(parts[1])
 
@@ -162,15 +161,36 @@ def q_neighbours(spark, sf_dir):
 
 def _slices(spark: SparkSession) -> int:
     # two slices per core: every core busy, slices as large as possible
-    return max(8, 2 * _cores(spark))
+    return max(8, 2 * cores(spark))
 
 
 def q_neighbours_split(spark, sf_dir):
-    """The same rows through the skew-safe plan: every session is cut into
-    slices (range partitioning on session, target, time) that run in parallel
-    from exactly resolved entry states."""
-    return track_neighbours(telemetry(spark, sf_dir), [DRIVER_TABLES_TARGET],
-                            num_partitions=_slices(spark), strategy="split")
+    """The same rows from another number of slices (two for each core)."""
+    return track_neighbours(telemetry(spark, sf_dir), [DRIVER_TABLES_TARGET], num_partitions=_slices(spark))
+
+
+def targets_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracked drivers by session, in ids of another case: one in every session, a
+    second one on days with an even number."""
+    sessions = telemetry(spark, sf_dir).select("session_id").distinct()
+    second = F.when(F.substring("session_id", 9, 2).cast("int") % 2 == 0, F.lit("driver_11"))
+    ids = F.filter(F.array(F.lit("Driver_07"), second), lambda x: x.isNotNull())
+    return sessions.select("session_id", F.explode(ids).alias("target_id"))
+
+
+def q_neighbours_targets_table(spark, sf_dir):
+    """Neighbours of the drivers of a targets table."""
+    return track_neighbours(telemetry(spark, sf_dir), targets_table(spark, sf_dir))
+
+
+def q_find_follower(spark, sf_dir):
+    """The neighbour report, printed before any gap is known."""
+    return gap_report(without_gaps(neighbours(spark, sf_dir)))
+
+
+def q_find_follower_stream(spark, sf_dir):
+    """The same report as a stream over ``events``, written to files and read back."""
+    return _telemetry_stream(spark, sf_dir, find_follower_stream, "find_follower_stream")
 
 
 # Fixed value: the session id given to every event when the whole stream is
@@ -183,8 +203,7 @@ def q_neighbours_global_key(spark, sf_dir):
     jobs' keying): the hottest key possible, run by the split plan so that it
     still spreads over every core."""
     one_race = telemetry(spark, sf_dir).withColumn("session_id", F.lit(GLOBAL_SESSION))
-    return track_neighbours(one_race, [DRIVER_TABLES_TARGET], num_partitions=_slices(spark),
-                            strategy="split")
+    return track_neighbours(one_race, [DRIVER_TABLES_TARGET], num_partitions=_slices(spark))
 
 
 def q_gaps(spark, sf_dir):
@@ -208,42 +227,28 @@ def q_adjacent_pairs(spark, sf_dir):
 
 
 def q_neighbours_stream(spark, sf_dir):
-    """Neighbour tracking as a stream, run twice on one checkpoint: first the
-    messages of the morning hours, then those of the afternoon, so every
-    session's state is restored from the checkpoint between runs."""
+    """Neighbour tracking as a stream over ``events``, written to files and read back."""
     base = scratch_path(spark, "neighbours_stream")
-    src, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
-    layout = messages(spark, sf_dir)
-    morning = F.hour("timestamp") < 12
-    layout.filter(morning).write.mode("append").parquet(src)
-    schema = spark.read.parquet(src).schema
-    for part in (None, ~morning):
-        if part is not None:
-            layout.filter(part).write.mode("append").parquet(src)
-        stream = read_kafka_files(spark, src, stream=True, schema=schema)
-        q = start_to_files(neighbours_stream(stream, [DRIVER_TABLES_TARGET]), out, ckpt,
-                           state_partitions=_cores(spark))
-        q.awaitTermination()
-    return spark.read.parquet(out)
+    stream = kafka_layout_from_events(read_events(spark, sf_dir, stream=True))
+    start_to_files(neighbours_stream(stream, [DRIVER_TABLES_TARGET]), f"{base}/out", f"{base}/checkpoint",
+                   state_partitions=cores(spark)).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def _telemetry_stream(spark, sf_dir, job, name):
+    base = scratch_path(spark, name)
+    stream = kafka_layout_from_events(read_events(spark, sf_dir, stream=True))
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": cores(spark)}):
+        q = job(stream, TelemetryOptions(target_ids=(DRIVER_TABLES_TARGET,)), f"{base}/checkpoint",
+                path=f"{base}/out", fmt="parquet", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
 
 
 def q_follower_changes_stream(spark, sf_dir):
     """The follower-change job as a stream (the previous row's follower is kept
     in the neighbour state), written to files and read back."""
-    from racestream.options import TelemetryOptions
-    from racestream.plans.jobs import measure_gap_stream
-    from racestream.session import scoped_conf
-
-    base = scratch_path(spark, "follower_changes_stream")
-    src = f"{base}/source"
-    messages(spark, sf_dir).write.parquet(src)
-    stream = read_kafka_files(spark, src, stream=True)
-    opts = TelemetryOptions(target_ids=(DRIVER_TABLES_TARGET,))
-    with scoped_conf(spark, {"spark.sql.shuffle.partitions": _cores(spark)}):
-        q = measure_gap_stream(stream, opts, f"{base}/checkpoint", path=f"{base}/out", fmt="parquet",
-                               available_now=True)
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return _telemetry_stream(spark, sf_dir, measure_gap_stream, "follower_changes_stream")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -265,6 +270,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_dump": q_raw_dump,
     "neighbours": q_neighbours,
     "neighbours_split": q_neighbours_split,
+    "neighbours_targets_table": q_neighbours_targets_table,
+    "find_follower": q_find_follower,
+    "find_follower_stream": q_find_follower_stream,
     "neighbours_global_key": q_neighbours_global_key,
     "gaps": q_gaps,
     "gap_report": q_gap_report,

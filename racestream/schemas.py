@@ -9,20 +9,6 @@ CLICK_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 
-# Parsed click: the carried raw text and the account id (null = unparsable).
-PARSED_CLICK_FIELDS = ["seq", "ts", "raw", "account_id"]
-
-# Messages in the layout of the Kafka source (value is opaque bytes).
-KAFKA_SCHEMA = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("timestampType", T.IntegerType()),
-])
-
 # The JSON body of one telemetry message.
 TELEMETRY_PAYLOAD_SCHEMA = T.StructType([
     T.StructField("session_id", T.StringType()),
@@ -39,9 +25,10 @@ TELEMETRY_PAYLOAD_SCHEMA = T.StructType([
     T.StructField("g_force_longitudinal", T.FloatType()),
 ])
 
-# A decoded telemetry record: the payload plus event time and sequence.
+# A decoded telemetry record: the payload plus event time and its place: the
+# topic partition and the offset there (``seq``), which is counted per partition.
 TELEMETRY_COLUMNS = [
-    "session_id", "event_time", "seq", "driver_id", "race_number", "driver_status",
+    "session_id", "event_time", "partition", "seq", "driver_id", "race_number", "driver_status",
     "car_position", "current_lap_num", "lap_distance", "speed", "fuel_in_tank",
     "fuel_remaining_laps", "g_force_lateral", "g_force_longitudinal",
 ]
@@ -82,6 +69,7 @@ NEIGHBOUR_SCHEMA = T.StructType(
     [
         T.StructField("session_id", T.StringType()),
         T.StructField("target_id", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
         T.StructField("seq", T.LongType()),
         T.StructField("event_time", T.TimestampNTZType()),
     ]
@@ -119,8 +107,3 @@ NEIGHBOUR_STATE_SCHEMA = T.StructType(
         T.StructField("last_follower_id", T.StringType()),
     ]
 )
-
-TARGETS_SCHEMA = T.StructType([
-    T.StructField("session_id", T.StringType()),
-    T.StructField("target_id", T.StringType()),
-])

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
 
@@ -35,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
         "spark.checkpoint.compress": "true",
+        # checkpoints go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if rocksdb_state:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
@@ -48,7 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and every executor can reach it.
-    Only when it is unset (local runs, tests) is a private folder created.
+    Only when it is unset and everything runs in this process (local runs, tests)
+    is a private folder created.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="racestream-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
@@ -68,22 +74,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "racestream", *parts, uuid.uuid4().hex])
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme, for tests that inspect written files."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_dir(path), exist_ok=True)
+def _context(spark: SparkSession):
+    """The SparkContext, or None in a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except (AttributeError, PySparkAttributeError, PySparkNotImplementedError):
+        return None
 
 
 _SHIPPED: set = set()
@@ -97,9 +93,8 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a Spark Connect session: the package is installed server-side
+    sc = _context(spark)
+    if sc is None:  # a Spark Connect session: the package is installed server-side
         return
     key = sc.applicationId
     if key in _SHIPPED:
@@ -148,7 +143,5 @@ class scoped_conf:
 def cores(spark: SparkSession) -> int:
     """Cores of the cluster (default parallelism); the shuffle setting when the
     session has no SparkContext (Spark Connect)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))

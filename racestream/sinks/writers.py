@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from racestream.operators.gaps import CSV_COLUMNS, CSV_HEADER
 
@@ -61,17 +61,53 @@ def fan_out(branches: dict[str, Callable[[DataFrame], DataFrame]],
     return run
 
 
+def batch_folder(bucket: str, batch_id) -> str:
+    """The folder of one bucket and batch, the same for streams and batch runs."""
+    return f"bucket={bucket}/batch_id={batch_id}"
+
+
 def batch_folder_writer(base: str, bucket: str, column: str = "line",
                         max_records_per_file: int | None = None):
-    """Writer for ``fan_out``: ``<base>/<bucket>/batch_id=<n>``, idempotent."""
+    """Writer for ``fan_out``: ``<base>/bucket=<bucket>/batch_id=<n>``, idempotent."""
     def write(df: DataFrame, batch_id: int) -> None:
-        write_lines(df, f"{base.rstrip('/')}/{bucket}/batch_id={batch_id}", column=column,
+        write_lines(df, f"{base.rstrip('/')}/{batch_folder(bucket, batch_id)}", column=column,
                     mode="overwrite", max_records_per_file=max_records_per_file)
     return write
 
 
-def console_writer(num_rows: int = 20):
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, of any file system that Spark reaches, exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def require_matching_checkpoint(spark: SparkSession, output_base: str, buckets, checkpoint: str) -> None:
+    """Refuse a fresh checkpoint on existing output: its batch ids would start at 0
+    again and replace the earlier batches."""
+    if not path_exists(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        refuse_existing(spark, output_base, buckets)
+
+
+def refuse_existing(spark: SparkSession, output_base: str, buckets) -> None:
+    """Raise if one of the buckets is there already."""
+    if any(path_exists(spark, f"{output_base.rstrip('/')}/bucket={b}") for b in buckets):
+        raise ValueError(f"{output_base} holds output of another run: give that run's checkpoint or another folder")
+
+
+def _print(text: str) -> None:
+    print(text, flush=True)
+
+
+def print_rows(df: DataFrame, emit: Callable[[str], None] = _print) -> None:
+    """Print every row, each on the executor that holds it (``emit``: what takes a row's text)."""
+    def one(row) -> None:
+        emit(str(row[0]) if len(row) == 1 else ", ".join(f"{k}={v}" for k, v in row.asDict().items()))
+
+    df.foreach(one)
+
+
+def console_writer(emit: Callable[[str], None] = _print):
+    """Writer for ``fan_out`` and ``foreachBatch``: every row of the batch is printed."""
     def write(df: DataFrame, batch_id: int) -> None:
-        print(f"-- batch {batch_id}")
-        df.show(num_rows, truncate=False)
+        print_rows(df, emit)
     return write

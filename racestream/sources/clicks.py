@@ -6,31 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from racestream.schemas import CLICK_SCHEMA
 
-EVENTS_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
-
-def read_events(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """The driver's ``events`` table.
-
-    With ``spread``, an input that scans into fewer splits than the cluster has
-    cores (one small file, one row group) is spread round-robin over all cores
-    before the CPU-heavy work; a large input already has enough splits and is
-    left untouched (no extra shuffle).
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return spread_small_input(df) if spread else df
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cores when its scan has fewer splits than cores."""
-    from racestream.session import cores as cluster_cores
-
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the plan as it is
-        return df
-    n = cluster_cores(df.sparkSession)
-    return df.repartition(n) if splits < n else df
+def read_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """The driver's ``events`` table, static or as a file stream."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    static = spark.read.parquet(path)
+    if not stream:
+        return static
+    # a file stream reads a folder or a glob; this glob matches exactly the one path
+    return spark.readStream.schema(static.schema).parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
 
 
 def clicks_from_events(events: DataFrame) -> DataFrame:
@@ -38,10 +22,19 @@ def clicks_from_events(events: DataFrame) -> DataFrame:
 
     ``user.accountId`` (one literal dotted key) is the user id, or -1, the
     anonymous marker, for events of type ``error``; ``page`` is the event type.
+    Of every 50 events five have a body that the parser must reject: single
+    quotes, a numeric string, a number beyond 32 bits, no JSON, none at all.
     Event time is ``ts``; ``seq`` (the event id) breaks ties.
     """
     account = F.when(F.col("event_type") == "error", F.lit(-1).cast("long")).otherwise(F.col("user_id"))
-    body = F.to_json(F.struct(account.alias("user.accountId"), F.col("event_type").alias("page")))
+    good = F.to_json(F.struct(account.alias("user.accountId"), F.col("event_type").alias("page")))
+    kind = F.col("event_id") % 50
+    body = (F.when(kind == 0, F.lit("{'user.accountId':5}"))
+            .when(kind == 1, F.lit('{"user.accountId":"77"}'))
+            .when(kind == 2, F.lit('{"user.accountId":3000000000}'))
+            .when(kind == 3, F.lit("junk"))
+            .when(kind == 4, F.lit(None).cast("string"))
+            .otherwise(good))
     return events.select(body.alias("value"), F.col("ts"), F.col("event_id").alias("seq"))
 
 

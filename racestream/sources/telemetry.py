@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from racestream.options import TelemetryOptions
-from racestream.schemas import TARGETS_SCHEMA
 
 TOPIC = "f1-telemetry-drivers"
 
@@ -23,6 +22,8 @@ def read_kafka(spark: SparkSession, opts: TelemetryOptions, stream: bool = True)
               .option("kafka.bootstrap.servers", opts.bootstrap_servers)
               .option("subscribe", opts.topic)
               .option("startingOffsets", opts.starting_offsets))
+    if stream and opts.max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", opts.max_offsets_per_trigger)
     for k, v in opts.kafka_options.items():
         reader = reader.option(k, v)
     try:
@@ -64,8 +65,11 @@ def kafka_layout_from_events(events: DataFrame, topic: str = TOPIC) -> DataFrame
     ``props``), lap = 1 + hour, lap distance = 10 x value (one decimal), speed =
     3k, fuel = k, fuel laps = k mod 10, lateral g = value / 100 (four decimals),
     longitudinal g = its negative. Events with k = 0 become undecodable
-    messages of five kinds (null, empty, junk, ``{}``, no driver id), which the
-    decoder must drop. Kafka ``timestamp`` = event time, ``offset`` = event id.
+    messages of nine kinds (null, empty, junk, ``{}``, no driver id, a position
+    that is text, too large or a fraction, single quotes), which the decoder
+    must drop. The topic has three partitions: event id mod 3, with the
+    offset = event id div 3 counted in each; ``timestamp`` is the event time cut
+    to the hour, so times tie within and across partitions.
     """
     src = events.select("event_id", "ts", "user_id", "event_type", "value", _k().alias("k"))
     k = F.col("k")
@@ -96,24 +100,27 @@ def kafka_layout_from_events(events: DataFrame, topic: str = TOPIC) -> DataFrame
     parts.append(F.lit("}"))
     good = F.concat(*parts)
     no_driver = F.concat(F.lit('{"session_id":'), fields[0][1], F.lit("}"))
-    kind = F.col("event_id") % 5
+    kind = F.col("event_id") % 9
+
+    def with_position(text):
+        return F.concat(F.lit('{"session_id":'), fields[0][1], F.lit(',"driver_id":"DRIVER_07","car_position":' + text + "}"))
+
     bad = (F.when(kind == 0, F.lit(None).cast("string"))
            .when(kind == 1, F.lit(""))
            .when(kind == 2, F.lit("bad"))
            .when(kind == 3, F.lit("{}"))
+           .when(kind == 4, with_position('"abc"'))
+           .when(kind == 5, with_position("70000"))
+           .when(kind == 6, with_position("2.5"))
+           .when(kind == 7, F.lit("{'driver_id':'DRIVER_07','car_position':3}"))
            .otherwise(no_driver))
     body = F.when(k == 0, bad).otherwise(good)
     return src.select(
         F.lit(None).cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").alias("timestamp"),
+        (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 3).alias("offset"),
+        F.date_trunc("hour", "ts").cast(events.schema["ts"].dataType).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
-
-
-def telemetry_targets(spark: SparkSession, rows) -> DataFrame:
-    """A targets table ``(session_id, target_id)`` from Python rows."""
-    return spark.createDataFrame(list(rows), TARGETS_SCHEMA)

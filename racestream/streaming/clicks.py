@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from racestream.functions.time import instant_to_ntz, ntz_to_instant
 from racestream.operators import clicks as C
 from racestream.options import ClickOptions
 from racestream.session import scoped_conf
-from racestream.sinks.writers import batch_folder_writer, console_writer, fan_out
+from racestream.sinks.writers import batch_folder_writer, console_writer, fan_out, require_matching_checkpoint
 
 
 def with_event_time(clicks: DataFrame, opts: ClickOptions, ts: str = "ts") -> DataFrame:
@@ -24,6 +24,26 @@ def with_event_time(clicks: DataFrame, opts: ClickOptions, ts: str = "ts") -> Da
     return clicks.withWatermark(ts, opts.watermark_delay)
 
 
+def with_end_marker(clicks: DataFrame, marker_dir: str) -> DataFrame:
+    """The click stream together with the marker folder (see ``write_end_marker``)."""
+    markers = clicks.sparkSession.readStream.schema(clicks.schema).parquet(marker_dir)
+    return clicks.unionByName(markers)
+
+
+def write_end_marker(spark: SparkSession, clicks: DataFrame, marker_dir: str, end: bool = True) -> None:
+    """Say in ``marker_dir`` that the input has ended (``end=False``: only make the folder).
+
+    The marker is an anonymous click of the year 9999. The watermark sits before
+    the filter that drops it, so it moves past every window and closes them all;
+    clicks that come later on the same checkpoint are late.
+    """
+    kind = clicks.schema["ts"].dataType
+    row = spark.range(1 if end else 0).select(
+        F.lit('{"user.accountId":%d}' % C.ANONYMOUS).alias("value"),
+        F.to_timestamp(F.lit("9999-12-31 00:00:00")).cast(kind).alias("ts"), F.lit(-1).cast("long").alias("seq"))
+    row.write.mode("append").parquet(marker_dir)
+
+
 QUALITY_METRICS = "click_quality"
 
 
@@ -55,7 +75,9 @@ def start_click_job(clicks: DataFrame, opts: ClickOptions, output_base: str, che
                     state_partitions: int | None = None) -> StreamingQuery:
     """Run the click job: every closed window goes to the high-count and the
     low-count text sinks (``Tenclickusers`` and ``Nineclickusers`` folders) and,
-    when enabled, to the console. One state store serves all sinks."""
+    when enabled, to the console. One state store serves all sinks. Batch ids
+    belong to the checkpoint: a new one on existing output is refused."""
+    require_matching_checkpoint(clicks.sparkSession, output_base, C.SINK_FOLDERS.values(), checkpoint)
     counts = windowed_counts_stream(clicks, opts)
     branches = {
         "ten": lambda b: C.as_lines(C.ten_or_more(b, opts)),

@@ -19,11 +19,11 @@ def test_cli_clicks_batch_and_stream(spark, tmpdir_path):
         fh.write("WindowSizeMins:10\nWindowSlideSecs:600\nConsoleOutput:False\n"
                  "TenOrMoreThreshold:10\nNineOrLessThreshold:9\n")
     run(["clicks", "--input", src, "--output", f"{tmpdir_path}/out", "--properties", props], spark)
-    ten = [x.strip() for f in glob.glob(f"{tmpdir_path}/out/bucket=Tenclickusers/part-*") for x in open(f)]
+    ten = [x.strip() for f in glob.glob(f"{tmpdir_path}/out/bucket=Tenclickusers/batch_id=0/part-*") for x in open(f)]
     assert ten == ["99"]
     run(["clicks", "--input", src, "--output", f"{tmpdir_path}/sout", "--properties", props, "--stream",
          "--checkpoint", f"{tmpdir_path}/ck", "--available-now"], spark)
-    assert glob.glob(f"{tmpdir_path}/sout/Nineclickusers/batch_id=*")
+    assert glob.glob(f"{tmpdir_path}/sout/bucket=Nineclickusers/batch_id=*")
 
 
 def test_cli_telemetry_jobs(spark, tmpdir_path):
@@ -32,6 +32,9 @@ def test_cli_telemetry_jobs(spark, tmpdir_path):
     for job in ("monitor-gap", "find-follower", "measure-gap", "status"):
         run([job, "--input", src, "--output", f"{tmpdir_path}/{job}", "--target", DRIVER_TABLES_TARGET], spark)
         assert spark.read.parquet(f"{tmpdir_path}/{job}").count() > 0
+    run(["find-follower", "--input", src, "--output", f"{tmpdir_path}/ff", "--target", DRIVER_TABLES_TARGET,
+         "--stream", "--checkpoint", f"{tmpdir_path}/ffck", "--available-now"], spark)
+    assert spark.read.parquet(f"{tmpdir_path}/ff").count() == spark.read.parquet(f"{tmpdir_path}/find-follower").count()
     run(["gap-csv", "--input", src, "--output", f"{tmpdir_path}/csv", "--target", DRIVER_TABLES_TARGET], spark)
     assert glob.glob(f"{tmpdir_path}/csv/*.csv")
     run(["measure-gap", "--input", src, "--output", f"{tmpdir_path}/mg", "--target", DRIVER_TABLES_TARGET,

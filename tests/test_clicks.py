@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import Row, functions as F
@@ -124,13 +125,22 @@ def test_overlapping_thresholds(spark):
     assert route(spark, rows, opts) == (["44"], ["44"])
 
 
-def test_sliding_alignment_when_slide_does_not_divide_size(spark):
-    opts = ClickOptions(window_size_mins=1, window_slide_secs=10).replace()
-    # 60 s / 10 s: an event at :05 lies in the 6 windows starting -50 .. 0
-    got = counts_of(spark, [click(1, 5000, 1)], opts).collect()
-    starts = sorted((r.window_start - T0).total_seconds() for r in got)
-    assert starts == [-50, -40, -30, -20, -10, 0]
-    assert all((r.window_end - r.window_start).total_seconds() == 60 for r in got)
+def test_slide_that_does_not_divide_the_size(spark):
+    opts = ClickOptions(window_size_mins=1, window_slide_secs=25)
+    rng = random.Random(2)
+    rows = [click(rng.randint(1, 3), rng.randint(0, 300_000), i) for i in range(80)]
+    epoch, want = dt.datetime(1970, 1, 1), {}
+    for body, ts, seq in rows:
+        t = (ts - epoch).total_seconds()
+        start = t // 25 * 25
+        while start > t - 60:  # windows are half-open and aligned to the epoch
+            want.setdefault((json.loads(body)["user.accountId"], epoch + dt.timedelta(seconds=start)), []).append((ts, seq, body))
+            start -= 25
+    authed = C.authenticated(C.parse_clicks(frame(spark, rows)))
+    counts = {(r.account_id, r.window_start): r.n for r in C.click_counts(authed, opts).collect()}
+    first = {(r.account_id, r.window_start): (r.n, r.first_raw) for r in C.first_events(authed, opts).collect()}
+    assert counts == {k: len(v) for k, v in want.items()}
+    assert first == {k: (len(v), min(v)[2]) for k, v in want.items()}
 
 
 def test_sliding_counts_every_covering_window(spark):

@@ -1,25 +1,39 @@
-"""The split plan gives exactly the rows of the one-task-per-key plan."""
+"""The split plan gives exactly the rows of the sequential state machine."""
 
 import random
 
 import pytest
 
-from racestream.operators.neighbours import track_neighbours
+from racestream.operators.neighbours import STATE_OUT_COLUMNS, NeighbourState, fold_id, step, track_neighbours
 from tests.test_telemetry import GOLDEN, TARGET, random_events, tel, tel_rows
 
 
-def _rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+def sequential(rows, targets):
+    """(session, target, seq, state columns) of telemetry rows, one key after the other."""
+    out = []
+    for target in targets:
+        for session in {r[0] for r in rows}:
+            st = NeighbourState()
+            for r in sorted((r for r in rows if r[0] == session), key=lambda r: (r[1], r[2])):
+                if step(st, fold_id(target), r[3], r[6], r[7], r[8], r[9], (r[4], r[12], r[13])):
+                    out.append((session, target, r[2], *st.output()))
+                    st.last_follower_id = st.follower[0]
+    return sorted(out, key=repr)
 
 
-def test_split_golden(spark):
-    df = tel(spark, tel_rows(GOLDEN))
-    assert _rows(track_neighbours(df, TARGET, num_partitions=4, strategy="split")) == \
-        _rows(track_neighbours(df, TARGET))
+def tracked(df, targets, slices):
+    out = track_neighbours(df, targets, num_partitions=slices)
+    return sorted((tuple(r) for r in out.select("session_id", "target_id", "seq", *STATE_OUT_COLUMNS).collect()), key=repr)
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_golden(spark, slices):
+    rows = tel_rows(GOLDEN)
+    assert tracked(tel(spark, rows), [TARGET], slices) == sequential(rows, [TARGET])
 
 
 @pytest.mark.parametrize("seed,slices,batch", [(1, 7, 10000), (2, 16, 5), (3, 31, 3)])
-def test_split_equals_hash_random(spark, seed, slices, batch):
+def test_hot_and_small_sessions(spark, seed, slices, batch):
     rng = random.Random(seed)
     rows = []
     # one hot session, several small ones, two targets
@@ -32,37 +46,47 @@ def test_split_equals_hash_random(spark, seed, slices, batch):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
     try:
-        want = _rows(track_neighbours(df, [TARGET, "D1"], num_partitions=3))
-        got = _rows(track_neighbours(df, [TARGET, "D1"], num_partitions=slices, strategy="split"))
+        got = tracked(df, [TARGET, "D1"], slices)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-    assert got == want and len(want) > 100
+    assert got == sequential(rows, [TARGET, "D1"]) and len(got) > 100
 
 
-def test_auto_picks_split_for_a_hot_key(spark):
-    rng = random.Random(5)
-    rows = tel_rows(random_events(rng, 400), "hot") + tel_rows(random_events(rng, 10), "small")
-    df = tel(spark, rows)
-    want = _rows(track_neighbours(df, TARGET))
-    got = _rows(track_neighbours(df, TARGET, num_partitions=8, strategy="auto", min_split_rows=100))
-    assert got == want
+def test_slices_without_output_carry_the_previous_follower(spark):
+    # the tracked cars fall silent for many slices in the middle of the race
+    quiet = [(100 + i, f"Q{i % 5}", 0, 10.0, 100) for i in range(400)]
+    ev = GOLDEN + quiet + [(600 + s, d, p, x, v) for s, d, p, x, v in GOLDEN]
+    rows = tel_rows(ev)
+    got = tracked(tel(spark, rows), [TARGET], 25)
+    assert got == sequential(rows, [TARGET])
 
 
-def test_split_with_negative_positions_and_case(spark):
+def test_negative_positions_and_case(spark):
     rng = random.Random(11)
     names = [TARGET, TARGET.lower(), "D1", "d1", "D2", "D3"]
     ev = [(i + 1, rng.choice(names), rng.randint(-3, 7), float(rng.randint(0, 900)), rng.randint(0, 300))
           for i in range(700)]
-    df = tel(spark, tel_rows(ev, "one"))
-    want = _rows(track_neighbours(df, TARGET, strategy="hash"))
-    got = _rows(track_neighbours(df, TARGET, num_partitions=23, strategy="split"))
-    assert got == want and len(want) > 50
+    rows = tel_rows(ev, "one")
+    got = tracked(tel(spark, rows), [TARGET], 23)
+    assert got == sequential(rows, [TARGET]) and len(got) > 50
 
 
-def test_null_session_is_one_key_in_both_plans(spark):
+def test_null_session_is_one_key(spark):
     rng = random.Random(4)
     rows = tel_rows(random_events(rng, 300), None) + tel_rows(random_events(rng, 200), "s1")
-    df = tel(spark, rows)
-    want = _rows(track_neighbours(df, TARGET, strategy="hash"))
-    got = _rows(track_neighbours(df, TARGET, num_partitions=9, strategy="split"))
-    assert got == want and any(r[0] is None for r in want)
+    got = tracked(tel(spark, rows), [TARGET], 9)
+    assert got == sequential(rows, [TARGET]) and any(r[0] is None for r in got)
+
+
+def test_order_is_total_over_partitions(spark):
+    """Same time and offset on three partitions: the rows do not depend on the input's order."""
+    from pyspark.sql import functions as F
+
+    ev = [(1, TARGET, 5, 100.0, 200), (1, "A", 6, 90.0, 190), (1, "B", 4, 120.0, 210)]
+    seen = set()
+    for order in ([0, 1, 2], [2, 1, 0], [1, 2, 0]):
+        parts = [tel(spark, tel_rows([ev[i]])).withColumn("partition", F.lit(i)) for i in order]
+        df = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        out = track_neighbours(df, TARGET).orderBy("partition").select("partition", "follower_driver_id", "leader_driver_id")
+        seen.add(tuple(tuple(r) for r in out.collect()))
+    assert seen == {((1, "A", "NOLEADER"), (2, "A", "B"))}

@@ -25,7 +25,7 @@ def test_click_counts_one_shuffle_partial_count_pruned_scan(spark):
     keyed = [e for e in re.findall(r"Arguments: (hashpartitioning\([^)]*\))", text)]
     assert len(keyed) == 1 and "account_id" in keyed[0]
     assert "partial_count(1)" in text
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
 
 
 def test_routes_read_the_aggregate_once(spark):
@@ -43,20 +43,22 @@ def test_decode_parses_each_message_once(spark):
     assert filters and not any("from_json" in f for f in filters)
 
 
-def test_neighbours_one_keyed_shuffle_and_no_window_for_changes(spark):
-    text = plan(Q.q_follower_changes(spark, SMALL))
-    keyed = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
-    assert len(keyed) == 1 and "session_id" in keyed[0] and "target_id" in keyed[0]
-    assert "Window" not in text and "MapInArrow" in text
+def test_neighbours_run_in_slices_and_changes_need_no_window(spark):
+    for query in (Q.q_neighbours, Q.q_gaps, Q.q_gap_report, Q.q_gap_csv, Q.q_follower_changes, Q.q_adjacent_pairs):
+        text = plan(query(spark, SMALL))
+        # the sorted slices are read from the checkpoint: no shuffle on a key is left
+        assert "MapInArrow" in text and "Window" not in text and "Exchange" not in text
+        assert "slice" in text
 
 
-def test_targets_table_broadcast_only_under_its_limit(spark):
-    from racestream.operators.neighbours import attach_targets
-    tel = Q.telemetry(spark, SMALL)
-    targets = spark.createDataFrame([("2024-01-01", "DRIVER_07")], "session_id string, target_id string")
-    assert "BroadcastHashJoin" in plan(attach_targets(tel, targets))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" not in plan(attach_targets(tel, targets, max_broadcast_rows=0))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_first_events_expand_panes_not_clicks(spark):
+    physical = plan(Q.q_click_first_event(spark, SMALL)).split("\n\n")[0]
+    # bottom up: the clicks are aggregated into panes before any expansion into windows
+    lines = [x for x in physical.splitlines() if "Aggregate" in x or "Expand" in x or "Generate" in x]
+    expand = [i for i, x in enumerate(lines) if "Expand" in x]
+    assert expand and all("Aggregate" in x for x in lines[expand[-1] + 1:expand[-1] + 3])
+
+
+def test_batch_queries_add_no_round_robin(spark):
+    for query in (Q.q_click_counts_sliding, Q.q_telemetry_decode):
+        assert "roundrobin" not in plan(query(spark, SMALL)).lower()

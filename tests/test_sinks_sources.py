@@ -21,7 +21,7 @@ def test_replayed_batch_is_not_duplicated(spark, tmpdir_path):
     write = batch_folder_writer(tmpdir_path, "Tenclickusers")
     write(df, 3)
     write(df, 3)  # the same micro-batch again, as after a failure
-    assert _lines(f"{tmpdir_path}/Tenclickusers/batch_id=3") == ["7", "8"]
+    assert _lines(f"{tmpdir_path}/bucket=Tenclickusers/batch_id=3") == ["7", "8"]
 
 
 def test_fan_out_sends_every_branch(spark, tmpdir_path):
@@ -41,9 +41,17 @@ def test_kafka_source_needs_servers(spark):
 
 
 def test_kafka_source_without_connector(spark):
-    opts = TelemetryOptions(bootstrap_servers="localhost:1")
-    try:
-        read_kafka(spark, opts)
-    except RuntimeError as exc:
-        assert "connector" in str(exc)
-    # with the connector on the classpath the stream is created lazily (no connection yet)
+    with pytest.raises(RuntimeError, match="connector"):  # not on the classpath of the tests
+        read_kafka(spark, TelemetryOptions(bootstrap_servers="localhost:1"))
+
+
+def test_telemetry_settings_file(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t.properties"
+    with open(path, "w") as fh:
+        fh.write("KafkaPort:9093\nstartFromLatest:true\nDriverName=KIMI\nCheckpointDir:/x\nOther:1\n")
+    opts = TelemetryOptions.from_properties(path, idle_timeout="1 hour")
+    assert (opts.bootstrap_servers, opts.starting_offsets, opts.target_ids, opts.checkpoint_dir, opts.idle_timeout) == (
+        "localhost:9093", "latest", ("KIMI",), "/x", "1 hour")
+    with open(path, "w") as fh:
+        fh.write("KafkaPort:many\n")
+    assert TelemetryOptions.from_properties(path) == TelemetryOptions() == TelemetryOptions.from_properties(None)

@@ -115,7 +115,7 @@ def test_split_plan_matches_rule_table(spark, sessions, slices):
     from racestream.operators.neighbours import track_neighbours
     df = _spark_rows(spark, sessions)
     got = {}
-    for r in track_neighbours(df, TARGET, num_partitions=slices, strategy="split").collect():
+    for r in track_neighbours(df, TARGET, num_partitions=slices).collect():
         got.setdefault(r.session_id, []).append(
             (r.seq, r.me_driver_id, r.me_car_position, r.follower_driver_id, r.follower_car_position,
              r.leader_driver_id, r.leader_car_position))
