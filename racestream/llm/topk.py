@@ -31,6 +31,7 @@ from .common import materialise, table
 
 SHARD_VECTORS, CHUNK_QUERIES, BLOCK_VECTORS = 4096, 1024, 128
 _LIMIT = float(1 << 62)
+_LONG = (-(1 << 63), (1 << 63) - 1)
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: float = 256.0) -> DataFrame:
@@ -94,18 +95,16 @@ class BlockIndex:
             scores = rows[s:e] @ query
             if len(best) == k:
                 near = np.flatnonzero(scores >= best[-1][0])
-            elif len(scores) > k + 1:
+            elif len(scores) > k + 1 and scores.dtype != object:
                 near = np.flatnonzero(scores >= np.partition(scores, -(k + 1))[-(k + 1)])
             else:
                 near = np.arange(len(scores))
-            best += [(int(scores[i]), int(self.ids[s + i]), int(self.uids[s + i])) for i in near if self.uids[s + i] != uid]
+            best += [(min(max(int(scores[i]), _LONG[0]), _LONG[1]), int(self.ids[s + i]), int(self.uids[s + i])) for i in near if self.uids[s + i] != uid]
             best = sorted(best, key=lambda x: (-x[0], x[1], x[2]))[:k]
         return best, scored
 
 
 def _search(k: int):
-    long_top, long_low = (1 << 63) - 1, -(1 << 63)
-
     def search(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(vectors) and len(queries):
@@ -116,7 +115,7 @@ def _search(k: int):
             rows, exact_q = _exact(index.rows, q)
             for uid, qid, query, bounds in zip(queries.query_uid, queries.query_id, exact_q, index.bounds(q)):
                 best, scored = index.top(query, uid, bounds, rows, k)
-                out += [(uid, qid, u, i, min(max(s, long_low), long_top), scored, len(index.spans)) for s, i, u in best]
+                out += [(uid, qid, u, i, s, scored, len(index.spans)) for s, i, u in best]
         return pd.DataFrame(out, columns=["query_uid", "query_id", "uid", "vec_id", "score", "scored", "blocks"])
     return search
 

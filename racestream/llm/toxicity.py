@@ -11,7 +11,7 @@ Learned from at most ``SAMPLE`` labelled rows (chosen by a hash of the id):
 
 * *entries*: word starts of ``STARTS`` letters (shorter words whole) that occur in
   a minimum share of the toxic rows, at least ``MIN_LIFT`` times as often (in log
-  odds) as in the others, and after several different words, so that copies of
+  odds) as in the others, more often than chance would have it, and after several different words, so that copies of
   one passage do not make entries. Of nested entries the longest that still has
   nearly all occurrences stays. The weight is the log odds ratio;
 * *exceptions*: two-word phrases around an entry that are rather found in clean rows;
@@ -38,6 +38,8 @@ from .common import SLICE_ROWS, fold, map_text, table
 SAMPLE = 50_000
 STARTS = range(4, 11)
 MIN_LIFT = 3.0
+#: nats by which an entry's toxic share must beat chance (Chernoff): one in a million
+MIN_EVIDENCE = 13.8
 MIN_SHARE, MIN_DOCS, MIN_NEIGHBOURS = 0.005, 4, 4
 THRESHOLD = 0.7
 _FLUSH = 300_000
@@ -185,9 +187,19 @@ def _lift(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
     return log((toxic + 0.5) / (n_toxic + 1)) - log((clean + 0.5) / (n_clean + 1))
 
 
+def _evidence(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
+    """n * KL(toxic share || share of all toxic rows): minus the log of how likely chance gives as much."""
+    n, p = toxic + clean, n_toxic / (n_toxic + n_clean)
+    q = toxic / n
+    if q <= p:
+        return 0.0
+    return toxic * log(q / p) + (clean * log((1 - q) / (1 - p)) if clean else 0.0)
+
+
 def choose_entries(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
     """{term: weight} from {term: (toxic, clean)}: strong terms, of nested ones the longest that keeps the occurrences."""
-    strong = {t: w for t, (a, b) in counts.items() if (w := _lift(a, b, n_toxic, n_clean)) >= MIN_LIFT}
+    strong = {t: w for t, (a, b) in counts.items() if (w := _lift(a, b, n_toxic, n_clean)) >= MIN_LIFT
+              and _evidence(a, b, n_toxic, n_clean) >= MIN_EVIDENCE}
     chosen: dict[str, float] = {}
     for term in sorted(strong, key=lambda t: (len(t), t)):
         if any(term[:n] in strong for n in range(STARTS[0] + 1, len(term))):

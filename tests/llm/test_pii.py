@@ -52,7 +52,7 @@ def bootstrap_rows():
 def test_confident_patterns_discover_what_formats_miss(spark):
     docs = spark.createDataFrame(bootstrap_rows(), DOCS)
     patterns = pii.learn_patterns(docs)
-    assert patterns["call desk"][0] == 3 and patterns["call desk"][1] >= pii.CONFIDENT
+    assert patterns["call desk:"][0] == 3 and patterns["call desk:"][1] >= pii.CONFIDENT
     found = {r.doc_id: r for r in pii.extract(docs, ["doc_id"], patterns, redact=True)
              .select("row.doc_id", "spans", "redacted").collect()}
     for i, text, *_ in bootstrap_rows():

@@ -32,9 +32,10 @@ def corpus(n=300, rate=4):
     for i in range(n):
         w, bad = words(rng, 40), i % rate == 0
         if bad:
-            for _ in range(3):
-                w[rng.randrange(40)] = rng.choice(["idiot", "ідіоt"[:0] + "1diot", "scum", "m0ron"])
-        elif i % 5 == 0:
+            for at in rng.sample(range(40), 3):
+                w[at] = rng.choice(["idiot", "1diot", "іdiоt", "m0ron"])
+            w[rng.randrange(40)] = "scum"
+        elif i % 40 == 1:
             w[7:9] = ["no", "scum"]
         rows.append((i, " ".join(w), "en", "s", 1))
         labels.append((i, int(bad)))
