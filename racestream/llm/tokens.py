@@ -3,19 +3,49 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
+from unicodedata import is_normalized
 
 CACHE_WORDS = 1_000_000
 _PUNCTUATION = b".,!?;:|"
+_PLAIN = re.compile(rb"[!-&(-~]+")  # printable ASCII but the apostrophe, which starts contractions
+_PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 _CACHES: dict[str, "WordIds"] = {}
 
 
+def _byte_signs() -> list[str]:
+    """The printable sign that byte-level vocabularies write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs, free = [""] * 256, 256
+    for b in range(256):
+        if b in plain:
+            signs[b] = chr(b)
+        else:
+            signs[b], free = chr(free), free + 1
+    return signs
+
+
+_SIGNS = _byte_signs()
+
+
+def _letters(word: str) -> str:
+    """The lower-cased word if it is letters only, composed, before and after lower-casing; else empty."""
+    if word.isalpha() and is_normalized("NFC", word):
+        lower = "".join(map(str.lower, word))
+        if lower.isalpha():
+            return lower
+    return ""
+
+
 class WordIds(dict):
     """White-space separated chunk (ASCII lower-cased bytes) -> its ids as little-endian uint32 bytes.
 
-    The vocabulary's pre-tokenizer never crosses white space and keeps letters
-    and punctuation apart, so a text's ids are those of its chunks in order,
-    and a word with one trailing mark is the word, then the mark. At the size
+    The vocabulary's pre-tokenizer never crosses white space and splits runs of
+    letters, single digits and runs of other signs, so a text's ids are those
+    of its chunks in order, and a chunk's are those of its runs. Chunks whose
+    runs are plain to see (letters, or printable ASCII without contractions) go
+    straight to the merges; all others through the whole tokenizer. At the size
     limit the cache starts afresh, which costs time only.
     """
 
@@ -25,18 +55,34 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
 
     def __missing__(self, chunk: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        if len(chunk) > 1 and chunk[-1] in _PUNCTUATION and chunk[:-1].isalpha():
-            ids = self[chunk[:-1]] + self[chunk[-1:]]
-        else:
-            ids = self.encode(chunk.decode())
+        ids = self._ids(chunk)
         if len(chunk) <= 64:
             self[chunk] = ids
         return ids
 
+    def _ids(self, chunk: bytes) -> bytes:
+        if len(chunk) > 512:
+            return self.encode(chunk.decode())
+        if _PLAIN.fullmatch(chunk):
+            runs = _PIECES.findall(chunk)
+            return self._merged(chunk) if len(runs) == 1 else b"".join([self[r] for r in runs])
+        word = chunk.decode()
+        lower = _letters(word)
+        if lower:
+            return self._merged(lower.encode())
+        if chunk[-1] in _PUNCTUATION and _letters(word[:-1]):
+            return self[chunk[:-1]] + self[chunk[-1:]]
+        return self.encode(word)
+
+    def _merged(self, run: bytes) -> bytes:
+        """Ids of one run of the pre-tokenizer."""
+        return array("I", [t.id for t in self.merges.tokenize("".join([_SIGNS[b] for b in run]))]).tobytes()
+
     def encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
