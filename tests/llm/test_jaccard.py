@@ -56,10 +56,8 @@ def copies(seed, groups, sizes, rate):
 
 
 @pytest.mark.parametrize("seed,sizes,kind", [
-    (1, [4, 5, 8, 12, 15, 18, 25], dict(width=4, num=85, den=100)),
-    (2, [30, 60, 200], dict(width=4, num=85, den=100)),
+    (1, [4, 5, 8, 12, 15, 18, 25, 60, 200], dict(width=4, num=85, den=100)),
     (3, [5, 9, 14, 22, 40, 90], dict(width=5, num=80, den=100)),
-    (4, [6, 10, 20, 40], dict(width=2, num=50, den=100)),
 ])
 def test_against_all_pairs(spark, seed, sizes, kind):
     rows = copies(seed, 25, sizes, 0.02)
@@ -68,7 +66,7 @@ def test_against_all_pairs(spark, seed, sizes, kind):
     assert classes(spark, rows, **kind) == want
 
 
-@pytest.mark.parametrize("boundary", [0, 3, 11])
+@pytest.mark.parametrize("boundary", [0, 11])
 def test_any_boundary_finds_the_same(spark, monkeypatch, boundary):
     monkeypatch.setattr(jj, "choose_boundary", lambda *a: boundary)
     rows = copies(5, 20, [4, 6, 9, 13, 16, 30], 0.03)
