@@ -15,11 +15,13 @@ smaller than num/den of the other.
   to emit against list entries to scan (prefix length times the mean list length).
 
 Lists are never expanded into all pairs. First each member is compared with its
-list's smallest member; verified links give components. Then only members of one
-list that are still in *different* components are compared with each other, so
-a large group of copies costs about its size, and no link between texts that
-are not already connected is lost. Sizes and positions prune candidates; what
-is left is verified on the whole texts. Exact copies are one set from the start.
+list's pivot, the member with the fewest shingles of its own; verified links
+give components. Then only members of one list that are still in *different*
+components are compared with each other, so a large group of copies costs
+about its size, and no link between texts that are not already connected is
+lost. Sizes, and how many keys before a common one no other set lists, prune
+candidates in the lists, whole prefixes the pairs; what is left is verified on
+the whole texts. Exact copies are one set from the start.
 
 The order uses the counts of shingles that repeat within parts of the input
 (the ``FREQUENT`` most common, broadcast). It decides which keys are scanned, not
@@ -35,16 +37,17 @@ the class of its set if a row with an id has it. Repeated rows each get a result
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import chain, combinations
 from math import comb
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SLICE_ROWS, materialise, table
 from .components import components
+from .url_filter import build_filter, might_contain
 
 FREQUENT = 65_536
 MAX_BOUNDARY = 24
@@ -70,16 +73,20 @@ def _sequence_hash(columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def shingle_set(text: bytes | None, width: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a whole text."""
-    words = words_of(text)
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_digest, words), np.uint64, n)
-    if n < width:
-        return _sequence_hash([h[i:i + 1] for i in range(n)])
-    return np.unique(_sequence_hash([h[i:n - width + 1 + i] for i in range(width)]))
+def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of whole texts."""
+    lists = [words_of(t) for t in texts]
+    total = sum(map(len, lists))
+    flat = np.fromiter(map(_digest, chain.from_iterable(lists)), np.uint64, total)
+    rolled = _sequence_hash([flat[i:total - width + 1 + i] for i in range(width)]) if total >= width else flat
+    out, at = [], 0
+    for n in map(len, lists):
+        if n >= width:
+            out.append(np.unique(rolled[at:at + n - width + 1]))
+        else:
+            out.append(_sequence_hash([flat[at + i:at + i + 1] for i in range(n)]) if n else np.empty(0, np.uint64))
+        at += n
+    return out
 
 
 class Threshold:
@@ -154,8 +161,7 @@ def _summaries(width: int):
         parts, held = [], 0
         for ids, texts in _batches(batches):
             n, d0, d1 = [], [], []
-            for t in texts:
-                s = shingle_set(t, width)
+            for s in shingle_sets(texts, width):
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 n.append(len(s))
                 d0.append(_signed(d >> 64))
@@ -173,50 +179,82 @@ def _summaries(width: int):
     return run
 
 
-def list_keys(s: np.ndarray, boundary: int, at: Threshold, frequent: np.ndarray, rank: np.ndarray):
-    """(keys, positions) under which a set is listed; position -1: a subset's key.
+def _weights(s: np.ndarray, shared) -> np.ndarray:
+    """Place of shingles in the order, before their hash: 0, or 1 + rank for frequent ones."""
+    frequent, rank = shared
+    if not len(frequent):
+        return np.zeros(len(s), np.int64)
+    found = np.searchsorted(frequent, s)
+    found[found == len(frequent)] = 0
+    return np.where(frequent[found] == s, rank[found] + 1, 0)
 
-    frequent: sorted shingles, rank: their place in the order (all others come first).
+
+def prefix_of(s: np.ndarray, at: Threshold, shared) -> np.ndarray:
+    """The first shingles of a set in the order, as many as may have to be scanned."""
+    return s[np.lexsort((s, _weights(s, shared)))][:at.prefix(len(s))]
+
+
+def subset_keys(s: np.ndarray, boundary: int, at: Threshold) -> list[int]:
+    """One key for every subset of every size that a light pair may have to share."""
+    return list({_signed(_digest(np.array([c, *subset], np.uint64).tobytes()))
+                 for c in at.subset_sizes(len(s), boundary) for subset in combinations(s.tolist(), c)})
+
+
+def most_common(p: np.ndarray, s: int, q: np.ndarray, t: int, shared) -> int:
+    """An upper bound of the shingles that two sets share, from their prefixes and sizes.
+
+    Up to the smaller of both last places the prefixes are complete, so there
+    the number of common shingles is known.
     """
-    n = len(s)
-    keys, places = [], []
-    if n and at.smallest(n) <= boundary:
-        for c in at.subset_sizes(n, boundary):
-            for subset in combinations(s.tolist(), c):
-                keys.append(_signed(_digest(np.array([c, *subset], np.uint64).tobytes())))
-        keys = list(dict.fromkeys(keys))
-        places = [-1] * len(keys)
-    if n > boundary:
-        found = np.searchsorted(frequent, s)
-        found[found == len(frequent)] = 0
-        hit = frequent[found] == s if len(frequent) else np.zeros(n, bool)
-        weight = np.where(hit, rank[found] + 1, 0) if len(frequent) else np.zeros(n, np.int64)
-        first = s[np.lexsort((s, weight))][:at.prefix(n)]
-        keys += first.view(np.int64).tolist()
-        places += range(len(first))
-    return keys, places
-
-
-def _postings(width: int, boundary: int, at: Threshold, shared):
-    """Rows key, node, size << 32 | position + 1. A set already listed by this task is not listed again."""
+    wp, wq = _weights(p, shared), _weights(q, shared)
+    cut_w, cut_h = min((wp[-1], p[-1]), (wq[-1], q[-1]))
+    p = p[(wp < cut_w) | ((wp == cut_w) & (p <= cut_h))]
+    q = q[(wq < cut_w) | ((wq == cut_w) & (q <= cut_h))]
+    return len(np.intersect1d(p, q, assume_unique=True)) + min(s - len(p), t - len(q))
+
+
+def _signatures(width: int, boundary: int, at: Threshold, shared):
+    """Rows node, n, prefix (of sets above the boundary), subsets (keys for light pairs)."""
     import pyarrow as pa
 
+    def lists(parts):
+        ends = np.cumsum([0, *map(len, parts)])
+        values = np.concatenate([*parts, np.empty(0, np.int64)]) if parts else np.empty(0, np.int64)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.astype(np.int64)))
+
     def run(batches):
-        frequent, rank = shared.value
-        seen: set[bytes] = set()
+        none = np.empty(0, np.int64)
         for ids, texts in _batches(batches):
-            key, node, place = [], [], []
-            for i, t in zip(ids, texts):
-                s = shingle_set(t, width)
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                if i is None or not len(s) or digest in seen:
+            node, n, prefix, subsets = [], [], [], []
+            for i, s in zip(ids, shingle_sets(texts, width)):
+                if i is None or not len(s):
                     continue
-                seen.add(digest)
-                keys, places = list_keys(s, boundary, at, frequent, rank)
-                key += keys
-                node += [i] * len(keys)
-                place += [len(s) << 32 | p + 1 for p in places]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key, node, place)], ["key", "node", "place"])
+                node.append(i)
+                n.append(len(s))
+                prefix.append(prefix_of(s, at, shared.value).view(np.int64) if len(s) > boundary else none)
+                light = at.smallest(len(s)) <= boundary
+                subsets.append(np.array(subset_keys(s, boundary, at), np.int64) if light else none)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node, pa.int64()), pa.array(n, pa.int64()), lists(prefix), lists(subsets)],
+                ["node", "n", "prefix", "subsets"])
+    return run
+
+
+def _plausible(at: Threshold, shared):
+    """From (a, b, n_a, prefix_a, n_b, prefix_b) the pairs that the prefixes do not rule out."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            ids = batch.select([0, 1, 2, 4]).to_pydict()
+            pa_list, pb_list = batch.column(3), batch.column(5)
+            for k, (a, b, s, t) in enumerate(zip(*ids.values())):
+                p = pa_list[k].values.to_numpy().view(np.uint64)
+                q = pb_list[k].values.to_numpy().view(np.uint64)
+                if not len(p) or not len(q) or most_common(p, s, q, t, shared.value) >= at.common(s, t):
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
     return run
 
 
@@ -225,37 +263,56 @@ def _verified(width: int, at: Threshold):
     import pyarrow as pa
 
     def run(batches):
-        last, last_set = None, None
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
+            for start in range(0, batch.num_rows, SLICE_ROWS // 2):
+                a, b, left, right = (c.to_pylist() for c in batch.slice(start, SLICE_ROWS // 2).columns)
+                known = list(dict.fromkeys(left))  # the pairs of one a come together
+                sets = dict(zip(known, shingle_sets(known, width)))
                 out = []
-                for a, b, x, y in zip(*(part.column(i).to_pylist() for i in range(4))):
-                    if last_set is None or x != last:
-                        last, last_set = x, shingle_set(x, width)
-                    s = shingle_set(y, width)
-                    both = len(np.intersect1d(last_set, s, assume_unique=True))
-                    if both and at.den * both >= at.num * (len(last_set) + len(s) - both):
-                        out.append((a, b))
-                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+                for i, j, x, t in zip(a, b, left, shingle_sets(right, width)):
+                    s = sets[x]
+                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    if both and at.den * both >= at.num * (len(s) + len(t) - both):
+                        out.append((i, j))
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
     return run
 
 
 # ---- the join -----------------------------------------------------------------------------------
 
 def _may_link(at: Threshold):
-    """Size and position tests on the packed places ``place`` and ``place2`` of two members of a list."""
-    size = lambda c: F.shiftright(c, 32)
-    spot = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) - 1
-    s, t, i, j = size("place"), size("place2"), spot("place"), spot("place2")
-    sizes = (at.den * F.least(s, t)) >= (at.num * F.greatest(s, t))
-    most = F.least(i, j) + 1 + F.least(s - 1 - i, t - 1 - j)
-    return sizes & ((i < 0) | (j < 0) | (most * (at.num + at.den) >= at.num * (s + t)))
+    """Size and place tests on two members of a list, (n, at, before) and (n2, at2, before2).
 
+    Sets that share c shingles share one among the first n - c + 1 of both, so
+    only such common keys make a pair.
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int, at: Threshold) -> DataFrame:
-    """The pairs (a, b) whose texts link; the text of b goes to a."""
-    right = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    ``before`` counts the keys of a set before this place that any other set
+    lists as well. A key before this place that none lists is not in the other
+    set at all, or it would be listed there too. So the sets share at most the
+    smaller ``before``, this key, and what comes after it in both.
+    """
+    s, t, i, j = F.col("n"), F.col("n2"), F.col("at"), F.col("at2")
+    sizes = (at.den * F.least(s, t)) >= (at.num * F.greatest(s, t))
+    common = F.ceil(at.num * (s + t) / (at.num + at.den))
+    most = F.least("before", "before2") + 1 + F.least(s - 1 - i, t - 1 - j)
+    early = (i <= s - common) & (j <= t - common)
+    return sizes & ((i < 0) | (j < 0) | (early & (most >= common)))
+
+
+def _links(pairs: DataFrame, sets: DataFrame, source: DataFrame, width: int, at: Threshold, shared) -> DataFrame:
+    """The pairs (a, b) that link. The prefixes rule most others out; the rest is verified on whole texts."""
+    of = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("prefix").alias(f"prefix_{c}"))
+    likely = materialise(
+        pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "n_a", "prefix_a", "n_b", "prefix_b")
+        .mapInArrow(_plausible(at, shared), "a long, b long").distinct(), "likely")
+    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    # a Bloom filter of fixed size keeps most other texts out of the shuffle; the join is exact
+    bloom = build_filter(nodes.select(F.col("node").cast("string").alias("key")))
+    texts = (might_contain(source.select(F.col("doc_id").alias("node"), "text", F.col("doc_id").cast("string").alias("key"))
+                           .where("node is not null"), bloom)
+             .select("node", "text").join(nodes, "node", "left_semi"))
+    texts = materialise(texts, "texts")
+    right = likely.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = right.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verified(width, at), "a long, b long").distinct()
 
@@ -283,45 +340,46 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              sets.where(F.col("n") <= at.largest(MAX_BOUNDARY)).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, float(squares) / total if total else 0.0, at)
 
-    postings = materialise(source.mapInArrow(_postings(width, boundary, at, shared), "key long, node long, place long"),
-                           "postings")
-    pivots = (postings.groupBy("key").agg(F.min(F.struct("node", "place")).alias("pivot"), F.max("node").alias("last"))
-              .where("pivot.node < last").select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.place").alias("place2")))
-    live = materialise(postings.join(pivots, "key"), "live")
-
-    # a node's representative, so that copies of one set count as one node
-    rep_of = sets.where("doc_id is not null").join(reps, ["d0", "d1"]).groupBy("doc_id").agg(F.min("rep").alias("rep"))
-    nodes = live.select(F.col("node").alias("doc_id")).distinct()
-    rep_of_live = materialise(nodes.join(rep_of, "doc_id").toDF("node", "rep"), "reps")
-    candidates = rep_of_live.select(F.col("rep").alias("node")).distinct()
-    texts = materialise(
-        source.toDF("node", "text").join(candidates, "node", "left_semi"), "texts")
-
-    first = (live.where((F.col("node") != F.col("pivot")) & _may_link(at)).select("pivot", "node").distinct()
-             .join(rep_of_live.toDF("pivot", "a"), "pivot").join(rep_of_live.toDF("node", "b"), "node")
-             .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    first = materialise(first, "pairs")
+    # one row per distinct set: that of its smallest id
+    members = materialise(
+        source.mapInArrow(_signatures(width, boundary, at, shared), "node long, n long, prefix array<long>, subsets array<long>")
+        .join(reps.select(F.col("rep").alias("node")).distinct(), "node", "left_semi"), "members")
+    postings = (members.select(F.posexplode("prefix").alias("at", "key"), "node", "n").select("key", "node", "n", "at")
+                .union(members.select(F.explode("subsets").alias("key"), "node", "n", F.lit(-1).alias("at"))))
+    shared_keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    # a set's own keys, at most its prefix: how many come before, and how many no other set lists
+    own = Window.partitionBy("node")
+    alone = F.max("at").over(own) + 1 - F.count(F.lit(1)).over(own)
+    live = materialise(
+        postings.join(shared_keys, "key", "left_semi")
+        .withColumn("before", F.row_number().over(own.orderBy("at", "key")) - 1)
+        .withColumn("alone", F.when(F.col("at") < 0, 0).otherwise(F.floor(1000 * alone / F.col("n")))), "live")
+    # the pivot of a list: the member with the least of its own, which near copies are nearest to
+    pivots = (live.groupBy("key").agg(F.min(F.struct("alone", "node", "n", "at", "before")).alias("p"))
+              .select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("n2"), F.col("p.at").alias("at2"),
+                      F.col("p.before").alias("before2")))
+    first = materialise(live.join(pivots, "key").where((F.col("node") != F.col("pivot")) & _may_link(at))
+                        .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
     # rows that share an id but not their set tie the classes of both sets together
     several = (sets.where("doc_id is not null").groupBy("doc_id")
                .agg(F.min(F.struct("d0", "d1")).alias("x"), F.max(F.struct("d0", "d1")).alias("y"))
                .where("x <> y").select("doc_id"))
     same_id = sets.join(several, "doc_id").join(reps, ["d0", "d1"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = materialise(_links(first, texts, width, at).union(same_id), "links")
+    links = materialise(_links(first, members, source, width, at, shared).union(same_id), "links")
     labels = components(links)
 
     # members of one list that are still apart
-    label = F.coalesce("component", "rep").alias("label")
-    state = rep_of_live.join(labels.toDF("rep", "component"), "rep", "left").select("node", "rep", label)
-    members = materialise(live.select("key", "node", "place").join(state, "node")
-                          .select("key", "rep", "place", "label").distinct(), "members")
-    apart = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    open_lists = materialise(members.join(apart, "key", "left_semi"), "open")
-    other = open_lists.select("key", F.col("rep").alias("b"), F.col("place").alias("place2"), F.col("label").alias("label2"))
-    second = (open_lists.withColumnRenamed("rep", "a").join(other, "key")
+    state = (live.join(labels, "node", "left")
+             .select("key", "node", "n", "at", "before", F.coalesce("component", "node").alias("label")))
+    state = materialise(state, "state")
+    apart = state.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
+    open_lists = materialise(state.join(apart, "key", "left_semi"), "open")
+    other = open_lists.toDF("key", "b", "n2", "at2", "before2", "label2")
+    second = (open_lists.withColumnRenamed("node", "a").join(other, "key")
               .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label2")) & _may_link(at))
               .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
     second = materialise(second, "pairs")
-    links = materialise(links.union(_links(second, texts, width, at)), "links")
+    links = materialise(links.union(_links(second, members, source, width, at, shared)), "links")
     labels = components(links)
 
     classes = (reps.join(labels.toDF("rep", "component"), "rep", "left")
