@@ -382,8 +382,9 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialise(links.union(_links(second, members, source, width, at, shared)), "links")
     labels = components(links)
 
-    classes = (reps.join(labels.toDF("rep", "component"), "rep", "left")
-               .select("d0", "d1", F.coalesce("component", "rep").alias("component")))
+    # written, so that Spark can split the rows of a set with very many copies in the last join
+    classes = materialise(reps.join(labels.toDF("rep", "component"), "rep", "left")
+                          .select("d0", "d1", F.coalesce("component", "rep").alias("component")), "classes")
     return (found.where("kind = 0").join(classes, ["d0", "d1"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")))
