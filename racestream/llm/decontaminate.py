@@ -170,3 +170,32 @@ def q_op7_decontaminate(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "row.doc_id", "n_words", n_hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '" + WORD + "')")
+OP7_SQL = f"""
+WITH item AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+pattern AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m,
+         unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1),
+                               lambda i: array_to_string(ws[i:i + 9], ' '))) AS w
+  FROM item WHERE len(ws) > 0),
+doc AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+place AS (
+  SELECT doc_id, m, unnest(range(1, len(ws) - m + 2)) AS i, ws
+  FROM doc, (SELECT DISTINCT m FROM pattern) WHERE len(ws) >= m),
+hit AS (
+  SELECT doc_id, i, place.m, item_id
+  FROM place JOIN pattern p ON p.m = place.m AND p.w = array_to_string(ws[i:i + place.m - 1], ' ')),
+covered AS (
+  SELECT doc_id, count(DISTINCT pos) AS n
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS pos FROM hit) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hit GROUP BY doc_id)
+SELECT doc.doc_id, len(ws) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(f.n, 0) AS n_items,
+       sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered c ON c.doc_id = doc.doc_id LEFT JOIN found f ON f.doc_id = doc.doc_id
+"""

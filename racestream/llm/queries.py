@@ -18,5 +18,6 @@ QUERIES = {
 ORACLES = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op5_jaccard_join": jaccard_join.OP5_SQL,
+    "op7_decontaminate": decontaminate.OP7_SQL,
     "op9_topk": topk.OP9_SQL,
 }
