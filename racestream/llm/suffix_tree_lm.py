@@ -33,7 +33,6 @@ count is 0.
 from __future__ import annotations
 
 from collections import Counter
-from math import log10
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -41,13 +40,14 @@ from pyspark.sql import functions as F
 
 from .common import SLICE_ROWS, fold, map_text, materialise, table
 
-DEPTH = 6
+DEPTH = 5
 P_MIN = 2e-6
 KEPT_SHARE = 16
 GAIN_BITS = 4.0
-COMMON = 1 << 18
+COMMON = 1 << 17
 END = "\n"
-_HELD_GRAMS, _HELD_WORDS = 1 << 22, 1 << 19
+_HELD_GRAMS, _HELD_WORDS = 1 << 21, 1 << 18
+_MEMO = 1 << 20
 _BYTE = np.uint64(8)
 
 
@@ -139,6 +139,25 @@ class SuffixTree:
         self.root = np.full(256, 1 / 256)
         #: per depth from 1: sorted retained contexts, their escape factor; sorted grams, their probability
         self.levels: list[tuple] = []
+        #: grams scored before in this process, sorted, and their log10 probabilities
+        self._memo = np.empty(0, np.uint64), np.empty(0)
+
+    def _logs(self, distinct: np.ndarray) -> np.ndarray:
+        """log10 probability of sorted distinct grams; most have been seen in earlier texts."""
+        keys, values = self._memo
+        at = np.searchsorted(keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = at < len(keys)
+        known[inside] = keys[at[inside]] == distinct[inside]
+        out = np.empty(len(distinct))
+        out[known] = values[at[known]]
+        fresh = ~known
+        out[fresh] = np.log10(self.lookup(distinct[fresh]))
+        if len(keys) + fresh.sum() > _MEMO:
+            self._memo = distinct, out
+        else:
+            self._memo = np.insert(keys, at[fresh], distinct[fresh]), np.insert(values, at[fresh], out[fresh])
+        return out
 
     def lookup(self, packed: np.ndarray, levels: int | None = None) -> np.ndarray:
         """Probability of the last byte of each gram."""
@@ -183,7 +202,7 @@ class SuffixTree:
         data = stream(lists, self.depth)
         packed, at = grams(data, self.depth)
         distinct, inverse = np.unique(packed, return_inverse=True)
-        logs = np.log10(self.lookup(distinct))[inverse]
+        logs = self._logs(distinct)[inverse]
         ends = np.flatnonzero(data == 10)
         starts = np.searchsorted(at, np.r_[0, ends[:-1] + 1])
         return np.add.reduceat(logs, starts)
@@ -234,15 +253,16 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
     tree = train(counts.where("gram is not null").select("gram", "n"), depth, p_min)
 
     total, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    common = words.orderBy(F.desc("n"), "word").limit(COMMON).collect()
-    least = common[-1]["n"] if common else 0
+    common = words.orderBy(F.desc("n"), "word").limit(COMMON).select(F.col("word").cast("binary"), "n").toArrow()
+    least = common["n"][-1].as_py() if len(common) else 0
     floor = total + 1 * (vocabulary + 1)
-    lookup = {r["word"].encode(): log10((r["n"] + 1) / floor) for r in common}
-    shared = spark.sparkContext.broadcast((tree, lookup))
+    logs_of_common = np.log10((common["n"].to_numpy() + 1) / floor)
+    shared = spark.sparkContext.broadcast((tree, common["word"].combine_chunks(), logs_of_common))
     end = END.encode()
 
     def make():
-        tree, lookup = shared.value
+        tree, known_words, known_logs = shared.value
+        lookup = dict(zip(known_words.to_pylist(), known_logs.tolist()))
 
         def run(texts):
             lists = [words_of(t) for t in texts]
