@@ -38,7 +38,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
 
-    from racestream.session import build_session, ship_package
+    from racestream.session import build_session, clear_scratch, ship_package
     from racestream.plans.queries import QUERIES
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
@@ -68,6 +68,7 @@ def main() -> None:
         "min_max": spread,
         "runs": runs,
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -68,10 +68,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared one."""
+    return f"{checkpoint_root(spark).rstrip('/')}/racestream/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the shared folder, unique per call."""
-    root = checkpoint_root(spark).rstrip("/")
-    return "/".join([root, "racestream", *parts, uuid.uuid4().hex])
+    return "/".join([_scratch_root(spark), *parts, uuid.uuid4().hex])
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables.
+
+    For the end of a job, when its results are written: frames that read a
+    scratch table (results of the registered stream queries and of the
+    training-data operators) cannot be read afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _context(spark: SparkSession):

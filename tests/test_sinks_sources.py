@@ -55,3 +55,14 @@ def test_telemetry_settings_file(spark, tmpdir_path):
     with open(path, "w") as fh:
         fh.write("KafkaPort:many\n")
     assert TelemetryOptions.from_properties(path) == TelemetryOptions() == TelemetryOptions.from_properties(None)
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from racestream.session import clear_scratch, scratch_path
+    from racestream.sinks.writers import path_exists
+
+    path = scratch_path(spark, "test")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    clear_scratch(spark)
+    assert not path_exists(spark, path)
