@@ -6,20 +6,21 @@ The tree predicts the next byte from the longest *retained* suffix of the up to
 
 * counts: every (DEPTH + 1)-gram of the training texts, summed by Spark; shorter
   contexts are sums over their extensions;
-* a context is a candidate if its share of all positions is at least ``P_MIN``,
-  so each depth has at most 1/P_MIN candidates, however large the corpus;
+* a context is a candidate if it occurs ``MIN_CONTEXT`` times, at every size of
+  the corpus (below MIN_CONTEXT / P_MIN positions: if its share is at least ``P_MIN``);
 * *divergence test*: a candidate is retained if its own next-byte distribution
   saves at least ``GAIN_BITS`` bits per distinct successor on the training
   positions against the distribution of the suffix it extends;
 * *smoothing*: a retained context s gives
-  P(c|s) = (n(sc) + e(s) P(c|suffix)) / (n(s) + t(s)), with t(s) the number of
-  distinct successors and e(s) all mass that is not kept as n(sc); only
-  successors with a share of at least P_MIN / 16 are kept. The root is add-one
-  over 256 bytes. Each distribution sums to one.
+  P(c|s) = (n(sc) + t(s) P(c|suffix)) / (n(s) + t(s)), with t(s) the number of
+  distinct successors. The root is add-one over 256 bytes. Each distribution
+  sums to one.
 
 A text's score is the log10 probability of its bytes, end sign included. Every
-training position is counted; the tree is what its thresholds leave, a bounded
-table that is broadcast to the scorers.
+training position is counted, and contexts and grams stay in Spark tables that
+grow with the corpus: level by level, each distinct gram of the texts gets its
+probability by a join with the level of its suffix. Texts find the ``CACHED``
+most frequent grams in a broadcast table; all their other grams are joined.
 
 The word counts behind the unigram base score are exact and grow with the
 corpus: the ``COMMON`` most frequent words are looked up in a broadcast table, all
@@ -35,19 +36,19 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SLICE_ROWS, fold, map_text, materialise, table
 
 DEPTH = 5
 P_MIN = 2e-6
-KEPT_SHARE = 16
+MIN_CONTEXT = 32
 GAIN_BITS = 4.0
 COMMON = 1 << 17
+CACHED = 1 << 21
 END = "\n"
 _HELD_GRAMS, _HELD_WORDS = 1 << 21, 1 << 18
-_MEMO = 1 << 20
 _BYTE = np.uint64(8)
 
 
@@ -80,84 +81,71 @@ def grams(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(depth: int):
-    """Rows word, gram, n: words (gram null) and grams (word null) of one part of the input."""
+    """Rows word, gram, n, seen: words (gram null) and grams (word null) of one part of the input.
+    n counts training texts (second column true), seen all texts; words are those of training texts."""
     import pyarrow as pa
 
-    names = ["word", "gram", "n"]
+    names = ["word", "gram", "n", "seen"]
 
-    def merged(keys, counts):
-        k = np.concatenate(keys)
+    def merged(parts):
+        k = np.concatenate([p[0] for p in parts])
         order = np.argsort(k)
-        k, c = k[order], np.concatenate(counts)[order]
+        k = k[order]
         first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-        return [k[first]], [np.add.reduceat(c, first)]
+        return k[first], *[np.add.reduceat(np.concatenate([p[i] for p in parts])[order], first) for i in (1, 2)]
 
     def word_rows(words):
+        n = pa.array(list(words.values()), pa.int64())
         return pa.RecordBatch.from_arrays([
-            pa.array([w.decode() for w in words], pa.string()), pa.nulls(len(words), pa.int64()),
-            pa.array(list(words.values()), pa.int64())], names)
+            pa.array([w.decode() for w in words], pa.string()), pa.nulls(len(words), pa.int64()), n, n], names)
 
-    def gram_rows(keys, counts):
+    def gram_rows(keys, n, seen):
         return pa.RecordBatch.from_arrays([
-            pa.nulls(len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names)
+            pa.nulls(len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n), pa.array(seen)], names)
 
     def run(batches):
         words: Counter = Counter()
-        keys, counts, held = [], [], 0
+        parts, held = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
-                lists = [words_of(t) for t in batch.column(0).slice(at, SLICE_ROWS).to_pylist()]
-                for w in lists:
+                part = batch.slice(at, SLICE_ROWS)
+                split = [], []
+                for t, training in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    split[training].append(words_of(t))
+                for w in split[True]:
                     words.update(w)
-                words[END.encode()] += len(lists)
-                k, c = np.unique(grams(stream(lists, depth), depth)[0], return_counts=True)
-                keys.append(k)
-                counts.append(c)
-                held += len(k)
+                if split[True]:
+                    words[END.encode()] += len(split[True])
+                for training, lists in enumerate(split):
+                    if lists:
+                        k, c = np.unique(grams(stream(lists, depth), depth)[0], return_counts=True)
+                        c = c.astype(np.int64)
+                        parts.append((k, c * training, c))
+                        held += len(k)
                 if held > _HELD_GRAMS:
-                    keys, counts = merged(keys, counts)
-                    held = len(keys[0])
+                    parts = [merged(parts)]
+                    held = len(parts[0][0])
                     if held > _HELD_GRAMS // 2:
-                        yield gram_rows(keys[0], counts[0])
-                        keys, counts, held = [], [], 0
+                        yield gram_rows(*parts[0])
+                        parts, held = [], 0
                 if len(words) > _HELD_WORDS:
                     yield word_rows(words)
                     words = Counter()
         if words:
             yield word_rows(words)
-        if keys:
-            keys, counts = merged(keys, counts)
-            yield gram_rows(keys[0], counts[0])
+        if parts:
+            yield gram_rows(*merged(parts))
     return run
 
 
 class SuffixTree:
-    """Next-byte log10 probabilities by the longest retained suffix."""
+    """Next-byte probabilities by the longest retained suffix: the tree of small counts, in memory."""
 
     def __init__(self, depth: int):
         self.depth = depth
         self.root = np.full(256, 1 / 256)
         #: per depth from 1: sorted retained contexts, their escape factor; sorted grams, their probability
         self.levels: list[tuple] = []
-        #: grams scored before in this process, sorted, and their log10 probabilities
-        self._memo = np.empty(0, np.uint64), np.empty(0)
-
-    def _logs(self, distinct: np.ndarray) -> np.ndarray:
-        """log10 probability of sorted distinct grams; most have been seen in earlier texts."""
-        keys, values = self._memo
-        at = np.searchsorted(keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(keys)
-        known[inside] = keys[at[inside]] == distinct[inside]
-        out = np.empty(len(distinct))
-        out[known] = values[at[known]]
-        fresh = ~known
-        out[fresh] = np.log10(self.lookup(distinct[fresh]))
-        if len(keys) + fresh.sum() > _MEMO:
-            self._memo = distinct, out
-        else:
-            self._memo = np.insert(keys, at[fresh], distinct[fresh]), np.insert(values, at[fresh], out[fresh])
-        return out
 
     def lookup(self, packed: np.ndarray, levels: int | None = None) -> np.ndarray:
         """Probability of the last byte of each gram."""
@@ -202,40 +190,69 @@ class SuffixTree:
         data = stream(lists, self.depth)
         packed, at = grams(data, self.depth)
         distinct, inverse = np.unique(packed, return_inverse=True)
-        logs = self._logs(distinct)[inverse]
+        logs = np.log10(self.lookup(distinct))[inverse]
         ends = np.flatnonzero(data == 10)
         starts = np.searchsorted(at, np.r_[0, ends[:-1] + 1])
         return np.add.reduceat(logs, starts)
 
 
-def train(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain_bits: float = GAIN_BITS) -> SuffixTree:
-    """The tree from the (depth + 1)-gram counts ``gram, n``."""
-    tree = SuffixTree(depth)
-    level, levels = counts, {}
-    for d in range(depth, 0, -1):
-        mask = (1 << 8 * (d + 1)) - 1
-        if d < depth:
-            level = materialise(level.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram"))
-                                .agg(F.sum("n").alias("n")), "grams")
-        levels[d] = level
-    root = levels[1].groupBy(F.col("gram").bitwiseAND(F.lit(255)).alias("b")).agg(F.sum("n").alias("n")).collect()
-    total = sum(r["n"] for r in root)
-    tree.root = np.full(256, 1 / (total + 256))
-    for r in root:
-        tree.root[r["b"]] = (r["n"] + 1) / (total + 256)
-    least = p_min * total
+def gram_scores(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN,
+                gain_bits: float = GAIN_BITS) -> DataFrame:
+    """``gram, seen, p``: the probability of the last byte of every gram of ``counts`` (``gram, n, seen``).
+
+    The tree is never in one place: the rows of level d are the distinct (d + 1)-grams, joined to the
+    rows of their suffixes in level d - 1. A context has at most 256 successors and a suffix at most 256
+    extensions, so no group or key is large.
+    """
+    def suffix(d):
+        return F.col("gram").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1))
+
+    levels = {depth: counts}
+    for d in range(depth - 1, -1, -1):
+        levels[d] = materialise(levels[d + 1].groupBy(suffix(d).alias("gram")).agg(F.sum("n").alias("n")), "grams")
+    total = levels[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = min(MIN_CONTEXT, p_min * total)
+    scored = levels[0].select(F.col("gram").alias("suffix"), ((F.col("n") + 1) / F.lit(float(total + 256))).alias("parent"))
     for d in range(1, depth + 1):
-        context = F.shiftrightunsigned("gram", 8)
-        candidates = (levels[d].groupBy(context.alias("context"))
-                      .agg(F.sum("n").alias("context_n"), F.count(F.lit(1)).alias("successors"))
-                      .where(F.col("context_n") >= least))
-        # at most 1/p_min contexts and KEPT_SHARE/p_min grams, by the two shares
-        kept = (levels[d].where(F.col("n") >= least / KEPT_SHARE).withColumn("context", context)
-                .join(candidates, "context").select("gram", "n", "context_n", "successors").toArrow().to_pandas()
-                .sort_values("gram"))
-        tree.add_level(kept.gram.to_numpy(np.int64).view(np.uint64), kept.n.to_numpy(float),
-                       kept.context_n.to_numpy(), kept.successors.to_numpy(), gain_bits)
-    return tree
+        context = Window.partitionBy("context")
+        rows = (levels[d].withColumn("suffix", suffix(d - 1)).join(scored, "suffix")
+                .withColumn("context", F.shiftrightunsigned("gram", 8))
+                .withColumn("context_n", F.sum("n").over(context))
+                .withColumn("successors", F.sum(F.signum("n")).over(context)))
+        own = ((F.col("n") + F.col("successors") * F.col("parent"))
+               / F.greatest(F.col("context_n") + F.col("successors"), F.lit(1.0)))
+        gain = F.when(F.col("n") > 0, F.col("n") * F.log2(F.col("own") / F.col("parent"))).otherwise(0.0)
+        rows = rows.withColumn("own", own).withColumn("gain", F.sum(gain).over(context))
+        retained = ((F.col("context_n") > 0) & (F.col("context_n") >= F.lit(float(least)))
+                    & (F.col("gain") >= gain_bits * F.col("successors")))
+        p = F.when(retained, F.col("own")).otherwise(F.col("parent"))
+        if d < depth:
+            scored = rows.select(F.col("gram").alias("suffix"), p.alias("parent"))
+    return rows.select("gram", "seen", p.alias("p"))
+
+
+def _cached_scores(lists, depth: int, cached_grams: np.ndarray, cached_logs: np.ndarray):
+    """Sum of the cached grams' log10 probabilities of each word list, and its other grams as lists of gram, f."""
+    import pyarrow as pa
+
+    data = stream(lists, depth)
+    packed, at = grams(data, depth)
+    text = np.searchsorted(np.flatnonzero(data == 10), at)
+    distinct, inverse = np.unique(packed, return_inverse=True)
+    i = np.searchsorted(cached_grams, distinct)
+    known = np.zeros(len(distinct), bool)
+    inside = i < len(cached_grams)
+    known[inside] = cached_grams[i[inside]] == distinct[inside]
+    logs = np.zeros(len(distinct))
+    logs[known] = cached_logs[i[known]]
+    scores = np.bincount(text, weights=logs[inverse], minlength=len(lists))
+    other = np.flatnonzero(~known[inverse])
+    pairs, f = np.unique(text[other].astype(np.int64) * len(distinct) + inverse[other], return_counts=True)
+    owner, gram = np.divmod(pairs, max(len(distinct), 1))
+    offsets = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(lists)))].astype(np.int32)
+    structs = pa.StructArray.from_arrays(
+        [pa.array(distinct[gram].view(np.int64)), pa.array(f.astype(np.int32))], ["gram", "f"])
+    return scores.tolist(), pa.ListArray.from_arrays(pa.array(offsets), structs)
 
 
 def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str = "text",
@@ -245,23 +262,36 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
     training: which rows the model learns from.
     """
     spark = docs.sparkSession
-    counts = (docs.where(training).select(F.col(f"`{text}`").cast("binary"))
-              .mapInArrow(_counted(depth), "word string, gram long, n long")
-              .groupBy("word", "gram").agg(F.sum("n").alias("n")))
+    counts = (docs.select(F.col(f"`{text}`").cast("binary"), F.coalesce(training, F.lit(False)).alias("training"))
+              .mapInArrow(_counted(depth), "word string, gram long, n long, seen long")
+              .groupBy("word", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")))
     counts = materialise(counts, "counts")
     words = counts.where("word is not null").select("word", "n")
-    tree = train(counts.where("gram is not null").select("gram", "n"), depth, p_min)
+    every_gram = counts.where("gram is not null").select("gram", "n", "seen")
+    # sixteen steps of frequency to a doubling: the cached grams are those from some step on
+    every_gram = materialise(gram_scores(every_gram, depth, p_min).select(
+        "gram", "p", F.floor(F.log2("seen") * 16).cast("int").alias("step")), "scores")
+    room, least_step = CACHED, 1 << 30
+    for r in every_gram.groupBy("step").count().orderBy(F.desc("step")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least_step = r["step"]
+    cached = every_gram.where(F.col("step") >= least_step).select("gram", F.log10("p").alias("log")).toArrow()
+    cached_grams = cached["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(cached_grams)
+    cached_grams, cached_logs = cached_grams[order], cached["log"].to_numpy()[order]
 
     total, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     common = words.orderBy(F.desc("n"), "word").limit(COMMON).select(F.col("word").cast("binary"), "n").toArrow()
     least = common["n"][-1].as_py() if len(common) else 0
     floor = total + 1 * (vocabulary + 1)
     logs_of_common = np.log10((common["n"].to_numpy() + 1) / floor)
-    shared = spark.sparkContext.broadcast((tree, common["word"].combine_chunks(), logs_of_common))
+    shared = spark.sparkContext.broadcast((cached_grams, cached_logs, common["word"].combine_chunks(), logs_of_common))
     end = END.encode()
 
     def make():
-        tree, known_words, known_logs = shared.value
+        cached_grams, cached_logs, known_words, known_logs = shared.value
         lookup = dict(zip(known_words.to_pylist(), known_logs.tolist()))
 
         def run(texts):
@@ -280,22 +310,30 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
                 known.append(k)
                 logs.append(s)
                 rare.append(others)
-            return n_tokens, known, logs, rare, tree.score(lists).tolist()
+            return n_tokens, known, logs, rare, *_cached_scores(lists, depth, cached_grams, cached_logs)
         return run
 
     scored = map_text(docs, text, keep, make,
-                      "n_tokens long, known long, logs double, rare array<struct<word:string,f:int>>, score double")
+                      "n_tokens long, known long, logs double, rare array<struct<word:string,f:int>>, "
+                      "score double, rare_grams array<struct<gram:bigint,f:int>>")
     scored = materialise(scored.withColumn("uid", F.monotonically_increasing_id()), "scored")
-    # words beyond the common ones: each has at most 1/COMMON of the training tokens
+    # words beyond the common ones: each has at most 1/COMMON of the training tokens; so with grams and CACHED
     rest = scored.select("uid", F.inline("rare"))
     others = words.where(F.col("n") <= least)
-    by_row = (rest.join(others, "word", "left").groupBy("uid").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("f")).otherwise(0)).alias("more"),
-        F.sum(F.col("f") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(floor)))).alias("more_logs")))
+    more_words = rest.join(others, "word", "left").select(
+        "uid", F.when(F.col("n").isNotNull(), F.col("f")).otherwise(0).alias("more"),
+        (F.col("f") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(floor)))).alias("more_logs"),
+        F.lit(0.0).alias("more_score"))
+    more_grams = (scored.select("uid", F.inline("rare_grams"))
+                  .join(every_gram.where(F.col("step") < least_step), "gram")
+                  .select("uid", F.lit(0), F.lit(0.0), F.col("f") * F.log10("p")))
+    by_row = more_words.union(more_grams).groupBy("uid").agg(
+        *[F.sum(c).alias(c) for c in ("more", "more_logs", "more_score")])
     return scored.join(by_row, "uid", "left").select(
         "row", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
 
 
 def q_op2_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -105,6 +105,20 @@ def test_spark_tree_equals_the_plain_one(spark):
     assert [got[i] for i in range(len(TEXTS))] == pytest.approx(want.tolist())
 
 
+@pytest.mark.parametrize("cached", [1 << 21, 20, 0])
+def test_support_does_not_grow_with_the_corpus(spark, monkeypatch, cached):
+    """Contexts with 40 occurrences count, whatever their share, and also where their grams are not cached."""
+    monkeypatch.setattr(lm, "CACHED", cached, raising=False)
+    rows = [(i, t.decode(), None, None, None) for i, t in enumerate(TEXTS * 40 + [b"the unseen cat"])]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = lm.score_texts(docs, ["doc_id"], F.col("doc_id") < 40 * len(TEXTS), depth=3, p_min=0.5)
+    got = {r.doc_id: r.score for r in out.select("row.doc_id", "score").collect()}
+    tree = tree_of(TEXTS * 40, gain=lm.GAIN_BITS)
+    assert sum(len(level[0]) for level in tree.levels) > 0
+    want = tree.score([lm.words_of(r[1].encode()) for r in rows])
+    assert [got[r[0]] for r in rows] == pytest.approx(want.tolist())
+
+
 def test_no_rows_and_no_training(spark):
     docs = messy(spark)
     assert spark_scores(docs.limit(0), F.lit(True)) == []
