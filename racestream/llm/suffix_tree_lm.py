@@ -41,14 +41,14 @@ from pyspark.sql import functions as F
 
 from .common import SLICE_ROWS, fold, map_text, materialise, table
 
-DEPTH = 5
+DEPTH = 6
 P_MIN = 2e-6
 MIN_CONTEXT = 32
 GAIN_BITS = 4.0
 COMMON = 1 << 17
 CACHED = 1 << 21
 END = "\n"
-_HELD_GRAMS, _HELD_WORDS = 1 << 21, 1 << 18
+_HELD_GRAMS, _HELD_WORDS = 1 << 20, 1 << 18
 _BYTE = np.uint64(8)
 
 
@@ -126,8 +126,13 @@ def _counted(depth: int):
                     parts = [merged(parts)]
                     held = len(parts[0][0])
                     if held > _HELD_GRAMS // 2:
-                        yield gram_rows(*parts[0])
-                        parts, held = [], 0
+                        # the frequent ones stay, to be summed further
+                        k, n, seen = parts[0]
+                        out = np.ones(held, bool)
+                        out[np.argpartition(seen, -(_HELD_GRAMS // 4))[-(_HELD_GRAMS // 4):]] = False
+                        yield gram_rows(k[out], n[out], seen[out])
+                        parts = [(k[~out], n[~out], seen[~out])]
+                        held = len(parts[0][0])
                 if len(words) > _HELD_WORDS:
                     yield word_rows(words)
                     words = Counter()

@@ -119,6 +119,14 @@ def test_support_does_not_grow_with_the_corpus(spark, monkeypatch, cached):
     assert [got[r[0]] for r in rows] == pytest.approx(want.tolist())
 
 
+def test_registered_depth_sees_six_bytes_back(spark):
+    rows = [(i, t, None, None, None) for i, t in enumerate(["pabcdep", "qabcdeq"] * 60 + ["pabcdeq"])]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = lm.score_texts(docs, ["doc_id"], F.col("doc_id") < 120)
+    got = {r.doc_id: r.score for r in out.select("row.doc_id", "score").collect()}
+    assert got[0] > got[120] + 1
+
+
 def test_no_rows_and_no_training(spark):
     docs = messy(spark)
     assert spark_scores(docs.limit(0), F.lit(True)) == []
