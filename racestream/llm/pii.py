@@ -12,8 +12,9 @@ weighted bipartite graph over the whole corpus, which Spark scores in rounds:
 
 Patterns of high confidence then discover identifiers that the formats miss: a
 following token with a digit or @ and of at least ``MIN_LENGTH`` characters.
-A pattern needs a minimum share of its kind's seeds as support, so there are at
-most 1/``MIN_SHARE`` patterns of a length and kind: a bounded broadcast.
+A pattern needs ``MIN_SEEDS`` distinct seeds as support, at every size of the
+corpus. What follows the patterns is counted in passes of about ``PASS_PATTERNS``
+of them; the confident ones are collected and broadcast.
 
 Spans are in code points, end exclusive. Matches are leftmost and do not overlap
 within a kind; one that fails its test is dropped without a retry. Discovered
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ from .common import SLICE_ROWS, map_text, materialise, table
 
 # The kinds, in their order.
 KINDS = ["email", "ip", "card", "phone"]
-MIN_SHARE, MIN_SEEDS = 1e-4, 5
+MIN_SEEDS, PASS_PATTERNS = 5, 200_000
 CONFIDENT, ROUNDS = 0.8, 3
 MIN_LENGTH = 5
 _FLUSH = 200_000
@@ -190,19 +192,18 @@ def learn_patterns(docs: DataFrame, text: str = "text") -> dict[str, tuple[int,
     schema = "pattern string, kind int, instance string, n long"
     seeds = materialise(source.mapInArrow(_seed_contexts, schema)
                         .groupBy("pattern", "kind", "instance").agg(F.sum("n").alias("n")), "seeds")
-    # distinct seeds of each kind and of each pattern
-    least = {r["kind"]: max(MIN_SEEDS, MIN_SHARE * r["n"]) for r in
-             seeds.select("kind", "instance").distinct().groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not least:
+    supported = materialise(seeds.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
+                            .where(F.col("seeds") >= MIN_SEEDS).select("pattern").distinct(), "supported")
+    passes = -(-supported.count() // PASS_PATTERNS)
+    if not passes:
         return {}
-    enough = F.coalesce(*[F.when(F.col("kind") == k, F.lit(float(v))) for k, v in least.items()])
-    supported = (seeds.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
-                 .where(F.col("seeds") >= enough).select("pattern").distinct().collect())
-    if not supported:
-        return {}
-    shared = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in supported))
-    edges = materialise(source.mapInArrow(_followers(shared), schema)
-                        .groupBy("pattern", "kind", "instance").agg(F.sum("n").alias("n")), "edges")
+    parts = []
+    for i in range(passes):
+        own = supported.where(F.pmod(F.hash("pattern"), F.lit(passes)) == i).collect()
+        shared = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in own))
+        parts.append(materialise(source.mapInArrow(_followers(shared), schema)
+                                 .groupBy("pattern", "kind", "instance").agg(F.sum("n").alias("n")), "edges"))
+    edges = reduce(DataFrame.union, parts)
     totals = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
     found = edges.where("kind >= 0").groupBy("pattern", "kind").agg(F.sum("n").alias("w"))
     unseen = edges.where("kind = -1").select("pattern", "instance", "n")
@@ -218,7 +219,7 @@ def learn_patterns(docs: DataFrame, text: str = "text") -> dict[str, tuple[int,
         scores = (unseen.join(conf, "pattern").groupBy("instance", "kind").agg((1 - F.exp(miss)).alias("score")))
         scores = materialise(scores, "instances")
     best = (conf.groupBy("pattern").agg(F.max(F.struct("confidence", "kind")).alias("b"))
-            .where(F.col("b.confidence") >= CONFIDENT).collect())  # of the supported patterns, which are bounded
+            .where(F.col("b.confidence") >= CONFIDENT).collect())
     return {r["pattern"]: (r["b"]["kind"], r["b"]["confidence"]) for r in best}
 
 

@@ -65,6 +65,15 @@ def test_confident_patterns_discover_what_formats_miss(spark):
             assert spans == [] and found[i].redacted == text
 
 
+def test_support_does_not_grow_with_the_seeds(spark, monkeypatch):
+    """Six numbers make a pattern beside 70,000 others, also in passes of few patterns."""
+    monkeypatch.setattr(pii, "PASS_PATTERNS", 1, raising=False)
+    many = [doc(i, " ".join(f"+1 555 {100_0000 + 700 * i + j} w" for j in range(700))) for i in range(100)]
+    few = [doc(1000 + i, f"please ring +44 20 7946 {1000 + i} x") for i in range(6)]
+    patterns = pii.learn_patterns(spark.createDataFrame(many + few, DOCS))
+    assert patterns["please ring"][0] == 3 and patterns["w"][0] == 3
+
+
 def test_common_words_are_no_patterns(spark):
     rows = [doc(i, f"the the the the a@b{i}.com the the") for i in range(50)]
     assert pii.learn_patterns(spark.createDataFrame(rows, DOCS)) == {}
