@@ -11,7 +11,9 @@ weighted bipartite graph over the whole corpus, which Spark scores in rounds:
 * in the next round such instances count for the patterns they follow.
 
 Patterns of high confidence then discover identifiers that the formats miss: a
-following token with a digit or @ and of at least ``MIN_LENGTH`` characters.
+following token with a digit or @ and of at least ``MIN_LENGTH`` characters, or
+the run of digit groups and separators that starts there, spaces included, of at
+least ``MIN_LENGTH`` digits.
 A pattern needs ``MIN_SEEDS`` distinct seeds as support, at every size of the
 corpus. What follows the patterns is counted in passes of about ``PASS_PATTERNS``
 of them; the confident ones are collected and broadcast.
@@ -48,8 +50,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_TOKEN_END = re.compile(r"[\x20\x09-\x0D.,;!?()\[\]{}<>\"']")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_RUN = re.compile(r"\+?\(?[0-9](?:[\x20().-]*+[0-9])*+")
 _EDGE = ".,;!?()[]{}<>\"'"
+_BEFORE_RUN = _EDGE.replace("(", "")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -114,6 +119,24 @@ def _candidate(token: str) -> bool:
     return len(token) >= MIN_LENGTH and ("@" in token or bool(_DIGIT.search(token)))
 
 
+def _candidate_at(text: str, s: int, e: int, base) -> tuple[int, int] | None:
+    """The place of the candidate that starts in the token at s to e, if there is one. A run of digit
+    groups may go on over spaces, up to the next span of a format and never into part of a token."""
+    token = text[s:e]
+    run = _RUN.match(text, s + len(token) - len(token.lstrip(_BEFORE_RUN)))
+    if run and run.end() > e:
+        start, end = run.span()
+        end = min([end, *(bs for _, bs, _ in base if bs > start)])
+        if end == run.end() and end < len(text) and not _TOKEN_END.match(text, end):
+            end = max(text.rfind(" ", start, end), start)
+        end = start + len(text[start:end].rstrip(" ().-"))
+        if end > e and len(_digits(text[start:end])) >= MIN_LENGTH:
+            return start, end
+    s += len(token) - len(token.lstrip(_EDGE))
+    e -= len(token) - len(token.rstrip(_EDGE))
+    return (s, e) if e > s and _candidate(text[s:e]) else None
+
+
 def _texts(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -174,8 +197,8 @@ def _followers(shared):
                     if s in starts:
                         kind, end = starts[s]
                         counts[p, kind, text[s:end].lower()] += 1
-                    elif _candidate(token := text[s:e].strip(_EDGE)):
-                        counts[p, -1, token.lower()] += 1
+                    elif place := _candidate_at(text, s, e, spans):
+                        counts[p, -1, text[slice(*place)].lower()] += 1
                     else:
                         counts[p, -2, ""] += 1
             if len(counts) > _FLUSH:
@@ -228,15 +251,15 @@ def all_spans(text: str, patterns: dict) -> list[tuple[int, int, int, bool]]:
     base = base_spans(text)
     out = [(k, s, e, True) for k, s, e in base]
     if patterns:
+        done = 0
         for s, e, before in _tokens(text):
             known = [patterns[p] for p in before if p in patterns]
-            if not known:
+            if s < done or not known:
                 continue
-            token = text[s:e]
-            s += len(token) - len(token.lstrip(_EDGE))
-            e -= len(token) - len(token.rstrip(_EDGE))
-            if e > s and _candidate(text[s:e]) and all(e <= bs or be <= s for _, bs, be in base):
-                out.append((max(known, key=lambda x: x[1])[0], s, e, False))
+            place = _candidate_at(text, s, e, base)
+            if place and all(place[1] <= bs or be <= place[0] for _, bs, be in base):
+                out.append((max(known, key=lambda x: x[1])[0], *place, False))
+                done = place[1]
     return sorted(out)
 
 

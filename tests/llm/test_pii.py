@@ -74,6 +74,32 @@ def test_support_does_not_grow_with_the_seeds(spark, monkeypatch):
     assert patterns["please ring"][0] == 3 and patterns["w"][0] == 3
 
 
+def test_candidates_cross_spaces():
+    patterns = {"call": (3, 0.9), "card:": (2, 0.9)}
+
+    def found(text):
+        return [(k, text[s:e]) for k, s, e, base in pii.all_spans(text, patterns) if not base]
+
+    assert found("call (017) 555-7713, please") == [(3, "(017) 555-7713")]
+    assert found("call 0171 555 7713.") == [(3, "0171 555 7713")]
+    assert found("card: 4111 1111 1111 1112 x") == [(2, "4111 1111 1111 1112")]
+    assert found("call 01715 557713 4x now") == [(3, "01715 557713")]
+    assert found("call 12345 1.2.3.4") == [(3, "12345")]
+    assert found("call 12 34 x") == [] and found("call ext-7000, 5") == [(3, "ext-7000")]
+    assert found("see 0171 555 7713") == []
+    patterns["line 2"] = (3, 0.9)
+    assert found("line 2 01715557713") == [(3, "01715557713")]
+
+
+def test_spaced_numbers_are_unseen_instances_of_their_pattern():
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    batch = pa.RecordBatch.from_arrays([pa.array([b"call (017) 555-7713 now", b"call 0171 555 7713"])], ["text"])
+    rows = [r for b in pii._followers(SimpleNamespace(value=frozenset(["call"])))([batch]) for r in b.to_pylist()]
+    assert sorted((r["kind"], r["instance"], r["n"]) for r in rows) == [(-1, "(017) 555-7713", 1), (-1, "0171 555 7713", 1)]
+
+
 def test_common_words_are_no_patterns(spark):
     rows = [doc(i, f"the the the the a@b{i}.com the the") for i in range(50)]
     assert pii.learn_patterns(spark.createDataFrame(rows, DOCS)) == {}
