@@ -1,6 +1,9 @@
 """The registered queries of this subpackage and their SQL."""
 
-from . import decontaminate, jaccard_join, packing, pii, shard, suffix_tree_lm, token_counts, topk, toxicity, url_filter
+from . import (
+    decontaminate, html_text, jaccard_join, packing, periodic_runs, pii, shard, spelling, suffix_tree_lm, token_counts,
+    topk, toxicity, url_filter,
+)
 
 QUERIES = {
     "op1_url_filter": url_filter.q_op1_url_filter,
@@ -13,6 +16,9 @@ QUERIES = {
     "op8_pii": pii.q_op8_pii,
     "op9_topk": topk.q_op9_topk,
     "op10_sharding": shard.q_op10_sharding,
+    "op11_periodic_runs": periodic_runs.q_op11_periodic_runs,
+    "op12_spelling": spelling.q_op12_spelling,
+    "op13_html_text": html_text.q_op13_html_text,
 }
 
 ORACLES = {
@@ -20,4 +26,7 @@ ORACLES = {
     "op5_jaccard_join": jaccard_join.OP5_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
     "op9_topk": topk.OP9_SQL,
+    "op11_periodic_runs": periodic_runs.OP11_SQL,
+    "op12_spelling": spelling.OP12_SQL,
+    "op13_html_text": html_text.OP13_SQL,
 }
