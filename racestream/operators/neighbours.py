@@ -33,6 +33,8 @@ micro-batch are sorted in one task, so the source's rate (``maxOffsetsPerTrigger
 
 from __future__ import annotations
 
+import json
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
@@ -100,7 +102,7 @@ class NeighbourState:
         det = t[n:n + d]
         fol = t[n + d:2 * n + d]
         lea = t[2 * n + d:3 * n + d]
-        return cls(me, det, fol, lea, bool(t[3 * n + d]), t[3 * n + d + 1])
+        return cls(me, det, fol, lea, bool(t[3 * n + d]), t[3 * n + d + 1])  # a history may follow
 
     def output(self) -> tuple:
         """State part of an output row (see ``STATE_OUT_COLUMNS``)."""
@@ -316,11 +318,12 @@ def _values(series, integer: bool = False) -> list:
     return [None if v is None or (isinstance(v, float) and v != v) else v for v in values]
 
 
-def stream_handler(key, pdf_iter, state, idle_ms: int | None = None):
+def stream_handler(key, pdf_iter, state, idle_ms: int | None = None, history: int = 0):
     """``applyInPandasWithState`` function: rows of one key in a micro-batch.
 
     With ``idle_ms`` the key's state is dropped once the watermark passes its
-    latest event time by that much (event-time timeout).
+    latest event time by that much (event-time timeout). With ``history`` the
+    state also holds the key's last output rows (JSON), which each row carries.
     """
     import pandas as pd
 
@@ -329,6 +332,7 @@ def stream_handler(key, pdf_iter, state, idle_ms: int | None = None):
         return
     session_id, target_id = key
     st = NeighbourState.from_tuple(state.get) if state.exists else NeighbourState()
+    kept: list = json.loads(state.get[-1]) if history and state.exists else []
     frames = [p for p in pdf_iter if len(p)]
     if not frames:
         return
@@ -352,7 +356,16 @@ def stream_handler(key, pdf_iter, state, idle_ms: int | None = None):
             rows.append(st.output())
             st.last_follower_id = st.follower[0]
             idx.append(i)
-    state.update(st.to_tuple())
+    previous: list = []
+    if history:
+        for i, row in zip(idx, rows):
+            previous.append("[" + ",".join(kept) + "]")
+            kept = [*kept, json.dumps({
+                "session_id": session_id, "target_id": target_id, "partition": int(pdf["partition"][i]), "seq": int(pdf["seq"][i]),
+                "event_time": _time_text(pdf["event_time"][i]), "event_driver_id": drv[i],
+                "driver_status": _value(pdf["driver_status"][i]), "event_car_position": pos[i], "event_lap": lap[i],
+                "event_speed": spd[i], "fuel_in_tank": _value(pdf["fuel_in_tank"][i]), **dict(zip(STATE_OUT_COLUMNS, row))})][-history:]
+    state.update((*st.to_tuple(), json.dumps(kept)) if history else st.to_tuple())
     if idle_ms is not None:
         latest_ms = int(pdf["_event_ms"].max())
         state.setTimeoutTimestamp(max(latest_ms + idle_ms, state.getCurrentWatermarkMs() + 1))
@@ -371,14 +384,28 @@ def stream_handler(key, pdf_iter, state, idle_ms: int | None = None):
     # nullable types by name: a column may be all null
     cols = {name: pd.array(list(values), dtype=_PANDAS[typ])
             for name, typ, values in zip(STATE_OUT_COLUMNS, _STATE_TYPES, zip(*rows))}
+    if history:
+        cols["previous"] = previous
     yield pd.concat([out, pd.DataFrame(cols)], axis=1)
 
 
+def _value(v):
+    """A pandas value as JSON takes it; missing ones as None."""
+    return None if v is None or v != v else v if isinstance(v, str) else float(v)
+
+
+def _time_text(v) -> str | None:
+    return None if v is None or v != v else v.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 _PANDAS = {pa.string(): "string", pa.int32(): "Int32", pa.float32(): "Float32", pa.bool_(): "boolean"}
 
 
 def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET,
-                            idle_timeout: str | None = None) -> DataFrame:
+                            idle_timeout: str | None = None, history: int = 0) -> DataFrame:
     """Neighbour rows of a streaming telemetry frame (append mode).
 
     Within a micro-batch a key's rows are ordered by ``(event_time, partition, seq)``;
@@ -390,6 +417,9 @@ def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET,
     bounds it: the event time gets a watermark with that delay and a key whose
     latest event is older than the watermark by ``idle_timeout`` is dropped
     (a later event of it starts afresh).
+
+    ``history``: each row has the key's last output rows before it in ``previous``
+    (at most so many, oldest first), for patterns over several rows.
     """
     import functools
 
@@ -399,21 +429,31 @@ def track_neighbours_stream(telemetry: DataFrame, targets=DEFAULT_TARGET,
 
     # ids need no join; a static targets table gives a stream-static join
     projected = _input_projection(attach_targets(telemetry, targets))
-    out_schema = neighbour_schema(projected.schema["event_time"].dataType)
+    row_schema = out_schema = neighbour_schema(projected.schema["event_time"].dataType)
+    state_schema, handler = NEIGHBOUR_STATE_SCHEMA, stream_handler
+    if history:
+        out_schema = T.StructType([*row_schema.fields, T.StructField("previous", T.StringType())])
+        state_schema = T.StructType([*state_schema.fields, T.StructField("history", T.StringType())])
+        handler = functools.partial(handler, history=history)
+
+    def finished(out: DataFrame) -> DataFrame:
+        if not history:
+            return out
+        formats = {"timestampNTZFormat": TIME_TEXT, "timestampFormat": TIME_TEXT, "allowNonNumericNumbers": "true"}
+        return out.withColumn("previous", F.from_json("previous", T.ArrayType(row_schema), formats))
+
     if idle_timeout is None:
-        return (projected.groupBy("session_id", "target_id")
-                .applyInPandasWithState(stream_handler, out_schema, NEIGHBOUR_STATE_SCHEMA,
-                                        "append", GroupStateTimeout.NoTimeout))
+        return finished(projected.groupBy("session_id", "target_id")
+                        .applyInPandasWithState(handler, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout))
     et = projected.schema["event_time"].dataType
     instant = ntz_to_instant(F.col("event_time")) if isinstance(et, T.TimestampNTZType) else F.col("event_time")
     with_wm = (projected.withColumn("_event_instant", instant)
                .withColumn("_event_ms", F.unix_millis(F.col("_event_instant")))
                .withWatermark("_event_instant", idle_timeout))
     idle_ms = _interval_ms(telemetry.sparkSession, idle_timeout)
-    handler = functools.partial(stream_handler, idle_ms=idle_ms)
-    return (with_wm.groupBy("session_id", "target_id")
-            .applyInPandasWithState(handler, out_schema, NEIGHBOUR_STATE_SCHEMA,
-                                    "append", GroupStateTimeout.EventTimeTimeout))
+    handler = functools.partial(handler, idle_ms=idle_ms)
+    return finished(with_wm.groupBy("session_id", "target_id")
+                    .applyInPandasWithState(handler, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout))
 
 
 def _interval_ms(spark, text: str) -> int:

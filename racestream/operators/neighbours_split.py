@@ -8,30 +8,21 @@ those of the sequential state machine:
    slices of similar size (Spark samples the bounds), so a hot key spans many
    slices; the sorted slices are checkpointed to the shared checkpoint folder,
    which cuts the lineage (a lost executor re-reads them, nothing is resampled).
-2. Pass A (vectorised Arrow, no per-row Python loop): per slice, its first and last
-   key, the last event of the tracked car in each of those runs, and the car
-   positions seen.
-3. The tracked car (``me``) at the start of every slice follows from the pass A
-   summaries (one row per slice).
-4. Pass B: only for runs that cross a slice boundary. With ``me`` known, the
-   follower's next state depends on its entry state only through its position
-   (or "no follower"), and likewise the leader's, so the run is simulated once
-   for all entry positions at the same time, event by event as the batches
-   stream through (memory: the live states, not the run); entries that reach
-   the same state merge, so the cost is about one run. The result is a small
-   table per run: entry class -> exit state (or "entry kept", with a reset flag).
-5. The slice entry states are resolved in slice order from these summaries
-   (at most one per slice, so the work and the data moved grow with the
-   number of slices, not with the rows).
-6. A tail pass runs the last run of each slice that a next one continues, and
-   keeps the follower of its last output row (one row per slice); carried
-   forward once in slice order, it is the previous row's follower that the
-   next slice starts with.
-7. Pass C: every slice runs the ordinary state machine from its entry state,
-   in parallel, and emits the rows.
-
-Summaries (one or two rows per slice) are collected to the driver and sent
-back as broadcast variables; their size is bounded by the slice count.
+2. The first pass summarises every slice in one row (``transfer.Segment``): what
+   its first run of a key does to any entry state, and the state its last run
+   ends in. Runs that begin and end in the slice are not simulated.
+3. The summaries are combined on the executors, in slice order, ``FANOUT`` at a
+   time: up the tree by composing them (associative), down again by handing each
+   group its entry state. Nothing is collected; the work and the data moved grow
+   with the number of slices, not with the rows.
+4. Each slice's first row gets the slice's entry state by a join (a broadcast
+   where the number of slices bounds it, ``BROADCAST_SLICES``; else by slice).
+5. The second pass runs the ordinary state machine from there, in parallel, and
+   emits the rows.
+
+So the rows pass through Python twice. With ``states`` (``advance_neighbours``) the
+keys start in given states, which travel as rows ahead of the key's first event,
+and the states at the end come out beside the rows: one micro-batch of a stream.
 """
 
 from __future__ import annotations
@@ -40,402 +31,256 @@ import json
 from typing import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from racestream.operators.neighbours import (
-    NO_FOLLOWER, NO_LEADER, ORDER, BatchColumns, NeighbourState, _emit_batch, _input_projection,
-    attach_targets, fold_id, key_runs as _runs,
+    ORDER, BatchColumns, NeighbourState, _emit_batch, _input_projection, attach_targets, fold_id, key_runs,
 )
+from racestream.operators.slices import BROADCAST_SLICES, ordered_slices, place_in_slice
+from racestream.operators.transfer import Segment, Transfer, fresh, state_list, state_of
 from racestream.schemas import neighbour_schema
-from racestream.session import checkpoint_root
+from racestream.session import scratch_path
 
 KEY = ["session_id", "target_id"]
-# what passes A and B read (the rows are in order already; time, seq and the
-# text-only event columns are not needed there)
+FANOUT = 256
 SUMMARY_COLUMNS = ["slice", "session_id", "target_id", "driver_id", "car_position", "current_lap_num",
-                   "lap_distance", "speed", "race_number", "g_force_lateral", "g_force_longitudinal"]
-NOF = "N"  # entry class of "no follower" / "no leader" (the stale position is irrelevant)
+                   "lap_distance", "speed", "race_number", "g_force_lateral", "g_force_longitudinal", "stored"]
+SUMMARY = "slice int, summary string"
+ENTRY = "slice int, entry string"
 
 
-# -- pass A: slice boundaries ------------------------------------------------------------
+# -- first pass: one summary per slice -----------------------------------------------------
 
-def _me_at(b: pa.RecordBatch, i: int) -> list:
-    """The tracked car's state from row ``i`` (one row read, no column conversion)."""
-    def g(c):
-        return b.column(c)[i].as_py()
-    return [g("driver_id"), g("car_position"), g("current_lap_num"), g("lap_distance"), g("speed"), True,
-            g("race_number"), g("g_force_lateral"), g("g_force_longitudinal")]
 
+class _SliceSummary:
+    """Fed with the runs of one slice in order."""
 
-SUMMARY_A = ("slice int, first_session string, first_target string, last_session string, "
-             "last_target string, first_me string, last_me string, positions string")
+    def __init__(self, slice_id: int):
+        self.slice = slice_id
+        self.first = self.key = self.head = self.state = self.target = None
 
+    def start(self, key: tuple) -> None:
+        self.key, self.target = key, fold_id(key[1])
+        if self.first is None:
+            self.first, self.head = key, Transfer()
+        else:
+            self.state = None  # a run is simulated only if it turns out to be the last one
 
-def _pass_a(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    slice_id = first_key = cur_key = None
-    first_me = cur_me = None  # last target event of the run (JSON), None if none yet
-    first_run_open = True
-    positions: set = set()
-    for b in batches:
-        if b.num_rows == 0:
-            continue
-        if slice_id is None:
-            slice_id = b.column("slice")[0].as_py()
-        is_t = pc.equal(pc.utf8_lower(b.column("driver_id")), pc.utf8_lower(b.column("target_id")))
-        t_idx = pc.indices_nonzero(pc.fill_null(is_t, False)).to_pylist()
-        positions.update(pc.unique(b.column("car_position")).to_pylist())
-        ti = 0
-        for lo, hi, k in _runs(b):
-            if k != cur_key:
-                if cur_key is not None and first_run_open:
-                    first_me, first_run_open = cur_me, False
-                if first_key is None:
-                    first_key = k
-                cur_key, cur_me = k, None
-            last_t = None
-            while ti < len(t_idx) and t_idx[ti] < hi:
-                if t_idx[ti] >= lo:
-                    last_t = t_idx[ti]
-                ti += 1
-            if last_t is not None:
-                cur_me = json.dumps(_me_at(b, last_t))
-    if slice_id is None:
-        return
-    if first_run_open:
-        first_me = cur_me
-    out = {
-        "slice": [slice_id], "first_session": [first_key[0]], "first_target": [first_key[1]],
-        "last_session": [cur_key[0]], "last_target": [cur_key[1]],
-        "first_me": [first_me], "last_me": [cur_me],
-        "positions": [json.dumps(sorted(p for p in positions if p is not None))],
-    }
-    yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-        ("slice", pa.int32()), ("first_session", pa.string()), ("first_target", pa.string()),
-        ("last_session", pa.string()), ("last_target", pa.string()), ("first_me", pa.string()),
-        ("last_me", pa.string()), ("positions", pa.string())]))
-
-
-# -- pass B: transfer tables --------------------------------------------------------------
-
-class _TableSim:
-    """Follower and leader tables of one run, for every entry class at once.
-
-    Fed one event at a time (memory: the live states, not the run). ``result``
-    returns (me_last, f_table, l_table); a table maps an entry class (a
-    position, or ``NOF``) to [cleared, car, tracked]: ``car`` is None when the
-    entry car is kept, else the car taken from an event; ``cleared`` when its id
-    ends as no-follower / no-leader; ``tracked`` when a take started tracking.
-    """
+    def row(self) -> tuple:
+        state = None
+        if self.key != self.first:
+            state = state_list(self.state or NeighbourState())
+        return self.slice, Segment(list(self.first), list(self.key), self.head.done(), state).dump()
 
-    def __init__(self, me0: list, positions: list):
-        classes = [NOF] + list(positions)
-        # live state: (cleared, position, car or None) -> entry classes that reach it
-        self.f_live = {(c == NOF, None if c == NOF else c, None, False): [c] for c in classes}
-        self.l_live = dict(self.f_live)
-        self.m = me0[1]
-        self.me_last = None
-
-    def feed(self, drv, pos, lap, dist, speed, is_t, details):
-        if is_t:
-            self.me_last = [drv, pos, lap, dist, speed, True, *details]
-            self.m = pos
-        m = self.m
-        other = not is_t and m != 0
-        # the car this event would become (a tuple: states are dictionary keys)
-        car = (drv, pos, lap, dist, speed, True)
-        if other and pos > m:
-            self.f_live = _advance(self.f_live, lambda p0: p0 <= m,
-                                   lambda clear, p0: clear or (pos > 0 and pos <= p0), car, pos)
-        else:
-            self.f_live = _advance(self.f_live, lambda p0: p0 <= m, None, car, pos)
-        if other and pos < m:
-            self.l_live = _advance(self.l_live, lambda p0: p0 >= m,
-                                   lambda clear, p0: clear or (pos > 0 and pos >= p0), car, pos)
-        else:
-            self.l_live = _advance(self.l_live, lambda p0: p0 >= m, None, car, pos)
-
-    def result(self):
-        def table(live):
-            return {str(c): [flag, None if src is None else list(src), tr]
-                    for (flag, _p0, src, tr), cl in live.items() for c in cl}
-        return self.me_last, table(self.f_live), table(self.l_live)
-
-
-def _advance(live: dict, reset, takes, car, pos) -> dict:
-    """One event applied to every live state: the reset rule, then (when the
-    event can be taken at all) the take rule; states that become equal merge."""
-    out: dict = {}
-    for (clear, p0, src, tr), cl in live.items():
-        if not clear and reset(p0):
-            clear = True
-        if takes is not None and takes(clear, p0):
-            clear, p0, src, tr = False, pos, car, tr or pos > 0
-        out.setdefault((clear, p0, src, tr), []).extend(cl)
-    return out
-
-
-SUMMARY_B = "slice int, kind string, payload string"
-
-
-def _pass_b(batches, me_entry_bc, plan_bc, positions_bc):
-    """Summaries of the runs that cross a slice boundary (see module doc)."""
-    me_entry = me_entry_bc.value
-    plan = plan_bc.value
-    positions = positions_bc.value
-    slice_id = None
-    first_key = cur_key = None
-    mode = None  # "table" | "plain" | "skip"
-    sim = st = None
-    target_key = None
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per slice. Runs that begin and end inside one batch and are not the slice's first are passed over."""
+    current: _SliceSummary | None = None
+    rows: list[tuple] = []
     for b in batches:
-        if b.num_rows == 0:
+        if not b.num_rows:
             continue
-        if slice_id is None:
-            slice_id = b.column("slice")[0].as_py()
-            info = plan.get(slice_id, {})
-        cols = None
-        for lo, hi, k in _runs(b):
-            if k != cur_key:
-                if cur_key is not None and mode == "table":
-                    yield _row_b(slice_id, "table", json.dumps(sim.result()))
-                cur_key = k
-                target_key = fold_id(k[1])
-                is_first = first_key is None
-                if is_first:
-                    first_key = k
-                continuing = is_first and slice_id in me_entry
-                needs_exit = (list(k) == info.get("last_key")) and info.get("next_continues", False)
-                if continuing:
-                    mode, sim = "table", _TableSim(me_entry[slice_id], positions)
-                elif needs_exit:
-                    mode, st = "plain", NeighbourState()
-                else:
-                    mode = "skip"
-            if mode == "skip":
-                continue
-            cols = cols or BatchColumns(b)
-            for i in range(lo, hi):
-                if mode == "table":
-                    sim.feed(cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i],
-                             cols.key[i] == target_key, (cols.rno[i], cols.glat[i], cols.glon[i]))
-                else:
-                    cols.step(st, target_key, i)
-    if slice_id is None:
+        slices = b.column("slice").to_numpy()
+        lo = 0
+        while lo < b.num_rows:
+            slice_id = int(slices[lo])
+            hi = int(lo + (slices[lo:] == slice_id).sum())
+            if current is None or current.slice != slice_id:
+                if current is not None:
+                    rows.append(current.row())
+                current = _SliceSummary(slice_id)
+            part = b.slice(lo, hi - lo)
+            runs = key_runs(part)
+            for n, (a, z, key) in enumerate(runs):
+                if key != current.key or current.first is None:
+                    current.start(key)
+                if n < len(runs) - 1 and current.key != current.first:
+                    continue  # ends in this batch: neither first nor last
+                _feed(current, BatchColumns(part.slice(a, z - a)), part.column("stored").slice(a, z - a))
+            lo = hi
+    if current is not None:
+        rows.append(current.row())
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows])],
+                                         ["slice", "summary"])
+
+
+def _feed(summary: _SliceSummary, cols: BatchColumns, stored: pa.Array) -> None:
+    at = 0
+    if stored[0].is_valid:  # the key's state ahead of its first event
+        at, given = 1, json.loads(stored[0].as_py())
+        if summary.key == summary.first:
+            summary.head = Transfer()
+            summary.head.known = given
+        summary.state = state_of(given)
+    target = summary.target
+    if summary.key == summary.first and summary.head.known is None:
+        feed = summary.head.feed
+        for i in range(at, len(cols.drv)):
+            feed((cols.drv[i], cols.pos[i], cols.lap[i], cols.dist[i], cols.spd[i], True), cols.key[i] == target,
+                 (cols.rno[i], cols.glat[i], cols.glon[i]))
         return
-    if mode == "table":
-        yield _row_b(slice_id, "table", json.dumps(sim.result()))
-    elif mode == "plain":
-        payload = json.dumps([st.me, st.me_details, st.follower, st.leader, st.tracking])
-        yield _row_b(slice_id, "exit", payload)
-
-
-def _row_b(slice_id, kind, payload):
-    return pa.RecordBatch.from_pydict(
-        {"slice": [slice_id], "kind": [kind], "payload": [payload]},
-        schema=pa.schema([("slice", pa.int32()), ("kind", pa.string()), ("payload", pa.string())]))
-
-
-# -- resolution of entry states ---------------------------------------------------------
-
-def _initial_me():
-    s = NeighbourState()
-    return s.me + s.me_details
-
-
-def _resolve_me(summ: list) -> tuple[dict, dict]:
-    """Entry ``me`` per continuing slice, and the plan for pass B."""
-    me_entry: dict = {}
-    plan: dict = {}
-    prev = None  # previous non-empty slice summary
-    carry = None  # me at the end of prev's last run
-    for s in summ:
-        first, last = [s["first_session"], s["first_target"]], [s["last_session"], s["last_target"]]
-        cont = prev is not None and first == [prev["last_session"], prev["last_target"]]
-        if cont:
-            me_entry[s["slice"]] = carry
-            plan[prev["slice"]]["next_continues"] = True
-        plan[s["slice"]] = {"last_key": last, "next_continues": False}
-        single = first == last
-        if single:
-            entry = carry if cont else _initial_me()
-            carry = json.loads(s["first_me"]) if s["first_me"] else entry
-        else:
-            carry = json.loads(s["last_me"]) if s["last_me"] else _initial_me()
-        prev = s
-    return me_entry, plan
+    st = summary.state = summary.state or NeighbourState()
+    for i in range(at, len(cols.drv)):
+        cols.step(st, target, i)
+    if summary.key == summary.first:
+        summary.head.known = state_list(st)
 
 
-def _apply_car(entry_car, outcome, no_id):
-    flag, car, _tr = outcome
-    if car is None:  # the entry car is kept; a reset clears its id only
-        out = list(entry_car)
-    else:
-        out = list(car)
-    if flag:
-        out[0] = no_id
-    return out
-
-
-def _class_of(car, no_id):
-    return NOF if car[0] == no_id else str(car[1])
-
-
-def _resolve_states(summ_a: list, me_entry: dict, summ_b: dict) -> dict:
-    """Full entry state (me, me details, follower, leader, tracking) per continuing slice."""
-    states: dict = {}
-    prev = None
-    carry = None  # NeighbourState at the end of prev's last run
-    for s in summ_a:
-        sid = s["slice"]
-        first, last = [s["first_session"], s["first_target"]], [s["last_session"], s["last_target"]]
-        cont = sid in me_entry
-        if cont:
-            entry = carry
-            states[sid] = [entry.me, entry.me_details, entry.follower, entry.leader, entry.tracking]
-            if first == last:
-                me_last, f_table, l_table = summ_b[(sid, "table")]
-                fo = f_table[_class_of(entry.follower, NO_FOLLOWER)]
-                lo = l_table[_class_of(entry.leader, NO_LEADER)]
-                ex = NeighbourState(
-                    me=list(me_last[:6]) if me_last else list(entry.me),
-                    me_details=list(me_last[6:]) if me_last else list(entry.me_details),
-                    follower=_apply_car(entry.follower, fo, NO_FOLLOWER),
-                    leader=_apply_car(entry.leader, lo, NO_LEADER),
-                    tracking=entry.tracking or fo[2] or lo[2])
-                carry = ex
-                prev = s
-                continue
-        if (sid, "exit") in summ_b:
-            me, det, fol, lea, tr = summ_b[(sid, "exit")]
-            carry = NeighbourState(me, det, fol, lea, tr)
-        else:
-            carry = None
-        prev = s
-    return states
+# -- entry states, as a tree on the executors ----------------------------------------------
 
 
-# -- the last passes: tails, and the run itself -------------------------------------------
+def _composed(pdf):
+    import pandas as pd
 
-def _entered(entry) -> NeighbourState:
-    me, det, fol, lea, tr, prev = entry
-    return NeighbourState(list(me), list(det), list(fol), list(lea), tr, prev)
+    out = None
+    for text in pdf.sort_values("slice")["summary"]:
+        seg = Segment.load(text)
+        out = seg if out is None else out.then(seg)
+    return pd.DataFrame({"slice": [int(pdf["_group"].iloc[0])], "summary": [out.dump()]})
 
 
-TAIL = "slice int, follower string"
+def _entered(pdf, entry: str | None = None):
+    """Entry states (key and state) of the slices of one group, from the group's own."""
+    import pandas as pd
 
+    key, state = json.loads(entry) if entry else (None, None)
+    rows = []
+    for slice_id, text in pdf.sort_values("slice")[["slice", "summary"]].itertuples(index=False):
+        if key is not None:
+            rows.append((int(slice_id), json.dumps([key, state])))
+        key, state = Segment.load(text).leave(key, state)
+    return pd.DataFrame(rows, columns=["slice", "entry"])
+
+
+def entry_states(summaries: DataFrame, slices: int, fanout: int = FANOUT) -> DataFrame:
+    """``slice, entry``: last key and its state before each slice that has an earlier one."""
+    if slices <= fanout:
+        return summaries.withColumn("_group", F.lit(0)).groupBy("_group").applyInPandas(lambda pdf: _entered(pdf), ENTRY)
+    path = scratch_path(summaries.sparkSession, "summaries")  # read on the way up and on the way down
+    summaries.write.parquet(path)
+    grouped = (summaries.sparkSession.read.schema(summaries.schema).parquet(path)
+               .withColumn("_group", F.expr(f"slice div {fanout}").cast("int")))
+    above = entry_states(grouped.groupBy("_group").applyInPandas(_composed, SUMMARY), -(-slices // fanout), fanout)
+
+    def down(left, right):
+        return _entered(left, right["entry"].iloc[0] if len(right) else None)
+
+    return (grouped.groupBy("_group").cogroup(above.withColumnRenamed("slice", "_group").groupBy("_group"))
+            .applyInPandas(down, ENTRY))
+
+
+# -- second pass: the rows -----------------------------------------------------------------
+
+
+def _rows(batches, names, with_states: bool) -> Iterator[pa.RecordBatch]:
+    """The state machine over slices whose first row has the entry; with ``with_states`` also the state at the end of
+    each run (``state`` and ``slice``, no event)."""
+    key = slice_id = st = target = None
+    ended: list[tuple] = []
+
+    def states():
+        rows = pa.RecordBatch.from_pylist(
+            [{"session_id": k[0], "target_id": k[1], "slice": s, "state": json.dumps(x)} for k, s, x in ended],
+            schema=with_states)
+        ended.clear()
+        return rows
 
-def _pass_tail(batches, states_bc, plan_bc):
-    """The follower of the last output row of a slice's last run, where the next slice continues it."""
-    states, plan = states_bc.value, plan_bc.value
-    slice_id = current = st = tail = target_key = None
-    first, active = True, False
-    for b in batches:
-        if b.num_rows == 0:
-            continue
-        if slice_id is None:
-            slice_id = b.column("slice")[0].as_py()
-            if not plan[slice_id]["next_continues"]:
-                return
-        cols = None
-        for lo, hi, k in _runs(b):
-            if first or k != current:
-                active = list(k) == plan[slice_id]["last_key"]
-                if active:
-                    st = _entered((*states[slice_id], None)) if first and slice_id in states else NeighbourState()
-                    target_key = fold_id(k[1])
-                current, first = k, False
-            if active:
-                cols = cols or BatchColumns(b)
-                for i in range(lo, hi):
-                    if cols.step(st, target_key, i):
-                        tail = st.follower[0]
-    if slice_id is not None:
-        yield pa.RecordBatch.from_pydict({"slice": [slice_id], "follower": [tail]},
-                                         schema=pa.schema([("slice", pa.int32()), ("follower", pa.string())]))
-
-
-def _resolve_tails(summ: list, states: dict, plan: dict, tails: dict) -> dict:
-    """The previous row's follower at the start of every continuing slice, in one pass."""
-    out: dict = {}
-    carry = None
-    for s in summ:
-        sid = s["slice"]
-        single = [s["first_session"], s["first_target"]] == [s["last_session"], s["last_target"]]
-        entry = carry if sid in states else None
-        if sid in states:
-            out[sid] = entry
-        carry = None
-        if plan[sid]["next_continues"]:
-            carry = tails.get(sid)
-            if carry is None and single:
-                carry = entry
-    return out
-
-
-def _pass_c(batches, states_bc, names):
-    states = states_bc.value
-    current = object()
-    st = target_key = slice_id = None
-    first = True
     for b in batches:
-        if b.num_rows == 0:
+        if not b.num_rows:
             continue
-        if slice_id is None:
-            slice_id = b.column("slice")[0].as_py()
         cols = BatchColumns(b)
+        slices, entries, stored = b.column("slice").to_numpy(), b.column("entry"), b.column("stored")
+        has_stored = stored.null_count < b.num_rows
         idx, rows = [], []
-        for lo, hi, k in _runs(b):
-            if k != current:
-                current = k
-                target_key = fold_id(k[1])
-                st = _entered(states[slice_id]) if first and slice_id in states else NeighbourState()
-                first = False
-            for i in range(lo, hi):
-                if cols.step(st, target_key, i):
-                    rows.append(st.output())
-                    st.last_follower_id = st.follower[0]
-                    idx.append(i)
+        cuts = [0, *(int(i) + 1 for i in (slices[1:] != slices[:-1]).nonzero()[0]), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            for a, z, k in key_runs(b.slice(lo, hi - lo)):
+                a, z = a + lo, z + lo
+                if k != key or int(slices[a]) != slice_id or st is None:
+                    if st is not None and with_states:
+                        ended.append((key, slice_id, state_list(st)))
+                    entry = json.loads(entries[a].as_py()) if int(slices[a]) != slice_id and entries[a].is_valid else None
+                    key, slice_id, target = k, int(slices[a]), fold_id(k[1])
+                    st = state_of(entry[1]) if entry and tuple(entry[0]) == k else NeighbourState()
+                for i in range(a, z):
+                    if has_stored and stored[i].is_valid:
+                        st = state_of(json.loads(stored[i].as_py()))
+                    elif cols.step(st, target, i):
+                        rows.append(st.output())
+                        st.last_follower_id = st.follower[0]
+                        idx.append(i)
         if idx:
-            yield _emit_batch(b, idx, rows, names)
+            out = _emit_batch(b, idx, rows, names)
+            if with_states:
+                out = pa.RecordBatch.from_arrays([*out.columns, pa.nulls(len(idx), pa.int32()), pa.nulls(len(idx), pa.string())],
+                                                 schema=with_states)
+            yield out
+        if len(ended) >= 1000:
+            yield states()
+    if st is not None and with_states:
+        ended.append((key, slice_id, state_list(st)))
+    if ended:
+        yield states()
 
 
 # -- the plan ----------------------------------------------------------------------------------
 
-def track_neighbours_split(telemetry: DataFrame, targets, num_slices: int | None = None) -> DataFrame:
-    """See ``neighbours.track_neighbours``.
 
-    The cut into slices and their summaries need Spark jobs before the plan of
-    the rows can be made: the sorted input is checkpointed once, then summarised.
-    """
+def _advanced(telemetry: DataFrame, targets, num_slices: int | None, stored: DataFrame | None, with_states: bool,
+              fanout: int = FANOUT, broadcast_slices: int = BROADCAST_SLICES) -> DataFrame:
     spark = telemetry.sparkSession
-    sc = spark.sparkContext
-    checkpoint_root(spark)
-    proj = _input_projection(attach_targets(telemetry, targets))
+    proj = _input_projection(attach_targets(telemetry, targets)).withColumn("stored", F.lit(None).cast("string"))
+    if stored is not None:  # no time, partition or offset: ahead of the key's events
+        proj = proj.unionByName(stored.select(*KEY, F.col("state").alias("stored")), allowMissingColumns=True)
+        proj = proj.withColumn("car_position", F.coalesce("car_position", F.lit(0)))
     n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (proj.repartitionByRange(n, *KEY, *ORDER)
-               .sortWithinPartitions(*KEY, *ORDER)
-               .withColumn("slice", F.spark_partition_id()))
-    ordered = ordered.checkpoint(eager=True)
-    read = ordered.select(*SUMMARY_COLUMNS)
-
-    # pass A -> entry me per continuing slice (one summary row per slice)
-    summ_a = [r.asDict() for r in read.mapInArrow(_pass_a, SUMMARY_A).collect()]
-    summ_a.sort(key=lambda r: r["slice"])
-    positions = sorted({p for r in summ_a for p in json.loads(r["positions"])})
-    me_entry, plan = _resolve_me(summ_a)
-    states: dict = {}
-    if me_entry:
-        me_bc, plan_bc, pos_bc = sc.broadcast(me_entry), sc.broadcast(plan), sc.broadcast(positions)
-        summ_b = {(r.slice, r.kind): json.loads(r.payload) for r in read.mapInArrow(
-            lambda it: _pass_b(it, me_bc, plan_bc, pos_bc), SUMMARY_B).collect()}
-        entries = _resolve_states(summ_a, me_entry, summ_b)
-        entries_bc = sc.broadcast(entries)
-        tails = {r.slice: r.follower for r in read.mapInArrow(
-            lambda it: _pass_tail(it, entries_bc, plan_bc), TAIL).collect()}
-        before = _resolve_tails(summ_a, entries, plan, tails)
-        states = {sid: [*entry, before[sid]] for sid, entry in entries.items()}
-    states_bc = sc.broadcast(states)
+    ordered = ordered_slices(proj, n, [*KEY, *ORDER])
     out_schema = neighbour_schema(proj.schema["event_time"].dataType)
+    if n == 1:
+        entered = ordered.withColumn("entry", F.lit(None).cast("string"))
+    else:
+        entries = entry_states(ordered.select(*SUMMARY_COLUMNS).mapInArrow(_summaries, SUMMARY), n, fanout)
+        small = n <= broadcast_slices
+        entries = entries.select(F.col("slice").alias("of_slice"), "entry")
+        first = place_in_slice() == 0  # only a slice's first row takes the state
+        entered = ordered.join(F.broadcast(entries) if small else entries,
+                               (F.col("slice") == F.col("of_slice")) & first, "left").drop("of_slice")
+        if not small:
+            entered = entered.sortWithinPartitions("slice", "place")
+    entered = entered.drop("place")
     names = out_schema.fieldNames()
-    return ordered.mapInArrow(lambda it: _pass_c(it, states_bc, names), out_schema)
+    if not with_states:
+        return entered.mapInArrow(lambda it: _rows(it, names, None), out_schema)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    both = _with_state(out_schema)
+    arrow = to_arrow_schema(both)
+    return entered.mapInArrow(lambda it: _rows(it, names, arrow), both)
+
+
+def _with_state(schema):
+    from pyspark.sql import types as T
+
+    return T.StructType([*schema.fields, T.StructField("slice", T.IntegerType()), T.StructField("state", T.StringType())])
+
+
+def track_neighbours_split(telemetry: DataFrame, targets, num_slices: int | None = None, fanout: int = FANOUT,
+                           broadcast_slices: int = BROADCAST_SLICES) -> DataFrame:
+    """See ``neighbours.track_neighbours``. The sorted slices are checkpointed while the plan is made."""
+    return _advanced(telemetry, targets, num_slices, None, False, fanout, broadcast_slices)
+
+
+def advance_neighbours(telemetry: DataFrame, targets, stored: DataFrame | None = None,
+                       num_slices: int | None = None) -> DataFrame:
+    """Neighbour rows from given states on, and the states at the end, in one frame.
+
+    ``stored`` has ``session_id, target_id, state`` (one row per key). Rows have a null ``state``; the others have a
+    key, its ``state`` and ``slice``, of which the greatest slice counts (``last_states``).
+    """
+    return _advanced(telemetry, targets, num_slices, stored, True)
+
+
+def last_states(advanced: DataFrame) -> DataFrame:
+    """``session_id, target_id, state`` of every key (also a null one) at the end."""
+    return (advanced.where("state is not null").groupBy(*KEY).agg(F.max_by("state", "slice").alias("state")))

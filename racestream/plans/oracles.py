@@ -389,3 +389,32 @@ telemetry1 AS (SELECT * REPLACE ('all' AS session_id) FROM telemetry)
 ORACLES["neighbours_global_key"] = (
     _with(TELEMETRY, _ONE_RACE, NEIGHBOURS.replace("FROM telemetry t", "FROM telemetry1 t"))
     + f"SELECT {NEIGHBOUR_COLS} FROM neighbours")
+
+
+# patterns over rows next to each other, restated as joins on the row number of a key
+_MATCHED = ["partition", "seq", "event_time", "event_driver_id", "me_lap", "follower_driver_id", "follower_car_position",
+            "leader_driver_id", "tracking"]
+_NUMBERED = """
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY session_id, target_id ORDER BY event_time, partition, seq) AS rn FROM neighbours
+)
+"""
+
+
+def _matched(alias: str, step: str) -> str:
+    return ", ".join(f"{alias}.{c} AS {step}_{c}" for c in _MATCHED)
+
+
+_PAIRS = f"""
+SELECT a.session_id, a.target_id, {_matched('a', 'first')}, {_matched('b', 'next')}
+FROM numbered a JOIN numbered b ON b.session_id = a.session_id AND b.rn = a.rn + 1
+WHERE b.follower_driver_id <> a.follower_driver_id"""
+ORACLES["pattern_pairs"] = ORACLES["pattern_pairs_stream"] = _with(TELEMETRY, NEIGHBOURS, _NUMBERED) + _PAIRS
+ORACLES["pattern_pairs_global_key"] = (
+    _with(TELEMETRY, _ONE_RACE, NEIGHBOURS.replace("FROM telemetry t", "FROM telemetry1 t"), _NUMBERED) + _PAIRS)
+ORACLES["pattern_three_steps"] = ORACLES["pattern_three_steps_stream"] = _with(TELEMETRY, NEIGHBOURS, _NUMBERED) + f"""
+SELECT a.session_id, a.target_id, {_matched('a', 'first')}, {_matched('b', 'next')}, {_matched('c', 'back')}
+FROM numbered a JOIN numbered b ON b.session_id = a.session_id AND b.rn = a.rn + 1
+JOIN numbered c ON c.session_id = a.session_id AND c.rn = a.rn + 2
+WHERE b.follower_driver_id <> a.follower_driver_id AND c.follower_driver_id = a.follower_driver_id
+  AND b.follower_car_position <> c.follower_car_position"""

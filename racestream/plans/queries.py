@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from racestream.operators import clicks as C
 from racestream.operators.gaps import gap_csv, gap_report, with_gaps, without_gaps
 from racestream.operators.neighbours import track_neighbours
-from racestream.operators.patterns import adjacent_pairs, every_pair, follower_changes
+from racestream.operators.patterns import (
+    PASSED, REPASSED, adjacent_pairs, every_pair, follower_changes, match_neighbours,
+)
 from racestream.operators.telemetry import (
     decode_telemetry, dump_bytes, status_lines, telemetry_quality,
 )
@@ -251,6 +253,51 @@ def q_follower_changes_stream(spark, sf_dir):
     return _telemetry_stream(spark, sf_dir, measure_gap_stream, "follower_changes_stream")
 
 
+# -- patterns of named steps --------------------------------------------------------
+
+MATCHED_COLUMNS = ["partition", "seq", "event_time", "event_driver_id", "me_lap", "follower_driver_id", "follower_car_position",
+                   "leader_driver_id", "tracking"]
+
+
+def _flat(matches: DataFrame, pattern) -> DataFrame:
+    """The columns of every step's row side by side, named ``<step>_<column>``."""
+    return matches.select("session_id", "target_id", *[
+        F.col(f"{s.name}.{c}").alias(f"{s.name}_{c}") for s in pattern.steps for c in MATCHED_COLUMNS])
+
+
+def q_pattern_pairs(spark, sf_dir):
+    """Who passed whom as a two-step pattern whose second condition reads the first row."""
+    return _flat(match_neighbours(neighbours(spark, sf_dir), PASSED), PASSED)
+
+
+def q_pattern_three_steps(spark, sf_dir):
+    """A follower that loses the place and has it back in the next row."""
+    return _flat(match_neighbours(neighbours(spark, sf_dir), REPASSED), REPASSED)
+
+
+def q_pattern_pairs_global_key(spark, sf_dir):
+    """The two-step pattern with the whole table as one race: one key, many tasks."""
+    return _flat(match_neighbours(q_neighbours_global_key(spark, sf_dir), PASSED), PASSED)
+
+
+def _pattern_stream(spark, sf_dir, pattern, name):
+    base = scratch_path(spark, name)
+    stream = kafka_layout_from_events(read_events(spark, sf_dir, stream=True))
+    rows = neighbours_stream(stream, [DRIVER_TABLES_TARGET], history=pattern.history)
+    start_to_files(_flat(match_neighbours(rows, pattern), pattern), f"{base}/out", f"{base}/checkpoint",
+                   state_partitions=cores(spark)).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_pattern_pairs_stream(spark, sf_dir):
+    """The same as a stream: the last output rows of a key are part of its state."""
+    return _pattern_stream(spark, sf_dir, PASSED, "pattern_pairs_stream")
+
+
+def q_pattern_three_steps_stream(spark, sf_dir):
+    return _pattern_stream(spark, sf_dir, REPASSED, "pattern_three_steps_stream")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_parse": q_click_parse,
     "click_authenticated": q_click_authenticated,
@@ -281,4 +328,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "adjacent_pairs": q_adjacent_pairs,
     "neighbours_stream": q_neighbours_stream,
     "follower_changes_stream": q_follower_changes_stream,
+    "pattern_pairs": q_pattern_pairs,
+    "pattern_three_steps": q_pattern_three_steps,
+    "pattern_pairs_global_key": q_pattern_pairs_global_key,
+    "pattern_pairs_stream": q_pattern_pairs_stream,
+    "pattern_three_steps_stream": q_pattern_three_steps_stream,
 }

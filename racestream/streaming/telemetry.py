@@ -13,14 +13,14 @@ from racestream.session import scoped_conf
 QUALITY_METRICS = "telemetry_quality"
 
 
-def neighbours_stream(messages: DataFrame, targets, idle_timeout: str | None = None) -> DataFrame:
+def neighbours_stream(messages: DataFrame, targets, idle_timeout: str | None = None, history: int = 0) -> DataFrame:
     """Kafka-layout stream -> neighbour rows (state per session and target).
 
     Each micro-batch reports messages read and dropped as undecodable under
     ``observedMetrics['telemetry_quality']``.
     """
     return track_neighbours_stream(decode_telemetry(messages, observe=QUALITY_METRICS), targets,
-                                   idle_timeout=idle_timeout)
+                                   idle_timeout=idle_timeout, history=history)
 
 
 def start_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",

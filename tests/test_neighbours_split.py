@@ -1,10 +1,15 @@
 """The split plan gives exactly the rows of the sequential state machine."""
 
+import json
 import random
 
 import pytest
 
 from racestream.operators.neighbours import STATE_OUT_COLUMNS, NeighbourState, fold_id, step, track_neighbours
+from racestream.operators.neighbours_split import (
+    SUMMARY, advance_neighbours, entry_states, last_states, track_neighbours_split,
+)
+from racestream.operators.transfer import Segment, Transfer, state_list, state_of
 from tests.test_telemetry import GOLDEN, TARGET, random_events, tel, tel_rows
 
 
@@ -21,8 +26,8 @@ def sequential(rows, targets):
     return sorted(out, key=repr)
 
 
-def tracked(df, targets, slices):
-    out = track_neighbours(df, targets, num_partitions=slices)
+def tracked(df, targets, slices, **kwargs):
+    out = track_neighbours_split(df, targets, slices, **kwargs) if kwargs else track_neighbours(df, targets, num_partitions=slices)
     return sorted((tuple(r) for r in out.select("session_id", "target_id", "seq", *STATE_OUT_COLUMNS).collect()), key=repr)
 
 
@@ -90,3 +95,104 @@ def test_order_is_total_over_partitions(spark):
         out = track_neighbours(df, TARGET).orderBy("partition").select("partition", "follower_driver_id", "leader_driver_id")
         seen.add(tuple(tuple(r) for r in out.collect()))
     assert seen == {((1, "A", "NOLEADER"), (2, "A", "B"))}
+
+
+@pytest.mark.parametrize("fanout,broadcast", [(3, 20_000), (4, 0)])
+def test_tree_of_summaries_and_join_without_broadcast(spark, fanout, broadcast):
+    rng = random.Random(fanout)
+    rows = tel_rows(random_events(rng, 700, drivers=8, max_pos=7), "hot")
+    for k in range(4):
+        rows += tel_rows(random_events(rng, 40, drivers=6, max_pos=5), f"s{k}")
+    got = tracked(tel(spark, rows), [TARGET], 30, fanout=fanout, broadcast_slices=broadcast)
+    assert got == sequential(rows, [TARGET]) and len(got) > 50
+
+
+# -- transfers ------------------------------------------------------------------------
+
+
+def learned(events):
+    t = Transfer()
+    for driver, pos, *rest in events:
+        t.feed((driver, pos, *rest, True), fold_id(driver) == "t", (1, 2.0, 3.0))
+    return reloaded(t.done())
+
+
+def reloaded(t):
+    return Transfer.load(json.loads(json.dumps(t.dump())))
+
+
+def stretch(rng, n, positions, target):
+    return [("T" if rng.random() < target else rng.choice("ABCDEFGH"), rng.randint(*positions), rng.randint(1, 3),
+             float(rng.randint(0, 50)), rng.randint(0, 9)) for _ in range(n)]
+
+
+def test_transfers_compose_in_any_order():
+    rng = random.Random(7)
+    for _ in range(1500):
+        positions = rng.choice([(1, 8), (-3, 6), (0, 5), (-2, 2), (1, 30000)])
+        target = rng.choice([0, 0.05, 0.3])
+        st = NeighbourState()
+
+        def run(events):
+            for driver, pos, *rest in events:
+                if step(st, "t", driver, pos, *rest, (1, 2.0, 3.0)):
+                    st.last_follower_id = st.follower[0]
+        run(stretch(rng, rng.randint(0, 20), positions, rng.choice([0, 0.2])))
+        before = json.loads(json.dumps(state_list(st)))
+        assert state_of(before).last_follower_id == st.last_follower_id
+        parts = [stretch(rng, rng.randint(0, 8), positions, target) for _ in range(rng.randint(1, 6))]
+        for p in parts:
+            run(p)
+        transfers = [learned(p) for p in parts]
+        state = before
+        for t in transfers:
+            state = t.apply(state)
+        assert state == state_list(st)
+        while len(transfers) > 1:
+            k = rng.randrange(len(transfers) - 1)
+            transfers[k:k + 2] = [reloaded(transfers[k].then(transfers[k + 1]))]
+        assert transfers[0].apply(before) == state_list(st)
+
+
+def test_a_summary_does_not_grow_with_the_events():
+    rng = random.Random(1)
+    dumps = [len(json.dumps(learned(stretch(rng, n, (1, 20), 0.05)).dump())) for n in (500, 50_000)]
+    assert dumps[1] < 2 * dumps[0] + 500
+
+
+def test_ten_thousand_slices(spark):
+    """Summaries alone: 10,000 slices of one race, composed on the executors, against the plain sequence."""
+    rng = random.Random(12)
+    st, rows, want = NeighbourState(), [], {}
+    for k in range(10_000):
+        key = ["race" if k < 9_000 else f"r{k // 10}", "T"]
+        if rows and key != json.loads(rows[-1][1])[1]:
+            st = NeighbourState()
+        elif rows:
+            want[k] = [key, state_list(st)]
+        events = stretch(rng, rng.randint(1, 4), (1, 9), 0.1)
+        rows.append((k, Segment(key, key, learned(events), None).dump()))
+        for driver, pos, *rest in events:
+            step(st, "t", driver, pos, *rest, (1, 2.0, 3.0))
+    df = spark.createDataFrame(rows, SUMMARY).repartition(8)
+    got = {r.slice: json.loads(r.entry) for r in entry_states(df, 10_000).collect()}
+    missing = set(want) - set(got)
+    assert not missing and all(got[k] == json.loads(json.dumps(want[k])) for k in want)
+
+
+# -- from given states on --------------------------------------------------------------
+
+
+def test_batches_one_after_the_other(spark):
+    rng = random.Random(21)
+    sessions = {s: tel_rows(random_events(rng, n, drivers=7, max_pos=6), s) for s, n in (("hot", 400), ("a", 30), (None, 60))}
+    rows = [r for rs in sessions.values() for r in rs]
+    want = sequential(rows, [TARGET])
+    got, states = [], None
+    for part in range(3):
+        some = [r for rs in sessions.values() for r in rs[part * len(rs) // 3:(part + 1) * len(rs) // 3]]
+        out = advance_neighbours(tel(spark, some), [TARGET], states, num_slices=6).cache()
+        states = spark.createDataFrame(last_states(out).collect(), "session_id string, target_id string, state string")
+        got += [tuple(r) for r in out.where("state is null").select("session_id", "target_id", "seq", *STATE_OUT_COLUMNS).collect()]
+        out.unpersist()
+    assert sorted(got, key=repr) == want and states.count() == 3

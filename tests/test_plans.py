@@ -46,9 +46,11 @@ def test_decode_parses_each_message_once(spark):
 def test_neighbours_run_in_slices_and_changes_need_no_window(spark):
     for query in (Q.q_neighbours, Q.q_gaps, Q.q_gap_report, Q.q_gap_csv, Q.q_follower_changes, Q.q_adjacent_pairs):
         text = plan(query(spark, SMALL))
-        # the sorted slices are read from the checkpoint: no shuffle on a key is left
-        assert "MapInArrow" in text and "Window" not in text and "Exchange" not in text
-        assert "slice" in text
+        # the sorted slices are read from the checkpoint: the rows pass through Python twice and no shuffle
+        # of them is left, only that of the summaries (one row per slice)
+        physical = text.split("\n\n")[0]
+        assert physical.count("MapInArrow") == 2 and "Window" not in text and "session_id" not in "".join(exchanges(text))
+        assert [e for e in exchanges(text)] == ["hashpartitioning"] and "BroadcastExchange" in physical
 
 
 def test_first_events_expand_panes_not_clicks(spark):
