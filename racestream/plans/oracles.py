@@ -418,3 +418,6 @@ FROM numbered a JOIN numbered b ON b.session_id = a.session_id AND b.rn = a.rn +
 JOIN numbered c ON c.session_id = a.session_id AND c.rn = a.rn + 2
 WHERE b.follower_driver_id <> a.follower_driver_id AND c.follower_driver_id = a.follower_driver_id
   AND b.follower_car_position <> c.follower_car_position"""
+
+ORACLES["neighbours_global_key_stream"] = ORACLES["neighbours_global_key"]
+ORACLES["neighbours_reordered_stream"] = ORACLES["neighbours"]

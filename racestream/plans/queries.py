@@ -27,6 +27,7 @@ from racestream.sources.telemetry import kafka_layout_from_events
 from racestream.streaming.clicks import (
     start_click_job, windowed_counts_stream, with_end_marker, write_end_marker,
 )
+from racestream.streaming.ordered import start_ordered_neighbours
 from racestream.streaming.telemetry import neighbours_stream, start_to_files
 
 # Fixed value: the tracked driver in the telemetry derived from ``events``.
@@ -298,6 +299,54 @@ def q_pattern_three_steps_stream(spark, sf_dir):
     return _pattern_stream(spark, sf_dir, REPASSED, "pattern_three_steps_stream")
 
 
+# -- streams in event order, any size of key ------------------------------------------
+
+CHUNKS = 4
+
+
+def _in_chunks(spark, sf_dir, base: str, displaced: bool) -> tuple[DataFrame, int]:
+    """The messages as a stream of ``CHUNKS`` micro-batches, one file set each, and a chunk's length in seconds.
+
+    The chunks follow in event time. ``displaced``: every fifth event comes one chunk late.
+    """
+    events = read_events(spark, sf_dir)
+    span = events.agg(F.unix_seconds(F.min("ts").cast("timestamp")).alias("a"),
+                      F.unix_seconds(F.max("ts").cast("timestamp")).alias("b")).first()
+    length = 3600 * ((span.b - span.a) // (3600 * CHUNKS) + 1)  # whole hours, as the messages' times are
+    chunk = F.floor((F.unix_seconds(F.date_trunc("hour", F.col("ts").cast("timestamp"))) - span.a + 3599) / length)
+    if displaced:
+        chunk = chunk + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
+    chunk = F.least(chunk, F.lit(CHUNKS - 1))
+    for k in range(CHUNKS):
+        kafka_layout_from_events(events.where(chunk == k)).coalesce(1).write.mode("append").parquet(f"{base}/messages")
+    schema = spark.read.parquet(f"{base}/messages").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/messages"), length
+
+
+def q_neighbours_global_key_stream(spark, sf_dir):
+    """All telemetry as one race in a stream of several micro-batches: each is cut into slices, and the race's
+    state goes from one to the next in a versioned table."""
+    base = scratch_path(spark, "neighbours_global_key_stream")
+    stream, _ = _in_chunks(spark, sf_dir, base, displaced=False)
+    one_race = stream.withColumn("value", F.regexp_replace(
+        F.col("value").cast("string"), '"session_id":"[^"]*"', f'"session_id":"{GLOBAL_SESSION}"').cast("binary"))
+    query, job = start_ordered_neighbours(one_race, [DRIVER_TABLES_TARGET], f"{base}/out", f"{base}/state",
+                                          f"{base}/checkpoint", available_now=True, num_slices=_slices(spark))
+    query.awaitTermination()
+    return job.rows()
+
+
+def q_neighbours_reordered_stream(spark, sf_dir):
+    """A stream whose batches hold events out of order: they wait for the watermark and are taken in event order."""
+    base = scratch_path(spark, "neighbours_reordered_stream")
+    stream, length = _in_chunks(spark, sf_dir, base, displaced=True)
+    query, job = start_ordered_neighbours(stream, [DRIVER_TABLES_TARGET], f"{base}/out", f"{base}/state", f"{base}/checkpoint",
+                                          delay=f"{length + 3600} seconds", available_now=True, num_slices=_slices(spark))
+    query.awaitTermination()
+    job.finish(CHUNKS - 1)
+    return job.rows()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_parse": q_click_parse,
     "click_authenticated": q_click_authenticated,
@@ -333,4 +382,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pattern_pairs_global_key": q_pattern_pairs_global_key,
     "pattern_pairs_stream": q_pattern_pairs_stream,
     "pattern_three_steps_stream": q_pattern_three_steps_stream,
+    "neighbours_global_key_stream": q_neighbours_global_key_stream,
+    "neighbours_reordered_stream": q_neighbours_reordered_stream,
 }

@@ -85,8 +85,19 @@ def clear_scratch(spark: SparkSession) -> None:
     scratch table (results of the registered stream queries and of the
     training-data operators) cannot be read afterwards.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, _scratch_root(spark))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, of any file system that Spark reaches, exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _context(spark: SparkSession):

@@ -13,6 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from racestream.operators.gaps import CSV_COLUMNS, CSV_HEADER
+from racestream.session import path_exists
 
 
 def write_lines(df: DataFrame, path: str, column: str = "line", mode: str = "overwrite",
@@ -75,12 +76,6 @@ def batch_folder_writer(base: str, bucket: str, column: str = "line",
     return write
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path, of any file system that Spark reaches, exists."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def require_matching_checkpoint(spark: SparkSession, output_base: str, buckets, checkpoint: str) -> None:
     """Refuse a fresh checkpoint on existing output: its batch ids would start at 0
     again and replace the earlier batches."""
