@@ -71,45 +71,67 @@ def observe_skipped(parsed: DataFrame, name: str = "click_quality"):
     return observed, obs
 
 
-def _window(opts: ClickOptions, ts: str = "ts") -> Column:
+def _window(opts: ClickOptions, ts: Column) -> Column:
     if opts.tumbling:
         return F.window(ts, opts.window_duration)
     return F.window(ts, opts.window_duration, opts.slide_duration)
 
 
+def _panes(authed: DataFrame, opts: ClickOptions, ts: str, aggregates: list[Column]) -> DataFrame:
+    """Aggregates per account and pane, a pane being the greatest common divisor of size and slide, so that every
+    window is a whole number of panes."""
+    size, slide = opts.window_size_mins * 60, opts.window_slide_secs
+    pane = F.window(ts, f"{gcd(size, slide)} seconds")
+    return authed.groupBy(F.col("account_id"), pane.alias("pane")).agg(*aggregates)
+
+
+def _windows_of(panes: DataFrame, opts: ClickOptions, aggregates: list[Column]) -> DataFrame:
+    """Aggregates of the panes per account and window.
+
+    Batch: the pane rows are brought together by account, and their copies into the windows are made and
+    aggregated there, so no copy is shuffled. Streams: a second stateful aggregation in the same query.
+    """
+    if panes.isStreaming:
+        windows = (panes.groupBy(F.col("account_id"), _window(opts, F.window_time("pane")).alias("window")).agg(*aggregates))
+        return windows.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
+    size, slide = opts.window_size_mins * 60, opts.window_slide_secs
+    seconds = lambda n: F.expr(f"INTERVAL '{n}' SECOND")
+    latest = F.window(F.col("pane.start"), opts.slide_duration)["start"]  # the last window that covers the pane
+    # explode and not a sliding ``window``: the generator keeps the partitioning by account, an expansion loses it
+    starts = F.transform(F.sequence(F.lit(0), F.lit((size - 1) // slide)), lambda k: F.col("latest") - k * seconds(slide))
+    return (panes.repartition("account_id").withColumn("latest", latest)
+            .withColumn("window_start", F.explode(F.filter(starts, lambda w: w > F.col("pane.start") - seconds(size))))
+            .groupBy("account_id", "window_start").agg(*aggregates)
+            .withColumn("window_end", F.col("window_start") + seconds(size)))
+
+
 def click_counts(authed: DataFrame, opts: ClickOptions, ts: str = "ts") -> DataFrame:
     """Clicks per account in each event-time window that holds at least one click.
 
     Windows are half-open and aligned to the epoch; an event is counted in every
-    window that covers it. Partial counts are combined map-side before the one
-    shuffle on (account, window), so a hot account costs one row per window and
-    map task, not one per click.
+    window that covers it. Clicks are counted per pane first (partial counts are
+    combined map-side, so a hot account costs one row per pane and map task), then
+    the panes are added up per window: no click is copied into its windows.
     """
-    w = _window(opts, ts)
-    return (authed.groupBy(F.col("account_id"), w.alias("window"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("account_id", F.col("window.start").alias("window_start"),
-                    F.col("window.end").alias("window_end"), "n"))
+    if opts.tumbling:  # a window is a pane
+        counts = (authed.groupBy(F.col("account_id"), _window(opts, F.col(ts)).alias("window"))
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")}))
+    else:
+        counts = _windows_of(_panes(authed, opts, ts, [F.count(F.lit(1)).alias("n")]), opts, [F.sum("n").alias("n")])
+    return counts.select("account_id", "window_start", "window_end", "n")
 
 
 def first_events(authed: DataFrame, opts: ClickOptions, ts: str = "ts") -> DataFrame:
     """Counts with the raw text of each window's first click (by event time, then seq).
 
-    Aggregated in two steps: first per account and pane, a pane being the
-    greatest common divisor of size and slide, so that every window is a whole
-    number of panes; then each pane, with its one text, goes to its windows.
-    The clicks' texts are never copied into each window.
+    Panes as in ``click_counts``: each pane has one text, and the clicks' texts are
+    never copied into each window. Batch and streams (in append mode) alike.
     """
-    size, slide = opts.window_size_mins * 60, opts.window_slide_secs
-    pane = F.window(ts, f"{gcd(size, slide)} seconds")
     first = F.struct(F.col(ts).alias("ts"), F.col("seq"), F.col("raw"))
-    panes = (authed.groupBy(F.col("account_id"), pane.alias("pane"))
-             .agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("first"))
-             .select("account_id", F.col("pane.start").alias("pane_start"), "n", "first"))
-    return (panes.groupBy(F.col("account_id"), _window(opts, "pane_start").alias("window"))
-            .agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-            .select("account_id", F.col("window.start").alias("window_start"),
-                    F.col("window.end").alias("window_end"), "n", F.col("first.raw").alias("first_raw")))
+    panes = _panes(authed, opts, ts, [F.count(F.lit(1)).alias("n"), F.min(first).alias("first")])
+    return (_windows_of(panes, opts, [F.sum("n").alias("n"), F.min("first").alias("first")])
+            .select("account_id", "window_start", "window_end", "n", F.col("first.raw").alias("first_raw")))
 
 
 def ten_or_more(counts: DataFrame, opts: ClickOptions) -> DataFrame:

@@ -421,3 +421,4 @@ WHERE b.follower_driver_id <> a.follower_driver_id AND c.follower_driver_id = a.
 
 ORACLES["neighbours_global_key_stream"] = ORACLES["neighbours_global_key"]
 ORACLES["neighbours_reordered_stream"] = ORACLES["neighbours"]
+ORACLES["click_first_event_stream"] = ORACLES["click_first_event"]

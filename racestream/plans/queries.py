@@ -127,6 +127,14 @@ def q_click_counts_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+def q_click_first_event_stream(spark, sf_dir):
+    """Counts with each window's first click as a stream: pane state, then window state, in one append query."""
+    base = scratch_path(spark, "click_first_event_stream")
+    _closed(spark, sf_dir, lambda clicks: start_to_files(
+        windowed_counts_stream(clicks, OPTS, first=True), f"{base}/out", f"{base}/checkpoint", state_partitions=cores(spark)))
+    return spark.read.parquet(f"{base}/out")
+
+
 def q_click_routes_stream(spark, sf_dir):
     """The click job as it runs: a stream, one state store, every closed window
     sent by ``foreachBatch`` to the high-count and low-count text folders; the
@@ -360,6 +368,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_routes": q_click_routes,
     "click_counts_stream": q_click_counts_stream,
     "click_routes_stream": q_click_routes_stream,
+    "click_first_event_stream": q_click_first_event_stream,
     "telemetry_decode": q_telemetry_decode,
     "telemetry_quality": q_telemetry_quality,
     "telemetry_status": q_telemetry_status,

@@ -48,9 +48,13 @@ QUALITY_METRICS = "click_quality"
 
 
 def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bool = True,
-                           observe: bool = True) -> DataFrame:
+                           observe: bool = True, first: bool = False) -> DataFrame:
     """Counts per account and window; a window is emitted once, when it closes.
 
+    Panes are aggregated first and then added up to windows, two stateful
+    aggregations in one append query. ``first``: with the raw text of the
+    window's first click (``first_raw``).
+
     With ``observe``, every micro-batch reports how many clicks it skipped as
     unparsable or anonymous under ``observedMetrics['click_quality']`` in the
     query progress (no extra pass over the data).
@@ -61,12 +65,9 @@ def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bo
             QUALITY_METRICS,
             F.count_if(C.is_unparsable()).alias("n_unparsable"),
             F.count_if(F.coalesce(C.is_anonymous(), F.lit(False))).alias("n_anonymous"))
-    counts = C.click_counts(C.authenticated(parsed), opts)
+    counts = (C.first_events if first else C.click_counts)(C.authenticated(parsed), opts)
     if ntz_output:
-        counts = counts.select(
-            "account_id",
-            instant_to_ntz(F.col("window_start")).alias("window_start"),
-            instant_to_ntz(F.col("window_end")).alias("window_end"), "n")
+        counts = counts.withColumns({c: instant_to_ntz(F.col(c)) for c in ("window_start", "window_end")})
     return counts
 
 

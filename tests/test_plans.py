@@ -20,10 +20,14 @@ def exchanges(text: str) -> list:
     return re.findall(r"Arguments: (hashpartitioning|rangepartitioning|roundrobinpartitioning|SinglePartition)[^\n]*", text)
 
 
-def test_click_counts_one_shuffle_partial_count_pruned_scan(spark):
+def test_click_counts_partial_count_of_panes_pruned_scan(spark):
     text = plan(Q.q_click_counts_sliding(spark, SMALL))
+    physical = text.split("\n\n")[0].splitlines()
     keyed = [e for e in re.findall(r"Arguments: (hashpartitioning\([^)]*\))", text)]
-    assert len(keyed) == 1 and "account_id" in keyed[0]
+    # one shuffle of the partial counts, one of the pane counts; copies into windows are not shuffled
+    assert len(keyed) == 2 and all("account_id" in k for k in keyed)
+    copies = next(i for i, x in enumerate(physical) if "Generate" in x)
+    assert not any("Exchange" in x for x in physical[:copies]) and "Expand" not in text
     assert "partial_count(1)" in text
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
 
@@ -55,10 +59,10 @@ def test_neighbours_run_in_slices_and_changes_need_no_window(spark):
 
 def test_first_events_expand_panes_not_clicks(spark):
     physical = plan(Q.q_click_first_event(spark, SMALL)).split("\n\n")[0]
-    # bottom up: the clicks are aggregated into panes before any expansion into windows
-    lines = [x for x in physical.splitlines() if "Aggregate" in x or "Expand" in x or "Generate" in x]
-    expand = [i for i, x in enumerate(lines) if "Expand" in x]
-    assert expand and all("Aggregate" in x for x in lines[expand[-1] + 1:expand[-1] + 3])
+    # bottom up: the clicks are aggregated into panes before any copy into windows
+    lines = [x for x in physical.splitlines() if "Aggregate" in x or "Generate" in x]
+    copies = next(i for i, x in enumerate(lines) if "Generate" in x)
+    assert all("Aggregate" in x for x in lines[copies + 1:copies + 3]) and "Expand" not in physical
 
 
 def test_batch_queries_add_no_round_robin(spark):
