@@ -20,3 +20,12 @@ def json_number(value: Column, key: str = "user.accountId") -> Column:
 def int32_or_null(d: Column) -> Column:
     """Truncate toward zero when inside the int32 range, else null."""
     return F.when(d.between(INT_MIN, INT_MAX), d.cast("int")).otherwise(F.lit(None).cast("int"))
+
+
+def canonical_json(value: Column) -> Column:
+    """The JSON document written anew: no white space between its parts, keys of every object in order, escapes and
+    numbers in their shortest form; null for text that is no JSON document.
+
+    The text is parsed into a VARIANT and that is written; two texts of the same document become equal.
+    """
+    return F.to_json(F.try_parse_json(value))

@@ -6,7 +6,7 @@ from math import gcd
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from racestream.functions.json import int32_or_null, json_number
+from racestream.functions.json import canonical_json, int32_or_null, json_number
 from racestream.options import ClickOptions
 
 ANONYMOUS = -1
@@ -19,9 +19,12 @@ SINK_CONSOLE = "console"
 SINK_FOLDERS = {SINK_TEN_OR_MORE: "Tenclickusers", SINK_NINE_OR_LESS: "Nineclickusers"}
 
 
-def parse_clicks(clicks: DataFrame) -> DataFrame:
+def parse_clicks(clicks: DataFrame, canonical: bool = False) -> DataFrame:
     """(value, ts, seq) -> (seq, ts, raw, account_id); account_id null if unparsable.
 
+    ``canonical``: ``raw`` is the body written anew (``canonical_json``) instead of as it came,
+    null where the body is no JSON document.
+
     The body is parsed once: the parsed number goes through a one-element array
     and ``inline``, so neither the range check (which reads it three times) nor
     a later filter on ``account_id`` (which Catalyst pushes down) copies
@@ -31,7 +34,8 @@ def parse_clicks(clicks: DataFrame) -> DataFrame:
                            F.inline(F.array(F.struct(json_number(F.col("value")).alias("_d")))))
     # only the parsed number goes through the generator: the other columns stay
     # outside it, where column pruning still drops the ones a query does not use
-    return parsed.select("seq", "ts", F.col("value").alias("raw"),
+    raw = canonical_json(F.col("value")) if canonical else F.col("value")
+    return parsed.select("seq", "ts", raw.alias("raw"),
                          int32_or_null(F.col("_d")).alias("account_id"))
 
 

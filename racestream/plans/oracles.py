@@ -422,3 +422,15 @@ WHERE b.follower_driver_id <> a.follower_driver_id AND c.follower_driver_id = a.
 ORACLES["neighbours_global_key_stream"] = ORACLES["neighbours_global_key"]
 ORACLES["neighbours_reordered_stream"] = ORACLES["neighbours"]
 ORACLES["click_first_event_stream"] = ORACLES["click_first_event"]
+# the canonical text by construction: keys in order, nothing between them
+ORACLES["click_canonical"] = """
+SELECT event_id AS seq, ts,
+       CASE WHEN event_id % 50 = 1 THEN '{"user.accountId":"77"}'
+            WHEN event_id % 50 = 2 THEN '{"user.accountId":3000000000}'
+            WHEN event_id % 50 >= 5 THEN
+              '{' || CASE WHEN event_id % 5 = 3 THEN '"more":{"a":null,"b":[1,2,{}]},' ELSE '' END
+              || '"page":"' || event_type || '","user.accountId":'
+              || CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS VARCHAR) || '}' END AS raw,
+       CASE WHEN event_id % 50 >= 5
+            THEN CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS INTEGER) END AS account_id
+FROM events"""

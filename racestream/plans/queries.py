@@ -22,7 +22,7 @@ from racestream.operators.telemetry import (
 from racestream.options import DRIVER_TABLES, ClickOptions, TelemetryOptions
 from racestream.plans.jobs import find_follower_stream, measure_gap_stream
 from racestream.session import cores, scoped_conf, scratch_path
-from racestream.sources.clicks import clicks_from_events, read_events
+from racestream.sources.clicks import clicks_from_events, clicks_in_other_spellings, read_events
 from racestream.sources.telemetry import kafka_layout_from_events
 from racestream.streaming.clicks import (
     start_click_job, windowed_counts_stream, with_end_marker, write_end_marker,
@@ -73,6 +73,11 @@ def q_click_parse(spark, sf_dir):
     return parsed_clicks(spark, sf_dir)
 
 
+def q_click_canonical(spark, sf_dir):
+    """Parsed clicks whose bodies are spelled in several ways, with the body written anew."""
+    return C.parse_clicks(clicks_in_other_spellings(read_events(spark, sf_dir)), canonical=True)
+
+
 def q_click_authenticated(spark, sf_dir):
     return authed_clicks(spark, sf_dir)
 
@@ -358,6 +363,7 @@ def q_neighbours_reordered_stream(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_parse": q_click_parse,
     "click_authenticated": q_click_authenticated,
+    "click_canonical": q_click_canonical,
     "click_skipped": q_click_skipped,
     "click_counts_sliding": q_click_counts_sliding,
     "click_counts_tumbling": q_click_counts_tumbling,

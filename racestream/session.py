@@ -94,6 +94,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file: written beside it first, so that a reader never finds half of it."""
+    jvm = spark._jvm
+    target, fresh = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(fresh, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    fs.rename(fresh, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    return "\n".join(r.value for r in spark.read.text(path).collect())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder, if it is there."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

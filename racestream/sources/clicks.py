@@ -38,6 +38,26 @@ def clicks_from_events(events: DataFrame) -> DataFrame:
     return events.select(body.alias("value"), F.col("ts"), F.col("event_id").alias("seq"))
 
 
+def clicks_in_other_spellings(events: DataFrame) -> DataFrame:
+    """The same clicks with bodies that are written in other ways: white space (of all JSON kinds), the keys in
+    another order, escaped letters, numbers with an exponent, a nested object. One kind per event id mod 5."""
+    clicks = clicks_from_events(events)
+    account = F.regexp_extract("value", r'"user\.accountId":(-?\d+)', 1)
+    page = F.regexp_extract("value", r'"page":"([^"]*)"', 1)
+    good = F.coalesce(F.length(page) > 0, F.lit(False))
+    kind = F.col("seq") % 5
+
+    def body(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    other = (F.when(kind == 0, body(' {"user.accountId" :\t', account, ' ,\n "page":  "', page, '" } '))
+             .when(kind == 1, body('{"page":"', page, '","user.accountId":', account, '}'))
+             .when(kind == 2, body('{"p\\u0061ge":"', page, '",\r\n"user.accountId":', account, '}'))
+             .when(kind == 3, body('{"user.accountId":', account, ',"more":{"b":[1, 2 ,{ }],"a":null},"page":"', page, '"}'))
+             .otherwise(F.col("value")))
+    return clicks.withColumn("value", F.when(good, other).otherwise(F.col("value")))
+
+
 def read_clicks(spark: SparkSession, path: str, fmt: str = "parquet", stream: bool = False,
                 schema=CLICK_SCHEMA, **options) -> DataFrame:
     """Clicks stored as files with columns (value, ts, seq); batch or stream."""

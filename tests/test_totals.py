@@ -1,0 +1,52 @@
+"""Skip totals over batches and restarts; canonical JSON."""
+
+import json
+
+import pytest
+
+from racestream.functions.json import canonical_json
+from racestream.options import ClickOptions
+from racestream.streaming.clicks import QUALITY_METRICS, windowed_counts_stream
+from racestream.streaming.totals import SkipTotals
+
+
+def test_totals_over_two_starts(spark, tmpdir_path):
+    schema = "value string, ts timestamp, seq long"
+    src, lines = f"{tmpdir_path}/in", []
+    opts = ClickOptions()
+
+    def start(first, n):
+        rows = [('{"user.accountId":-1}' if i % 2 else "junk" if i % 4 else '{"user.accountId":5}', i) for i in range(first, first + n)]
+        df = spark.createDataFrame(rows, "value string, seq long").selectExpr("value", "timestamp_seconds(seq) AS ts", "seq")
+        for k in range(2):  # two micro-batches
+            df.where(f"seq % 2 = {k}").coalesce(1).write.mode("append").parquet(src)
+        totals = SkipTotals(spark, f"{tmpdir_path}/totals.json", QUALITY_METRICS, "skips", every=100, emit=lines.append).attach()
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = (windowed_counts_stream(stream, opts).writeStream.queryName("skips").format("noop").outputMode("append")
+             .option("checkpointLocation", f"{tmpdir_path}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        totals.detach()
+        return totals
+
+    assert start(0, 200).totals == {"n_unparsable": 50, "n_anonymous": 100}
+    assert len(lines) == 1 and "100 so far" in lines[0]
+    again = start(200, 400)
+    assert again.totals == {"n_unparsable": 150, "n_anonymous": 300} and again.skipped == 450
+    assert len(lines) == 4
+    saved = json.loads(open(f"{tmpdir_path}/totals.json").read())
+    assert saved["totals"] == again.totals and saved["batch_id"] == again.batch_id
+
+    class Progress:  # a batch that is reported again counts once
+        batchId, name = again.batch_id, "skips"
+        observedMetrics = {QUALITY_METRICS: None}
+
+    again.onQueryProgress(type("E", (), {"progress": Progress}))
+    assert again.skipped == 450
+
+
+@pytest.mark.parametrize("text,want", [
+    (' { "b" : 1 ,\n"a":\t[ 1 , { } ] } ', '{"a":[1,{}],"b":1}'), ('"x\\u0041"', '"xA"'), ("1.50", "1.5"), ("{", None),
+    (None, None), ("", None), ('{"a b":" c  d "}', '{"a b":" c  d "}'), ("[]", "[]"), ("true", "true"), ("nul", None)])
+def test_canonical_json(spark, text, want):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(canonical_json(df.v)).first()[0] == want
