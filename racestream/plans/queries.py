@@ -24,8 +24,9 @@ from racestream.plans.jobs import find_follower_stream, measure_gap_stream
 from racestream.session import cores, scoped_conf, scratch_path
 from racestream.sources.clicks import clicks_from_events, clicks_in_other_spellings, read_events
 from racestream.sources.telemetry import kafka_layout_from_events
+from racestream.sinks.rolling import RollingPolicy
 from racestream.streaming.clicks import (
-    start_click_job, windowed_counts_stream, with_end_marker, write_end_marker,
+    click_sinks, start_click_job, windowed_counts_stream, with_end_marker, write_end_marker,
 )
 from racestream.streaming.ordered import start_ordered_neighbours
 from racestream.streaming.telemetry import neighbours_stream, start_to_files
@@ -142,14 +143,16 @@ def q_click_first_event_stream(spark, sf_dir):
 
 def q_click_routes_stream(spark, sf_dir):
     """The click job as it runs: a stream, one state store, every closed window
-    sent by ``foreachBatch`` to the high-count and low-count text folders; the
-    result is what the two sinks hold, one account id per line."""
+    sent by ``foreachBatch`` to the high-count and low-count rolling text sinks; the
+    result is what the finished parts of the two hold, one account id per line."""
     base = scratch_path(spark, "click_routes_stream")
     _closed(spark, sf_dir, lambda clicks: start_click_job(
         clicks, OPTS, f"{base}/out", f"{base}/checkpoint", available_now=True, console=False,
-        state_partitions=cores(spark)))
-    parts = [spark.read.text(f"{base}/out/bucket={folder}").select(F.lit(name).alias("sink"), F.col("value").alias("line"))
-             for name, folder in C.SINK_FOLDERS.items()]
+        state_partitions=cores(spark), rolling=RollingPolicy()))
+    parts = []
+    for name, sink in click_sinks(spark, f"{base}/out").items():
+        sink.finish()
+        parts.append(sink.lines().select(F.lit(name).alias("sink"), F.col("value").alias("line")))
     return parts[0].unionByName(parts[1])
 
 

@@ -94,6 +94,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small file: written beside it first, so that a reader never finds half of it."""
     jvm = spark._jvm

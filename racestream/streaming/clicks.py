@@ -9,6 +9,7 @@ from racestream.functions.time import instant_to_ntz, ntz_to_instant
 from racestream.operators import clicks as C
 from racestream.options import ClickOptions
 from racestream.session import scoped_conf
+from racestream.sinks.rolling import RollingPolicy, RollingSink
 from racestream.sinks.writers import batch_folder_writer, console_writer, fan_out, require_matching_checkpoint
 
 
@@ -73,21 +74,24 @@ def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bo
 
 def start_click_job(clicks: DataFrame, opts: ClickOptions, output_base: str, checkpoint: str,
                     available_now: bool = False, console: bool | None = None,
-                    state_partitions: int | None = None) -> StreamingQuery:
+                    state_partitions: int | None = None, rolling: RollingPolicy | None = None) -> StreamingQuery:
     """Run the click job: every closed window goes to the high-count and the
     low-count text sinks (``Tenclickusers`` and ``Nineclickusers`` folders) and,
     when enabled, to the console. One state store serves all sinks. Batch ids
-    belong to the checkpoint: a new one on existing output is refused."""
+    belong to the checkpoint: a new one on existing output is refused.
+    ``rolling``: the lines go into rolling parts (``sinks.rolling``, see ``click_sinks``) instead
+    of a folder per batch."""
     require_matching_checkpoint(clicks.sparkSession, output_base, C.SINK_FOLDERS.values(), checkpoint)
     counts = windowed_counts_stream(clicks, opts)
     branches = {
         "ten": lambda b: C.as_lines(C.ten_or_more(b, opts)),
         "nine": lambda b: C.as_lines(C.nine_or_less(b, opts)),
     }
-    writers = {
-        "ten": batch_folder_writer(output_base, C.SINK_FOLDERS[C.SINK_TEN_OR_MORE]),
-        "nine": batch_folder_writer(output_base, C.SINK_FOLDERS[C.SINK_NINE_OR_LESS]),
-    }
+    folders = {"ten": C.SINK_FOLDERS[C.SINK_TEN_OR_MORE], "nine": C.SINK_FOLDERS[C.SINK_NINE_OR_LESS]}
+    if rolling is None:
+        writers = {k: batch_folder_writer(output_base, folder) for k, folder in folders.items()}
+    else:
+        writers = {k: RollingSink(clicks.sparkSession, output_base, folder, rolling) for k, folder in folders.items()}
     if opts.console_output if console is None else console:
         branches["console"] = lambda b: C.console_counts(b, opts)
         writers["console"] = console_writer()
@@ -97,3 +101,8 @@ def start_click_job(clicks: DataFrame, opts: ClickOptions, output_base: str, che
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=opts.trigger_interval)
     with scoped_conf(clicks.sparkSession, {"spark.sql.shuffle.partitions": state_partitions}):
         return w.start()
+
+
+def click_sinks(spark: SparkSession, output_base: str, rolling: RollingPolicy = RollingPolicy()) -> dict[str, RollingSink]:
+    """The rolling sinks of a click job by branch, to finish and read them."""
+    return {name: RollingSink(spark, output_base, folder, rolling) for name, folder in C.SINK_FOLDERS.items()}
