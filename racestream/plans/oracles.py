@@ -434,3 +434,4 @@ SELECT event_id AS seq, ts,
        CASE WHEN event_id % 50 >= 5
             THEN CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS INTEGER) END AS account_id
 FROM events"""
+ORACLES["telemetry_decode_stream"] = ORACLES["telemetry_decode"]

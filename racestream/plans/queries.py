@@ -23,6 +23,7 @@ from racestream.options import DRIVER_TABLES, ClickOptions, TelemetryOptions
 from racestream.plans.jobs import find_follower_stream, measure_gap_stream
 from racestream.session import cores, scoped_conf, scratch_path
 from racestream.sources.clicks import clicks_from_events, clicks_in_other_spellings, read_events
+from racestream.sources.log import append_log, read_log
 from racestream.sources.telemetry import kafka_layout_from_events
 from racestream.sinks.rolling import RollingPolicy
 from racestream.streaming.clicks import (
@@ -162,6 +163,19 @@ def q_telemetry_decode(spark, sf_dir):
     return telemetry(spark, sf_dir)
 
 
+def q_telemetry_decode_stream(spark, sf_dir):
+    """Decoding as a stream over a partitioned log (offsets per partition), in two starts on one checkpoint: the
+    second one resumes at the offsets of the first, after more was appended."""
+    base = scratch_path(spark, "telemetry_decode_stream")
+    written = messages(spark, sf_dir)
+    half = written.agg(F.max("offset")).first()[0] // 2
+    for late in (False, True):
+        append_log(written.where((F.col("offset") >= half) == late), f"{base}/log")
+        decoded = decode_telemetry(read_log(spark, f"{base}/log", stream=True, topic="telemetry"))
+        start_to_files(decoded, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def q_telemetry_quality(spark, sf_dir):
     return telemetry_quality(messages(spark, sf_dir))
 
@@ -379,6 +393,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_routes_stream": q_click_routes_stream,
     "click_first_event_stream": q_click_first_event_stream,
     "telemetry_decode": q_telemetry_decode,
+    "telemetry_decode_stream": q_telemetry_decode_stream,
     "telemetry_quality": q_telemetry_quality,
     "telemetry_status": q_telemetry_status,
     "raw_dump": q_raw_dump,
