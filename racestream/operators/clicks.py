@@ -89,6 +89,20 @@ def _panes(authed: DataFrame, opts: ClickOptions, ts: str, aggregates: list[Colu
     return authed.groupBy(F.col("account_id"), pane.alias("pane")).agg(*aggregates)
 
 
+def into_windows(rows: DataFrame, opts: ClickOptions, at: Column) -> DataFrame:
+    """Rows copied into each window that covers the time ``at``, with ``window_start`` and ``window_end``.
+
+    By ``explode`` and not by a sliding ``window``: the generator keeps the rows' partitioning, an expansion loses it.
+    """
+    size, slide = opts.window_size_mins * 60, opts.window_slide_secs
+    seconds = lambda n: F.expr(f"INTERVAL '{n}' SECOND")
+    latest = F.window(at, opts.slide_duration)["start"]  # the last window that covers it
+    starts = F.transform(F.sequence(F.lit(0), F.lit((size - 1) // slide)), lambda k: F.col("_latest") - k * seconds(slide))
+    return (rows.withColumn("_latest", latest)
+            .withColumn("window_start", F.explode(F.filter(starts, lambda w: w > at - seconds(size))))
+            .withColumn("window_end", F.col("window_start") + seconds(size)).drop("_latest"))
+
+
 def _windows_of(panes: DataFrame, opts: ClickOptions, aggregates: list[Column]) -> DataFrame:
     """Aggregates of the panes per account and window.
 
@@ -98,44 +112,49 @@ def _windows_of(panes: DataFrame, opts: ClickOptions, aggregates: list[Column])
     if panes.isStreaming:
         windows = (panes.groupBy(F.col("account_id"), _window(opts, F.window_time("pane")).alias("window")).agg(*aggregates))
         return windows.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
-    size, slide = opts.window_size_mins * 60, opts.window_slide_secs
-    seconds = lambda n: F.expr(f"INTERVAL '{n}' SECOND")
-    latest = F.window(F.col("pane.start"), opts.slide_duration)["start"]  # the last window that covers the pane
-    # explode and not a sliding ``window``: the generator keeps the partitioning by account, an expansion loses it
-    starts = F.transform(F.sequence(F.lit(0), F.lit((size - 1) // slide)), lambda k: F.col("latest") - k * seconds(slide))
-    return (panes.repartition("account_id").withColumn("latest", latest)
-            .withColumn("window_start", F.explode(F.filter(starts, lambda w: w > F.col("pane.start") - seconds(size))))
-            .groupBy("account_id", "window_start").agg(*aggregates)
-            .withColumn("window_end", F.col("window_start") + seconds(size)))
+    copies = into_windows(panes.repartition("account_id"), opts, F.col("pane.start"))
+    return copies.groupBy("account_id", "window_start", "window_end").agg(*aggregates)
+
 
+def _direct(authed: DataFrame, opts: ClickOptions, ts: str, aggregates: list[Column]) -> DataFrame:
+    """Aggregates per account and window straight from the clicks."""
+    return (authed.groupBy(F.col("account_id"), _window(opts, F.col(ts)).alias("window")).agg(*aggregates)
+            .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")}))
 
-def click_counts(authed: DataFrame, opts: ClickOptions, ts: str = "ts") -> DataFrame:
+
+def click_counts(authed: DataFrame, opts: ClickOptions, ts: str = "ts", chained: bool = True) -> DataFrame:
     """Clicks per account in each event-time window that holds at least one click.
 
     Windows are half-open and aligned to the epoch; an event is counted in every
     window that covers it. Clicks are counted per pane first (partial counts are
     combined map-side, so a hot account costs one row per pane and map task), then
     the panes are added up per window: no click is copied into its windows.
+
+    In streams a pane closes when the watermark passes its end: a click that comes
+    later is dropped from all its windows, also from those still open. With
+    ``chained=False`` it counts in the open ones (each click is copied into its windows).
     """
-    if opts.tumbling:  # a window is a pane
-        counts = (authed.groupBy(F.col("account_id"), _window(opts, F.col(ts)).alias("window"))
-                  .agg(F.count(F.lit(1)).alias("n"))
-                  .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")}))
+    one = [F.count(F.lit(1)).alias("n")]
+    if opts.tumbling or not chained:  # a tumbling window is a pane
+        counts = _direct(authed, opts, ts, one)
     else:
-        counts = _windows_of(_panes(authed, opts, ts, [F.count(F.lit(1)).alias("n")]), opts, [F.sum("n").alias("n")])
+        counts = _windows_of(_panes(authed, opts, ts, one), opts, [F.sum("n").alias("n")])
     return counts.select("account_id", "window_start", "window_end", "n")
 
 
-def first_events(authed: DataFrame, opts: ClickOptions, ts: str = "ts") -> DataFrame:
+def first_events(authed: DataFrame, opts: ClickOptions, ts: str = "ts", chained: bool = True) -> DataFrame:
     """Counts with the raw text of each window's first click (by event time, then seq).
 
     Panes as in ``click_counts``: each pane has one text, and the clicks' texts are
     never copied into each window. Batch and streams (in append mode) alike.
     """
     first = F.struct(F.col(ts).alias("ts"), F.col("seq"), F.col("raw"))
-    panes = _panes(authed, opts, ts, [F.count(F.lit(1)).alias("n"), F.min(first).alias("first")])
-    return (_windows_of(panes, opts, [F.sum("n").alias("n"), F.min("first").alias("first")])
-            .select("account_id", "window_start", "window_end", "n", F.col("first.raw").alias("first_raw")))
+    aggregates = [F.count(F.lit(1)).alias("n"), F.min(first).alias("first")]
+    if chained:
+        windows = _windows_of(_panes(authed, opts, ts, aggregates), opts, [F.sum("n").alias("n"), F.min("first").alias("first")])
+    else:
+        windows = _direct(authed, opts, ts, aggregates)
+    return windows.select("account_id", "window_start", "window_end", "n", F.col("first.raw").alias("first_raw"))
 
 
 def ten_or_more(counts: DataFrame, opts: ClickOptions) -> DataFrame:

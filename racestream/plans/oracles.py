@@ -435,3 +435,23 @@ SELECT event_id AS seq, ts,
             THEN CAST(CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS INTEGER) END AS account_id
 FROM events"""
 ORACLES["telemetry_decode_stream"] = ORACLES["telemetry_decode"]
+# four batches in time order, every fifth event one batch late; the watermark of a batch is that of the ones before it
+ORACLES["click_late_rows"] = _with(CLICKS) + """
+, span AS (
+  SELECT CAST(epoch(min(ts)) AS BIGINT) AS a, 3600 * ((CAST(epoch(max(ts)) AS BIGINT) - CAST(epoch(min(ts)) AS BIGINT)) // 14400 + 1) AS len
+  FROM events),
+placed AS (
+  SELECT clicks.*, least(3, CAST(floor((epoch(date_trunc('hour', ts)) - a + 3599) / len) AS BIGINT)
+                            + CASE WHEN seq % 5 = 0 THEN 1 ELSE 0 END) AS b
+  FROM clicks, span),
+mark AS (SELECT k, (SELECT max(ts) FROM placed WHERE b < k) - INTERVAL 60 SECOND AS old FROM range(4) t(k)),
+copied AS (
+  SELECT account_id, raw, ts, seq, b, CAST(date_trunc('day', ts) AS TIMESTAMP) - to_days(CAST(i AS INTEGER)) AS window_start
+  FROM placed, range(7) AS t(i) WHERE account_id IS NOT NULL AND account_id <> -1),
+tested AS (
+  SELECT copied.*, window_start + INTERVAL 7 DAY AS window_end, coalesce(window_start + INTERVAL 7 DAY <= old, false) AS late
+  FROM copied JOIN mark ON mark.k = copied.b)
+SELECT 'late' AS kind, account_id, window_start, window_end, CAST(NULL AS BIGINT) AS n, raw AS text, seq FROM tested WHERE late
+UNION ALL
+SELECT 'window', account_id, window_start, window_end, count(*), first(raw ORDER BY ts, seq), NULL
+FROM tested WHERE NOT late GROUP BY account_id, window_start, window_end"""

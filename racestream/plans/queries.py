@@ -30,6 +30,7 @@ from racestream.streaming.clicks import (
     click_sinks, start_click_job, windowed_counts_stream, with_end_marker, write_end_marker,
 )
 from racestream.streaming.ordered import start_ordered_neighbours
+from racestream.streaming.panes import PaneWindows
 from racestream.streaming.telemetry import neighbours_stream, start_to_files
 
 # Fixed value: the tracked driver in the telemetry derived from ``events``.
@@ -138,7 +139,7 @@ def q_click_first_event_stream(spark, sf_dir):
     """Counts with each window's first click as a stream: pane state, then window state, in one append query."""
     base = scratch_path(spark, "click_first_event_stream")
     _closed(spark, sf_dir, lambda clicks: start_to_files(
-        windowed_counts_stream(clicks, OPTS, first=True), f"{base}/out", f"{base}/checkpoint", state_partitions=cores(spark)))
+        windowed_counts_stream(clicks, OPTS, first=True, chained=True), f"{base}/out", f"{base}/checkpoint", state_partitions=cores(spark)))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -334,8 +335,9 @@ def q_pattern_three_steps_stream(spark, sf_dir):
 CHUNKS = 4
 
 
-def _in_chunks(spark, sf_dir, base: str, displaced: bool) -> tuple[DataFrame, int]:
-    """The messages as a stream of ``CHUNKS`` micro-batches, one file set each, and a chunk's length in seconds.
+def _in_chunks(spark, sf_dir, base: str, displaced: bool, derive=kafka_layout_from_events) -> tuple[DataFrame, int]:
+    """What ``derive`` makes of the events as a stream of ``CHUNKS`` micro-batches, one file each, and a chunk's
+    length in seconds.
 
     The chunks follow in event time. ``displaced``: every fifth event comes one chunk late.
     """
@@ -348,9 +350,25 @@ def _in_chunks(spark, sf_dir, base: str, displaced: bool) -> tuple[DataFrame, in
         chunk = chunk + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)
     chunk = F.least(chunk, F.lit(CHUNKS - 1))
     for k in range(CHUNKS):
-        kafka_layout_from_events(events.where(chunk == k)).coalesce(1).write.mode("append").parquet(f"{base}/messages")
-    schema = spark.read.parquet(f"{base}/messages").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/messages"), length
+        derive(events.where(chunk == k)).coalesce(1).write.mode("append").parquet(f"{base}/chunks")
+    schema = spark.read.parquet(f"{base}/chunks").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/chunks"), length
+
+
+def q_click_late_rows(spark, sf_dir):
+    """Clicks of which every fifth comes one chunk late: the windows with what was in time, and the late clicks
+    with each window they were late for."""
+    base = scratch_path(spark, "click_late_rows")
+    stream, _ = _in_chunks(spark, sf_dir, base, displaced=True, derive=clicks_from_events)
+    job = PaneWindows(spark, OPTS, f"{base}/out", f"{base}/state")
+    (stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(job)
+     .trigger(availableNow=True).start().awaitTermination())
+    job.finish(CHUNKS - 1)
+    late = job.late().select(F.lit("late").alias("kind"), "account_id", "window_start", "window_end",
+                             F.lit(None).cast("long").alias("n"), F.col("raw").alias("text"), "seq")
+    windows = job.windows().select(F.lit("window").alias("kind"), "account_id", "window_start", "window_end", "n",
+                                   F.col("first_raw").alias("text"), F.lit(None).cast("long").alias("seq"))
+    return late.unionByName(windows)
 
 
 def q_neighbours_global_key_stream(spark, sf_dir):
@@ -416,5 +434,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pattern_pairs_stream": q_pattern_pairs_stream,
     "pattern_three_steps_stream": q_pattern_three_steps_stream,
     "neighbours_global_key_stream": q_neighbours_global_key_stream,
+    "click_late_rows": q_click_late_rows,
     "neighbours_reordered_stream": q_neighbours_reordered_stream,
 }

@@ -49,12 +49,14 @@ QUALITY_METRICS = "click_quality"
 
 
 def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bool = True,
-                           observe: bool = True, first: bool = False) -> DataFrame:
+                           observe: bool = True, first: bool = False, chained: bool = False) -> DataFrame:
     """Counts per account and window; a window is emitted once, when it closes.
 
-    Panes are aggregated first and then added up to windows, two stateful
-    aggregations in one append query. ``first``: with the raw text of the
-    window's first click (``first_raw``).
+    ``first``: with the raw text of the window's first click (``first_raw``).
+    ``chained``: panes are aggregated first and then added up to windows, two
+    stateful aggregations in one append query, which copies no click into its
+    windows but drops a click once its pane is closed, also from windows that are
+    still open (``streaming.panes`` has neither drawback).
 
     With ``observe``, every micro-batch reports how many clicks it skipped as
     unparsable or anonymous under ``observedMetrics['click_quality']`` in the
@@ -66,7 +68,7 @@ def windowed_counts_stream(clicks: DataFrame, opts: ClickOptions, ntz_output: bo
             QUALITY_METRICS,
             F.count_if(C.is_unparsable()).alias("n_unparsable"),
             F.count_if(F.coalesce(C.is_anonymous(), F.lit(False))).alias("n_anonymous"))
-    counts = (C.first_events if first else C.click_counts)(C.authenticated(parsed), opts)
+    counts = (C.first_events if first else C.click_counts)(C.authenticated(parsed), opts, chained=chained)
     if ntz_output:
         counts = counts.withColumns({c: instant_to_ntz(F.col(c)) for c in ("window_start", "window_end")})
     return counts
