@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_text, table
+from .common import map_text, materialise, table
 from .tokens import vocabulary_path, word_ids
 
 RANGE = 256
@@ -37,6 +37,7 @@ def token_lengths(docs: DataFrame, keep: list[str], path: str | None = None, tex
 def histogram(lengths: DataFrame) -> DataFrame:
     """One row per occurring ``length``: ``n_docs, n_tokens, docs_at_least, tokens_at_least, truncated_tokens``."""
     counts = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("length").alias("n_tokens"))
+    counts = materialise(counts, "lengths")  # read twice below: every text is encoded once
     counts = counts.withColumn("range", F.floor(F.col("length") / RANGE))
     # level 1: one row per range (the longest document over RANGE of them at most)
     ranges = counts.groupBy("range").agg(F.sum("n_docs").alias("d"), F.sum("n_tokens").alias("t"))
