@@ -7,7 +7,7 @@ import re
 from array import array
 from unicodedata import is_normalized
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 150_000  # in each of two generations
 _PUNCTUATION = b".,!?;:|"
 _PLAIN = re.compile(rb"[!-&(-~]+")  # printable ASCII but the apostrophe, which starts contractions
 _PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
@@ -54,14 +54,18 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        ids = self._ids(chunk)
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self._ids(chunk)
         if len(chunk) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
             self[chunk] = ids
         return ids
 
