@@ -45,11 +45,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scoped_conf
 from .common import SLICE_ROWS, materialise, table
 from .components import components
 from .url_filter import build_filter, might_contain
 
 FREQUENT = 65_536
+#: rows that carry two whole texts go to Python in small batches
+PAIR_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": SLICE_ROWS}
 MAX_BOUNDARY = 24
 _CHUNK = 1 << 21
 _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -365,7 +368,8 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .agg(F.min(F.struct("d0", "d1")).alias("x"), F.max(F.struct("d0", "d1")).alias("y"))
                .where("x <> y").select("doc_id"))
     same_id = sets.join(several, "doc_id").join(reps, ["d0", "d1"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = materialise(_links(first, members, source, width, at, shared).union(same_id), "links")
+    with scoped_conf(spark, PAIR_BATCHES):
+        links = materialise(_links(first, members, source, width, at, shared).union(same_id), "links")
     labels = components(links)
 
     # members of one list that are still apart
@@ -379,7 +383,8 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label2")) & _may_link(at))
               .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
     second = materialise(second, "pairs")
-    links = materialise(links.union(_links(second, members, source, width, at, shared)), "links")
+    with scoped_conf(spark, PAIR_BATCHES):
+        links = materialise(links.union(_links(second, members, source, width, at, shared)), "links")
     labels = components(links)
 
     # written, so that Spark can split the rows of a set with very many copies in the last join
@@ -391,14 +396,20 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kind) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class, one row per id.
+    """One row of ``docs`` of each class of linked texts: that of the smallest id.
 
-    A row without an id stays unless a row with an id has the same set.
+    Classes are those of rows, whatever their ids: rows that share an id but not their text
+    are texts of their own, and rows without an id go if another row of their class stays (among
+    themselves, and where ids are equal too, the smallest hash of the text stays). Rows without words
+    link with nothing and stay.
     """
-    classes = shingle_classes(docs, id_col, text_col, **kind)
-    stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(stay, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    numbered = materialise(docs.withColumn("_near_row", F.monotonically_increasing_id()), "numbered")
+    classes = shingle_classes(numbered, "_near_row", text_col, **kind).select(
+        F.col("doc_id").alias("_near_row"), F.col("component_id").alias("_near_class"))
+    rank = F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`")), "_near_row")
+    best = (numbered.select("_near_row", rank.alias("_near_rank")).join(classes, "_near_row")
+            .groupBy("_near_class").agg(F.min_by("_near_row", "_near_rank").alias("_near_row")))
+    return numbered.join(best.select("_near_row"), "_near_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def q_op5_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -99,7 +99,18 @@ def test_messy_rows(spark):
 def test_one_of_each_class_stays(spark):
     docs = messy(spark)
     kept = jj.one_per_class(docs).select(docs.columns).collect()
-    assert sorted([r.doc_id for r in kept], key=str) == sorted([1, 2, 3, 4, 5, 7, 8, 9, 10, None, None], key=str)
+    # the row without an id whose text others have goes, the one without a text stays
+    assert sorted([r.doc_id for r in kept], key=str) == sorted([1, 2, 3, 4, 5, 7, 8, 9, 10, None], key=str)
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(40)
+    a, b, c = (" ".join(words(rng, 50)) for _ in range(3))
+    rows = [doc(1, a), doc(1, b), doc(None, c), doc(None, c + " "), doc(2, a), doc(None, a), doc(None, None), doc(None, None)]
+    kept = jj.one_per_class(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    assert sorted(((r.doc_id, (r.text or "").strip()) for r in kept), key=repr) == sorted(
+        [(1, a), (1, b), (None, c), (None, ""), (None, "")], key=repr)
+    assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
 
 
 def test_thresholds_are_exact():
