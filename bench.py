@@ -29,6 +29,7 @@ HEADLINE = [
     "click_parse", "click_authenticated", "click_skipped", "click_counts_tumbling", "ten_or_more", "nine_or_less",
     "console_counts", "click_routes_stream", "telemetry_quality", "telemetry_status", "raw_dump", "gap_report",
     "adjacent_pairs", "follower_changes_stream", "neighbours_targets_table", "find_follower", "find_follower_stream",
+    "pattern_pairs", "pattern_three_steps", "click_canonical", "click_first_event_stream", "telemetry_decode_stream",
 ]
 
 
