@@ -1,36 +1,48 @@
 """Personal data: bootstrapped contextual extraction.
 
-*Seeds* are the entities that fixed formats find (e-mail, IPv4 address, card with
-Luhn check, international phone number). Their left contexts (one and two words)
-induce lexical *patterns*; patterns and the *instances* that follow them form a
-weighted bipartite graph over the whole corpus, which Spark scores in rounds:
+*Seeds* are the entities that fixed formats find: e-mail, IPv4 address, card with
+Luhn check, international phone number, and keys (32 or more hexadecimal digits, letters
+among them). Their contexts induce lexical *patterns*: the word before, the two words
+before, the word after, the words on both sides. Patterns and the *instances* that
+stand in them form a weighted bipartite graph over the whole corpus, which Spark
+scores in rounds:
 
 * a pattern's confidence for a kind is the weighted share of *everything* that
-  follows it that is an instance of that kind (so "the" stays near 0);
+  stands in it that is an instance of that kind (so "the" stays near 0);
 * an instance that no format found gets the noisy-or of its patterns' confidences;
-* in the next round such instances count for the patterns they follow.
+* in the next round such instances count for the patterns they stand in.
 
 Patterns of high confidence then discover identifiers that the formats miss: a
-following token with a digit or @ and of at least ``MIN_LENGTH`` characters, or
+token with a digit or @ and of at least ``MIN_LENGTH`` characters, or
 the run of digit groups and separators that starts there, spaces included, of at
-least ``MIN_LENGTH`` digits.
+least ``MIN_LENGTH`` digits. Keys are no base spans: they count only as seeds, and are
+found (as kind ``secret``) only where a pattern says so.
 A pattern needs ``MIN_SEEDS`` distinct seeds as support, at every size of the
-corpus. What follows the patterns is counted in passes of about ``PASS_PATTERNS``
+corpus. What stands in the patterns is counted in passes of about ``PASS_PATTERNS``
 of them; the confident ones are collected and broadcast.
 
+Tokens are split at ASCII white space, and behind a name with a colon or equals sign
+(``tel:``, but not ``http://``). Brackets, quotes and commas around a token belong to neither
+the word nor the instance, so ``mail <a@b.org>`` has the context ``mail``.
+
 Spans are in code points, end exclusive. Matches are leftmost and do not overlap
 within a kind; one that fails its test is dropped without a retry. Discovered
 spans never overlap others; base spans always stay.
 
 Defined results: a null or empty text has no spans; repeated rows are extracted
-(and counted) each; without seeds or confident patterns only formats count.
+(and counted) each; without seeds or confident patterns only formats count; invalid
+UTF-8 is read with replacement characters. A text is read whole, however long, one at a
+time, in time near linear in its length. Input columns travel in the struct ``row``, so
+their names never clash.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +51,8 @@ from .common import SLICE_ROWS, map_text, materialise, table
 
 # The kinds, in their order.
 KINDS = ["email", "ip", "card", "phone"]
+#: kinds of seeds: those of the formats, and keys, whose spans come through patterns alone
+SEED_KINDS = [*KINDS, "secret"]
 MIN_SEEDS, PASS_PATTERNS = 5, 200_000
 CONFIDENT, ROUNDS = 0.8, 3
 MIN_LENGTH = 5
@@ -51,7 +65,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN_END = re.compile(r"[\x20\x09-\x0D.,;!?()\[\]{}<>\"']")
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_TOKEN = re.compile(r"[A-Za-z]{2,}+[:=](?![\x20\x09-\x0D/])|[^\x20\x09-\x0D]+")
+_MARK = re.compile(r"[0-9@]")
+_KEY = re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{32,}+(?![A-Za-z0-9])")
 _RUN = re.compile(r"\+?\(?[0-9](?:[\x20().-]*+[0-9])*+")
 _EDGE = ".,;!?()[]{}<>\"'"
 _BEFORE_RUN = _EDGE.replace("(", "")
@@ -105,35 +121,84 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+class _Spans:
+    """The spans of a text, for questions that take no pass over all of them."""
+
+    def __init__(self, spans):
+        by_start = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in by_start]
+        self.reach = list(accumulate((e for _, e in by_start), max))
+
+    def next_start(self, at: int, end: int) -> int:
+        """The first start behind ``at``, ``end`` if that comes before."""
+        i = bisect_right(self.starts, at)
+        return min(end, self.starts[i]) if i < len(self.starts) else end
+
+    def meets(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end)
+        return i > 0 and self.reach[i - 1] > start
+
+
+def seed_spans(text: str, base) -> list[tuple[int, int, int]]:
+    """The base spans, then keys that meet none of them."""
+    taken = _Spans(base)
+    keys = [(len(KINDS), *m.span()) for m in _KEY.finditer(text)
+            if _DIGIT.search(m[0]) and not m[0].isdigit() and not taken.meets(*m.span())]
+    return base + keys
+
+
 def _word(token: str) -> str:
     return token.strip(_EDGE).lower()
 
 
-def _context(text: str, start: int) -> list[str]:
-    """The patterns before a place: its last word, its last two words."""
-    words = [w for t in _TOKEN.findall(text[max(0, start - 200):start])[-2:] if (w := _word(t))]
-    return [" ".join(words[-n:]) for n in (1, 2) if len(words) >= n]
+class _Tokens:
+    """Tokens of a text that hold more than brackets and marks: where their words start and end, and the words."""
+
+    def __init__(self, text: str):
+        self.text, self.starts, self.ends, self.words = text, [], [], []
+        for m in _TOKEN.finditer(text):
+            token = m[0]
+            bare = token.lstrip(_EDGE)
+            if bare:
+                self.starts.append(m.end() - len(bare))
+                self.ends.append(m.end())
+                self.words.append(bare.rstrip(_EDGE).lower())
+
+    def contexts(self, i: int, end: int) -> tuple[list[str], int]:
+        """The patterns around the instance from token i to the place ``end``, and the token behind it.
+        Words hold no white space: "a b" stands before, "\\tc" behind, "b\\tc" on both sides."""
+        w, j = self.words, bisect_left(self.starts, end, i + 1)
+        out = [w[i - 1]] if i else []
+        if i > 1:
+            out.append(w[i - 2] + " " + w[i - 1])
+        if j < len(w):
+            out.append("\t" + w[j])
+            if i:
+                out.append(w[i - 1] + "\t" + w[j])
+        return out, j
+
+    def marked(self):
+        """Tokens that may start an instance."""
+        return [i for i, (s, e) in enumerate(zip(self.starts, self.ends)) if _MARK.search(self.text, s, e)]
 
 
 def _candidate(token: str) -> bool:
     return len(token) >= MIN_LENGTH and ("@" in token or bool(_DIGIT.search(token)))
 
 
-def _candidate_at(text: str, s: int, e: int, base) -> tuple[int, int] | None:
-    """The place of the candidate that starts in the token at s to e, if there is one. A run of digit
-    groups may go on over spaces, up to the next span of a format and never into part of a token."""
-    token = text[s:e]
-    run = _RUN.match(text, s + len(token) - len(token.lstrip(_BEFORE_RUN)))
+def _candidate_at(text: str, s: int, e: int, base: _Spans) -> tuple[int, int] | None:
+    """The place of the candidate that starts in the token at s (behind its brackets) to e, if there is one.
+    A run of digit groups may go on over spaces, up to the next span of a format and never into part of a token."""
+    run = _RUN.match(text, s - 1 if s and text[s - 1] == "(" else s)
     if run and run.end() > e:
         start, end = run.span()
-        end = min([end, *(bs for _, bs, _ in base if bs > start)])
+        end = base.next_start(start, end)
         if end == run.end() and end < len(text) and not _TOKEN_END.match(text, end):
             end = max(text.rfind(" ", start, end), start)
         end = start + len(text[start:end].rstrip(" ().-"))
         if end > e and len(_digits(text[start:end])) >= MIN_LENGTH:
             return start, end
-    s += len(token) - len(token.lstrip(_EDGE))
-    e -= len(token) - len(token.rstrip(_EDGE))
+    e = s + len(text[s:e].rstrip(_EDGE))
     return (s, e) if e > s and _candidate(text[s:e]) else None
 
 
@@ -142,13 +207,13 @@ def _texts(batches):
         for at in range(0, batch.num_rows, SLICE_ROWS):
             for t in batch.column(0).slice(at, SLICE_ROWS).to_pylist():
                 if t:
-                    yield t.decode()
+                    yield t.decode("utf-8", "replace")
 
 
 def _rows(names, types, counts: Counter):
     import pyarrow as pa
 
-    cols = list(zip(*[(*k, n) for k, n in counts.items()])) or [[]] * len(names)
+    cols = list(zip(*[(*k, n) for k, n in counts.items() if n])) or [[]] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
 
@@ -159,51 +224,74 @@ def _seed_contexts(batches):
     names, types = ["pattern", "kind", "instance", "n"], [pa.string(), pa.int32(), pa.string(), pa.int64()]
     counts: Counter = Counter()
     for text in _texts(batches):
-        for kind, s, e in base_spans(text):
-            for pattern in _context(text, s):
-                counts[pattern, kind, text[s:e].lower()] += 1
+        seeds = seed_spans(text, base_spans(text))
+        tokens = _Tokens(text) if seeds else None
+        for kind, s, e in seeds:
+            i = bisect_left(tokens.starts, s)
+            if i < len(tokens.starts) and tokens.starts[i] == s:
+                for pattern in tokens.contexts(i, e)[0]:
+                    counts[pattern, kind, text[s:e].lower()] += 1
         if len(counts) > _FLUSH:
             yield _rows(names, types, counts)
             counts = Counter()
     yield _rows(names, types, counts)
 
 
-def _tokens(text: str):
-    """(start, end, patterns before) of every token."""
-    before: list[str] = []
-    for m in _TOKEN.finditer(text):
-        yield m.start(), m.end(), ([before[-1]] if before else []) + ([" ".join(before)] if len(before) == 2 else [])
-        w = _word(m[0])
-        if w:
-            before = [*before[-1:], w]
-
-
 def _followers(shared):
-    """Rows pattern, kind, instance, n: what follows the given patterns. kind -1: a candidate that no
+    """Rows pattern, kind, instance, n: what stands in the given patterns. kind -1: a candidate that no
     format found; kind -2: anything else, without instance."""
     import pyarrow as pa
 
     names, types = ["pattern", "kind", "instance", "n"], [pa.string(), pa.int32(), pa.string(), pa.int64()]
 
     def run(batches):
-        patterns, counts = shared.value, Counter()
+        patterns = shared.value
+        behind = {p[1:] for p in patterns if p[0] == "\t"}
+        pairs, around = any(" " in p for p in patterns), any("\t" in p[1:] for p in patterns)
+        counts, others = Counter(), Counter()
         for text in _texts(batches):
-            spans = base_spans(text)
-            starts = {s: (k, e) for k, s, e in reversed(spans)}
-            for s, e, before in _tokens(text):
-                for p in before:
-                    if p not in patterns:
+            # every word stands in the patterns around it
+            if _MARK.search(text):
+                tokens = _Tokens(text)
+                w = tokens.words
+            else:
+                tokens, w = None, [x for t in _TOKEN.findall(text) if (x := t.strip(_EDGE).lower())]
+            others.update(filter(patterns.__contains__, w[:-1]))
+            if pairs:
+                others.update(filter(patterns.__contains__, map(" ".join, zip(w[:-2], w[1:-1]))))
+            if around:
+                others.update(filter(patterns.__contains__, map("\t".join, zip(w, w[2:]))))
+            if behind:
+                others.update("\t" + x for x in w[1:] if x in behind)
+            if tokens:
+                # the instances among them
+                spans = base_spans(text)
+                known, taken = {s: (k, e) for k, s, e in reversed(seed_spans(text, spans))}, _Spans(spans)
+                done = 0
+                for i in tokens.marked():
+                    s, e = tokens.starts[i], tokens.ends[i]
+                    if s < done:
                         continue
-                    if s in starts:
-                        kind, end = starts[s]
-                        counts[p, kind, text[s:end].lower()] += 1
-                    elif place := _candidate_at(text, s, e, spans):
-                        counts[p, -1, text[slice(*place)].lower()] += 1
+                    kind, place = -1, None
+                    if s in known:
+                        kind, place = known[s][0], (s, known[s][1])
                     else:
-                        counts[p, -2, ""] += 1
-            if len(counts) > _FLUSH:
+                        place = _candidate_at(text, s, e, taken)
+                    if not place:
+                        continue
+                    done = place[1]
+                    around_it, j = tokens.contexts(i, done)
+                    for p in around_it:
+                        if p in patterns:
+                            counts[p, kind, text[slice(*place)].lower()] += 1
+                            # an instance of several tokens is not among the words with one on both sides
+                            if j == i + 1 or "\t" not in p[1:]:
+                                others[p] -= 1
+            if len(counts) + len(others) > _FLUSH:
+                counts.update({(p, -2, ""): n for p, n in others.items()})
                 yield _rows(names, types, counts)
-                counts = Counter()
+                counts, others = Counter(), Counter()
+        counts.update({(p, -2, ""): n for p, n in others.items()})
         yield _rows(names, types, counts)
     return run
 
@@ -250,14 +338,15 @@ def all_spans(text: str, patterns: dict) -> list[tuple[int, int, int, bool]]:
     """(kind, start, end, found by a format), by kind and start."""
     base = base_spans(text)
     out = [(k, s, e, True) for k, s, e in base]
-    if patterns:
-        done = 0
-        for s, e, before in _tokens(text):
-            known = [patterns[p] for p in before if p in patterns]
-            if s < done or not known:
+    if patterns and _MARK.search(text):
+        done, taken, tokens = 0, _Spans(base), _Tokens(text)
+        for i in tokens.marked():
+            s = tokens.starts[i]
+            place = _candidate_at(text, s, tokens.ends[i], taken) if s >= done else None
+            if not place or taken.meets(*place):
                 continue
-            place = _candidate_at(text, s, e, base)
-            if place and all(place[1] <= bs or be <= place[0] for _, bs, be in base):
+            known = [patterns[p] for p in tokens.contexts(i, place[1])[0] if p in patterns]
+            if known:
                 out.append((max(known, key=lambda x: x[1])[0], *place, False))
                 done = place[1]
     return sorted(out)
@@ -268,7 +357,7 @@ def redacted(text: str, spans) -> str:
     out, at = [], 0
     for kind, s, e, _ in sorted(spans, key=lambda x: (x[1], x[0])):
         if s >= at:
-            out += [text[at:s], f"[{KINDS[kind].upper()}]"]
+            out += [text[at:s], f"[{SEED_KINDS[kind].upper()}]"]
         at = max(at, e)
     return "".join(out) + text[at:]
 
@@ -283,7 +372,7 @@ def extract(docs: DataFrame, keep: list[str], patterns: dict, text: str = "text"
         def run(texts):
             spans, clean = [], []
             for t in texts:
-                text = t.decode() if t else ""
+                text = t.decode("utf-8", "replace") if t else ""
                 found = all_spans(text, patterns)
                 spans.append([{"kind": k, "start": s, "end": e, "base": b} for k, s, e, b in found])
                 if redact:
@@ -297,7 +386,7 @@ def extract(docs: DataFrame, keep: list[str], patterns: dict, text: str = "text"
 
 def span_text(spans):
     """kind:start:end of a column of spans, comma-joined."""
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in SEED_KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
 

@@ -125,3 +125,79 @@ def test_span_text(spark):
     docs = spark.createDataFrame([doc(1, "é 1.2.3.4 a@b.c 9.9.9.9"), doc(2, None)], DOCS)
     rows = pii.extract(docs, ["doc_id"], {}).select("row.doc_id", pii.span_text("spans").alias("s")).collect()
     assert {r.doc_id: r.s for r in rows} == {1: "email:10:15,ip:2:9,ip:16:23", 2: ""}
+
+
+def test_seeds_in_brackets_and_behind_names(spark):
+    """The word before counts, whatever brackets or name stand between, however long it is."""
+    long = "x" * 300
+    rows = [doc(i, f"contact mail <user{i}@site{i}.org> {i % 3}a") for i in range(20)]
+    rows += [doc(100 + i, f"{long} +1 555 010 {1000 + i} q{i}") for i in range(20)]
+    rows += [doc(200 + i, f'w{i} tel:+44 20 7946 {1000 + i}, r{i}') for i in range(20)]
+    patterns = pii.learn_patterns(spark.createDataFrame(rows, DOCS))
+    assert patterns["mail"][0] == patterns["contact mail"][0] == 0
+    assert patterns[long][0] == 3 and patterns["tel:"][0] == 3
+
+    def found(text):
+        return [(k, text[s:e]) for k, s, e, base in pii.all_spans(text, patterns) if not base]
+
+    assert found("mail [joe-at-site9]") == [(0, "joe-at-site9")] and found("see tel:0171-555-77, x") == [(3, "0171-555-77")]
+    assert found(long + "x 12345678") == []
+
+
+def test_contexts_behind_and_on_both_sides(spark):
+    rng = random.Random(3)
+    rows = [doc(i, f"{' '.join(words(rng, 5))} 10.0.{i}.7 hostaddr") for i in range(30)]
+    rows += [doc(100 + i, f"q{i} from +1 555 010 {1000 + i} home from the home from here") for i in range(30)]
+    rows += [doc(200 + i, " ".join(words(rng, 20))) for i in range(10)]
+    patterns = pii.learn_patterns(spark.createDataFrame(rows, DOCS))
+    assert patterns["\thostaddr"][0] == 1 and "from" not in patterns and "from\thome" not in patterns
+    assert [t[:3] for t in pii.all_spans("zz node-0017 hostaddr", patterns)] == [(1, 3, 12)]
+
+
+def test_keys_are_found_by_their_patterns_alone(spark):
+    rng = random.Random(4)
+    keys = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(12)]
+    rows = [doc(i, f'{" ".join(words(rng, 4))} token = "{k}" {" ".join(words(rng, 4))}') for i, k in enumerate(keys)]
+    rows.append(doc(50, f"hash {keys[0]} end"))
+    rows.append(doc(51, 'and token = "Zq-77.Kx/19" end'))
+    docs = spark.createDataFrame(rows, DOCS)
+    patterns = pii.learn_patterns(docs)
+    assert patterns["token ="][0] == pii.SEED_KINDS.index("secret")
+    got = {r.doc_id: r for r in pii.extract(docs, ["doc_id"], patterns, redact=True)
+           .select("row.doc_id", "redacted", pii.span_text("spans").alias("s")).collect()}
+    for i, k in enumerate(keys):
+        at = rows[i][1].index(k)
+        assert got[i].s == f"secret:{at}:{at + 40}" and 'token = "[SECRET]"' in got[i].redacted
+    assert got[50].s == "" and got[51].redacted == 'and token = "[SECRET]" end'
+
+
+def test_counts_of_a_pattern_are_everything_that_stands_in_it():
+    """Against a plain count: one row more per word in a pattern, an instance of several words once."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    rng = random.Random(9)
+    parts = ["a", "b", "a.", "(b", "1.2.3.4", "<a@b.cd>", "+1 (555) 010-1000", "x12345", "0171 555 7713", "!"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    patterns = frozenset(["a", "b", "a b", "b a", "\ta", "\tb", "a\tb", "b\tb"])
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts])], ["text"])
+    rows = [r for out in pii._followers(SimpleNamespace(value=patterns))([batch]) for r in out.to_pylist()]
+    assert all(r["n"] > 0 for r in rows)
+    total = dict.fromkeys(patterns, 0)
+    for t in texts:
+        w = [x for x in (pii._word(y) for y in t.split()) if x]
+        for i in range(len(w)):
+            for p in ([w[i - 1]] if i else []) + ([f"{w[i - 2]} {w[i - 1]}"] if i > 1 else []) + (
+                    ["\t" + w[i + 1]] if i + 1 < len(w) else []) + ([f"{w[i - 1]}\t{w[i + 1]}"] if 0 < i < len(w) - 1 else []):
+                if p in total:
+                    total[p] += 1
+    for p in patterns:
+        got = sum(r["n"] for r in rows if r["pattern"] == p)
+        assert got == total[p] if "\t" not in p[1:] else got >= total[p], p
+
+
+def test_invalid_bytes_and_very_long_texts(spark):
+    text = ("a@b.cd 1.2.3.4 " * 20_000) + "x" * 500_000
+    docs = spark.createDataFrame([(1, bytearray(b"\xff a@b.cd \xc3")), (2, bytearray(text.encode()))], "doc_id long, text binary")
+    rows = {r.doc_id: r.n for r in pii.extract(docs, ["doc_id"], {"a": (0, 0.9)}).selectExpr("row.doc_id", "size(spans) n").collect()}
+    assert rows == {1: 1, 2: 40_000}
