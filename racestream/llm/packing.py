@@ -13,21 +13,28 @@ dealt at random into cells of about ``CELL_PIECES``; each cell is packed by
 * after each round the best individual of every island *migrates* to the next
   island of its cell, by a shuffle of slim rows.
 
+The fitness is the number of bins, then how unevenly they are filled (the sum of
+squared fills): of two packings with as many bins, the one with more full ones leaves
+more room together for pieces of other cells. An island stops when no packing can be
+better: as few bins as the bound ceil(total / capacity), all full but one.
+
 The best island of a cell counts. Bins that stay loose are dissolved over all
-cells and packed again in new cells, until few pieces remain. An island stops
-as soon as it reaches the bound ceil(total / capacity).
+cells and packed again in new cells, as long as there are several cells and a pass
+leaves at most half of its pieces in loose bins.
 
 Defined results: a null or empty text is a piece of one end id; repeated rows
 and null ids are packed row by row; an empty table gives no rows. Input columns
-are kept in the struct ``row``.
+are kept in the struct ``row``, so their names never clash; a very long text is cut
+into as many pieces as it needs; of equal lengths, any order may come first.
 """
 
 from __future__ import annotations
 
 import random
 import zlib
-from bisect import bisect_left, insort
 from array import array
+from bisect import bisect_left, insort
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -37,11 +44,10 @@ from .common import map_text, materialise, table
 from .tokens import vocabulary_path, word_ids
 
 CAPACITY = 4096
-CELL_PIECES = 2048
-ISLANDS, ROUNDS, POPULATION, GENERATIONS = 2, 2, 4, 4
+CELL_PIECES = 1024
+ISLANDS, ROUNDS, POPULATION, GENERATIONS = 2, 2, 4, 12
 #: a bin filled less than this is dissolved and packed again with those of other cells
 LOOSE = 0.99
-REPACKS = 3
 
 
 def cut_documents(docs: DataFrame, keep: list[str], path: str, text: str = "text", capacity: int = CAPACITY,
@@ -119,29 +125,40 @@ def _mutated(a: list, size, capacity: int, rng: random.Random) -> list:
     return _packed([g for i, g in enumerate(a) if i not in drop], [x for i in drop for x in a[i]], size, capacity)
 
 
-def evolve(size: list[int], elites: list[list[list[int]]], seed: int, capacity: int = CAPACITY) -> list[list[int]]:
-    """The best bins found from the given elites and fresh individuals."""
+def _ideal(size: list[int], capacity: int) -> tuple[int, float]:
+    """The fitness that no packing exceeds: full bins, and one for the rest."""
+    full, rest = divmod(sum(size), capacity)
+    return -(full + (rest > 0)), full + (rest / capacity) ** 2
+
+
+def evolve(size: list[int], elites: list[list[list[int]]], seed: int, capacity: int = CAPACITY,
+           counted: Counter | None = None) -> list[list[int]]:
+    """The best bins found from the given elites and fresh individuals. counted: adds up ``crossovers``."""
     rng = random.Random(seed)
-    bound = -(-sum(size) // capacity)
+    ideal = _ideal(size, capacity)
     rank = lambda bins: _fitness(bins, size, capacity)
-    population = list(elites)
-    if population and len(max(population, key=rank)) <= bound:
-        return max(population, key=rank)
-    while len(population) < POPULATION:
+    done = lambda fitness: fitness[0] >= ideal[0] and fitness[1] > ideal[1] - 1e-9
+    population = [(rank(e), e) for e in elites]
+    while len(population) < POPULATION and not any(done(f) for f, _ in population):
         part = [] if not population else [x for x in range(len(size)) if rng.random() < 0.5]
         rest = set(range(len(size))).difference(part)
-        population.append(_packed(_packed([], part, size, capacity) if part else [], list(rest), size, capacity))
-        if len(population[-1]) <= bound:
-            return population[-1]
-    best = max(population, key=rank)
+        bins = _packed(_packed([], part, size, capacity) if part else [], list(rest), size, capacity)
+        population.append((rank(bins), bins))
+    fitness = lambda individual: individual[0]
+    best = max(population, key=fitness)
     for _ in range(GENERATIONS):
-        if len(best) <= bound:
+        if done(best[0]):
             break
+        # the child takes the place of the worst, and only if it is better
         a, b = rng.sample(population, 2)
-        child = _mutated(_crossover(a, b, size, capacity, rng), size, capacity, rng)
-        population[population.index(min(population, key=rank))] = child
-        best = max(population, key=rank)
-    return best
+        bins = _mutated(_crossover(max(a, b)[1], min(a, b)[1], size, capacity, rng), size, capacity, rng)
+        child, worst = (rank(bins), bins), min(population, key=fitness)
+        if counted is not None:
+            counted["crossovers"] += 1
+        if child[0] > worst[0]:
+            population[population.index(worst)] = child
+        best = max(population, key=fitness)
+    return best[1]
 
 
 def _islands(capacity: int, seed: int):
@@ -200,18 +217,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, seed: int = 5) -> DataFram
     pieces = materialise(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     full = pieces.where(F.col("length") == capacity).select("uid", (-F.col("uid") - 1).alias("sequence_id"))
     items = pieces.where(F.col("length") < capacity).select("uid", "length")
-    done, n = full, items.count()
-    for k in range(REPACKS):
-        if not n:
-            break
+    done, n, k = full, items.count(), 0
+    while n:
         cells = -(-n // CELL_PIECES)
         packed = _pack_cells(items, cells, seed + 100 * k, capacity)
-        # one cell has no other to share its loose bins with
-        again = F.lit(False) if cells == 1 or k == REPACKS - 1 else F.col("used") < LOOSE * capacity
+        loose = F.col("used") < LOOSE * capacity
+        # one cell has no other to share its loose bins with; nor do pieces that seldom fill a bin gain from another
+        left = packed.where(loose).count() if cells > 1 else 0
+        again = loose if left and 2 * left <= n else F.lit(False)
         number = F.shiftleft(F.lit(k + 1).cast("long"), 56) + F.shiftleft("cell", 16) + F.col("bin")
         done = done.unionByName(packed.where(~again).select("uid", number.alias("sequence_id")))
         items = packed.where(again).select("uid", "length")
-        n = 0 if cells == 1 or k == REPACKS - 1 else items.count()
+        n, k = left if 2 * left <= n else 0, k + 1
     before_it = Window.partitionBy("sequence_id").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)
     return (pieces.join(done, "uid")
             .withColumn("offset", F.coalesce(F.sum("length").over(before_it), F.lit(0))).drop("uid"))

@@ -76,3 +76,44 @@ def test_evolution_is_valid_and_never_worse_than_its_elites(seed):
     assert fitness(packing.evolve(size, [bins], seed + 1, 100)) >= fitness(bins)
     child = packing._crossover(bins, elite, size, 100, rng)
     assert sorted(x for b in child for x in b) == list(range(120))
+
+
+def best_fit(size, capacity):
+    return packing._packed([], list(range(len(size))), size, capacity)
+
+
+def test_generations_beat_best_fit_where_it_misses_the_bound():
+    """Islands with migration, as the operator runs them, against plain best fit decreasing."""
+    plain = evolved = bound = 0
+    counted = packing.Counter()
+    for seed in range(10):
+        rng = random.Random(seed)
+        size = [rng.randint(20, 70) for _ in range(300)]
+        elites = [packing.evolve(size, [], 2 * seed + i, 100, counted) for i in (0, 1)]
+        elites = [packing.evolve(size, e, 2 * seed + i, 100, counted) for i, e in enumerate([elites, elites[::-1]])]
+        own = max(elites, key=lambda b: packing._fitness(b, size, 100))
+        assert sorted(x for b in own for x in b) == list(range(300)) and max(sum(size[x] for x in b) for b in own) <= 100
+        assert len(own) <= len(best_fit(size, 100))
+        plain, evolved, bound = plain + len(best_fit(size, 100)), evolved + len(own), bound - (-sum(size) // 100)
+    assert counted["crossovers"] > 300 and bound <= evolved < plain
+
+
+def test_evolution_goes_on_at_the_bound_until_one_bin_is_loose():
+    rng = random.Random(1)
+    size = [min(4095, int(rng.lognormvariate(5.5, 1)) + 1) for _ in range(500)]
+    plain, counted = best_fit(size, 4096), packing.Counter()
+    best = packing.evolve(size, [], 1, counted=counted)
+    assert len(plain) == len(best) == -(-sum(size) // 4096) and counted["crossovers"] == packing.GENERATIONS
+    assert packing._fitness(best, size, 4096) >= packing._fitness(plain, size, 4096)
+    # nothing is left to improve where all bins are full
+    assert len(packing.evolve([50, 50, 25, 75, 10], [], 1, 100, counted)) == 3 and counted["crossovers"] == packing.GENERATIONS
+
+
+def test_pieces_that_fill_no_bin_end_after_a_pass(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CELL_PIECES", 20)
+    pieces = spark.createDataFrame([(i, 60 if i % 9 else 40) for i in range(200)], "id long, length long")
+    rows = packing.pack(pieces, 100).collect()
+    used = {}
+    for r in rows:
+        used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
+    assert len(rows) == 200 and len(used) <= 190 and max(used.values()) == 100
