@@ -42,7 +42,22 @@ def next_power_of_two(n: float) -> int:
     return 1 << max(0, int(-(-n // 1) - 1)).bit_length() if n > 1 else 1
 
 
-SLICE_ROWS = 256
+#: a slice of texts: at most so many rows and so many bytes; a longer text is a slice of its own
+SLICE_ROWS, SLICE_BYTES = 256, 1 << 22
+
+
+def slices(batch, texts):
+    """An Arrow batch in slices of bounded length, by the texts of its rows."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        most = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, side="right")) - at
+        n = max(1, min(SLICE_ROWS, most))
+        yield batch.slice(at, n)
+        at += n
 
 
 def map_text(df: DataFrame, text: str, keep: list[str], make, fields: str) -> DataFrame:
@@ -67,11 +82,11 @@ def map_text(df: DataFrame, text: str, keep: list[str], make, fields: str) -> Da
     def run(batches):
         fn = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            # a slice of a struct array keeps the whole children
+            whole = batch.column(0).field(text) if carried else batch.column(1)
+            for part in slices(batch, whole.slice(batch.column(0).offset, batch.num_rows) if carried else whole):
                 row = part.column(0)
                 texts = row.field(text) if carried else part.column(1)
-                # a slice of a struct array keeps the whole children
                 if carried and len(texts) != len(row):
                     texts = texts.slice(row.offset, len(row))
                 cols = fn(texts.cast(pa.binary()).to_pylist())

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scoped_conf
-from .common import SLICE_ROWS, materialise, table
+from .common import SLICE_ROWS, materialise, slices, table
 from .components import components
 from .url_filter import build_filter, might_contain
 
@@ -134,8 +134,7 @@ def choose_boundary(sizes: dict[int, int], list_length: float, at: Threshold) ->
 def _batches(batches):
     """(ids, texts) of Arrow batches with the columns id, text, in bounded slices."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            part = batch.slice(at, SLICE_ROWS)
+        for part in slices(batch, batch.column(1)):
             yield part.column(0).to_pylist(), part.column(1).to_pylist()
 
 
@@ -267,8 +266,9 @@ def _verified(width: int, at: Threshold):
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS // 2):
-                a, b, left, right = (c.to_pylist() for c in batch.slice(start, SLICE_ROWS // 2).columns)
+            # the texts of a pair that may link are of like length
+            for part in slices(batch, batch.column(3)):
+                a, b, left, right = (c.to_pylist() for c in part.columns)
                 known = list(dict.fromkeys(left))  # the pairs of one a come together
                 sets = dict(zip(known, shingle_sets(known, width)))
                 out = []

@@ -47,7 +47,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, map_text, materialise, table
+from .common import map_text, materialise, slices, table
 
 # The kinds, in their order.
 KINDS = ["email", "ip", "card", "phone"]
@@ -204,8 +204,8 @@ def _candidate_at(text: str, s: int, e: int, base: _Spans) -> tuple[int, int] |
 
 def _texts(batches):
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            for t in batch.column(0).slice(at, SLICE_ROWS).to_pylist():
+        for part in slices(batch, batch.column(0)):
+            for t in part.column(0).to_pylist():
                 if t:
                     yield t.decode("utf-8", "replace")
 

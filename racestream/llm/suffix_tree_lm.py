@@ -7,7 +7,7 @@ The tree predicts the next byte from the longest *retained* suffix of the up to
 * counts: every (DEPTH + 1)-gram of the training texts, summed by Spark; shorter
   contexts are sums over their extensions;
 * a context is a candidate if it occurs ``MIN_CONTEXT`` times, at every size of
-  the corpus (below MIN_CONTEXT / P_MIN positions: if its share is at least ``P_MIN``);
+  the corpus;
 * *divergence test*: a candidate is retained if its own next-byte distribution
   saves at least ``GAIN_BITS`` bits per distinct successor on the training
   positions against the distribution of the suffix it extends;
@@ -28,21 +28,23 @@ others are joined.
 
 Defined results: null, empty and wordless texts are the end token alone;
 repeated rows are scored (and trained on) each; with no training text every
-count is 0.
+count is 0; a very long text is scored whole, in a slice of its own; invalid UTF-8 is
+scored byte by byte, and its words are counted with replacement characters. Input
+columns travel in the struct ``row``, so their names never clash.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from math import fsum
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, fold, map_text, materialise, table
+from .common import fold, map_text, materialise, slices, table
 
 DEPTH = 6
-P_MIN = 2e-6
 MIN_CONTEXT = 32
 GAIN_BITS = 4.0
 COMMON = 1 << 17
@@ -64,12 +66,10 @@ def stream(word_lists: list[list[bytes]], depth: int) -> np.ndarray:
 
 def grams(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """All (depth + 1)-grams that predict a byte of a text, and where they end."""
-    wide = data.astype(np.uint64)
-    n = len(wide) - depth
-    packed = wide[:n].copy()
-    for j in range(1, depth + 1):
-        packed <<= _BYTE
-        packed |= wide[j:n + j]
+    n = len(data) - depth
+    # eight bytes from every place on, first byte highest
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    packed = np.ndarray((n,), ">u8", padded, strides=(1,)).astype(np.uint64) >> np.uint64(8 * (7 - depth))
     # words hold neither space nor newline, so a newline is a text's end: the next `depth` bytes are padding
     ends = np.flatnonzero(data == 10)
     real = np.ones(len(data), bool)
@@ -97,7 +97,7 @@ def _counted(depth: int):
     def word_rows(words):
         n = pa.array(list(words.values()), pa.int64())
         return pa.RecordBatch.from_arrays([
-            pa.array([w.decode() for w in words], pa.string()), pa.nulls(len(words), pa.int64()), n, n], names)
+            pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.nulls(len(words), pa.int64()), n, n], names)
 
     def gram_rows(keys, n, seen):
         return pa.RecordBatch.from_arrays([
@@ -107,8 +107,7 @@ def _counted(depth: int):
         words: Counter = Counter()
         parts, held = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch, batch.column(0)):
                 split = [], []
                 for t, training in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     split[training].append(words_of(t))
@@ -201,7 +200,7 @@ class SuffixTree:
         return np.add.reduceat(logs, starts)
 
 
-def gram_scores(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN,
+def gram_scores(counts: DataFrame, depth: int = DEPTH, min_context: int = MIN_CONTEXT,
                 gain_bits: float = GAIN_BITS) -> DataFrame:
     """``gram, seen, p``: the probability of the last byte of every gram of ``counts`` (``gram, n, seen``).
 
@@ -216,7 +215,6 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN,
     for d in range(depth - 1, -1, -1):
         levels[d] = materialise(levels[d + 1].groupBy(suffix(d).alias("gram")).agg(F.sum("n").alias("n")), "grams")
     total = levels[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = min(MIN_CONTEXT, p_min * total)
     scored = levels[0].select(F.col("gram").alias("suffix"), ((F.col("n") + 1) / F.lit(float(total + 256))).alias("parent"))
     for d in range(1, depth + 1):
         context = Window.partitionBy("context")
@@ -228,7 +226,7 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN,
                / F.greatest(F.col("context_n") + F.col("successors"), F.lit(1.0)))
         gain = F.when(F.col("n") > 0, F.col("n") * F.log2(F.col("own") / F.col("parent"))).otherwise(0.0)
         rows = rows.withColumn("own", own).withColumn("gain", F.sum(gain).over(context))
-        retained = ((F.col("context_n") > 0) & (F.col("context_n") >= F.lit(float(least)))
+        retained = ((F.col("context_n") > 0) & (F.col("context_n") >= min_context)
                     & (F.col("gain") >= gain_bits * F.col("successors")))
         p = F.when(retained, F.col("own")).otherwise(F.col("parent"))
         if d < depth:
@@ -236,23 +234,51 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH, p_min: float = P_MIN,
     return rows.select("gram", "seen", p.alias("p"))
 
 
-def _cached_scores(lists, depth: int, cached_grams: np.ndarray, cached_logs: np.ndarray):
+class _Cache:
+    """log10 probabilities of the cached grams: a table that a multiplication addresses directly holds one
+    gram of each place, the sorted array behind it all of them."""
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray):
+        self.grams, self.logs = grams, logs
+        self.shift = np.uint64(64 - max(4, len(grams).bit_length()))
+        places = 1 << 64 - int(self.shift)
+        # a free place holds a gram that belongs elsewhere, so that nothing equals it there
+        self.table = np.full(places, 1 << 63, np.uint64)
+        self.table[self._place(self.table[:1])] = 0
+        self.values = np.zeros(places)
+        at = self._place(grams)
+        self.table[at], self.values[at] = grams, logs
+
+    def _place(self, grams: np.ndarray) -> np.ndarray:
+        return (grams * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def find(self, packed: np.ndarray):
+        """The logs (0 where unknown), then the unknown ones: their places, distinct grams, and which."""
+        at = self._place(packed)
+        known = self.table[at] == packed
+        logs = np.where(known, self.values[at], 0.0)
+        left = np.flatnonzero(~known)
+        distinct, inverse = np.unique(packed[left], return_inverse=True)
+        i = np.searchsorted(self.grams, distinct)
+        inside = np.flatnonzero(i < len(self.grams))
+        inside = inside[self.grams[i[inside]] == distinct[inside]]
+        own, found = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
+        own[inside], found[inside] = self.logs[i[inside]], True
+        logs[left] = own[inverse]
+        unknown = ~found[inverse]
+        return logs, left[unknown], distinct, inverse[unknown]
+
+
+def _cached_scores(lists, depth: int, cache: _Cache):
     """Sum of the cached grams' log10 probabilities of each word list, and its other grams as lists of gram, f."""
     import pyarrow as pa
 
     data = stream(lists, depth)
     packed, at = grams(data, depth)
     text = np.searchsorted(np.flatnonzero(data == 10), at)
-    distinct, inverse = np.unique(packed, return_inverse=True)
-    i = np.searchsorted(cached_grams, distinct)
-    known = np.zeros(len(distinct), bool)
-    inside = i < len(cached_grams)
-    known[inside] = cached_grams[i[inside]] == distinct[inside]
-    logs = np.zeros(len(distinct))
-    logs[known] = cached_logs[i[known]]
-    scores = np.bincount(text, weights=logs[inverse], minlength=len(lists))
-    other = np.flatnonzero(~known[inverse])
-    pairs, f = np.unique(text[other].astype(np.int64) * len(distinct) + inverse[other], return_counts=True)
+    logs, other, distinct, which = cache.find(packed)
+    scores = np.bincount(text, weights=logs, minlength=len(lists))
+    pairs, f = np.unique(text[other].astype(np.int64) * len(distinct) + which, return_counts=True)
     owner, gram = np.divmod(pairs, max(len(distinct), 1))
     offsets = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(lists)))].astype(np.int32)
     structs = pa.StructArray.from_arrays(
@@ -261,7 +287,7 @@ def _cached_scores(lists, depth: int, cached_grams: np.ndarray, cached_logs: np.
 
 
 def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str = "text",
-                depth: int = DEPTH, p_min: float = P_MIN) -> DataFrame:
+                depth: int = DEPTH, min_context: int = MIN_CONTEXT) -> DataFrame:
     """``row, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     training: which rows the model learns from.
@@ -274,7 +300,7 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
     words = counts.where("word is not null").select("word", "n")
     every_gram = counts.where("gram is not null").select("gram", "n", "seen")
     # sixteen steps of frequency to a doubling: the cached grams are those from some step on
-    every_gram = materialise(gram_scores(every_gram, depth, p_min).select(
+    every_gram = materialise(gram_scores(every_gram, depth, min_context).select(
         "gram", "p", F.floor(F.log2("seen") * 16).cast("int").alias("step")), "scores")
     room, least_step = CACHED, 1 << 30
     for r in every_gram.groupBy("step").count().orderBy(F.desc("step")).collect():
@@ -297,25 +323,25 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
 
     def make():
         cached_grams, cached_logs, known_words, known_logs = shared.value
-        lookup = dict(zip(known_words.to_pylist(), known_logs.tolist()))
+        lookup = dict(zip(known_words.to_pylist(), known_logs.tolist())).get
+        cache = _Cache(cached_grams, cached_logs)
 
         def run(texts):
             lists = [words_of(t) for t in texts]
             n_tokens, known, logs, rare = [], [], [], []
             for words in lists:
-                k, s, others = 0, 0.0, []
-                for w, f in Counter([*words, end]).items():
-                    log = lookup.get(w)
-                    if log is None:
-                        others.append({"word": w.decode(), "f": f})
-                    else:
-                        k += f
-                        s += f * log
-                n_tokens.append(len(words) + 1)
-                known.append(k)
-                logs.append(s)
+                words = [*words, end]
+                found = list(map(lookup, words))
+                others = []
+                if None in found:
+                    others = [{"word": w.decode("utf-8", "replace"), "f": f} for w, f in
+                              Counter(w for w, log in zip(words, found) if log is None).items()]
+                    found = [log for log in found if log is not None]
+                n_tokens.append(len(words))
+                known.append(len(found))
+                logs.append(fsum(found))
                 rare.append(others)
-            return n_tokens, known, logs, rare, *_cached_scores(lists, depth, cached_grams, cached_logs)
+            return n_tokens, known, logs, rare, *_cached_scores(lists, depth, cache)
         return run
 
     scored = map_text(docs, text, keep, make,

@@ -68,7 +68,7 @@ def test_grams_never_cross_texts():
 
 
 def spark_scores(docs, training):
-    out = lm.score_texts(docs, ["doc_id"], training, depth=3, p_min=1e-4)
+    out = lm.score_texts(docs, ["doc_id"], training, depth=3, min_context=1)
     return out.select("row.doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
 
 
@@ -111,7 +111,7 @@ def test_support_does_not_grow_with_the_corpus(spark, monkeypatch, cached):
     monkeypatch.setattr(lm, "CACHED", cached, raising=False)
     rows = [(i, t.decode(), None, None, None) for i, t in enumerate(TEXTS * 40 + [b"the unseen cat"])]
     docs = spark.createDataFrame(rows, DOCS)
-    out = lm.score_texts(docs, ["doc_id"], F.col("doc_id") < 40 * len(TEXTS), depth=3, p_min=0.5)
+    out = lm.score_texts(docs, ["doc_id"], F.col("doc_id") < 40 * len(TEXTS), depth=3)
     got = {r.doc_id: r.score for r in out.select("row.doc_id", "score").collect()}
     tree = tree_of(TEXTS * 40, gain=lm.GAIN_BITS)
     assert sum(len(level[0]) for level in tree.levels) > 0
@@ -142,3 +142,38 @@ def test_learned_text_scores_better_than_noise():
     fluent, noise = " ".join(words(rng, 50)).encode(), bytes(rng.choice(b"qxzjkvw ") for _ in range(300))
     a, b = tree.score([lm.words_of(fluent), lm.words_of(noise)])
     assert a / len(fluent) > b / len(noise)
+
+
+def test_cache_finds_every_gram_and_no_other():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 3000):
+        known = np.unique(rng.integers(0, 1 << 56, n, dtype=np.uint64))
+        if n == 5:
+            known = np.unique(np.r_[known, np.uint64(0)])
+        logs = -rng.random(len(known))
+        packed = rng.permutation(np.r_[known, known, rng.integers(0, 1 << 56, 500, dtype=np.uint64), np.zeros(3, np.uint64)])
+        got, other, distinct, which = lm._Cache(known, logs).find(packed)
+        lookup = dict(zip(known.tolist(), logs.tolist()))
+        assert got.tolist() == [lookup.get(x, 0.0) for x in packed.tolist()]
+        assert sorted(other.tolist()) == [i for i, x in enumerate(packed.tolist()) if x not in lookup]
+        assert distinct[which].tolist() == packed[other].tolist()
+
+
+def test_slices_are_bounded_by_bytes(spark):
+    """Long texts pass a few at a time, short ones by rows; every row once, in order."""
+    import pyarrow as pa
+
+    from racestream.llm import common
+
+    texts = [b"x" * n for n in [3, 5_000_000, 0, 3_000_000, 3_000_000, 9_000_000]] + [None] + [b"yy"] * 600
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    parts = [p.column(0).to_pylist() for p in common.slices(batch, batch.column(0))]
+    assert sum(parts, []) == texts and max(map(len, parts)) <= common.SLICE_ROWS
+    assert all(len(p) == 1 or sum(len(t or b"") for t in p) <= common.SLICE_BYTES for p in parts) and len(parts) < 12
+
+
+def test_invalid_bytes(spark):
+    docs = spark.createDataFrame([(1, bytearray(b"\xff a \xc3")), (2, bytearray(b"a"))], "doc_id long, text binary")
+    out = lm.score_texts(docs, ["doc_id"], F.col("doc_id") == 1)
+    got = {r.doc_id: (r.n_tokens, r.n_known) for r in out.select("row.doc_id", "n_tokens", "n_known").collect()}
+    assert got[1][0] == 4 and got[2] == (2, 2)
