@@ -44,7 +44,7 @@ from .common import map_text, materialise, table
 from .tokens import vocabulary_path, word_ids
 
 CAPACITY = 4096
-CELL_PIECES = 1024
+CELL_PIECES = 2048
 ISLANDS, ROUNDS, POPULATION, GENERATIONS = 2, 2, 4, 12
 #: a bin filled less than this is dissolved and packed again with those of other cells
 LOOSE = 0.99
