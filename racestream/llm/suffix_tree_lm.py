@@ -4,8 +4,8 @@ A text is its lower-cased words with one space between them and an end sign.
 The tree predicts the next byte from the longest *retained* suffix of the up to
 ``DEPTH`` bytes before it:
 
-* counts: every (DEPTH + 1)-gram of the training texts, summed by Spark; shorter
-  contexts are sums over their extensions;
+* counts: every (DEPTH + 1)-gram of the training texts, counted by part of the input, packed
+  into buckets by a hash, shuffled and summed by bucket; shorter contexts are sums over their extensions;
 * a context is a candidate if it occurs ``MIN_CONTEXT`` times, at every size of
   the corpus;
 * *divergence test*: a candidate is retained if its own next-byte distribution
@@ -51,6 +51,8 @@ COMMON = 1 << 17
 CACHED = 1 << 21
 END = "\n"
 _HELD_GRAMS, _HELD_WORDS = 1 << 20, 1 << 18
+#: counts are shuffled and summed by bucket; Python holds the distinct grams of one of them
+_BUCKETS = 1 << 12
 _BYTE = np.uint64(8)
 
 
@@ -76,32 +78,60 @@ def grams(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     for j in range(1, depth + 1):
         real[np.minimum(ends + j, len(data) - 1)[ends + j < len(data)]] = False
     real[:depth] = False
-    at = np.flatnonzero(real)
-    return packed[at - depth], at
+    return packed[real[depth:]], np.flatnonzero(real)
+
+
+def _merged(parts):
+    """Sums of parts (grams, n, seen): each gram once, sorted."""
+    k = np.concatenate([p[0] for p in parts])
+    order = np.argsort(k)
+    k = k[order]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    return k[first], *[np.add.reduceat(np.concatenate([p[i] for p in parts])[order], first, dtype=np.int64) for i in (1, 2)]
+
+
+_PACKED = "bucket int, words binary, grams binary, n binary, seen binary"
 
 
 def _counted(depth: int):
-    """Rows word, gram, n, seen: words (gram null) and grams (word null) of one part of the input.
-    n counts training texts (second column true), seen all texts; words are those of training texts."""
+    """Counts of one part of the input, packed: one row per bucket of words, or of grams, with
+    arrays of eight-byte grams and of counts, in one byte each where all of a row's are below 256, else eight.
+    n counts training texts (second column true), seen all texts; words are those of training texts, a
+    line each, and the end sign is the empty one."""
     import pyarrow as pa
+    import xxhash
 
-    names = ["word", "gram", "n", "seen"]
-
-    def merged(parts):
-        k = np.concatenate([p[0] for p in parts])
-        order = np.argsort(k)
-        k = k[order]
-        first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-        return k[first], *[np.add.reduceat(np.concatenate([p[i] for p in parts])[order], first) for i in (1, 2)]
+    names = ["bucket", "words", "grams", "n", "seen"]
 
     def word_rows(words):
-        n = pa.array(list(words.values()), pa.int64())
-        return pa.RecordBatch.from_arrays([
-            pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.nulls(len(words), pa.int64()), n, n], names)
-
-    def gram_rows(keys, n, seen):
+        lines: dict = {}
+        for w, c in words.items():
+            w = w.decode("utf-8", "replace").encode().rstrip(b"\n")
+            of = lines.setdefault(xxhash.xxh3_64_intdigest(w) % _BUCKETS, ([], []))
+            of[0].append(w)
+            of[1].append(c)
+        none = pa.nulls(len(lines), pa.binary())
         return pa.RecordBatch.from_arrays([
-            pa.nulls(len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n), pa.array(seen)], names)
+            pa.array(list(lines), pa.int32()), pa.array([b"\n".join(w) for w, _ in lines.values()], pa.binary()), none,
+            pa.array([np.array(c, np.int64).tobytes() for _, c in lines.values()], pa.binary()), none], names)
+
+    def gram_rows(*arrays):
+        few = arrays[2] < 256
+        for some, kind in ((few, np.uint8), (~few, np.int64)):
+            k, n, seen = (x[some] for x in arrays)
+            for at in range(0, len(k), _HELD_GRAMS):
+                yield bucket_rows(*(x[at:at + _HELD_GRAMS] for x in (k, n.astype(kind), seen.astype(kind))))
+
+    def bucket_rows(keys, n, seen):
+        bucket = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint16) % np.uint16(_BUCKETS)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        ends = np.r_[first, len(bucket)]
+        packed = [pa.Array.from_buffers(pa.binary(), len(first), [
+            None, pa.py_buffer((ends * x.itemsize).astype(np.int32)), pa.py_buffer(x[order])]) for x in (keys, n, seen)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[first].astype(np.int32)), pa.nulls(len(first), pa.binary()), *packed], names)
 
     def run(batches):
         words: Counter = Counter()
@@ -122,14 +152,14 @@ def _counted(depth: int):
                         parts.append((k, c * training, c))
                         held += len(k)
                 if held > _HELD_GRAMS:
-                    parts = [merged(parts)]
+                    parts = [_merged(parts)]
                     held = len(parts[0][0])
                     if held > _HELD_GRAMS // 2:
                         # the frequent ones stay, to be summed further
                         k, n, seen = parts[0]
                         out = np.ones(held, bool)
                         out[np.argpartition(seen, -(_HELD_GRAMS // 4))[-(_HELD_GRAMS // 4):]] = False
-                        yield gram_rows(k[out], n[out], seen[out])
+                        yield from gram_rows(k[out], n[out], seen[out])
                         parts = [(k[~out], n[~out], seen[~out])]
                         held = len(parts[0][0])
                 if len(words) > _HELD_WORDS:
@@ -138,10 +168,46 @@ def _counted(depth: int):
         if words:
             yield word_rows(words)
         if parts:
-            yield gram_rows(*merged(parts))
+            yield from gram_rows(*_merged(parts))
     return run
 
 
+def _summed(batches):
+    """Rows word, gram, n, seen (word or gram null) from packed counts whose buckets come together.
+    Python holds the distinct words and grams of one bucket."""
+    import pyarrow as pa
+
+    names = ["word", "gram", "n", "seen"]
+
+    def rows(words, parts):
+        if words:
+            n = pa.array(list(words.values()), pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                pa.array([w.decode() or END for w in words], pa.string()), pa.nulls(len(words), pa.int64()), n, n], names)
+        if parts:
+            keys, n, seen = _merged(parts)
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n), pa.array(seen)], names)
+
+    bucket, words, parts, held = None, {}, [], 0
+    for batch in batches:
+        for b, lines, *packed in zip(*(c.to_pylist() for c in batch.columns)):
+            if b != bucket:
+                yield from rows(words, parts)
+                bucket, words, parts, held = b, {}, [], 0
+            if lines is not None:
+                for w, c in zip(lines.split(b"\n"), np.frombuffer(packed[1], np.int64).tolist()):
+                    words[w] = words.get(w, 0) + c
+                continue
+            keys, kind = np.frombuffer(packed[0], np.uint64), np.uint8 if len(packed[1]) < len(packed[0]) else np.int64
+            parts.append((keys, *(np.frombuffer(x, kind) for x in packed[1:])))
+            held += len(parts[-1][0])
+            if held > _HELD_GRAMS:
+                parts = [_merged(parts)]
+                held = 0
+    yield from rows(words, parts)
+
+
 class SuffixTree:
     """Next-byte probabilities by the longest retained suffix: the tree of small counts, in memory."""
 
@@ -235,29 +301,36 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH, min_context: int = MIN_CO
 
 
 class _Cache:
-    """log10 probabilities of the cached grams: a table that a multiplication addresses directly holds one
-    gram of each place, the sorted array behind it all of them."""
-
-    def __init__(self, grams: np.ndarray, logs: np.ndarray):
-        self.grams, self.logs = grams, logs
-        self.shift = np.uint64(64 - max(4, len(grams).bit_length()))
-        places = 1 << 64 - int(self.shift)
-        # a free place holds a gram that belongs elsewhere, so that nothing equals it there
-        self.table = np.full(places, 1 << 63, np.uint64)
-        self.table[self._place(self.table[:1])] = 0
-        self.values = np.zeros(places)
-        at = self._place(grams)
-        self.table[at], self.values[at] = grams, logs
-
-    def _place(self, grams: np.ndarray) -> np.ndarray:
-        return (grams * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+    """log10 probabilities of the cached grams: two tables that multiplications address directly hold one gram
+    of each place, the sorted array behind them all. order: the grams from rare to frequent, as the last one
+    of a place stays."""
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray, order: np.ndarray | None = None):
+        self.grams, self.logs, self.tables = grams, logs, []
+        left = np.arange(len(grams)) if order is None else order
+        for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+            factor, shift = np.uint64(factor), np.uint64(64 - max(4, len(left).bit_length()))
+            places = 1 << 64 - int(shift)
+            # a free place holds a gram that belongs elsewhere, so that nothing equals it there
+            table, values = np.full(places, 1 << 63, np.uint64), np.zeros(places)
+            table[(table[:1] * factor) >> shift] = 0
+            at = (grams[left] * factor) >> shift
+            table[at], values[at] = grams[left], logs[left]
+            self.tables.append((factor, shift, table, values))
+            left = left[table[at] != grams[left]]
 
     def find(self, packed: np.ndarray):
         """The logs (0 where unknown), then the unknown ones: their places, distinct grams, and which."""
-        at = self._place(packed)
-        known = self.table[at] == packed
-        logs = np.where(known, self.values[at], 0.0)
+        factor, shift, table, values = self.tables[0]
+        at = (packed * factor) >> shift
+        known = table[at] == packed
+        logs = np.where(known, values[at], 0.0)
         left = np.flatnonzero(~known)
+        factor, shift, table, values = self.tables[1]
+        at = (packed[left] * factor) >> shift
+        known = table[at] == packed[left]
+        logs[left[known]] = values[at[known]]
+        left = left[~known]
         distinct, inverse = np.unique(packed[left], return_inverse=True)
         i = np.searchsorted(self.grams, distinct)
         inside = np.flatnonzero(i < len(self.grams))
@@ -275,7 +348,7 @@ def _cached_scores(lists, depth: int, cache: _Cache):
 
     data = stream(lists, depth)
     packed, at = grams(data, depth)
-    text = np.searchsorted(np.flatnonzero(data == 10), at)
+    text = np.repeat(np.arange(len(lists)), np.diff(np.searchsorted(at, np.flatnonzero(data == 10), side="right"), prepend=0))
     logs, other, distinct, which = cache.find(packed)
     scores = np.bincount(text, weights=logs, minlength=len(lists))
     pairs, f = np.unique(text[other].astype(np.int64) * len(distinct) + which, return_counts=True)
@@ -294,8 +367,9 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
     """
     spark = docs.sparkSession
     counts = (docs.select(F.col(f"`{text}`").cast("binary"), F.coalesce(training, F.lit(False)).alias("training"))
-              .mapInArrow(_counted(depth), "word string, gram long, n long, seen long")
-              .groupBy("word", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")))
+              .mapInArrow(_counted(depth), _PACKED)
+              .repartition("bucket").sortWithinPartitions("bucket")
+              .mapInArrow(_summed, "word string, gram long, n long, seen long"))
     counts = materialise(counts, "counts")
     words = counts.where("word is not null").select("word", "n")
     every_gram = counts.where("gram is not null").select("gram", "n", "seen")
@@ -308,23 +382,24 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
         if room < 0:
             break
         least_step = r["step"]
-    cached = every_gram.where(F.col("step") >= least_step).select("gram", F.log10("p").alias("log")).toArrow()
+    cached = every_gram.where(F.col("step") >= least_step).select("gram", F.log10("p").alias("log"), "step").toArrow()
     cached_grams = cached["gram"].to_numpy().view(np.uint64)
     order = np.argsort(cached_grams)
     cached_grams, cached_logs = cached_grams[order], cached["log"].to_numpy()[order]
+    by_use = np.argsort(cached["step"].to_numpy()[order], kind="stable").astype(np.int32)
 
     total, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     common = words.orderBy(F.desc("n"), "word").limit(COMMON).select(F.col("word").cast("binary"), "n").toArrow()
     least = common["n"][-1].as_py() if len(common) else 0
     floor = total + 1 * (vocabulary + 1)
     logs_of_common = np.log10((common["n"].to_numpy() + 1) / floor)
-    shared = spark.sparkContext.broadcast((cached_grams, cached_logs, common["word"].combine_chunks(), logs_of_common))
+    shared = spark.sparkContext.broadcast((cached_grams, cached_logs, by_use, common["word"].combine_chunks(), logs_of_common))
     end = END.encode()
 
     def make():
-        cached_grams, cached_logs, known_words, known_logs = shared.value
+        cached_grams, cached_logs, by_use, known_words, known_logs = shared.value
         lookup = dict(zip(known_words.to_pylist(), known_logs.tolist())).get
-        cache = _Cache(cached_grams, cached_logs)
+        cache = _Cache(cached_grams, cached_logs, by_use)
 
         def run(texts):
             lists = [words_of(t) for t in texts]

@@ -152,7 +152,8 @@ def test_cache_finds_every_gram_and_no_other():
             known = np.unique(np.r_[known, np.uint64(0)])
         logs = -rng.random(len(known))
         packed = rng.permutation(np.r_[known, known, rng.integers(0, 1 << 56, 500, dtype=np.uint64), np.zeros(3, np.uint64)])
-        got, other, distinct, which = lm._Cache(known, logs).find(packed)
+        order = rng.permutation(len(known)) if n else None
+        got, other, distinct, which = lm._Cache(known, logs, order).find(packed)
         lookup = dict(zip(known.tolist(), logs.tolist()))
         assert got.tolist() == [lookup.get(x, 0.0) for x in packed.tolist()]
         assert sorted(other.tolist()) == [i for i, x in enumerate(packed.tolist()) if x not in lookup]
@@ -177,3 +178,37 @@ def test_invalid_bytes(spark):
     out = lm.score_texts(docs, ["doc_id"], F.col("doc_id") == 1)
     got = {r.doc_id: (r.n_tokens, r.n_known) for r in out.select("row.doc_id", "n_tokens", "n_known").collect()}
     assert got[1][0] == 4 and got[2] == (2, 2)
+
+
+@pytest.mark.parametrize("held", [1 << 20, 40])
+def test_packed_counts_sum_to_plain_counts(monkeypatch, held):
+    """However often counts are handed on, and in whichever order rows of a bucket arrive."""
+    import random
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm, "_HELD_GRAMS", held)
+    monkeypatch.setattr(lm, "_HELD_WORDS", held)
+    monkeypatch.setattr(lm, "_BUCKETS", 7)
+    rng = random.Random(held)
+    rows = [(" ".join(words(rng, rng.randint(0, 30))).encode(), rng.random() < 0.7) for _ in range(600)]
+    rows += [(b"many times " * 200, True), (None, True), (b"", False), (b"\xff\xfe x", True), (b"\xff\xff x", True)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.binary()), pa.array([r[1] for r in part])], ["t", "y"])
+               for part in (rows[:300], rows[300:])]
+    packed = [r for b in batches for out in lm._counted(3)([b]) for r in out.to_pylist()]
+    rng.shuffle(packed)
+    packed.sort(key=lambda r: r["bucket"])
+    schema = pa.schema([("bucket", pa.int32())] + [(c, pa.binary()) for c in ("words", "grams", "n", "seen")])
+    parts = [pa.RecordBatch.from_pylist(packed[i:i + 5], schema) for i in range(0, len(packed), 5)]
+    got = [r for out in lm._summed(parts) for r in out.to_pylist()]
+
+    seen, n, known = Counter(), Counter(), Counter()
+    for text, training in rows:
+        own = Counter(lm.grams(lm.stream([lm.words_of(text)], 3), 3)[0].view(np.int64).tolist())
+        seen.update(own)
+        if training:
+            n.update(own)
+            known.update([*(w.decode("utf-8", "replace") for w in lm.words_of(text)), lm.END])
+    assert {r["gram"]: (r["n"], r["seen"]) for r in got if r["word"] is None} == {k: (n[k], c) for k, c in seen.items()}
+    assert {r["word"]: r["n"] for r in got if r["gram"] is None} == known
+    assert len(got) == len(seen) + len(known)
