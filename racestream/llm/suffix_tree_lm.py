@@ -50,7 +50,7 @@ GAIN_BITS = 4.0
 COMMON = 1 << 17
 CACHED = 1 << 21
 END = "\n"
-_HELD_GRAMS, _HELD_WORDS = 1 << 20, 1 << 18
+_HELD_GRAMS, _HELD_WORDS = 1 << 22, 1 << 18
 #: counts are shuffled and summed by bucket; Python holds the distinct grams of one of them
 _BUCKETS = 1 << 12
 _BYTE = np.uint64(8)
