@@ -27,7 +27,8 @@ Events of one time are ordered by their place in the topic (partition, then
 Execution: the only operator that leaves Catalyst. Batch input is range-split
 into slices, also within a key (``neighbours_split``). Streams use
 ``applyInPandasWithState`` with the same ``step``; a key's rows of one
-micro-batch are sorted in one task, so the source's rate (``maxOffsetsPerTrigger``,
+micro-batch are sorted in one task, packed into some seventy bytes a row, and its
+output leaves in frames of bounded length; the source's rate (``maxOffsetsPerTrigger``,
 ``maxFilesPerTrigger``) bounds what a task holds.
 """
 
@@ -307,15 +308,38 @@ def track_neighbours(telemetry: DataFrame, targets=DEFAULT_TARGET, num_partition
 # Streaming: one group per key, state in Spark's state store
 
 
-def _values(series, integer: bool = False) -> list:
-    """pandas column -> Python list with None for nulls (pandas gives NaN for a
-    null in a numeric column); integers stay integers."""
-    values = series.tolist()
-    if not series.isna().any():
-        return values
-    if integer:
-        return [None if v is None or v != v else int(v) for v in values]
-    return [None if v is None or (isinstance(v, float) and v != v) else v for v in values]
+#: output rows of a stream are handed on in frames made of so many input rows
+STREAM_ROWS = 1 << 13
+
+_STREAM_FIELDS = pa.schema([
+    ("event_time", pa.timestamp("ns")), ("partition", pa.int32()), ("seq", pa.int64()),
+    ("driver_id", pa.string()), ("driver_status", pa.string()), ("car_position", pa.int32()),
+    ("current_lap_num", pa.int32()), ("lap_distance", pa.float32()), ("speed", pa.int32()), ("fuel_in_tank", pa.float32()),
+    ("race_number", pa.int32()), ("g_force_lateral", pa.float32()), ("g_force_longitudinal", pa.float32()),
+])
+_CODED = pa.dictionary(pa.int32(), pa.string())
+
+
+def _in_order(frames):
+    """The rows of pandas frames in ``ORDER``, as Arrow batches of ``STREAM_ROWS``.
+
+    The sort holds some seventy bytes a row: numbers, and strings as numbers of distinct strings.
+    """
+    columns: dict[str, list] = {f.name: [] for f in _STREAM_FIELDS}
+    for pdf in frames:
+        for f in _STREAM_FIELDS:
+            a = pa.array(pdf[f.name], type=f.type, from_pandas=True)
+            columns[f.name].append(a.dictionary_encode() if f.type == pa.string() else a)
+    # one column after the other, so that never more than one is there twice
+    for f in _STREAM_FIELDS:
+        parts = pa.chunked_array(columns.pop(f.name), type=_CODED if f.type == pa.string() else f.type)
+        columns[f.name] = parts.unify_dictionaries().combine_chunks()
+        del parts
+    rows = pa.RecordBatch.from_arrays([columns[c] for c in _STREAM_FIELDS.names], _STREAM_FIELDS.names)
+    order = pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in ORDER])
+    for at in range(0, len(order), STREAM_ROWS):
+        part = rows.take(order.slice(at, STREAM_ROWS))
+        yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(part.columns, _STREAM_FIELDS)], schema=_STREAM_FIELDS)
 
 
 def stream_handler(key, pdf_iter, state, idle_ms: int | None = None, history: int = 0):
@@ -325,68 +349,74 @@ def stream_handler(key, pdf_iter, state, idle_ms: int | None = None, history: in
     latest event time by that much (event-time timeout). With ``history`` the
     state also holds the key's last output rows (JSON), which each row carries.
     """
-    import pandas as pd
-
     if state.hasTimedOut:
         state.remove()
         return
     session_id, target_id = key
     st = NeighbourState.from_tuple(state.get) if state.exists else NeighbourState()
     kept: list = json.loads(state.get[-1]) if history and state.exists else []
-    frames = [p for p in pdf_iter if len(p)]
-    if not frames:
-        return
-    pdf = (pd.concat(frames, ignore_index=True)
-           .sort_values(ORDER, kind="stable").reset_index(drop=True))
+    latest_ms = None
+
+    def frames():
+        nonlocal latest_ms
+        for pdf in pdf_iter:
+            if len(pdf):
+                if idle_ms is not None:
+                    ms = pdf["_event_ms"].max()
+                    latest_ms = ms if latest_ms is None or not latest_ms >= ms else latest_ms
+                yield pdf
+
     target_key = fold_id(target_id)
-    drv = _values(pdf["driver_id"])
-    keys = fold_ids(drv)
-    pos = [0 if p is None else p for p in _values(pdf["car_position"], integer=True)]
-    lap = _values(pdf["current_lap_num"], integer=True)
-    dist = _values(pdf["lap_distance"])
-    spd = _values(pdf["speed"], integer=True)
-    rno = _values(pdf["race_number"], integer=True)
-    glat = _values(pdf["g_force_lateral"])
-    glon = _values(pdf["g_force_longitudinal"])
+    met = False
+    for batch in _in_order(frames()):
+        met = True
+        out, kept = _advanced(st, key, target_key, batch, kept, history)
+        if out is not None:
+            yield out
+    if not met:
+        return
+    state.update((*st.to_tuple(), json.dumps(kept)) if history else st.to_tuple())
+    if idle_ms is not None:
+        state.setTimeoutTimestamp(max(int(latest_ms) + idle_ms, state.getCurrentWatermarkMs() + 1))
+
+
+def _advanced(st: NeighbourState, key, target_key: str, batch: pa.RecordBatch, kept: list, history: int):
+    """Take the events of ``batch``: its output rows as a pandas frame (None: no row), and the last ones as JSON."""
+    import pandas as pd
+
+    session_id, target_id = key
+    cols = BatchColumns(batch)
     idx, rows = [], []
-    for i in range(len(pdf)):
-        k = keys[i]
-        details = (rno[i], glat[i], glon[i]) if k == target_key else _NO_DETAILS
-        if step(st, target_key, drv[i], pos[i], lap[i], dist[i], spd[i], details, k):
+    for i in range(batch.num_rows):
+        if cols.step(st, target_key, i):
             rows.append(st.output())
             st.last_follower_id = st.follower[0]
             idx.append(i)
-    previous: list = []
-    if history:
-        for i, row in zip(idx, rows):
-            previous.append("[" + ",".join(kept) + "]")
-            kept = [*kept, json.dumps({
-                "session_id": session_id, "target_id": target_id, "partition": int(pdf["partition"][i]), "seq": int(pdf["seq"][i]),
-                "event_time": _time_text(pdf["event_time"][i]), "event_driver_id": drv[i],
-                "driver_status": _value(pdf["driver_status"][i]), "event_car_position": pos[i], "event_lap": lap[i],
-                "event_speed": spd[i], "fuel_in_tank": _value(pdf["fuel_in_tank"][i]), **dict(zip(STATE_OUT_COLUMNS, row))})][-history:]
-    state.update((*st.to_tuple(), json.dumps(kept)) if history else st.to_tuple())
-    if idle_ms is not None:
-        latest_ms = int(pdf["_event_ms"].max())
-        state.setTimeoutTimestamp(max(latest_ms + idle_ms, state.getCurrentWatermarkMs() + 1))
     if not idx:
-        return
-    ev = pdf.iloc[idx].reset_index(drop=True)
+        return None, kept
+    ev = batch.take(pa.array(idx, type=pa.int64())).to_pandas(types_mapper={pa.int32(): pd.Int32Dtype()}.get)
     out = pd.DataFrame({
         "session_id": session_id, "target_id": target_id, "partition": ev["partition"],
-        "seq": ev["seq"].astype("int64"), "event_time": ev["event_time"],
+        "seq": ev["seq"], "event_time": ev["event_time"],
         "event_driver_id": ev["driver_id"], "driver_status": ev["driver_status"],
-        "event_car_position": [pos[i] for i in idx],
-        "event_lap": pd.array([lap[i] for i in idx], dtype="Int32"),
-        "event_speed": pd.array([spd[i] for i in idx], dtype="Int32"),
-        "fuel_in_tank": ev["fuel_in_tank"],
+        "event_car_position": ev["car_position"], "event_lap": ev["current_lap_num"],
+        "event_speed": ev["speed"], "fuel_in_tank": ev["fuel_in_tank"],
     })
     # nullable types by name: a column may be all null
-    cols = {name: pd.array(list(values), dtype=_PANDAS[typ])
-            for name, typ, values in zip(STATE_OUT_COLUMNS, _STATE_TYPES, zip(*rows))}
+    state_columns = {name: pd.array(list(values), dtype=_PANDAS[typ])
+                     for name, typ, values in zip(STATE_OUT_COLUMNS, _STATE_TYPES, zip(*rows))}
     if history:
-        cols["previous"] = previous
-    yield pd.concat([out, pd.DataFrame(cols)], axis=1)
+        previous: list = []
+        events = zip(*(ev[c] for c in ("partition", "seq", "event_time", "driver_status", "fuel_in_tank")))
+        for i, row, (partition, seq, time, status, fuel) in zip(idx, rows, events):
+            previous.append("[" + ",".join(kept) + "]")
+            kept = [*kept, json.dumps({
+                "session_id": session_id, "target_id": target_id, "partition": int(partition), "seq": int(seq),
+                "event_time": _time_text(time), "event_driver_id": cols.drv[i],
+                "driver_status": _value(status), "event_car_position": cols.pos[i], "event_lap": cols.lap[i],
+                "event_speed": cols.spd[i], "fuel_in_tank": _value(fuel), **dict(zip(STATE_OUT_COLUMNS, row))})][-history:]
+        state_columns["previous"] = previous
+    return pd.concat([out, pd.DataFrame(state_columns)], axis=1), kept
 
 
 def _value(v):

@@ -107,6 +107,44 @@ def test_stream_over_many_batches_equals_batch(spark, tmpdir_path, pattern):
         match_neighbours(track_neighbours_stream(stream, [TARGET]), pattern)
 
 
+@pytest.mark.parametrize("history", [0, 2])
+def test_a_long_key_leaves_the_stream_in_short_frames(monkeypatch, history):
+    import pandas as pd
+
+    from racestream.operators import neighbours as N
+
+    class State:
+        hasTimedOut, exists, get = False, False, None
+
+        def update(self, value):
+            self.get = value
+
+    rng, n = random.Random(7), 3 * 8192 + 5
+    frame = pd.DataFrame({
+        "event_time": pd.to_datetime([rng.choice([None, 0, 3600, 7200]) for _ in range(n)], unit="s"),
+        "partition": pd.array([rng.randint(0, 2) for _ in range(n)], dtype="int32"), "seq": range(n),
+        "driver_id": [rng.choice([TARGET, "a", "B", "c", None]) for _ in range(n)],
+        "driver_status": [rng.choice(["x", None]) for _ in range(n)],
+        "car_position": pd.array([rng.randint(0, 5) for _ in range(n)], dtype="int32"),
+        "current_lap_num": [rng.choice([None, 1.0, 2.0]) for _ in range(n)], "speed": 3, "race_number": 7,
+        **{c: pd.Series([rng.choice([None, 0.5, 1.5]) for _ in range(n)], dtype="float32")
+           for c in ("lap_distance", "fuel_in_tank", "g_force_lateral", "g_force_longitudinal")}})
+
+    def run():
+        state = State()
+        parts = (frame.iloc[at:at + 1000] for at in range(0, n, 1000))
+        return list(N.stream_handler(("s", TARGET), parts, state, history=history)), state.get
+
+    got, last = run()
+    assert len(got) > 3 and max(map(len, got)) <= 8192
+    monkeypatch.setattr(N, "STREAM_ROWS", n)
+    whole, same = run()
+    assert len(whole) == 1 and last == same
+    pd.testing.assert_frame_equal(pd.concat(got, ignore_index=True), whole[0])
+    order = whole[0][["event_time", "partition", "seq"]]
+    assert order.equals(order.sort_values(["event_time", "partition", "seq"], kind="stable"))
+
+
 def test_rows_that_bring_their_history(spark):
     df = spark.createDataFrame([("a", 2, 5, [("a", 1, 4)]), ("a", 1, 4, [])], f"{ROWS}, previous array<struct<{ROWS.replace(' ', ':').replace(',:', ',')}>>")
     got = match_previous(df, Pattern.begin("x").next("y", lambda row, m: row["v"] > m["x"]["v"]), ["k"])
