@@ -7,7 +7,7 @@ import re
 from array import array
 from unicodedata import is_normalized
 
-CACHE_WORDS = 150_000  # in each of two generations
+CACHE_WORDS = 300_000  # in each of two generations
 _PUNCTUATION = b".,!?;:|"
 _PLAIN = re.compile(rb"[!-&(-~]+")  # printable ASCII but the apostrophe, which starts contractions
 _PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
@@ -32,6 +32,8 @@ _SIGNS = _byte_signs()
 def _letters(word: str) -> str:
     """The lower-cased word if it is letters only, composed, before and after lower-casing; else empty."""
     if word.isalpha() and is_normalized("NFC", word):
+        if word.islower():
+            return word
         lower = "".join(map(str.lower, word))
         if lower.isalpha():
             return lower
@@ -72,6 +74,8 @@ class WordIds(dict):
     def _ids(self, chunk: bytes) -> bytes:
         if len(chunk) > 512:
             return self.encode(chunk.decode())
+        if chunk.isalpha():  # ASCII letters
+            return self._merged(chunk)
         if _PLAIN.fullmatch(chunk):
             runs = _PIECES.findall(chunk)
             return self._merged(chunk) if len(runs) == 1 else b"".join([self[r] for r in runs])
@@ -85,7 +89,8 @@ class WordIds(dict):
 
     def _merged(self, run: bytes) -> bytes:
         """Ids of one run of the pre-tokenizer."""
-        return array("I", [t.id for t in self.merges.tokenize("".join([_SIGNS[b] for b in run]))]).tobytes()
+        signs = run.decode() if run.isalpha() else "".join([_SIGNS[b] for b in run])  # letters stand for themselves
+        return array("I", [t.id for t in self.merges.tokenize(signs)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

@@ -117,3 +117,24 @@ def test_pieces_that_fill_no_bin_end_after_a_pass(spark, monkeypatch):
     for r in rows:
         used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
     assert len(rows) == 200 and len(used) <= 190 and max(used.values()) == 100
+
+
+def test_words_of_a_large_vocabulary_are_encoded_once(monkeypatch):
+    from racestream.llm import tokens
+
+    asked = []
+    monkeypatch.setattr(tokens.WordIds, "_ids", lambda self, chunk: asked.append(chunk) or b"")
+    ids = tokens.WordIds(tokens.vocabulary_path())
+    words = b" ".join(b"w%d" % i for i in range(500_000))
+    for _ in range(2):
+        ids.text_ids(words)
+    assert len(asked) == 500_000
+
+
+def test_lower_case_letters_are_their_own_lower_case():
+    from racestream.llm.tokens import _letters
+
+    for i in range(0x110000):
+        c = chr(i)
+        if c.isalpha():
+            assert _letters(f"a{c}") in ("", f"a{c.lower()}"), hex(i)
