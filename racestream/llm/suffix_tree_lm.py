@@ -36,7 +36,9 @@ columns travel in the struct ``row``, so their names never clash.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain, repeat
 from math import fsum
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -99,21 +101,23 @@ def _counted(depth: int):
     n counts training texts (second column true), seen all texts; words are those of training texts, a
     line each, and the end sign is the empty one."""
     import pyarrow as pa
-    import xxhash
 
     names = ["bucket", "words", "grams", "n", "seen"]
 
     def word_rows(words):
-        lines: dict = {}
-        for w, c in words.items():
-            w = w.decode("utf-8", "replace").encode().rstrip(b"\n")
-            of = lines.setdefault(xxhash.xxh3_64_intdigest(w) % _BUCKETS, ([], []))
-            of[0].append(w)
-            of[1].append(c)
-        none = pa.nulls(len(lines), pa.binary())
-        return pa.RecordBatch.from_arrays([
-            pa.array(list(lines), pa.int32()), pa.array([b"\n".join(w) for w, _ in lines.values()], pa.binary()), none,
-            pa.array([np.array(c, np.int64).tobytes() for _, c in lines.values()], pa.binary()), none], names)
+        lines = [w if w.isascii() else w.decode("utf-8", "replace").encode() for w in words]
+        bucket = np.fromiter(map(crc32, lines), np.uint32, len(lines)).astype(np.uint16) % np.uint16(_BUCKETS)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        ends = np.r_[first, len(bucket)]
+        sorted_lines = [lines[i] for i in order.tolist()]
+        joined = [b"\n".join(sorted_lines[i:j]) for i, j in zip(ends.tolist(), ends[1:].tolist())]
+        n = np.fromiter(words.values(), np.int64, len(lines))[order]
+        counts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((ends * 8).astype(np.int32)), pa.py_buffer(n)])
+        none = pa.nulls(len(first), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[first].astype(np.int32)), pa.array(joined, pa.binary()), none, counts, none], names)
 
     def gram_rows(*arrays):
         few = arrays[2] < 256
@@ -135,7 +139,17 @@ def _counted(depth: int):
 
     def run(batches):
         words: Counter = Counter()
-        parts, held = [], 0
+        # grams as they come, of other and of training texts, and their sums so far
+        raw, fresh, parts = ([], []), 0, []
+
+        def sums():
+            for training, some in enumerate(raw):
+                if some:
+                    k, c = np.unique(np.concatenate(some), return_counts=True)
+                    some.clear()
+                    parts.append((k, c * training, c))
+            return _merged(parts)
+
         for batch in batches:
             for part in slices(batch, batch.column(0)):
                 split = [], []
@@ -144,31 +158,28 @@ def _counted(depth: int):
                 for w in split[True]:
                     words.update(w)
                 if split[True]:
-                    words[END.encode()] += len(split[True])
+                    words[b""] += len(split[True])
                 for training, lists in enumerate(split):
                     if lists:
-                        k, c = np.unique(grams(stream(lists, depth), depth)[0], return_counts=True)
-                        c = c.astype(np.int64)
-                        parts.append((k, c * training, c))
-                        held += len(k)
-                if held > _HELD_GRAMS:
-                    parts = [_merged(parts)]
-                    held = len(parts[0][0])
-                    if held > _HELD_GRAMS // 2:
+                        k = grams(stream(lists, depth), depth)[0]
+                        raw[training].append(k)
+                        fresh += len(k)
+                if fresh > _HELD_GRAMS:
+                    parts, fresh = [sums()], 0
+                    k, n, seen = parts[0]
+                    if len(k) > _HELD_GRAMS // 2:
                         # the frequent ones stay, to be summed further
-                        k, n, seen = parts[0]
-                        out = np.ones(held, bool)
+                        out = np.ones(len(k), bool)
                         out[np.argpartition(seen, -(_HELD_GRAMS // 4))[-(_HELD_GRAMS // 4):]] = False
                         yield from gram_rows(k[out], n[out], seen[out])
                         parts = [(k[~out], n[~out], seen[~out])]
-                        held = len(parts[0][0])
                 if len(words) > _HELD_WORDS:
                     yield word_rows(words)
                     words = Counter()
         if words:
             yield word_rows(words)
-        if parts:
-            yield from gram_rows(*_merged(parts))
+        if parts or any(raw):
+            yield from gram_rows(*sums())
     return run
 
 
@@ -359,6 +370,48 @@ def _cached_scores(lists, depth: int, cache: _Cache):
     return scores.tolist(), pa.ListArray.from_arrays(pa.array(offsets), structs)
 
 
+#: in a worker process: the broadcast value that came last and what was built of it
+_BUILT: dict = {}
+
+
+def _built(shared):
+    """Places of the common words, their log10 probabilities, and the cached grams: built once in a worker process."""
+    value = shared.value
+    if _BUILT.get("of") is not value:
+        _BUILT.clear()
+        cached_grams, cached_logs, by_use, known_words, known_logs = value
+        places = {w: i for i, w in enumerate(known_words.to_pylist())}
+        _BUILT.update(of=value, tables=(places, known_logs, _Cache(cached_grams, cached_logs, by_use)))
+    return _BUILT["tables"]
+
+
+def _base_scores(lists, places: dict, known_logs: np.ndarray):
+    """Of each token list: its length, its common words, the sum of their log10 probabilities, and its other words
+    as lists of word, f."""
+    import pyarrow as pa
+
+    lengths = list(map(len, lists))
+    flat = list(chain.from_iterable(lists))
+    at = np.fromiter(map(places.get, flat, repeat(-1)), np.int32, len(flat))
+    common = at >= 0
+    before = np.r_[0, np.cumsum(common)][np.r_[0, np.cumsum(lengths, dtype=np.int64)]]
+    found = known_logs[at[common]].tolist()
+    bounds = before.tolist()
+    logs = [fsum(found[i:j]) for i, j in zip(bounds, bounds[1:])]
+    rare = [flat[i] for i in np.flatnonzero(~common).tolist()]
+    words, f, offsets, start = [], [], [0], 0
+    for n, known in zip(lengths, np.diff(before).tolist()):
+        if known < n:
+            own = Counter(rare[start:start + n - known])
+            words += own
+            f += own.values()
+            start += n - known
+        offsets.append(len(words))
+    text = pa.array([w.decode("utf-8", "replace") for w in words], pa.string())
+    structs = pa.StructArray.from_arrays([text, pa.array(f, pa.int32())], ["word", "f"])
+    return lengths, np.diff(before).tolist(), logs, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
+
+
 def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str = "text",
                 depth: int = DEPTH, min_context: int = MIN_CONTEXT) -> DataFrame:
     """``row, n_tokens, n_known, train_tokens, base_score, score`` of every row.
@@ -397,26 +450,12 @@ def score_texts(docs: DataFrame, keep: list[str], training: Column, text: str =
     end = END.encode()
 
     def make():
-        cached_grams, cached_logs, by_use, known_words, known_logs = shared.value
-        lookup = dict(zip(known_words.to_pylist(), known_logs.tolist())).get
-        cache = _Cache(cached_grams, cached_logs, by_use)
+        places, known_logs, cache = _built(shared)
 
         def run(texts):
             lists = [words_of(t) for t in texts]
-            n_tokens, known, logs, rare = [], [], [], []
-            for words in lists:
-                words = [*words, end]
-                found = list(map(lookup, words))
-                others = []
-                if None in found:
-                    others = [{"word": w.decode("utf-8", "replace"), "f": f} for w, f in
-                              Counter(w for w, log in zip(words, found) if log is None).items()]
-                    found = [log for log in found if log is not None]
-                n_tokens.append(len(words))
-                known.append(len(found))
-                logs.append(fsum(found))
-                rare.append(others)
-            return n_tokens, known, logs, rare, *_cached_scores(lists, depth, cache)
+            return (*_base_scores([[*words, end] for words in lists], places, known_logs),
+                    *_cached_scores(lists, depth, cache))
         return run
 
     scored = map_text(docs, text, keep, make,

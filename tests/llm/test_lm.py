@@ -212,3 +212,30 @@ def test_packed_counts_sum_to_plain_counts(monkeypatch, held):
     assert {r["gram"]: (r["n"], r["seen"]) for r in got if r["word"] is None} == {k: (n[k], c) for k, c in seen.items()}
     assert {r["word"]: r["n"] for r in got if r["gram"] is None} == known
     assert len(got) == len(seen) + len(known)
+
+
+def test_tables_are_built_once_in_a_worker_process():
+    import numpy as np
+    import pyarrow as pa
+
+    from racestream.llm.suffix_tree_lm import _built
+
+    class Shared:
+        def __init__(self, word):
+            self.value = (np.array([5], np.uint64), np.array([-1.0]), np.array([0], np.int32),
+                          pa.array([word], pa.binary()), np.array([-2.0]))
+
+    one, two = Shared(b"a"), Shared(b"b")
+    assert _built(one) is _built(one) and _built(one)[0] == {b"a": 0}
+    assert _built(two)[0] == {b"b": 0} and _built(one)[0] == {b"a": 0}
+
+
+def test_base_scores_of_a_slice():
+    import numpy as np
+
+    from racestream.llm.suffix_tree_lm import _base_scores
+
+    lists = [[b"a", b"x", b"b", b"x", b"\n"], [b"\n"], [b"\xff", b"y"]]
+    lengths, known, logs, rare = _base_scores(lists, {b"a": 0, b"b": 1, b"\n": 2}, np.array([-1.0, -2.0, -4.0]))
+    assert (lengths, known, logs) == ([5, 1, 2], [3, 1, 0], [-7.0, -4.0, 0.0])
+    assert rare.to_pylist() == [[{"word": "x", "f": 2}], [], [{"word": "�", "f": 1}, {"word": "y", "f": 1}]]
