@@ -23,6 +23,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict = {}
+
+
+def kept_in_worker(key, make):
+    """What ``make`` gives, kept by this worker process for the key's next tasks.
+
+    Workers outlive a query and go on with the tasks of others, so they keep one thing at a time.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release_kept() -> None:
+    """Drop what this worker process keeps of other tasks: for tasks that need the memory themselves."""
+    if _KEPT:
+        import pyarrow as pa
+
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
     """A small fixed table as literals in the plan (of known size, so it may be broadcast)."""
     structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
@@ -44,6 +67,8 @@ def next_power_of_two(n: float) -> int:
 
 #: a slice of texts: at most so many rows and so many bytes; a longer text is a slice of its own
 SLICE_ROWS, SLICE_BYTES = 256, 1 << 22
+#: whole texts go to Python in batches of as many rows; Spark's own 10,000 texts are tens of MB, in the JVM and in Python
+TEXT_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": SLICE_ROWS}
 
 
 def slices(batch, texts):

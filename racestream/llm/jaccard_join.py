@@ -46,13 +46,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scoped_conf
-from .common import SLICE_ROWS, materialise, slices, table
+from .common import TEXT_BATCHES, materialise, release_kept, slices, table
 from .components import components
 from .url_filter import build_filter, might_contain
 
 FREQUENT = 65_536
-#: rows that carry two whole texts go to Python in small batches
-PAIR_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": SLICE_ROWS}
 MAX_BOUNDARY = 24
 _CHUNK = 1 << 21
 _MUL, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -133,6 +131,7 @@ def choose_boundary(sizes: dict[int, int], list_length: float, at: Threshold) ->
 
 def _batches(batches):
     """(ids, texts) of Arrow batches with the columns id, text, in bounded slices."""
+    release_kept()
     for batch in batches:
         for part in slices(batch, batch.column(1)):
             yield part.column(0).to_pylist(), part.column(1).to_pylist()
@@ -327,7 +326,8 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                          F.col(f"`{text_col}`").cast("binary").alias("text"))
 
-    found = materialise(source.mapInArrow(_summaries(width), "kind int, doc_id long, n long, d0 long, d1 long"), "sets")
+    with scoped_conf(spark, TEXT_BATCHES):
+        found = materialise(source.mapInArrow(_summaries(width), "kind int, doc_id long, n long, d0 long, d1 long"), "sets")
     sets = found.where("kind = 0 and n > 0")
     reps = sets.groupBy("d0", "d1").agg(F.min("doc_id").alias("rep"))
 
@@ -344,9 +344,10 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     boundary = choose_boundary(sizes, float(squares) / total if total else 0.0, at)
 
     # one row per distinct set: that of its smallest id
-    members = materialise(
-        source.mapInArrow(_signatures(width, boundary, at, shared), "node long, n long, prefix array<long>, subsets array<long>")
-        .join(reps.select(F.col("rep").alias("node")).distinct(), "node", "left_semi"), "members")
+    with scoped_conf(spark, TEXT_BATCHES):
+        members = materialise(
+            source.mapInArrow(_signatures(width, boundary, at, shared), "node long, n long, prefix array<long>, subsets array<long>")
+            .join(reps.select(F.col("rep").alias("node")).distinct(), "node", "left_semi"), "members")
     postings = (members.select(F.posexplode("prefix").alias("at", "key"), "node", "n").select("key", "node", "n", "at")
                 .union(members.select(F.explode("subsets").alias("key"), "node", "n", F.lit(-1).alias("at"))))
     shared_keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
@@ -368,7 +369,7 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .agg(F.min(F.struct("d0", "d1")).alias("x"), F.max(F.struct("d0", "d1")).alias("y"))
                .where("x <> y").select("doc_id"))
     same_id = sets.join(several, "doc_id").join(reps, ["d0", "d1"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    with scoped_conf(spark, PAIR_BATCHES):
+    with scoped_conf(spark, TEXT_BATCHES):
         links = materialise(_links(first, members, source, width, at, shared).union(same_id), "links")
     labels = components(links)
 
@@ -383,7 +384,7 @@ def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label2")) & _may_link(at))
               .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
     second = materialise(second, "pairs")
-    with scoped_conf(spark, PAIR_BATCHES):
+    with scoped_conf(spark, TEXT_BATCHES):
         links = materialise(links.union(_links(second, members, source, width, at, shared)), "links")
     labels = components(links)
 

@@ -40,7 +40,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_text, materialise, table
+from ..session import scoped_conf
+from .common import TEXT_BATCHES, map_text, materialise, table
 from .tokens import vocabulary_path, word_ids
 
 CAPACITY = 4096
@@ -214,7 +215,8 @@ def _pack_cells(items: DataFrame, cells: int, seed: int, capacity: int) -> DataF
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, seed: int = 5) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces that have a ``length`` of at most ``capacity``."""
-    pieces = materialise(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    with scoped_conf(pieces.sparkSession, TEXT_BATCHES):
+        pieces = materialise(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     full = pieces.where(F.col("length") == capacity).select("uid", (-F.col("uid") - 1).alias("sequence_id"))
     items = pieces.where(F.col("length") < capacity).select("uid", "length")
     done, n, k = full, items.count(), 0

@@ -7,11 +7,12 @@ import re
 from array import array
 from unicodedata import is_normalized
 
+from .common import kept_in_worker
+
 CACHE_WORDS = 300_000  # in each of two generations
 _PUNCTUATION = b".,!?;:|"
 _PLAIN = re.compile(rb"[!-&(-~]+")  # printable ASCII but the apostrophe, which starts contractions
 _PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
-_CACHES: dict[str, "WordIds"] = {}
 
 
 def _byte_signs() -> list[str]:
@@ -107,9 +108,7 @@ class WordIds(dict):
 
 def word_ids(path: str) -> WordIds:
     """The cache of this worker process."""
-    if path not in _CACHES:
-        _CACHES[path] = WordIds(path)
-    return _CACHES[path]
+    return kept_in_worker(("word ids", path), lambda: WordIds(path))
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, fold, map_text, table
+from .common import SLICE_ROWS, fold, map_text, release_kept, table
 
 SAMPLE = 50_000
 STARTS = range(4, 11)
@@ -119,6 +119,7 @@ class Lexicon:
 
 
 def _pieces(batches, columns: int):
+    release_kept()
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE_ROWS):
             part = batch.slice(at, SLICE_ROWS)

@@ -113,6 +113,45 @@ def test_rows_that_share_an_id_or_have_none(spark):
     assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
 
 
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    def bounded(make):
+        def made(*args):
+            run = make(*args)
+
+            def checked(batches):
+                def seen():
+                    for b in batches:
+                        assert b.num_rows <= 256
+                        yield b
+                return run(seen())
+            return checked
+        return made
+
+    monkeypatch.setattr(jj, "_summaries", bounded(jj._summaries))
+    monkeypatch.setattr(jj, "_signatures", bounded(jj._signatures))
+    rng = random.Random(41)
+    rows = [doc(i, " ".join(words(rng, 6))) for i in range(700)]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    assert jj.shingle_classes(docs, width=4, num=85, den=100).count() == 700
+
+
+def test_workers_drop_what_packing_kept():
+    import pyarrow as pa
+
+    from racestream.llm import common
+    from racestream.llm.tokens import vocabulary_path, word_ids
+
+    ids = word_ids(vocabulary_path())
+    assert word_ids(vocabulary_path()) is ids and ids in common._KEPT.values()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"a b c d e"])], ["id", "text"])
+    assert [len(list(r)) for r in jj._batches([batch])] == [2]
+    assert not common._KEPT
+    # of two things one stays
+    common.kept_in_worker("a", list)
+    assert common.kept_in_worker("b", dict) == {} and list(common._KEPT) == ["b"]
+    common.release_kept()
+
+
 def test_thresholds_are_exact():
     at = jj.Threshold(85, 100)
     for s in range(1, 60):
