@@ -21,9 +21,11 @@ then among the first three of its kind, and an edit shifts that by two at most,
 so five of the last bigram's kind go into the indexed prefix: a word has seven
 indexed bigrams at most, however long it is.
 
-Hot bigrams are harmless, as the key holds half the word or more. Joins are
-left to Spark (adaptive skew join). The only thing collected is the number of
-words per bigram: an alphabet of 90 letters has 8,100 at most.
+Hot bigrams are harmless, as the key holds half the word or more. All joins
+are sort-merge joins by hint (adaptive skew join): Spark sizes what is read
+again by its compressed files, and the keys by the file of the words (25 million
+keys by 8 MB), and would broadcast them. The only thing collected is the number
+of words per bigram: an alphabet of 90 letters has 8,100 at most.
 
 Each word's ``form`` is its most frequent near word, if that is frequent enough
 beside it; ``root`` follows the forms by pointer jumping, a few rounds, as counts
@@ -208,7 +210,7 @@ def near_words(words: DataFrame) -> DataFrame:
     rows = words.select("word", "n")
     a = rows.mapInArrow(keyed("pivot"), "key long, word string, n long").toDF("key", "a", "a_n").alias("a")
     b = rows.mapInArrow(keyed("index"), "key long, word string, n long").toDF("key", "b", "b_n").alias("b")
-    pair = a.join(b, "key").where(F.levenshtein("a", "b", EDITS) == EDITS)
+    pair = a.join(b.hint("merge"), "key").where(F.levenshtein("a", "b", EDITS) == EDITS)
     both = F.array(F.struct(F.col("a").alias("word"), F.col("a_n").alias("n"), F.col("b").alias("near"), F.col("b_n").alias("near_n")),
                    F.struct(F.col("b").alias("word"), F.col("b_n").alias("n"), F.col("a").alias("near"), F.col("a_n").alias("near_n")))
     return pair.select(F.inline(both))
@@ -220,7 +222,7 @@ def variant_groups(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     pairs = near_words(words).repartition("word").groupBy("word", "n", "near", "near_n").agg(F.lit(1).alias("_one"))
     best = F.min_by(F.struct("near", "near_n"), F.struct(-F.col("near_n"), "near"))
     near = pairs.groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    formed = words.join(near, "word", "left").select(
+    formed = words.join(near.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(F.col("best.near_n") >= ratio * F.col("n"), F.col("best")).alias("best"))
     formed = materialise(formed.select("word", "n", "n_near", F.col("best.near").alias("form"),
@@ -229,12 +231,12 @@ def variant_groups(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     moved = up.where("root <> word")
     while True:  # each round doubles the steps taken; counts grow by ``ratio`` a step
         jump = moved.toDF("root", "next")
-        longer = materialise(moved.join(jump, "root", "left").select(
+        longer = materialise(moved.join(jump.hint("merge"), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("more")), "roots")
         moved = longer.select("word", "root")
         if longer.where("more").isEmpty():
             break
-    return formed.join(moved, "word", "left").select(
+    return formed.join(moved.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter
 
+from racestream.llm import spelling
 from racestream.llm.spelling import (
     indexed_keys, near_words, pivot_keys, pivots, prefix, q_op12_spelling, variant_groups, word_counts,
 )
@@ -131,5 +132,25 @@ def test_very_long_words(spark):
     assert [(r[1] != "", r[4]) for r in rows_of(variant_groups(df))] == [(True, 1), (False, 1), (False, 0)]
 
 
+def test_no_join_is_broadcast(spark, monkeypatch):
+    """Whatever size Spark takes a table for: a small file of words has many times as many keys."""
+    words = {"zzzzz" + "y" * k + "x" * (9 - k): 3 << k for k in range(10)}
+    seen, write = [], spelling.materialise
+
+    def shown(df, name):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(spelling, "materialise", shown)
+    df = write(spark.createDataFrame(list(words.items()), "word string, n long"), "words")  # of known size, and small
+    got = variant_groups(df)
+    seen += [("near", near_words(df)._jdf.queryExecution().executedPlan().toString())]
+    assert rows_of(got) == groups(words)
+    seen += [("result", got._jdf.queryExecution().executedPlan().toString())]  # as it ran
+    assert {name for name, _ in seen} == {"forms", "roots", "near", "result"}
+    for name, plan in seen:
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, (name, plan)
+
+
 def test_query_shape(spark):
     assert q_op12_spelling(spark, "/root/testdata/sf0.001").columns == ["word", "form", "root", "n", "n_near", "form_n"]
